@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
+from ..functions.timefmt import micros
 from .ordered import BLOCK, US, fit_block, to_micros, with_blocks
 from .relational import Names, as_list
 
@@ -41,8 +42,12 @@ def decay_stats(
     std: Mapping[str, str] | None = None,
     seq: Names | None = None,
     block: int | None = None,
+    initial: DataFrame | None = None,
 ) -> DataFrame:
-    """Add decayed means and standard deviations, as ``{output: input}`` mappings."""
+    """Add decayed means and standard deviations, as ``{output: input}`` mappings.
+
+    ``initial`` continues an earlier run: the states of :func:`last_states`, all earlier in time.
+    """
     mean, std = dict(mean or {}), dict(std or {})
     keys, seq = as_list(by), as_list(seq)
     tau_us = to_micros(tau)
@@ -54,7 +59,7 @@ def decay_stats(
     local = rows
     for i, column in enumerate(inputs):
         local = _local_states(local, i, column, keys, seq, tau_us, column in std.values())
-    carry = _carries(local, inputs, keys, seq, tau_us, set(std.values()))
+    carry = _carries(local, inputs, keys, seq, tau_us, set(std.values()), initial)
     carry_keys = [F.col(k).alias(f"__key_{k}") for k in [*keys, BLOCK]]
     carry = carry.select(*carry_keys, *[c for c in carry.columns if c.startswith("__carry")])
     match = F.lit(True)
@@ -146,7 +151,29 @@ def _decayed_sum(term: Column, at: str, keys, tau_us: int) -> Column:
     return F.when(into >= F.lit(stretch // 2), first).otherwise(second)
 
 
-def _carries(local, inputs, keys, seq, tau_us: int, with_std: set) -> DataFrame:
+def last_states(stats: DataFrame, by: Names, ts: str, columns: Mapping[str, tuple[str, str | None]], seq=None):
+    """Final state per key of a :func:`decay_stats` result, to continue from: per input column its
+    last time, mean and variance. ``columns`` maps each input to its (mean, deviation) outputs."""
+    order = F.struct(micros(F.col(ts)), *[F.col(c) for c in as_list(seq)])
+    states = []
+    for column, (mean, std) in columns.items():
+        given = F.col(column).isNotNull()
+        var = F.coalesce(F.col(std) * F.col(std), F.lit(0.0)) if std else F.lit(0.0)
+        state = F.struct(
+            micros(F.col(ts)).alias("t"), F.col(mean).alias("m"), var.alias("v")
+        )
+        states.append(F.max_by(state, F.when(given, order)).alias(f"__state_{column}"))
+    return stats.groupBy(*as_list(by)).agg(*states)
+
+
+def merge_states(earlier: DataFrame, later: DataFrame, by: Names) -> DataFrame:
+    """The later state of each key and column."""
+    both = earlier.unionByName(later)
+    states = [c for c in both.columns if c.startswith("__state_")]
+    return both.groupBy(*as_list(by)).agg(*[F.max(c).alias(c) for c in states])
+
+
+def _carries(local, inputs, keys, seq, tau_us: int, with_std: set, initial=None) -> DataFrame:
     """State handed to each (key, block): one row per block, chained over the key's blocks."""
     ordered = Window.partitionBy(*keys, BLOCK).orderBy(US, *seq)
     ends = local.withColumn("__more", F.lead(F.lit(1)).over(ordered)).filter("__more IS NULL")
@@ -154,6 +181,18 @@ def _carries(local, inputs, keys, seq, tau_us: int, with_std: set) -> DataFrame:
     before = chain.rowsBetween(Window.unboundedPreceding, -1)
     kept = [c for c in ends.columns if c.startswith("__") and c not in (US, BLOCK, "__more")]
     out = ends.select(*keys, BLOCK, *kept)
+    if initial is not None:
+        # A state is a finished block before all others: its sums so far are its mean and variance.
+        fields = {}
+        for i, column in enumerate(inputs):
+            state = F.col(f"__state_{column}")
+            fields.update({f"__t{i}": state["t"], f"__m_in{i}": state["m"], f"__v_in{i}": state["v"]})
+        start = initial.select(*keys, F.lit(-(2**62)).alias(BLOCK), *[v.alias(k) for k, v in fields.items()])
+        out = out.unionByName(start, allowMissingColumns=True)
+    else:
+        for i in range(len(inputs)):
+            empty = F.lit(None).cast("double")
+            out = out.withColumn(f"__m_in{i}", empty).withColumn(f"__v_in{i}", empty)
     for i, column in enumerate(inputs):
 
         def c(name):
@@ -168,16 +207,17 @@ def _carries(local, inputs, keys, seq, tau_us: int, with_std: set) -> DataFrame:
         # Weight of the state before the block after the block's first row; 0 for a key's first block.
         step("a1", F.coalesce(_exp(c("tp") - c("t1"), tau_us), zero))
         gained = F.coalesce(_gain(c("t") - c("tp"), tau_us), F.lit(1.0))
-        step("term", F.coalesce(c("x1") * gained + c("m"), zero))
-        step("mo", F.when(c("x1").isNotNull(), _decayed_sum(c("term"), f"__t{i}", keys, tau_us)))
+        step("term", F.coalesce(c("m_in"), c("x1") * gained + c("m"), zero))
+        known = c("x1").isNotNull() | c("m_in").isNotNull()
+        step("mo", F.when(known, _decayed_sum(c("term"), f"__t{i}", keys, tau_us)))
         step("carry_m", F.last(c("mo"), ignorenulls=True).over(before))
         off = F.coalesce(c("carry_m") - c("x1"), zero)
         step("carry_c", c("a1") * off)
         if column in with_std:
             entry = c("a1") * (F.lit(1.0) - c("a1")) * off * off
             inside = c("d0") - F.lit(2.0) * c("carry_c") * c("d1") + c("carry_c") * c("carry_c") * c("d2")
-            step("term", F.coalesce(inside + entry / c("g"), zero))
-            step("vo", F.when(c("x1").isNotNull(), _decayed_sum(c("term"), f"__t{i}", keys, tau_us)))
+            step("term", F.coalesce(c("v_in"), inside + entry / c("g"), zero))
+            step("vo", F.when(known, _decayed_sum(c("term"), f"__t{i}", keys, tau_us)))
             step("carry_v0", F.last(c("vo"), ignorenulls=True).over(before))
             step("carry_v", c("a1") * F.coalesce(c("carry_v0"), zero) + entry)
     return out
