@@ -1,12 +1,11 @@
 """The registered queries over the driver's tables, each with the SQL it must agree with."""
 
-from . import accounts, derived, markets, outcomes, programs, relational, rows, series, streams, times
+from . import derived, markets, outcomes, programs, relational, rows, series, streams, times
 from .registry import ORACLES, QUERIES
 
 __all__ = [
     "ORACLES",
     "QUERIES",
-    "accounts",
     "derived",
     "markets",
     "outcomes",
