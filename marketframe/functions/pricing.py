@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Coefficients of the five-term normal approximation (Abramowitz and Stegun 26.2.17).
@@ -14,26 +14,47 @@ RATE = 0.04
 SHOCKS = (-0.2, -0.15, -0.1, -0.05, -0.02, -0.01, 0.0, 0.01, 0.02, 0.05, 0.1, 0.15, 0.2)
 
 
-def normal_cdf(d: Column) -> Column:
-    """Cumulative normal probability."""
-    k = F.lit(1.0) / (F.lit(1.0) + F.lit(CND_GAMMA) * F.abs(d))
+def _k(d: Column) -> Column:
+    return F.lit(1.0) / (F.lit(1.0) + F.lit(CND_GAMMA) * F.abs(d))
+
+
+def _tail(d: Column, k: Column) -> Column:
+    """Probability beyond ``|d|``."""
     series = F.lit(0.0)
     for coefficient in reversed(CND_COEFFICIENTS):
         series = k * (F.lit(coefficient) + series)
-    tail = F.lit(CND_RSQRT2PI) * F.exp(F.lit(-0.5) * d * d) * series
+    return F.lit(CND_RSQRT2PI) * F.exp(F.lit(-0.5) * d * d) * series
+
+
+def _side(d: Column, tail: Column) -> Column:
     return F.when(d > 0, F.lit(1.0) - tail).otherwise(tail)
 
 
-def european_option(
-    price: Column, strike: Column, years: Column, rate: Column, vol: Column, is_call: Column
-) -> Column:
-    """Price of a European option; NULL when an input is NULL or the model is undefined."""
-    root = F.sqrt(F.when(years > 0, years))
-    moneyness = F.ln(F.try_divide(price, strike))
-    d1 = F.try_divide(moneyness + (rate + F.lit(0.5) * vol * vol) * years, vol * root)
-    d2 = d1 - vol * root
-    n1, n2 = normal_cdf(d1), normal_cdf(d2)
-    discounted = strike * F.exp(-rate * years)
-    call = price * n1 - discounted * n2
-    put = discounted * (F.lit(1.0) - n2) - price * (F.lit(1.0) - n1)
-    return F.when(d1.isNotNull(), F.when(is_call, call).otherwise(put))
+def normal_cdf(d: Column) -> Column:
+    """Cumulative normal probability."""
+    return _side(d, _tail(d, _k(d)))
+
+
+def with_option_price(
+    df: DataFrame, name: str, price: str, strike: str, years: str, rate: str, vol: str, is_call: str
+) -> DataFrame:
+    """Add the price of a European option; NULL when an input is NULL or the model is undefined.
+
+    Arguments are column names. The model is a chain of small columns rather than one expression:
+    each intermediate is computed once per row, and the generated code stays small enough to be
+    compiled to machine code.
+    """
+    s, x, t, r, v, call = (F.col(c) for c in (price, strike, years, rate, vol, is_call))
+    columns = df.columns
+    df = df.withColumn("__spread", v * F.sqrt(F.when(t > 0, t)))
+    drift = F.ln(F.try_divide(s, x)) + (r + F.lit(0.5) * v * v) * t
+    df = df.withColumn("__d1", F.try_divide(drift, F.col("__spread")))
+    df = df.withColumn("__d2", F.col("__d1") - F.col("__spread"))
+    df = df.withColumns({"__k1": _k(F.col("__d1")), "__k2": _k(F.col("__d2"))})
+    tails = {f"__t{i}": _tail(F.col(f"__d{i}"), F.col(f"__k{i}")) for i in (1, 2)}
+    df = df.withColumns({**tails, "__discounted": x * F.exp(-r * t)})
+    df = df.withColumns({f"__n{i}": _side(F.col(f"__d{i}"), F.col(f"__t{i}")) for i in (1, 2)})
+    n1, n2, discounted = F.col("__n1"), F.col("__n2"), F.col("__discounted")
+    put = discounted * (F.lit(1.0) - n2) - s * (F.lit(1.0) - n1)
+    value = F.when(call, s * n1 - discounted * n2).otherwise(put)
+    return df.select(*[c for c in columns if c != name], value.alias(name))

@@ -9,8 +9,9 @@ Rows are grouped by (key, time block). Inside a block the recurrences are run re
 block's first row with plain window sums, which gives both values as polynomials in the state after
 that first row: ``m_n = x_1 + M + c / g`` and ``v_n = D0 - 2 c D1 + c**2 D2 + v_1 / g`` where
 ``c = m_1 - x_1`` and ``g = exp((t_n - t_1) / tau)``. One row per (key, block) then carries the
-states from block to block, and a join on (key, block) puts them in. No window ever spans a whole
-key, no exponent exceeds ``SPAN``, and all terms of a sum have the weight they have in the result.
+states from block to block and leads its block as an extra row, so the rows are shuffled once. No
+window spans all rows of a hot key, no exponent exceeds ``SPAN``, and all terms of a sum have the
+weight they have in the result.
 
 NULL inputs leave the state as it is. A key's first standard deviation is NULL.
 """
@@ -20,18 +21,92 @@ from __future__ import annotations
 from collections.abc import Mapping
 from datetime import timedelta
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from ..functions.timefmt import micros
-from .ordered import BLOCK, US, fit_block, to_micros, with_blocks
+from .ordered import BLOCK, LENGTH, SPLIT_ROWS, US, hot_keys, to_micros, with_blocks
 from .relational import Names, as_list
 
+# 1 for rows of the table, 0 for the row that leads a block.
+OWN = "__own"
+
 # Longest stretch, in units of tau, over which exp() is accumulated: exp(300) is far from overflow
 # and exp(-SPAN / 2) is far below the resolution of a double.
 SPAN = 300
 
+# Column expressions are SQL text here: a stage is one list of named formulas.
+_LOCAL = (
+    {
+        "t": "last(IF({x} IS NULL, NULL, {us}), true) {running}",
+        "t1": "first(IF({x} IS NULL, NULL, {us}), true) {running}",
+        "x1": "first({x}, true) {running}",
+        "n": "count({x}) {running}",
+        "tp": "last(IF({x} IS NULL, NULL, {us}), true) {earlier}",
+    },
+    {
+        "g": "exp(({t} - {t1}) / {tau})",
+        # Share of the new value, 1 - exp(-dt / tau); 0 on the block's first row.
+        "w": "coalesce(-expm1(({tp} - {t}) / {tau}), 0D)",
+        "d": "coalesce({x} - {x1}, 0D)",
+    },
+    {"m": "sum({w} * {d} * {g}) {running} / {g}"},
+)
+_LOCAL_STD = (
+    {
+        "gp": "coalesce(lag({g}) {ordered}, 1D)",
+        "e": "IF({w} > 0, {d} - coalesce(lag({m}) {ordered}, 0D), 0D)",
+    },
+    {
+        "d0": "sum({w} * {e} * {e} * {gp}) {running} / {g}",
+        "d1": "sum({w} * {e}) {running} / {g}",
+        "d2": "sum({w} / {gp}) {running} / {g}",
+    },
+)
+
+# Sum of a key's terms so far, each decayed from its own time to the current row's time. It is
+# accumulated over two grids of stretches shifted by half a stretch; a row uses the grid in which at
+# least half a stretch lies behind it, and what that leaves out has decayed by exp(-SPAN / 2).
+_DECAYED = (
+    "CASE WHEN pmod({t}, {stretch}) >= {half} "
+    "THEN sum({term} * exp(pmod({t}, {stretch}) / {tau})) {grid0} * exp(-pmod({t}, {stretch}) / {tau}) "
+    "ELSE sum({term} * exp(pmod({t} + {half}, {stretch}) / {tau})) {grid1} "
+    "* exp(-pmod({t} + {half}, {stretch}) / {tau}) END"
+)
+_KNOWN = "({x1} IS NOT NULL OR {m_in} IS NOT NULL)"
+_CHAIN = (
+    {"tb": "last({t}, true) {before}"},
+    {
+        # Weight of the state before the block after the block's first row; 0 in a key's first block.
+        "a1": "coalesce(exp(({tb} - {t1}) / {tau}), 0D)",
+        "term": "coalesce({m_in}, {x1} * coalesce(-expm1(({tb} - {t}) / {tau}), 1D) + {m}, 0D)",
+    },
+    {"mo": f"IF({_KNOWN}, {_DECAYED}, NULL)"},
+    {"mb": "last({mo}, true) {before}"},
+    {"c": "{a1} * coalesce({mb} - {x1}, 0D)"},
+)
+_CHAIN_STD = (
+    {
+        "entry": "{a1} * (1 - {a1}) * coalesce(({mb} - {x1}) * ({mb} - {x1}), 0D)",
+    },
+    {
+        "term": "coalesce({v_in}, {d0} - 2 * {c} * {d1} + {c} * {c} * {d2} + {entry} / {g}, 0D)",
+    },
+    {"vo": f"IF({_KNOWN}, {_DECAYED}, NULL)"},
+    {"vb": "last({vo}, true) {before}"},
+    {"v1": "{a1} * coalesce({vb}, 0D) + {entry}"},
+)
+# What the leading row brought, on every row of its block.
+_CARRIED = ({n: f"first({{{n}}}, true) {{running}}" for n in ("c", "mb", "v1", "vb")},)
+_MEAN = "coalesce({x1} + {m} + coalesce({c}, 0D) / {g}, {mb})"
+_VAR = (
+    "IF({mb} IS NULL AND {n} <= 1, NULL, "
+    "coalesce({d0} + coalesce({c} * {c} * {d2} - 2 * {c} * {d1}, 0D) + coalesce({v1}, 0D) / {g}, {vb}))"
+)
+_STD = f"sqrt(IF({_VAR} > 0, {_VAR}, IF({_VAR} IS NULL, NULL, 0D)))"
+
+_NAMES = "t t1 x1 n tp g w d m gp e d0 d1 d2 m_in v_in tb a1 term mo mb c entry vo vb v1".split()
+
 
 def decay_stats(
     df: DataFrame,
@@ -43,112 +118,111 @@ def decay_stats(
     seq: Names | None = None,
     block: int | None = None,
     initial: DataFrame | None = None,
+    split_rows: int = SPLIT_ROWS,
 ) -> DataFrame:
     """Add decayed means and standard deviations, as ``{output: input}`` mappings.
 
-    ``initial`` continues an earlier run: the states of :func:`last_states`, all earlier in time.
+    Keys with more than ``split_rows`` rows are cut into blocks; ``block`` (microseconds) forces a
+    block length on all keys. ``initial`` continues an earlier run: the states of
+    :func:`last_states`, all earlier in time.
     """
     mean, std = dict(mean or {}), dict(std or {})
     keys, seq = as_list(by), as_list(seq)
     tau_us = to_micros(tau)
-    block = min(block or fit_block(df, ts), SPAN * tau_us)
     columns = df.columns
-    rows = with_blocks(df, ts, block)
     inputs = list(dict.fromkeys([*mean.values(), *std.values()]))
+    hot = None if block else hot_keys(df, keys, ts, split_rows)
+
+    def local(frame: DataFrame) -> DataFrame:
+        for i, column in enumerate(inputs):
+            stages = _LOCAL + (_LOCAL_STD if column in std.values() else ())
+            frame = _add(frame, stages, _terms(i, column, keys, seq, tau_us))
+        return frame
 
-    local = rows
+    def blocked(frame: DataFrame) -> DataFrame:
+        frame = with_blocks(frame, keys, ts, block, SPAN * tau_us, hot).drop(LENGTH)
+        return frame.withColumn(OWN, F.lit(1))
+
+    narrow = local(blocked(df.select(*dict.fromkeys([*keys, ts, *seq, *inputs]))))
+    carry = _carries(narrow, inputs, keys, seq, tau_us, set(std.values()), initial)
+    out = local(blocked(df).unionByName(carry, allowMissingColumns=True))
     for i, column in enumerate(inputs):
-        local = _local_states(local, i, column, keys, seq, tau_us, column in std.values())
-    carry = _carries(local, inputs, keys, seq, tau_us, set(std.values()), initial)
-    carry_keys = [F.col(k).alias(f"__key_{k}") for k in [*keys, BLOCK]]
-    carry = carry.select(*carry_keys, *[c for c in carry.columns if c.startswith("__carry")])
-    match = F.lit(True)
-    for k in [*keys, BLOCK]:
-        match = match & local[k].eqNullSafe(carry[f"__key_{k}"])
-    joined = local.join(carry, match, "left")
-    return joined.select(
-        *columns,
-        *[_mean(inputs.index(c)).alias(out) for out, c in mean.items()],
-        *[_std(inputs.index(c)).alias(out) for out, c in std.items()],
+        brought = [{n: e for n, e in _CARRIED[0].items() if f"__{n}{i}" in carry.columns}]
+        out = _add(out, brought, _terms(i, column, keys, seq, tau_us))
+    return out.filter(f"{OWN} = 1").selectExpr(
+        *[f"`{c}`" for c in columns],
+        *[f"{_MEAN.format(**_terms(inputs.index(c)))} AS `{out}`" for out, c in mean.items()],
+        *[f"{_STD.format(**_terms(inputs.index(c)))} AS `{out}`" for out, c in std.items()],
     )
 
 
-def ema_time(df, ts, tau, columns: Mapping[str, str], by: Names, seq=None, block=None) -> DataFrame:
+def ema_time(df, ts, tau, columns: Mapping[str, str], by: Names, seq=None, **split) -> DataFrame:
     """Time-decayed mean."""
-    return decay_stats(df, ts, tau, by, mean=columns, seq=seq, block=block)
+    return decay_stats(df, ts, tau, by, mean=columns, seq=seq, **split)
 
 
-def emstd_time(df, ts, tau, columns: Mapping[str, str], by: Names, seq=None, block=None) -> DataFrame:
+def emstd_time(df, ts, tau, columns: Mapping[str, str], by: Names, seq=None, **split) -> DataFrame:
     """Time-decayed standard deviation."""
-    return decay_stats(df, ts, tau, by, std=columns, seq=seq, block=block)
-
-
-def _exp(us: Column, tau_us: int) -> Column:
-    return F.exp(us / F.lit(float(tau_us)))
+    return decay_stats(df, ts, tau, by, std=columns, seq=seq, **split)
 
 
-def _gain(us: Column, tau_us: int) -> Column:
-    """``1 - exp(-dt / tau)`` without cancellation."""
-    return -F.expm1(-us / F.lit(float(tau_us)))
+def _add(frame: DataFrame, stages, terms: Mapping[str, str]) -> DataFrame:
+    for stage in stages:
+        replaced = [terms[name] for name in stage]
+        kept = [f"`{c}`" for c in frame.columns if c not in replaced]
+        frame = frame.selectExpr(*kept, *[f"{e.format(**terms)} AS {terms[n]}" for n, e in stage.items()])
+    return frame
 
 
-def _local_states(rows, i: int, column: str, keys, seq, tau_us: int, with_std: bool) -> DataFrame:
-    """Window sums inside (key, block), relative to the block's first value."""
+def _terms(i: int, column: str = "", keys=(), seq=(), tau_us: int = 1) -> dict[str, str]:
+    """What the formulas' names stand for: this input's columns, windows and constants."""
+    stretch = SPAN * tau_us
+    by = ", ".join(f"`{k}`" for k in keys)
+    inside = f"PARTITION BY {by}, {BLOCK} ORDER BY {', '.join([OWN, US, *[f'`{c}`' for c in seq]])}"
+    grid = "OVER (PARTITION BY {by}, __t{i} - pmod(__t{i} + {shift}L, {stretch}L) ORDER BY {block} ROWS UNBOUNDED PRECEDING)"
+    grids = [grid.format(by=by, i=i, shift=s, stretch=stretch, block=BLOCK) for s in (0, stretch // 2)]
+    return {
+        **{name: f"__{name}{i}" for name in _NAMES},
+        "x": f"CAST(`{column}` AS DOUBLE)",
+        "us": US,
+        "tau": f"{float(tau_us)!r}D",
+        "stretch": f"{stretch}L",
+        "half": f"{stretch // 2}L",
+        "ordered": f"OVER ({inside})",
+        "running": f"OVER ({inside} ROWS UNBOUNDED PRECEDING)",
+        "earlier": f"OVER ({inside} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)",
+        "before": f"OVER (PARTITION BY {by} ORDER BY {BLOCK} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)",
+        "grid0": grids[0],
+        "grid1": grids[1],
+    }
 
-    def c(name):
-        return F.col(f"__{name}{i}")
 
-    ordered = Window.partitionBy(*keys, BLOCK).orderBy(US, *seq)
-    running = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    x = F.col(column).cast("double")
-    seen = F.when(x.isNotNull(), F.col(US))
-    rows = rows.withColumns(
-        {
-            f"__t{i}": F.last(seen, ignorenulls=True).over(running),
-            f"__t1{i}": F.first(seen, ignorenulls=True).over(running),
-            f"__x1{i}": F.first(x, ignorenulls=True).over(running),
-            f"__n{i}": F.count(x).over(running),
-        }
-    )
-    rows = rows.withColumn(f"__g{i}", _exp(c("t") - c("t1"), tau_us))
-    gap = c("t") - F.lag(c("t")).over(ordered)
-    rows = rows.withColumn(f"__w{i}", F.coalesce(_gain(gap, tau_us), F.lit(0.0)))
-    rows = rows.withColumn(f"__d{i}", F.coalesce(x - c("x1"), F.lit(0.0)))
-    rows = rows.withColumn(f"__m{i}", F.sum(c("w") * c("d") * c("g")).over(running) / c("g"))
-    if with_std:
-        rows = rows.withColumn(f"__g0{i}", F.coalesce(F.lag(c("g")).over(ordered), F.lit(1.0)))
-        off = c("d") - F.coalesce(F.lag(c("m")).over(ordered), F.lit(0.0))
-        rows = rows.withColumn(f"__e{i}", F.when(c("w") > 0, off).otherwise(F.lit(0.0)))
-        rows = rows.withColumns(
-            {
-                f"__d0{i}": F.sum(c("w") * c("e") * c("e") * c("g0")).over(running) / c("g"),
-                f"__d1{i}": F.sum(c("w") * c("e")).over(running) / c("g"),
-                f"__d2{i}": F.sum(c("w") / c("g0")).over(running) / c("g"),
-            }
-        )
-    return rows
-
-
-def _decayed_sum(term: Column, at: str, keys, tau_us: int) -> Column:
-    """Sum of a key's terms so far, each decayed from its own time to the current row's time.
-
-    Accumulated over two grids of stretches shifted by half a stretch. A row uses the grid in which
-    at least half a stretch lies behind it; what that leaves out has decayed by exp(-SPAN / 2).
-    """
-    stretch = SPAN * tau_us
-    t = F.col(at)
-    halves = []
-    for shift in (0, stretch // 2):
-        into = F.pmod(t + F.lit(shift), F.lit(stretch))
-        grid = (
-            Window.partitionBy(*keys, t - into)
-            .orderBy(BLOCK)
-            .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        )
-        total = F.sum(term * _exp(into, tau_us)).over(grid) * _exp(-into, tau_us)
-        halves.append((into, total))
-    (into, first), (_, second) = halves
-    return F.when(into >= F.lit(stretch // 2), first).otherwise(second)
+def _carries(local, inputs, keys, seq, tau_us: int, with_std: set, initial=None) -> DataFrame:
+    """State handed to each (key, block): one row per block, chained over the key's blocks."""
+    by = [f"`{k}`" for k in keys]
+    terms = [_terms(i, c, keys, seq, tau_us) for i, c in enumerate(inputs)]
+    states = [c for c in local.columns if c.startswith("__") and c not in (US, BLOCK, OWN)]
+    ends = local.selectExpr(*by, BLOCK, *states, f"lead(1) {terms[0]['ordered']} AS __more")
+    ends = ends.filter("__more IS NULL").drop("__more")
+    if initial is not None:
+        # A state is a finished block before all others: its sums so far are its mean and variance.
+        given = [
+            f"`__state_{c}`.{field} AS {terms[i][name]}"
+            for i, c in enumerate(inputs)
+            for field, name in (("t", "t"), ("m", "m_in"), ("v", "v_in"))
+        ]
+        start = initial.selectExpr(*by, f"{-(2**62)}L AS {BLOCK}", *given)
+        ends = ends.unionByName(start, allowMissingColumns=True)
+    else:
+        none = [f"CAST(NULL AS DOUBLE) AS {t[n]}" for t in terms for n in ("m_in", "v_in")]
+        ends = ends.selectExpr("*", *none)
+    kept = []
+    for i, column in enumerate(inputs):
+        ends = _add(ends, _CHAIN + (_CHAIN_STD if column in with_std else ()), terms[i])
+        names = ("c", "mb", "v1", "vb") if column in with_std else ("c", "mb")
+        kept += [terms[i][n] for n in names]
+    handed = " OR ".join(f"{t['mb']} IS NOT NULL" for t in terms)
+    return ends.filter(handed).selectExpr(*by, BLOCK, *kept, f"0 AS {OWN}")
 
 
 def last_states(stats: DataFrame, by: Names, ts: str, columns: Mapping[str, tuple[str, str | None]], seq=None):
@@ -159,9 +233,7 @@ def last_states(stats: DataFrame, by: Names, ts: str, columns: Mapping[str, tupl
     for column, (mean, std) in columns.items():
         given = F.col(column).isNotNull()
         var = F.coalesce(F.col(std) * F.col(std), F.lit(0.0)) if std else F.lit(0.0)
-        state = F.struct(
-            micros(F.col(ts)).alias("t"), F.col(mean).alias("m"), var.alias("v")
-        )
+        state = F.struct(micros(F.col(ts)).alias("t"), F.col(mean).alias("m"), var.alias("v"))
         states.append(F.max_by(state, F.when(given, order)).alias(f"__state_{column}"))
     return stats.groupBy(*as_list(by)).agg(*states)
 
@@ -171,72 +243,3 @@ def merge_states(earlier: DataFrame, later: DataFrame, by: Names) -> DataFrame:
     both = earlier.unionByName(later)
     states = [c for c in both.columns if c.startswith("__state_")]
     return both.groupBy(*as_list(by)).agg(*[F.max(c).alias(c) for c in states])
-
-
-def _carries(local, inputs, keys, seq, tau_us: int, with_std: set, initial=None) -> DataFrame:
-    """State handed to each (key, block): one row per block, chained over the key's blocks."""
-    ordered = Window.partitionBy(*keys, BLOCK).orderBy(US, *seq)
-    ends = local.withColumn("__more", F.lead(F.lit(1)).over(ordered)).filter("__more IS NULL")
-    chain = Window.partitionBy(*keys).orderBy(BLOCK)
-    before = chain.rowsBetween(Window.unboundedPreceding, -1)
-    kept = [c for c in ends.columns if c.startswith("__") and c not in (US, BLOCK, "__more")]
-    out = ends.select(*keys, BLOCK, *kept)
-    if initial is not None:
-        # A state is a finished block before all others: its sums so far are its mean and variance.
-        fields = {}
-        for i, column in enumerate(inputs):
-            state = F.col(f"__state_{column}")
-            fields.update({f"__t{i}": state["t"], f"__m_in{i}": state["m"], f"__v_in{i}": state["v"]})
-        start = initial.select(*keys, F.lit(-(2**62)).alias(BLOCK), *[v.alias(k) for k, v in fields.items()])
-        out = out.unionByName(start, allowMissingColumns=True)
-    else:
-        for i in range(len(inputs)):
-            empty = F.lit(None).cast("double")
-            out = out.withColumn(f"__m_in{i}", empty).withColumn(f"__v_in{i}", empty)
-    for i, column in enumerate(inputs):
-
-        def c(name):
-            return F.col(f"__{name}{i}")
-
-        def step(name, expr):
-            nonlocal out
-            out = out.withColumn(f"__{name}{i}", expr)
-
-        zero = F.lit(0.0)
-        step("tp", F.last(c("t"), ignorenulls=True).over(before))
-        # Weight of the state before the block after the block's first row; 0 for a key's first block.
-        step("a1", F.coalesce(_exp(c("tp") - c("t1"), tau_us), zero))
-        gained = F.coalesce(_gain(c("t") - c("tp"), tau_us), F.lit(1.0))
-        step("term", F.coalesce(c("m_in"), c("x1") * gained + c("m"), zero))
-        known = c("x1").isNotNull() | c("m_in").isNotNull()
-        step("mo", F.when(known, _decayed_sum(c("term"), f"__t{i}", keys, tau_us)))
-        step("carry_m", F.last(c("mo"), ignorenulls=True).over(before))
-        off = F.coalesce(c("carry_m") - c("x1"), zero)
-        step("carry_c", c("a1") * off)
-        if column in with_std:
-            entry = c("a1") * (F.lit(1.0) - c("a1")) * off * off
-            inside = c("d0") - F.lit(2.0) * c("carry_c") * c("d1") + c("carry_c") * c("carry_c") * c("d2")
-            step("term", F.coalesce(c("v_in"), inside + entry / c("g"), zero))
-            step("vo", F.when(known, _decayed_sum(c("term"), f"__t{i}", keys, tau_us)))
-            step("carry_v0", F.last(c("vo"), ignorenulls=True).over(before))
-            step("carry_v", c("a1") * F.coalesce(c("carry_v0"), zero) + entry)
-    return out
-
-
-def _mean(i: int) -> Column:
-    def c(name):
-        return F.col(f"__{name}{i}")
-
-    inside = c("x1") + c("m") + c("carry_c") / c("g")
-    return F.coalesce(inside, c("carry_m"))
-
-
-def _std(i: int) -> Column:
-    def c(name):
-        return F.col(f"__{name}{i}")
-
-    m = c("carry_c")
-    inside = c("d0") - F.lit(2.0) * m * c("d1") + m * m * c("d2") + c("carry_v") / c("g")
-    first = c("carry_m").isNull() & (c("n") <= 1)
-    var = F.when(first, F.lit(None)).otherwise(F.coalesce(inside, c("carry_v0")))
-    return F.sqrt(F.when(var > 0, var).when(var.isNotNull(), F.lit(0.0)))

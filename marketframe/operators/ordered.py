@@ -1,8 +1,9 @@
 """Row-order operators that do not put one key's rows into one task.
 
 A window over a key alone sends all rows of the key to one task; a hot key then sets the run time of
-the whole job. Here rows are grouped by (key, time block) instead. What a block needs from the rows
-before it travels in one small row per (key, block).
+the whole job. Here the rows of a hot key are grouped by (key, time block) instead, with blocks
+sized from the key's own row count. What a block needs from the rows before it travels in one small
+row per (key, block). Other keys are one block each.
 """
 
 from __future__ import annotations
@@ -19,8 +20,10 @@ from .relational import Names, as_list
 
 US = "__us"
 BLOCK = "__block"
+LENGTH = "__length"
 
-DAY = 86_400_000_000
+# Keys with more rows than this are split into time blocks of about this many rows.
+SPLIT_ROWS = 2_000_000
 
 
 def to_micros(duration: timedelta | int | float) -> int:
@@ -30,23 +33,52 @@ def to_micros(duration: timedelta | int | float) -> int:
     return round(duration * 1_000_000)
 
 
-def fit_block(df: DataFrame, ts: str, rows: int = 2_000_000, longest: int = DAY) -> int:
-    """Block length in microseconds so that a block of all keys together averages ``rows`` rows.
+def hot_keys(df: DataFrame, keys: Names, ts: str, rows: int = SPLIT_ROWS) -> DataFrame:
+    """Keys with more than ``rows`` rows and the block length that cuts them into parts that size.
 
-    One aggregate over one column. Even if every row of a block belongs to the same key, the block
-    is then an ordinary task. ``longest`` bounds the length from above.
+    At most one key in ``rows`` rows of input can be hot, which bounds the result; the counts are
+    combined before the shuffle.
     """
     us = micros(F.col(ts))
-    low, high, n = df.agg(F.min(us), F.max(us), F.count(us)).first()
-    if not n:
-        return longest
-    return max(1, min(longest, (high - low + 1) * rows // n))
+    counts = df.groupBy(*as_list(keys)).agg(
+        F.count(us).alias("__rows"), F.min(us).alias("__low"), F.max(us).alias("__high")
+    )
+    length = F.expr(f"greatest(1, CAST((__high - __low + 1) / (__rows / {rows}D) AS BIGINT))")
+    return counts.filter(F.col("__rows") > rows).select(*as_list(keys), length.alias(LENGTH))
+
 
+def with_blocks(
+    df: DataFrame,
+    keys: Names,
+    ts: str,
+    block: int | None = None,
+    longest: int | None = None,
+    hot: DataFrame | None = None,
+) -> DataFrame:
+    """Add the time in microseconds and the start of the block it falls in (integer arithmetic).
 
-def with_blocks(df: DataFrame, ts: str, block: int) -> DataFrame:
-    """Add the time in microseconds and the start of the block it falls in (integer arithmetic)."""
-    us = F.col(US)
-    return df.withColumn(US, micros(F.col(ts))).withColumn(BLOCK, us - F.pmod(us, F.lit(block)))
+    All keys get blocks of ``block`` microseconds if given; otherwise hot keys get blocks of their
+    own length. ``longest`` bounds every block. The hot keys are broadcast: they are few (see
+    :func:`hot_keys`), and a shuffle by key is what they must not go through.
+    """
+    rows = df.withColumn(US, micros(F.col(ts)))
+    length = f"{block}L" if block else "NULL"
+    if not block:
+        hot = hot if hot is not None else hot_keys(df, keys, ts)
+        rows = join_hot(rows, hot, keys, "left")
+        length = LENGTH
+    if longest:
+        length = f"least({length}, {longest}L)"
+    start = F.expr(f"coalesce({US} - pmod({US}, {length}), 0L)")
+    return rows.withColumn(BLOCK, start)
+
+
+def join_hot(rows: DataFrame, hot: DataFrame, keys: Names, how: str) -> DataFrame:
+    renamed = hot.withColumnsRenamed({k: f"__hot_{k}" for k in as_list(keys)})
+    match = F.lit(True)
+    for k in as_list(keys):
+        match = match & rows[k].eqNullSafe(renamed[f"__hot_{k}"])
+    return rows.join(F.broadcast(renamed), match, how).drop(*[f"__hot_{k}" for k in as_list(keys)])
 
 
 def with_previous(
@@ -56,50 +88,58 @@ def with_previous(
     ts: str,
     seq: Names | None = None,
     block: int | None = None,
+    split_rows: int = SPLIT_ROWS,
 ) -> DataFrame:
     """Add values of the previous row of the same key, in (ts, seq) order; NULL on the first row.
 
-    Each block is given the last row of the key's previous block as a leading extra row, so the one
-    shuffle is by (key, block).
+    Each block of a hot key is given the last row of the key's previous block as a leading extra
+    row, so the one shuffle of the rows is by (key, block). ``block`` forces blocks on all keys.
     """
     keys = as_list(keys)
-    block = block or fit_block(df, ts)
     order = [F.col(US), *[F.col(c) for c in as_list(seq)]]
     columns = df.columns
-    taken = {out: F.col(v) if isinstance(v, str) else v for out, v in values.items()}
-    inner = {out: f"__in_{out}" for out in taken}
-    rows = with_blocks(df.withColumns({inner[out]: v for out, v in taken.items()}), ts, block)
-
+    inner = {out: f"__in_{out}" for out in values}
+    given = {inner[out]: F.col(v) if isinstance(v, str) else v for out, v in values.items()}
+    source = df.withColumns(given)
+    hot = None if block else hot_keys(df, keys, ts, split_rows)
+    rows = with_blocks(source, keys, ts, block, hot=hot).drop(LENGTH).withColumn("__own", F.lit(1))
+
+    # Only keys with several blocks hand anything on.
+    split = source.select(*dict.fromkeys([*keys, ts, *as_list(seq)]), *inner.values())
+    split = with_blocks(split, keys, ts, block, hot=hot)
+    split = split if block else split.filter(F.col(LENGTH).isNotNull())
     last = F.max_by(F.struct(*inner.values()), F.struct(*order)).alias("__last")
-    edges = rows.groupBy(*keys, BLOCK).agg(last)
     following = F.lead(BLOCK).over(Window.partitionBy(*keys).orderBy(BLOCK))
     carried = (
-        edges.withColumn(BLOCK, following)
+        split.groupBy(*keys, BLOCK)
+        .agg(last)
+        .withColumn(BLOCK, following)
         .filter(F.col(BLOCK).isNotNull())
         .select(*keys, BLOCK, "__last.*", F.lit(0).alias("__own"))
     )
-    both = rows.withColumn("__own", F.lit(1)).unionByName(carried, allowMissingColumns=True)
     window = Window.partitionBy(*keys, BLOCK).orderBy("__own", *order)
-    lagged = both.withColumns({f"__out_{out}": F.lag(c).over(window) for out, c in inner.items()})
+    lagged = rows.unionByName(carried, allowMissingColumns=True).withColumns(
+        {f"__out_{out}": F.lag(c).over(window) for out, c in inner.items()}
+    )
     return lagged.filter("__own = 1").select(
-        *[c for c in columns if c not in taken], *[F.col(f"__out_{out}").alias(out) for out in taken]
+        *[c for c in columns if c not in values], *[F.col(f"__out_{out}").alias(out) for out in values]
     )
 
 
-def returns(df: DataFrame, close: str, keys: Names, ts: str, seq: Names | None = None, block=None):
+def returns(df: DataFrame, close: str, keys: Names, ts: str, seq: Names | None = None, **split):
     """Previous close within the key, change and return."""
-    out = with_previous(df, {"Last": close}, keys, ts, seq, block)
+    out = with_previous(df, {"Last": close}, keys, ts, seq, **split)
     change = F.col(close) - F.col("Last")
     return out.withColumn("Chg", change).withColumn("Return", F.try_divide(F.col("Chg"), F.col("Last")))
 
 
 def changed_only(
-    df: DataFrame, columns: Names, keys: Names, ts: str, seq: Names | None = None, block=None
+    df: DataFrame, columns: Names, keys: Names, ts: str, seq: Names | None = None, **split
 ) -> DataFrame:
     """Rows whose named columns differ from the key's previous row, and each key's first row."""
     names = as_list(columns)
     now = F.struct(*names)
-    out = with_previous(df, {"__before": now}, keys, ts, seq, block)
+    out = with_previous(df, {"__before": now}, keys, ts, seq, **split)
     return out.filter(~F.col("__before").eqNullSafe(now)).drop("__before")
 
 

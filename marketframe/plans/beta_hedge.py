@@ -34,11 +34,17 @@ def regress(returns: DataFrame, keys: Names = "Symbol", y="Return", x="Benchmark
 
 
 def positions_with_beta(
-    positions: DataFrame, prices: DataFrame, betas: DataFrame, contract="ContractId", symbol="Symbol"
+    positions: DataFrame,
+    prices: DataFrame,
+    betas: DataFrame,
+    contract: str = "ContractId",
+    symbol: str = "Symbol",
+    validate: bool = True,
 ) -> DataFrame:
-    """Positions with price, value, profit and beta-weighted value."""
-    out = natural_join(positions, prices, contract, "Price")
-    out = natural_join(out, betas, symbol, ["Beta", "R2"])
+    """Positions with price, value, profit and beta-weighted value. ``validate=False`` skips the
+    check that ``prices`` has one row per contract; betas from :func:`regress` need none."""
+    out = natural_join(positions, prices, contract, "Price", validate)
+    out = natural_join(out, betas, symbol, ["Beta", "R2"], validate=False)
     return update(
         out,
         {

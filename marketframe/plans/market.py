@@ -253,9 +253,9 @@ def tick_history(
     return top_by(rows, keys, [F.col(ts).desc(), F.col(seq).desc()], n)
 
 
-def quote_changes(quotes: DataFrame, prices: Names, keys: Names, ts: str, seq: Names, block=None):
+def quote_changes(quotes: DataFrame, prices: Names, keys: Names, ts: str, seq: Names, **split):
     """Quotes whose prices differ from the key's previous quote; size-only changes are skipped."""
-    return changed_only(quotes, prices, keys, ts, seq, block)
+    return changed_only(quotes, prices, keys, ts, seq, **split)
 
 
 def select_generic_ticks(ticks: DataFrame, names: Sequence[str], code: str = "TickCode") -> DataFrame:

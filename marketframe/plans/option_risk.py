@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.normalize import mid
-from ..functions.pricing import RATE, SHOCKS, european_option
+from ..functions.pricing import RATE, SHOCKS, with_option_price
 from ..functions.timefmt import expiry_instant, years_365
 from ..operators.relational import Names, as_list, join, last_by, natural_join, sum_by, update
 
@@ -50,21 +50,16 @@ def scenarios(
     asof: datetime,
     shocks: Sequence[float] = SHOCKS,
     rate: float = RATE,
+    validate: bool = True,
 ) -> DataFrame:
     """Positions priced at the underlying's price and at every shock of it.
 
     Joins run before the shocks fan rows out, and pricing is a column expression, so the fan-out
-    never leaves its task. ``asof`` is the valuation time.
+    never leaves its task. ``asof`` is the valuation time. ``validate=False`` skips the check that
+    ``vols`` has one row per contract, as :func:`last_vols` gives.
     """
-    out = natural_join(positions, vols, "ContractId", "Vol")
+    out = natural_join(positions, vols, "ContractId", "Vol", validate)
     out = join(out, underlying, "Symbol", "UPrice=MidPrice")
-
-    def theo(price):
-        model = european_option(
-            price, F.col("Strike"), F.col("T"), F.col("Rate"), F.col("Vol"), F.col("IsCall")
-        )
-        return F.when(F.col("IsStock"), price).otherwise(model)
-
     out = update(
         out,
         {
@@ -73,17 +68,41 @@ def scenarios(
             "IsCall": F.col("Right").eqNullSafe("C"),
             "IsStock": F.col("SecType").eqNullSafe("STK"),
             "Rate": F.lit(rate),
-            "TheoBase": theo(F.col("UPrice")),
-            "Scenario": F.explode(F.array(*[F.lit(float(s)) for s in shocks])),
-            "UPriceScenario": (F.lit(1.0) + F.col("Scenario")) * F.col("UPrice"),
-            "TheoScenario": theo(F.col("UPriceScenario")),
-            "TheoChange": F.col("TheoScenario") - F.col("TheoBase"),
         },
     )
-    return out
+    out = _theoretical(out, "TheoBase", "UPrice")
+    out = out.withColumn("Scenario", F.explode(F.array(*[F.lit(float(s)) for s in shocks])))
+    out = out.withColumn("UPriceScenario", (F.lit(1.0) + F.col("Scenario")) * F.col("UPrice"))
+    out = _theoretical(out, "TheoScenario", "UPriceScenario")
+    return out.withColumn("TheoChange", F.col("TheoScenario") - F.col("TheoBase"))
+
+
+def _theoretical(df: DataFrame, name: str, price: str) -> DataFrame:
+    """A stock is worth its price, an option what the model says."""
+    priced = with_option_price(df, name, price, "Strike", "T", "Rate", "Vol", "IsCall")
+    return priced.withColumn(name, F.when(F.col("IsStock"), F.col(price)).otherwise(F.col(name)))
 
 
 def scenario_risk(priced: DataFrame, keys: Names = ("Account", "Scenario")) -> DataFrame:
     """Change in value per account and shock."""
     risk = F.col("Position") * F.col("Multiplier") * F.col("TheoChange")
     return sum_by(priced.select(*as_list(keys), risk.alias("Risk")), keys)
+
+
+def account_risk(
+    positions: DataFrame,
+    vols: DataFrame,
+    underlying: DataFrame,
+    asof: datetime,
+    contract: Names = CONTRACT,
+    keys: Names = ("Account", "Scenario"),
+    **model,
+) -> DataFrame:
+    """Scenario risk straight from positions.
+
+    Risk is linear in the position, so positions are first summed per account and contract: each
+    contract is then priced once per account, however many position rows there are.
+    """
+    by = [k for k in as_list(keys) if k != "Scenario"]
+    held = sum_by(positions.select(*by, *as_list(contract), "Position"), [*by, *as_list(contract)])
+    return scenario_risk(scenarios(held, vols, underlying, asof, **model), keys)

@@ -169,7 +169,7 @@ def _positions(t):
     prices = last_by(t.events, "user_id", ["ts", "event_id"]).select("user_id", F.col("value").alias("Price"))
     held = t.customer.selectExpr("c_custkey AS ContractId", "c_custkey % 150 AS user_id", "c_acctbal AS Position", "100.0D AS AvgCost")
     betas = beta.regress(_returns(t), "user_id")
-    return beta.positions_with_beta(held, prices, betas, "user_id", "user_id"), prices
+    return beta.positions_with_beta(held, prices, betas, "user_id", "user_id", validate=False), prices
 
 
 @query(
@@ -227,6 +227,7 @@ _CONTRACT = """
     p_retailprice AS Strike, CASE WHEN p_partkey % 2 = 0 THEN 'C' ELSE 'P' END AS "Right",
     CASE WHEN p_size % 5 = 0 THEN 1.0 ELSE 100.0 END AS Multiplier
 """
+_CONTRACT_COLUMNS = ("ContractId", "SecType", "Symbol", "Expiry", "Strike", "Right", "Multiplier")
 ASOF = datetime(2024, 6, 28, 12)
 
 
@@ -286,7 +287,7 @@ def _split(columns: str) -> list[str]:
     return out
 
 
-def _priced(t, positions):
+def _market(t):
     vols = risk.last_vols(
         t.events.selectExpr("event_id % 2000 AS ContractId", "event_type AS TickType", "0.1D + value / 1000 AS Value", "ts", "event_id"),
         ["ts", "event_id"],
@@ -296,8 +297,7 @@ def _priced(t, positions):
         "user_id % 25 AS ContractId", "'STK' AS SecType", "'Brand#' || (1 + user_id % 25) AS Symbol",
         "899 + value AS BidPrice", "901 + value AS AskPrice", "ts", "event_id",
     )
-    underlying = risk.last_underlying_prices(quotes, ["ts", "event_id"])
-    return risk.scenarios(positions, vols, underlying, ASOF)
+    return vols, risk.last_underlying_prices(quotes, ["ts", "event_id"])
 
 
 @query(
@@ -307,7 +307,7 @@ def _priced(t, positions):
                round(TheoScenario, 6) AS TheoScenario, round(TheoScenario - TheoBase, 6) AS TheoChange FROM priced""",
 )
 def option_scenarios(t):
-    out = _priced(t, _contracts(t)).select(
+    out = risk.scenarios(_contracts(t), *_market(t), ASOF, validate=False).select(
         "ContractId", "Scenario", "UPrice", "T", "TheoBase", "TheoScenario", "TheoChange"
     )
     return rounded(out, "UPrice", "T", "TheoBase", "TheoScenario", "TheoChange")
@@ -327,8 +327,7 @@ def _held(t):
         SELECT ContractId, SecType, Symbol, Expiry, Strike, "Right", Multiplier, sum(Position) AS Position FROM pos GROUP BY ALL""",
 )
 def net_positions(t):
-    keys = ["ContractId", "SecType", "Symbol", "Expiry", "Strike", "Right", "Multiplier"]
-    return risk.net_positions(_held(t), keys)
+    return risk.net_positions(_held(t), _CONTRACT_COLUMNS)
 
 
 @query(
@@ -338,7 +337,8 @@ def net_positions(t):
         FROM priced GROUP BY 1, 2""",
 )
 def scenario_risk(t):
-    return risk.scenario_risk(_priced(t, _held(t))).withColumn("Risk", F.round("Risk", 2))
+    out = risk.account_risk(_held(t), *_market(t), ASOF, _CONTRACT_COLUMNS, validate=False)
+    return out.withColumn("Risk", F.round("Risk", 2))
 
 
 @query(

@@ -24,6 +24,7 @@ def builder(app: str = "marketframe") -> SparkSession.Builder:
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.python.unix.domain.socket.enabled", "true")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
 
 
