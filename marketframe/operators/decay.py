@@ -13,7 +13,7 @@ states from block to block and leads its block as an extra row, so the rows are
 window spans all rows of a hot key, no exponent exceeds ``SPAN``, and all terms of a sum have the
 weight they have in the result.
 
-NULL inputs leave the state as it is. A key's first standard deviation is NULL.
+NULL inputs leave the state as it is. The deviation of a key's first value is NULL.
 """
 
 from __future__ import annotations
@@ -100,7 +100,7 @@ _CHAIN_STD = (
 _CARRIED = ({n: f"first({{{n}}}, true) {{running}}" for n in ("c", "mb", "v1", "vb")},)
 _MEAN = "coalesce({x1} + {m} + coalesce({c}, 0D) / {g}, {mb})"
 _VAR = (
-    "IF({mb} IS NULL AND {n} <= 1, NULL, "
+    "IF({mb} IS NULL AND {n} = 1 AND {x} IS NOT NULL, NULL, "
     "coalesce({d0} + coalesce({c} * {c} * {d2} - 2 * {c} * {d1}, 0D) + coalesce({v1}, 0D) / {g}, {vb}))"
 )
 _STD = f"sqrt(IF({_VAR} > 0, {_VAR}, IF({_VAR} IS NULL, NULL, 0D)))"
@@ -152,7 +152,7 @@ def decay_stats(
     return out.filter(f"{OWN} = 1").selectExpr(
         *[f"`{c}`" for c in columns],
         *[f"{_MEAN.format(**_terms(inputs.index(c)))} AS `{out}`" for out, c in mean.items()],
-        *[f"{_STD.format(**_terms(inputs.index(c)))} AS `{out}`" for out, c in std.items()],
+        *[f"{_STD.format(**_terms(inputs.index(c), c))} AS `{out}`" for out, c in std.items()],
     )
 
 
