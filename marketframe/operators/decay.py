@@ -5,7 +5,8 @@ Per key in (ts, seq) order, with ``a = exp(-dt / tau)`` (Eckner 2014; Mueller 19
     m_1 = x_1    m_n = a * m_(n-1) + (1 - a) * x_n
     v_1 = 0      v_n = a * (v_(n-1) + (1 - a) * (x_n - m_(n-1))**2)
 
-Rows are grouped by (key, time block). Inside a block the recurrences are run relative to the
+Without a hot key both are running sums of decayed terms per key. Otherwise rows are grouped by
+(key, time block). Inside a block the recurrences are run relative to the
 block's first row with plain window sums, which gives both values as polynomials in the state after
 that first row: ``m_n = x_1 + M + c / g`` and ``v_n = D0 - 2 c D1 + c**2 D2 + v_1 / g`` where
 ``c = m_1 - x_1`` and ``g = exp((t_n - t_1) / tau)``. One row per (key, block) then carries the
@@ -25,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.timefmt import micros
-from .ordered import BLOCK, LENGTH, SPLIT_ROWS, US, hot_keys, to_micros, with_blocks
+from .ordered import BLOCK, LENGTH, SPLIT_ROWS, US, plan_split, to_micros, with_blocks
 from .relational import Names, as_list
 
 # 1 for rows of the table, 0 for the row that leads a block.
@@ -98,6 +99,22 @@ _CHAIN_STD = (
 )
 # What the leading row brought, on every row of its block.
 _CARRIED = ({n: f"first({{{n}}}, true) {{running}}" for n in ("c", "mb", "v1", "vb")},)
+# The same per whole key: a value's share of the mean, and its squared distance from the mean before.
+_WHOLE = (
+    {
+        "t": "last(IF({x} IS NULL, NULL, {us}), true) {running}",
+        "tp": "last(IF({x} IS NULL, NULL, {us}), true) {earlier}",
+    },
+    {"w": "IF({x} IS NULL, 0D, coalesce(-expm1(({tp} - {t}) / {tau}), 1D))"},
+    {"term": "{w} * coalesce({x}, 0D)"},
+    {"mo": f"IF({{t}} IS NULL, NULL, {_DECAYED})"},
+)
+_WHOLE_STD = (
+    {"e": "coalesce({x} - lag({mo}) {ordered}, 0D)"},
+    {"term": "coalesce(exp(({tp} - {t}) / {tau}), 0D) * {w} * {e} * {e}"},
+    {"vo": f"IF({{t}} IS NULL, NULL, {_DECAYED})"},
+)
+_WHOLE_RESULT = {"mean": "{mo}", "std": "IF({tp} IS NULL AND {x} IS NOT NULL, NULL, sqrt({vo}))"}
 _MEAN = "coalesce({x1} + {m} + coalesce({c}, 0D) / {g}, {mb})"
 _VAR = (
     "IF({mb} IS NULL AND {n} = 1 AND {x} IS NOT NULL, NULL, "
@@ -131,7 +148,9 @@ def decay_stats(
     tau_us = to_micros(tau)
     columns = df.columns
     inputs = list(dict.fromkeys([*mean.values(), *std.values()]))
-    hot = None if block else hot_keys(df, keys, ts, split_rows)
+    split = None if block else plan_split(df, keys, ts, split_rows, SPAN * tau_us)
+    if not block and initial is None and split is None:
+        return _whole(df, ts, keys, seq, tau_us, mean, std)
 
     def local(frame: DataFrame) -> DataFrame:
         for i, column in enumerate(inputs):
@@ -140,7 +159,7 @@ def decay_stats(
         return frame
 
     def blocked(frame: DataFrame) -> DataFrame:
-        frame = with_blocks(frame, keys, ts, block, SPAN * tau_us, hot).drop(LENGTH)
+        frame = with_blocks(frame, keys, ts, block, SPAN * tau_us, split).drop(LENGTH)
         return frame.withColumn(OWN, F.lit(1))
 
     narrow = local(blocked(df.select(*dict.fromkeys([*keys, ts, *seq, *inputs]))))
@@ -156,6 +175,22 @@ def decay_stats(
     )
 
 
+def _whole(df, ts, keys, seq, tau_us: int, mean, std) -> DataFrame:
+    """Keys that fit a task each: every window is over one shuffle by key."""
+    columns = df.columns
+    inputs = list(dict.fromkeys([*mean.values(), *std.values()]))
+    out = df.withColumn(US, micros(F.col(ts)))
+    for i, column in enumerate(inputs):
+        stages = _WHOLE + (_WHOLE_STD if column in std.values() else ())
+        out = _add(out, stages, _terms(i, column, keys, seq, tau_us, whole=True))
+    results = [
+        f"{_WHOLE_RESULT[kind].format(**_terms(inputs.index(c), c))} AS `{name}`"
+        for kind, wanted in (("mean", mean), ("std", std))
+        for name, c in wanted.items()
+    ]
+    return out.selectExpr(*[f"`{c}`" for c in columns], *results)
+
+
 def ema_time(df, ts, tau, columns: Mapping[str, str], by: Names, seq=None, **split) -> DataFrame:
     """Time-decayed mean."""
     return decay_stats(df, ts, tau, by, mean=columns, seq=seq, **split)
@@ -174,13 +209,14 @@ def _add(frame: DataFrame, stages, terms: Mapping[str, str]) -> DataFrame:
     return frame
 
 
-def _terms(i: int, column: str = "", keys=(), seq=(), tau_us: int = 1) -> dict[str, str]:
+def _terms(i: int, column: str = "", keys=(), seq=(), tau_us: int = 1, whole: bool = False) -> dict[str, str]:
     """What the formulas' names stand for: this input's columns, windows and constants."""
     stretch = SPAN * tau_us
     by = ", ".join(f"`{k}`" for k in keys)
-    inside = f"PARTITION BY {by}, {BLOCK} ORDER BY {', '.join([OWN, US, *[f'`{c}`' for c in seq]])}"
+    order = ", ".join([US, *[f"`{c}`" for c in seq]])
+    inside = f"PARTITION BY {by} ORDER BY {order}" if whole else f"PARTITION BY {by}, {BLOCK} ORDER BY {OWN}, {order}"
     grid = "OVER (PARTITION BY {by}, __t{i} - pmod(__t{i} + {shift}L, {stretch}L) ORDER BY {block} ROWS UNBOUNDED PRECEDING)"
-    grids = [grid.format(by=by, i=i, shift=s, stretch=stretch, block=BLOCK) for s in (0, stretch // 2)]
+    grids = [grid.format(by=by, i=i, shift=s, stretch=stretch, block=order if whole else BLOCK) for s in (0, stretch // 2)]
     return {
         **{name: f"__{name}{i}" for name in _NAMES},
         "x": f"CAST(`{column}` AS DOUBLE)",

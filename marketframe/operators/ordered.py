@@ -3,16 +3,18 @@
 A window over a key alone sends all rows of the key to one task; a hot key then sets the run time of
 the whole job. Here the rows of a hot key are grouped by (key, time block) instead, with blocks
 sized from the key's own row count. What a block needs from the rows before it travels in one small
-row per (key, block). Other keys are one block each.
+row per (key, block). Where no key is hot, plain windows are used.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping
+from dataclasses import dataclass
 from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql import Window
 
 from ..functions.timefmt import micros
@@ -22,7 +24,7 @@ US = "__us"
 BLOCK = "__block"
 LENGTH = "__length"
 
-# Keys with more rows than this are split into time blocks of about this many rows.
+# Groups with more rows than this are split into blocks of about this many rows.
 SPLIT_ROWS = 2_000_000
 
 
@@ -33,18 +35,64 @@ def to_micros(duration: timedelta | int | float) -> int:
     return round(duration * 1_000_000)
 
 
-def hot_keys(df: DataFrame, keys: Names, ts: str, rows: int = SPLIT_ROWS) -> DataFrame:
-    """Keys with more than ``rows`` rows and the block length that cuts them into parts that size.
+def position(df: DataFrame, column: str) -> Column:
+    """A time in microseconds, or a whole number as it is."""
+    kind = df.schema[column].dataType
+    return F.col(column).cast("long") if isinstance(kind, T.IntegralType) else micros(F.col(column))
 
-    At most one key in ``rows`` rows of input can be hot, which bounds the result; the counts are
-    combined before the shuffle.
+
+@dataclass(frozen=True)
+class Split:
+    """Block lengths for the groups that are too large for one task.
+
+    The first level holds the hot keys, with a length that cuts each into equal stretches of time;
+    every further level holds the stretches that are still too large (bursts), with a finer length
+    of their own. A level has at most (rows of the table) / (rows per block) rows, so it is
+    broadcast. Only rows of one key at the same microsecond stay together whatever their number.
     """
-    us = micros(F.col(ts))
-    counts = df.groupBy(*as_list(keys)).agg(
-        F.count(us).alias("__rows"), F.min(us).alias("__low"), F.max(us).alias("__high")
-    )
-    length = F.expr(f"greatest(1, CAST((__high - __low + 1) / (__rows / {rows}D) AS BIGINT))")
-    return counts.filter(F.col("__rows") > rows).select(*as_list(keys), length.alias(LENGTH))
+
+    levels: tuple[DataFrame, ...]
+
+
+def _length(groups: DataFrame, rows: int, parts: int) -> DataFrame:
+    """Groups of more than ``rows`` rows, with the length that cuts them into at least ``parts``."""
+    counts = groups.agg(F.count(US).alias("__rows"), F.min(US).alias("__low"), F.max(US).alias("__high"))
+    large = counts.filter((F.col("__rows") > rows) & (F.col("__high") > F.col("__low")))
+    length = f"greatest(1, CAST((__high - __low + 1) / greatest({parts}, __rows / {rows}D) AS BIGINT))"
+    return large.withColumn(LENGTH, F.expr(length)).drop("__rows", "__low", "__high")
+
+
+def plan_split(
+    df: DataFrame, keys: Names, ts: str, rows: int = SPLIT_ROWS, longest: int | None = None
+) -> Split | None:
+    """How to split hot keys, or None when every key fits a task.
+
+    Row counts per key are measured now, in one aggregate that is combined before the shuffle: most
+    tables have no hot key and then need no blocks, no second pass and no joins. Only rows of hot
+    groups are read again for the finer levels; each level is a thousandth of the one before.
+    """
+    keys = as_list(keys)
+    cut = df.select(*keys, position(df, ts).alias(US))
+    level = _length(cut.groupBy(*keys), rows, 1)
+    levels: list[DataFrame] = []
+    while not level.isEmpty():
+        cut = _refine(cut, level, keys, longest, "inner", first=not levels)
+        levels.append(level)
+        level = _length(cut.groupBy(*keys, BLOCK), 2 * rows, 1000)
+    return Split(tuple(levels)) if levels else None
+
+
+def _refine(rows: DataFrame, level: DataFrame, keys, longest, how: str, first: bool) -> DataFrame:
+    if first:
+        return _start(join_small(rows, level, keys, how), LENGTH, longest)
+    finer = level.withColumnRenamed(LENGTH, "__finer")
+    start = F.expr(f"greatest({BLOCK}, {US} - pmod({US}, __finer))")
+    return join_small(rows, finer, [*keys, BLOCK], how).withColumn(BLOCK, start).drop("__finer")
+
+
+def _start(rows: DataFrame, length: str, longest: int | None) -> DataFrame:
+    length = f"least({length}, {longest}L)" if longest else length
+    return rows.withColumn(BLOCK, F.expr(f"coalesce({US} - pmod({US}, {length}), 0L)"))
 
 
 def with_blocks(
@@ -53,32 +101,30 @@ def with_blocks(
     ts: str,
     block: int | None = None,
     longest: int | None = None,
-    hot: DataFrame | None = None,
+    split: Split | None = None,
 ) -> DataFrame:
     """Add the time in microseconds and the start of the block it falls in (integer arithmetic).
 
-    All keys get blocks of ``block`` microseconds if given; otherwise hot keys get blocks of their
-    own length. ``longest`` bounds every block. The hot keys are broadcast: they are few (see
-    :func:`hot_keys`), and a shuffle by key is what they must not go through.
+    All keys get blocks of ``block`` microseconds if given; otherwise hot keys get blocks as planned
+    in ``split`` and carry a ``LENGTH``. ``longest`` bounds every block. No row is shuffled here.
     """
-    rows = df.withColumn(US, micros(F.col(ts)))
-    length = f"{block}L" if block else "NULL"
-    if not block:
-        hot = hot if hot is not None else hot_keys(df, keys, ts)
-        rows = join_hot(rows, hot, keys, "left")
-        length = LENGTH
-    if longest:
-        length = f"least({length}, {longest}L)"
-    start = F.expr(f"coalesce({US} - pmod({US}, {length}), 0L)")
-    return rows.withColumn(BLOCK, start)
-
-
-def join_hot(rows: DataFrame, hot: DataFrame, keys: Names, how: str) -> DataFrame:
-    renamed = hot.withColumnsRenamed({k: f"__hot_{k}" for k in as_list(keys)})
+    keys = as_list(keys)
+    rows = df.withColumn(US, position(df, ts))
+    if block or split is None:
+        fixed = rows.withColumn(LENGTH, F.lit(block).cast("long"))
+        return _start(fixed, LENGTH, longest)
+    for i, level in enumerate(split.levels):
+        rows = _refine(rows, level, keys, longest, "left", first=i == 0)
+    return rows
+
+
+def join_small(rows: DataFrame, small: DataFrame, keys: Names, how: str) -> DataFrame:
+    """Join with a table of bounded size by broadcast; NULL keys match."""
+    renamed = small.withColumnsRenamed({k: f"__small_{k}" for k in as_list(keys)})
     match = F.lit(True)
     for k in as_list(keys):
-        match = match & rows[k].eqNullSafe(renamed[f"__hot_{k}"])
-    return rows.join(F.broadcast(renamed), match, how).drop(*[f"__hot_{k}" for k in as_list(keys)])
+        match = match & rows[k].eqNullSafe(renamed[f"__small_{k}"])
+    return rows.join(F.broadcast(renamed), match, how).drop(*[f"__small_{k}" for k in as_list(keys)])
 
 
 def with_previous(
@@ -92,26 +138,30 @@ def with_previous(
 ) -> DataFrame:
     """Add values of the previous row of the same key, in (ts, seq) order; NULL on the first row.
 
-    Each block of a hot key is given the last row of the key's previous block as a leading extra
-    row, so the one shuffle of the rows is by (key, block). ``block`` forces blocks on all keys.
+    Without a hot key this is one window. Otherwise each block of a hot key is given the last row of
+    the key's previous block as a leading extra row, so the one shuffle of the rows is by (key,
+    block). ``block`` forces blocks on all keys.
     """
-    keys = as_list(keys)
-    order = [F.col(US), *[F.col(c) for c in as_list(seq)]]
+    keys, seq = as_list(keys), as_list(seq)
     columns = df.columns
     inner = {out: f"__in_{out}" for out in values}
     given = {inner[out]: F.col(v) if isinstance(v, str) else v for out, v in values.items()}
     source = df.withColumns(given)
-    hot = None if block else hot_keys(df, keys, ts, split_rows)
-    rows = with_blocks(source, keys, ts, block, hot=hot).drop(LENGTH).withColumn("__own", F.lit(1))
-
+    kept = [c for c in columns if c not in values]
+    split = None if block else plan_split(df, keys, ts, split_rows)
+    if not block and split is None:
+        window = Window.partitionBy(*keys).orderBy(ts, *seq)
+        return source.select(*kept, *[F.lag(c).over(window).alias(out) for out, c in inner.items()])
+
+    order = [F.col(US), *[F.col(c) for c in seq]]
+    rows = with_blocks(source, keys, ts, block, split=split).drop(LENGTH).withColumn("__own", F.lit(1))
     # Only keys with several blocks hand anything on.
-    split = source.select(*dict.fromkeys([*keys, ts, *as_list(seq)]), *inner.values())
-    split = with_blocks(split, keys, ts, block, hot=hot)
-    split = split if block else split.filter(F.col(LENGTH).isNotNull())
+    cut = source.select(*dict.fromkeys([*keys, ts, *seq]), *inner.values())
+    cut = with_blocks(cut, keys, ts, block, split=split).filter(F.col(LENGTH).isNotNull())
     last = F.max_by(F.struct(*inner.values()), F.struct(*order)).alias("__last")
     following = F.lead(BLOCK).over(Window.partitionBy(*keys).orderBy(BLOCK))
     carried = (
-        split.groupBy(*keys, BLOCK)
+        cut.groupBy(*keys, BLOCK)
         .agg(last)
         .withColumn(BLOCK, following)
         .filter(F.col(BLOCK).isNotNull())
@@ -121,9 +171,7 @@ def with_previous(
     lagged = rows.unionByName(carried, allowMissingColumns=True).withColumns(
         {f"__out_{out}": F.lag(c).over(window) for out, c in inner.items()}
     )
-    return lagged.filter("__own = 1").select(
-        *[c for c in columns if c not in values], *[F.col(f"__out_{out}").alias(out) for out in values]
-    )
+    return lagged.filter("__own = 1").select(*kept, *[F.col(f"__out_{out}").alias(out) for out in values])
 
 
 def returns(df: DataFrame, close: str, keys: Names, ts: str, seq: Names | None = None, **split):
@@ -143,17 +191,30 @@ def changed_only(
     return out.filter(~F.col("__before").eqNullSafe(now)).drop("__before")
 
 
-def with_row_ids(df: DataFrame, order: Names, block: Column, start: int = 1, name: str = "RequestId"):
-    """Dense ids in the given order. ``block`` is a coarse, order-preserving bucket of the order
-    columns: rows are numbered inside their bucket and shifted by the count of all earlier rows.
+def with_row_ids(
+    df: DataFrame,
+    order: Names,
+    bucket: Column,
+    spread: str,
+    start: int = 1,
+    name: str = "RequestId",
+    split_rows: int = SPLIT_ROWS,
+) -> DataFrame:
+    """Dense ids in the given order.
 
-    The running count over buckets is the only single-task step; it sees one row per bucket.
+    ``bucket`` is a coarse, order-preserving value of the first order column; ``spread`` is the
+    column (a time or whole number) that leads the order inside a bucket, along which large buckets
+    are split. Rows are numbered inside their part and shifted by the count of all earlier rows. The
+    running count over parts is the only single-task step; it sees one row per part.
     """
-    rows = df.withColumn(BLOCK, block)
-    counts = rows.groupBy(BLOCK).agg(F.count(F.lit(1)).alias("__n"))
-    earlier = Window.partitionBy(F.lit(0)).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(BLOCK, F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__offset"))
-    number = F.row_number().over(Window.partitionBy(BLOCK).orderBy(*as_list(order)))
-    numbered = rows.withColumn("__number", number).join(offsets, BLOCK)
+    rows = df.withColumn("__bucket", bucket)
+    split = plan_split(rows, "__bucket", spread, split_rows)
+    rows = with_blocks(rows, "__bucket", spread, split=split).drop(US, LENGTH)
+    part = ["__bucket", BLOCK]
+    counts = rows.groupBy(*part).agg(F.count(F.lit(1)).alias("__n"))
+    earlier = Window.partitionBy(F.lit(0)).orderBy(*part).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(*part, F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__offset"))
+    number = F.row_number().over(Window.partitionBy(*part).orderBy(*as_list(order)))
+    numbered = rows.withColumn("__number", number).join(offsets, part)
     ids = (F.col("__offset") + F.col("__number") + F.lit(start - 1)).cast("long")
-    return numbered.withColumn(name, ids).drop(BLOCK, "__number", "__offset")
+    return numbered.withColumn(name, ids).drop(*part, "__number", "__offset")

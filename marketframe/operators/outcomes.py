@@ -104,12 +104,14 @@ def fan_out_requests(
     request_type: str,
     notes: Mapping[str, Column],
     order: Names,
-    block: Column,
+    bucket: Column,
+    spread: str,
     first_id: int = 1,
 ) -> DataFrame:
-    """One request per contract detail of each call, numbered in call order, with its JSON note."""
-    spread = calls.select("*", F.posexplode(details).alias("DetailIndex", "Detail"))
-    numbered = with_row_ids(spread, [*as_list(order), "DetailIndex"], block, first_id)
+    """One request per contract detail of each call, numbered in call order, with its JSON note.
+    ``bucket`` and ``spread`` say how the calls are split for numbering: see :func:`with_row_ids`."""
+    rows = calls.select("*", F.posexplode(details).alias("DetailIndex", "Detail"))
+    numbered = with_row_ids(rows, [*as_list(order), "DetailIndex"], bucket, spread, first_id)
     return numbered.withColumn("RequestType", F.lit(request_type)).withColumn("Note", note_json(notes))
 
 

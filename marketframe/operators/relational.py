@@ -12,6 +12,8 @@ from pyspark.sql import Window
 
 Names = str | Sequence[str]
 
+PARTS = 256
+
 
 def as_list(names: Names | None) -> list[str]:
     if names is None:
@@ -159,9 +161,27 @@ def first_by(df: DataFrame, keys: Names, order: Names) -> DataFrame:
 
 
 def top_by(df: DataFrame, keys: Names, order: Sequence[Column], n: int) -> DataFrame:
-    """First ``n`` rows per key in the given order, limited before the shuffle as well."""
-    window = Window.partitionBy(*as_list(keys)).orderBy(*order)
-    return df.withColumn("__rank", F.row_number().over(window)).filter(F.col("__rank") <= n).drop("__rank")
+    """First ``n`` rows per key in the given order, limited before the shuffle as well.
+
+    Spark limits window groups early only up to a threshold; beyond it the rows of a key are cut
+    down in ``PARTS`` random parts first, so a hot key still does not reach one task whole.
+    """
+    keys = as_list(keys)
+
+    def limited(rows: DataFrame, by: Sequence[str]) -> DataFrame:
+        window = Window.partitionBy(*by).orderBy(*order)
+        ranked = rows.withColumn("__rank", F.row_number().over(window))
+        return ranked.filter(F.col("__rank") <= n).drop("__rank")
+
+    if n > int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000")):
+        parts = df.withColumn("__part", F.pmod(F.xxhash64(*hashable(df)), F.lit(PARTS)))
+        df = limited(parts, [*keys, "__part"]).drop("__part")
+    return limited(df, keys)
+
+
+def hashable(df: DataFrame) -> list[str]:
+    """Columns that can be hashed."""
+    return [f.name for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
 
 
 def last_by_agg(df: DataFrame, keys: Names, order: Names) -> DataFrame:

@@ -154,8 +154,8 @@ def keys_to_request(t):
 def request_fanout(t):
     calls = t.orders.withColumn("details", F.array("o_orderstatus", "o_orderpriority"))
     notes = {"bar_size": F.lit("1 day"), "end": F.col("o_orderpriority")}
-    month = F.date_trunc("month", "o_orderdate")
-    rows = out.fan_out_requests(calls, "details", "HistoricalData", notes, ["o_orderdate", "o_orderkey"], month)
+    order = ["o_orderdate", "o_orderkey"]
+    rows = out.fan_out_requests(calls, "details", "HistoricalData", notes, order, F.col("o_orderdate"), "o_orderkey")
     return rows.select("RequestId", "o_orderkey", "DetailIndex", "Detail", "RequestType", "Note")
 
 
@@ -164,8 +164,8 @@ def request_fanout(t):
     "SELECT event_id, CAST(row_number() OVER (ORDER BY ts, event_id) AS BIGINT) AS RequestId FROM events",
 )
 def row_ids(t):
-    day = F.date_trunc("hour", "ts")
-    return with_row_ids(t.events, ["ts", "event_id"], day).select("event_id", "RequestId")
+    hour = F.date_trunc("hour", "ts")
+    return with_row_ids(t.events, ["ts", "event_id"], hour, "ts").select("event_id", "RequestId")
 
 
 @query(

@@ -143,7 +143,8 @@ def first_seen(stream: DataFrame, keys: Names, ts: str | None = None, watermark:
     """First row per key. With a watermark, keys are remembered only that long."""
     if watermark is None:
         return stream.dropDuplicates(as_list(keys))
-    return stream.withWatermark(ts, watermark).dropDuplicatesWithinWatermark(as_list(keys))
+    timed = stream.withColumn(ts, F.col(ts).cast("timestamp"))
+    return timed.withWatermark(ts, watermark).dropDuplicatesWithinWatermark(as_list(keys))
 
 
 def bars_stream(

@@ -74,7 +74,7 @@ def test_keys_to_request(spark, values):
 
 def test_fan_out(spark, values):
     calls = spark.createDataFrame([(2, ["c"]), (1, ["a", "b"]), (3, [])], "n int, details array<string>")
-    got = out.fan_out_requests(calls, "details", "MarketData", {"snapshot": F.lit(True)}, "n", F.col("n"), first_id=10)
+    got = out.fan_out_requests(calls, "details", "MarketData", {"snapshot": F.lit(True)}, "n", F.col("n"), "n", first_id=10)
     assert values(got, "RequestId", "Detail", "Note") == [
         (10, "a", '{"snapshot":"true"}'),
         (11, "b", '{"snapshot":"true"}'),

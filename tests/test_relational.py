@@ -110,3 +110,10 @@ def test_new_keys(spark, values):
     seen = spark.createDataFrame([("26",)], "rule string")
     rules = spark.sql("SELECT explode(split('26,26,32', ',')) AS rule")
     assert values(rel.new_keys_only(rules, seen, "rule")) == [("32",)]
+
+
+def test_top_rows_beyond_the_early_limit(spark):
+    df = spark.range(5000).selectExpr("id % 2 AS k", "id AS t")
+    for n in (3, 1500):
+        got = rel.top_by(df, "k", [F.col("t").desc()], n)
+        assert sorted(r.t for r in got.collect()) == list(range(5000 - 2 * n, 5000))

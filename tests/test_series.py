@@ -131,12 +131,37 @@ def test_previous_row(spark, split):
 
 def test_hot_key_is_split(spark):
     df = spark.range(1000).selectExpr("IF(id < 900, 'hot', concat('k', id)) AS k", "timestamp_seconds(id) AS ts")
-    hot = ordered.hot_keys(df, "k", "ts", 100)
-    assert [r.k for r in hot.collect()] == ["hot"]
-    sizes = ordered.with_blocks(df, "k", "ts", hot=hot).groupBy("k", ordered.BLOCK).count()
+    assert ordered.plan_split(df, "k", "ts", 1000) is None
+    split = ordered.plan_split(df, "k", "ts", 100)
+    assert [r.k for r in split.levels[0].collect()] == ["hot"] and len(split.levels) == 1
+    sizes = ordered.with_blocks(df, "k", "ts", split=split).groupBy("k", ordered.BLOCK).count()
     assert sizes.agg(F.max("count")).first()[0] <= 101 and sizes.filter("k = 'hot'").count() >= 9
 
 
+def test_burst_of_a_hot_key_is_split_again(spark):
+    # Most rows fall into one second of a day.
+    at = "timestamp_micros(IF(id < 900, id * 1000, (id - 900) * 864000000))"
+    df = spark.range(1000).selectExpr("'hot' AS k", "id", f"{at} AS ts", "CAST(id AS DOUBLE) AS x")
+    split = ordered.plan_split(df, "k", "ts", 100)
+    assert len(split.levels) == 3
+    sizes = ordered.with_blocks(df, "k", "ts", split=split).groupBy(ordered.BLOCK).count()
+    assert sizes.agg(F.max("count")).first()[0] <= 201
+    got = ordered.with_previous(df, {"p": "x"}, "k", "ts", "id", split_rows=100)
+    plain = ordered.with_previous(df, {"p": "x"}, "k", "ts", "id")
+    assert got.exceptAll(plain.select(*got.columns)).isEmpty()
+    split = decay.ema_time(df, "ts", 60, {"m": "x"}, "k", "id", split_rows=100)
+    whole = decay.ema_time(df, "ts", 60, {"w": "x"}, "k", "id").select("id", "w")
+    assert split.join(whole, "id").agg(F.max(F.abs(F.col("m") - F.col("w")))).first()[0] < 1e-8
+
+
+def test_no_hot_key_needs_one_shuffle(spark, tmp_path):
+    spark.range(100).selectExpr("id % 7 AS k", "timestamp_seconds(id) AS ts", "CAST(id AS DOUBLE) AS x").write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    for out in (ordered.with_previous(df, {"p": "x"}, "k", "ts"), decay.decay_stats(df, "ts", 60, "k", MEAN, STD)):
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange") == 1 and "Join" not in plan
+
+
 def test_returns_and_changes(spark, values):
     series = {"a": [(0, 10.0), (1, 10.0), (2, 0.0), (3, 5.0)], "b": [(0, 1.0)]}
     out = ordered.returns(frame(spark, series), "x", "k", "ts", "seq", split_rows=2)
@@ -153,8 +178,9 @@ def test_returns_and_changes(spark, values):
 
 def test_row_ids(spark):
     df = spark.range(100).selectExpr("(id * 37) % 100 AS v")
-    out = ordered.with_row_ids(df, "v", F.floor(F.col("v") / 7), start=5)
-    assert sorted((r.v, r.RequestId) for r in out.collect()) == [(i, i + 5) for i in range(100)]
+    for rows in (1000, 3):
+        out = ordered.with_row_ids(df, "v", F.floor(F.col("v") / 40), "v", start=5, split_rows=rows)
+        assert sorted((r.v, r.RequestId) for r in out.collect()) == [(i, i + 5) for i in range(100)]
 
 
 GRID = snapshot.TimeGrid(START, START + timedelta(seconds=30), timedelta(seconds=10))
