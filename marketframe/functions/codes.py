@@ -96,11 +96,11 @@ def literal_map(codes: Mapping) -> Column:
 def map_values(code: Column, codes: Mapping) -> Column:
     """NULL stays NULL, a known code gives its name (which may be NULL), others ``UNKNOWN(code)``."""
     names, text = literal_map(codes), code.cast("string")
-    return (
-        F.when(text.isNull(), F.lit(None).cast("string"))
-        .when(F.map_contains_key(names, text), F.try_element_at(names, text))
-        .otherwise(F.concat(F.lit("UNKNOWN("), text, F.lit(")")))
-    )
+    name = F.try_element_at(names, text)
+    unknown = F.concat(F.lit("UNKNOWN("), text, F.lit(")"))
+    if None not in codes.values():
+        return F.coalesce(name, unknown)
+    return F.when(F.map_contains_key(names, text), name).otherwise(unknown)
 
 
 def name_order_codes(df):

@@ -13,22 +13,19 @@ FEED_ZONE = "US/Eastern"
 # Day with or without dashes, time, optional fraction; whatever follows (a zone name) is ignored.
 _FEED_TIME = (
     r"^\s*(?:(\d{4})(\d{2})(\d{2})|(\d{4})-(\d{1,2})-(\d{1,2}))"
-    r"\s+(\d{1,2}):(\d{1,2}):(\d{1,2}(?:\.\d{1,6})?)"
+    r"\s+(\d{1,2}:\d{1,2}:\d{1,2}(?:\.\d{1,6})?).*$"
 )
-
-
-def _field(text: Column, group: int) -> Column:
-    return F.regexp_extract(text, _FEED_TIME, group)
+_STANDARD_TIME = f"!$1$4-$2$5-$3$6 $7 {FEED_ZONE}"
 
 
 def parse_feed_time(text: Column) -> Column:
-    """Feed time text, local to US/Eastern, as an instant; NULL when it cannot be read."""
-    year, month, day = (
-        F.concat(_field(text, i), _field(text, i + 3)).try_cast("int") for i in (1, 2, 3)
-    )
-    hour, minute = (_field(text, i).try_cast("int") for i in (7, 8))
-    second = _field(text, 9).try_cast("decimal(16,6)")
-    return F.try_make_timestamp(year, month, day, hour, minute, second, F.lit(FEED_ZONE))
+    """Feed time text, local to US/Eastern, as an instant; NULL when it cannot be read.
+
+    One pattern match per row rewrites the text in the standard form, marked by a leading ``!``,
+    which the cast reads; text left without the mark did not match.
+    """
+    standard = F.regexp_replace(text, _FEED_TIME, _STANDARD_TIME)
+    return F.when(standard.startswith("!"), F.substring(standard, 2, 64).try_cast("timestamp"))
 
 
 def parse_feed_time_strict(text: Column) -> Column:

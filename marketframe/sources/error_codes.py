@@ -52,12 +52,9 @@ def error_code_dim(
         if set(columns) <= set(t.columns)
     ]
     texts = {**ADDITIONAL_CODES, **(additions or {})}
-    parts.append(
-        spark.createDataFrame(
-            [(-1, 0, k, v, "") for k, v in texts.items()],
-            "__table int, __row long, ErrorCode long, Message string, Note string",
-        )
-    )
+    rows = [F.struct(F.lit(k).cast("long").alias("ErrorCode"), F.lit(v).alias("Message")) for k, v in texts.items()]
+    added = spark.range(1).select(F.inline(F.array(*rows)))
+    parts.append(added.select(F.lit(-1).alias("__table"), F.lit(0).cast("long").alias("__row"), "*", F.lit("").alias("Note")))
     union = parts[0]
     for part in parts[1:]:
         union = union.unionByName(part)
