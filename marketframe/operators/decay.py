@@ -5,8 +5,8 @@ Per key in (ts, seq) order, with ``a = exp(-dt / tau)`` (Eckner 2014; Mueller 19
     m_1 = x_1    m_n = a * m_(n-1) + (1 - a) * x_n
     v_1 = 0      v_n = a * (v_(n-1) + (1 - a) * (x_n - m_(n-1))**2)
 
-Without a hot key both are running sums of decayed terms per key. Otherwise rows are grouped by
-(key, time block). Inside a block the recurrences are run relative to the
+For keys that fit a task both are running sums of decayed terms per key. A hot key's rows are grouped
+by (key, time block). Inside a block the recurrences are run relative to the
 block's first row with plain window sums, which gives both values as polynomials in the state after
 that first row: ``m_n = x_1 + M + c / g`` and ``v_n = D0 - 2 c D1 + c**2 D2 + v_1 / g`` where
 ``c = m_1 - x_1`` and ``g = exp((t_n - t_1) / tau)``. One row per (key, block) then carries the
@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.timefmt import micros
-from .ordered import BLOCK, LENGTH, SPLIT_ROWS, US, plan_split, to_micros, with_blocks
+from .ordered import BLOCK, LENGTH, SPLIT_ROWS, US, Split, plan_split, split_apply, to_micros, with_blocks
 from .relational import Names, as_list
 
 # 1 for rows of the table, 0 for the row that leads a block.
@@ -135,22 +135,33 @@ def decay_stats(
     seq: Names | None = None,
     block: int | None = None,
     initial: DataFrame | None = None,
-    split_rows: int = SPLIT_ROWS,
+    split_rows: int | None = SPLIT_ROWS,
 ) -> DataFrame:
     """Add decayed means and standard deviations, as ``{output: input}`` mappings.
 
-    Keys with more than ``split_rows`` rows are cut into blocks; ``block`` (microseconds) forces a
-    block length on all keys. ``initial`` continues an earlier run: the states of
+    Keys with more than ``split_rows`` rows (None: there are none) are cut into blocks; ``block``
+    (microseconds) forces a block length on all keys. ``initial`` continues an earlier run: the states of
     :func:`last_states`, all earlier in time.
     """
     mean, std = dict(mean or {}), dict(std or {})
     keys, seq = as_list(by), as_list(seq)
     tau_us = to_micros(tau)
+
+    def whole(rows: DataFrame) -> DataFrame:
+        return _whole(rows, ts, keys, seq, tau_us, mean, std)
+
+    def blocked(rows: DataFrame, split: Split | None) -> DataFrame:
+        return _blocked(rows, ts, keys, seq, tau_us, mean, std, block, split, initial)
+
+    if initial is not None:
+        return blocked(df, None if block else plan_split(df, keys, ts, split_rows, SPAN * tau_us))
+    return split_apply(df, keys, ts, whole, blocked, block, split_rows, SPAN * tau_us)
+
+
+def _blocked(df, ts, keys, seq, tau_us: int, mean, std, block, split, initial) -> DataFrame:
+    """Keys in blocks: states inside each block, carried from block to block."""
     columns = df.columns
     inputs = list(dict.fromkeys([*mean.values(), *std.values()]))
-    split = None if block else plan_split(df, keys, ts, split_rows, SPAN * tau_us)
-    if not block and initial is None and split is None:
-        return _whole(df, ts, keys, seq, tau_us, mean, std)
 
     def local(frame: DataFrame) -> DataFrame:
         for i, column in enumerate(inputs):
@@ -158,13 +169,13 @@ def decay_stats(
             frame = _add(frame, stages, _terms(i, column, keys, seq, tau_us))
         return frame
 
-    def blocked(frame: DataFrame) -> DataFrame:
+    def cut(frame: DataFrame) -> DataFrame:
         frame = with_blocks(frame, keys, ts, block, SPAN * tau_us, split).drop(LENGTH)
         return frame.withColumn(OWN, F.lit(1))
 
-    narrow = local(blocked(df.select(*dict.fromkeys([*keys, ts, *seq, *inputs]))))
+    narrow = local(cut(df.select(*dict.fromkeys([*keys, ts, *seq, *inputs]))))
     carry = _carries(narrow, inputs, keys, seq, tau_us, set(std.values()), initial)
-    out = local(blocked(df).unionByName(carry, allowMissingColumns=True))
+    out = local(cut(df).unionByName(carry, allowMissingColumns=True))
     for i, column in enumerate(inputs):
         brought = [{n: e for n, e in _CARRIED[0].items() if f"__{n}{i}" in carry.columns}]
         out = _add(out, brought, _terms(i, column, keys, seq, tau_us))

@@ -3,12 +3,12 @@
 A window over a key alone sends all rows of the key to one task; a hot key then sets the run time of
 the whole job. Here the rows of a hot key are grouped by (key, time block) instead, with blocks
 sized from the key's own row count. What a block needs from the rows before it travels in one small
-row per (key, block). Where no key is hot, plain windows are used.
+row per (key, block). All other keys go through plain windows.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 from datetime import timedelta
 
@@ -63,14 +63,17 @@ def _length(groups: DataFrame, rows: int, parts: int) -> DataFrame:
 
 
 def plan_split(
-    df: DataFrame, keys: Names, ts: str, rows: int = SPLIT_ROWS, longest: int | None = None
+    df: DataFrame, keys: Names, ts: str, rows: int | None = SPLIT_ROWS, longest: int | None = None
 ) -> Split | None:
     """How to split hot keys, or None when every key fits a task.
 
     Row counts per key are measured now, in one aggregate that is combined before the shuffle: most
     tables have no hot key and then need no blocks, no second pass and no joins. Only rows of hot
     groups are read again for the finer levels; each level is a thousandth of the one before.
+    ``rows=None`` states that no key is hot, and nothing is counted.
     """
+    if rows is None:
+        return None
     keys = as_list(keys)
     cut = df.select(*keys, position(df, ts).alias(US))
     level = _length(cut.groupBy(*keys), rows, 1)
@@ -134,30 +137,57 @@ def with_previous(
     ts: str,
     seq: Names | None = None,
     block: int | None = None,
-    split_rows: int = SPLIT_ROWS,
+    split_rows: int | None = SPLIT_ROWS,
 ) -> DataFrame:
     """Add values of the previous row of the same key, in (ts, seq) order; NULL on the first row.
 
-    Without a hot key this is one window. Otherwise each block of a hot key is given the last row of
-    the key's previous block as a leading extra row, so the one shuffle of the rows is by (key,
-    block). ``block`` forces blocks on all keys.
+    For keys that fit a task this is one window. Each block of a hot key is given the last row of
+    the key's previous block as a leading extra row, so its rows are shuffled once, by (key, block).
+    ``block`` forces blocks on all keys. ``split_rows=None`` skips the count of rows per key, for
+    input whose keys are known to be small (bars, for example).
     """
     keys, seq = as_list(keys), as_list(seq)
-    columns = df.columns
+    kept = [c for c in df.columns if c not in values]
     inner = {out: f"__in_{out}" for out in values}
     given = {inner[out]: F.col(v) if isinstance(v, str) else v for out, v in values.items()}
     source = df.withColumns(given)
-    kept = [c for c in columns if c not in values]
-    split = None if block else plan_split(df, keys, ts, split_rows)
-    if not block and split is None:
+
+    def whole(rows: DataFrame) -> DataFrame:
         window = Window.partitionBy(*keys).orderBy(ts, *seq)
-        return source.select(*kept, *[F.lag(c).over(window).alias(out) for out, c in inner.items()])
+        return rows.select(*kept, *[F.lag(c).over(window).alias(out) for out, c in inner.items()])
+
+    def blocked(rows: DataFrame, split: Split | None) -> DataFrame:
+        return _previous_in_blocks(rows, inner, kept, keys, ts, seq, block, split)
+
+    return split_apply(source, keys, ts, whole, blocked, block, split_rows)
+
 
+def split_apply(
+    df: DataFrame,
+    keys: list[str],
+    ts: str,
+    whole: Callable[[DataFrame], DataFrame],
+    blocked: Callable[[DataFrame, Split | None], DataFrame],
+    block: int | None,
+    split_rows: int | None,
+    longest: int | None = None,
+) -> DataFrame:
+    """Keys that fit a task through ``whole``, hot keys through ``blocked``."""
+    if block:
+        return blocked(df, None)
+    split = plan_split(df, keys, ts, split_rows, longest)
+    if split is None:
+        return whole(df)
+    hot = split.levels[0].select(*keys)
+    rest = whole(join_small(df, hot, keys, "left_anti"))
+    return rest.unionByName(blocked(join_small(df, hot, keys, "left_semi"), split))
+
+
+def _previous_in_blocks(source, inner, kept, keys, ts, seq, block, split) -> DataFrame:
     order = [F.col(US), *[F.col(c) for c in seq]]
     rows = with_blocks(source, keys, ts, block, split=split).drop(LENGTH).withColumn("__own", F.lit(1))
-    # Only keys with several blocks hand anything on.
     cut = source.select(*dict.fromkeys([*keys, ts, *seq]), *inner.values())
-    cut = with_blocks(cut, keys, ts, block, split=split).filter(F.col(LENGTH).isNotNull())
+    cut = with_blocks(cut, keys, ts, block, split=split)
     last = F.max_by(F.struct(*inner.values()), F.struct(*order)).alias("__last")
     following = F.lead(BLOCK).over(Window.partitionBy(*keys).orderBy(BLOCK))
     carried = (
@@ -171,7 +201,7 @@ def with_previous(
     lagged = rows.unionByName(carried, allowMissingColumns=True).withColumns(
         {f"__out_{out}": F.lag(c).over(window) for out, c in inner.items()}
     )
-    return lagged.filter("__own = 1").select(*kept, *[F.col(f"__out_{out}").alias(out) for out in values])
+    return lagged.filter("__own = 1").select(*kept, *[F.col(f"__out_{out}").alias(out) for out in inner])
 
 
 def returns(df: DataFrame, close: str, keys: Names, ts: str, seq: Names | None = None, **split):
@@ -198,7 +228,7 @@ def with_row_ids(
     spread: str,
     start: int = 1,
     name: str = "RequestId",
-    split_rows: int = SPLIT_ROWS,
+    split_rows: int | None = SPLIT_ROWS,
 ) -> DataFrame:
     """Dense ids in the given order.
 

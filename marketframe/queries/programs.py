@@ -133,7 +133,8 @@ _RETURNS = f"""
 
 
 def _returns(t):
-    rows = returns(_daily(t, "user_id"), "Close", "user_id", "Timestamp")
+    # A key has one row per day, so no key is large.
+    rows = returns(_daily(t, "user_id"), "Close", "user_id", "Timestamp", split_rows=None)
     return beta.with_benchmark(rows, beta.benchmark_rows(rows, 1, "user_id"))
 
 

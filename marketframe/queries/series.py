@@ -163,6 +163,6 @@ def snapshot_newest(t):
 )
 def bars_by_previous_close(t):
     bars = bars_from_ticks(t.events, BarSize.DAY_1, "user_id", "ts", "event_id", "value", None)
-    out = returns(bars.select("user_id", "Timestamp", "Close"), "Close", "user_id", "Timestamp")
+    out = returns(bars.select("user_id", "Timestamp", "Close"), "Close", "user_id", "Timestamp", split_rows=None)
     return out.select("user_id", ntz("Timestamp").alias("day"), "Close", "Last")
 

@@ -5,6 +5,7 @@ from datetime import datetime, timedelta
 import pytest
 
 from marketframe.operators.decay import decay_stats
+from marketframe.operators.outcomes import active_only
 from marketframe.operators.relational import last_by
 from marketframe.plans.market import BarSize, bars_from_ticks
 from marketframe.session import shared_dir
@@ -116,6 +117,14 @@ def test_raw_streams_are_appended(spark, source, paths):
     assert same(spark.read.parquet(paths["out"] + "/ticks"), spark.read.parquet(source))
 
 
+def test_cancelled_flow_stops(spark, source, paths):
+    cancels = spark.sql("SELECT 'a' AS RequestId, timestamp_ntz'2024-01-01 00:05:00' AS CancelTime")
+    rows = stream(spark, source).withColumnRenamed("k", "RequestId")
+    s.run_to_end(s.start(active_only(rows, cancels, "ts"), paths["checkpoint"], s.write_changes(paths["out"])))
+    want = spark.read.parquet(source).filter("k <> 'a' OR ts <= timestamp_ntz'2024-01-01 00:05:00'")
+    assert same(spark.read.parquet(paths["out"]).select("seq"), want)
+
+
 def test_a_repeated_batch_leaves_the_same_result(spark, source, paths):
     rows = spark.read.parquet(source)
     write = s.write_changes(paths["out"])
