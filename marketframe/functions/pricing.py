@@ -1,4 +1,4 @@
-"""Option pricing as column expressions; every step stays inside whole-stage codegen."""
+"""Option pricing in SQL expressions; every step stays inside whole-stage code generation."""
 
 from __future__ import annotations
 
@@ -14,25 +14,45 @@ RATE = 0.04
 SHOCKS = (-0.2, -0.15, -0.1, -0.05, -0.02, -0.01, 0.0, 0.01, 0.02, 0.05, 0.1, 0.15, 0.2)
 
 
-def _k(d: Column) -> Column:
-    return F.lit(1.0) / (F.lit(1.0) + F.lit(CND_GAMMA) * F.abs(d))
+def _k(d: str) -> str:
+    return f"(1D / (1D + {CND_GAMMA!r}D * abs({d})))"
 
 
-def _tail(d: Column, k: Column) -> Column:
+def _tail(d: str, k: str) -> str:
     """Probability beyond ``|d|``."""
-    series = F.lit(0.0)
+    series = "0D"
     for coefficient in reversed(CND_COEFFICIENTS):
-        series = k * (F.lit(coefficient) + series)
-    return F.lit(CND_RSQRT2PI) * F.exp(F.lit(-0.5) * d * d) * series
+        series = f"{k} * ({coefficient!r}D + {series})"
+    return f"{CND_RSQRT2PI!r}D * exp(-0.5D * {d} * {d}) * ({series})"
 
 
-def _side(d: Column, tail: Column) -> Column:
-    return F.when(d > 0, F.lit(1.0) - tail).otherwise(tail)
+def _side(d: str, tail: str) -> str:
+    return f"IF({d} > 0, 1D - {tail}, {tail})"
 
 
-def normal_cdf(d: Column) -> Column:
-    """Cumulative normal probability."""
-    return _side(d, _tail(d, _k(d)))
+def normal_cdf(d: str) -> Column:
+    """Cumulative normal probability of a named column."""
+    return F.expr(_side(f"`{d}`", _tail(f"`{d}`", _k(f"`{d}`"))))
+
+
+# The model as a chain of small columns: each is computed once per row, and the generated code stays
+# small enough to be compiled to machine code.
+_MODEL = (
+    {
+        "__spread": "{vol} * sqrt(IF({years} > 0, {years}, NULL))",
+        "__drift": "ln(try_divide({price}, {strike})) + ({rate} + 0.5D * {vol} * {vol}) * {years}",
+        "__discounted": "{strike} * exp(-{rate} * {years})",
+    },
+    {"__d1": "try_divide(__drift, __spread)"},
+    {"__d2": "__d1 - __spread"},
+    {"__k1": _k("__d1"), "__k2": _k("__d2")},
+    {"__t1": _tail("__d1", "__k1"), "__t2": _tail("__d2", "__k2")},
+    {"__n1": _side("__d1", "__t1"), "__n2": _side("__d2", "__t2")},
+)
+_VALUE = (
+    "IF({is_call}, {price} * __n1 - __discounted * __n2, "
+    "__discounted * (1D - __n2) - {price} * (1D - __n1))"
+)
 
 
 def with_option_price(
@@ -40,21 +60,11 @@ def with_option_price(
 ) -> DataFrame:
     """Add the price of a European option; NULL when an input is NULL or the model is undefined.
 
-    Arguments are column names. The model is a chain of small columns rather than one expression:
-    each intermediate is computed once per row, and the generated code stays small enough to be
-    compiled to machine code.
+    Arguments are column names.
     """
-    s, x, t, r, v, call = (F.col(c) for c in (price, strike, years, rate, vol, is_call))
-    columns = df.columns
-    df = df.withColumn("__spread", v * F.sqrt(F.when(t > 0, t)))
-    drift = F.ln(F.try_divide(s, x)) + (r + F.lit(0.5) * v * v) * t
-    df = df.withColumn("__d1", F.try_divide(drift, F.col("__spread")))
-    df = df.withColumn("__d2", F.col("__d1") - F.col("__spread"))
-    df = df.withColumns({"__k1": _k(F.col("__d1")), "__k2": _k(F.col("__d2"))})
-    tails = {f"__t{i}": _tail(F.col(f"__d{i}"), F.col(f"__k{i}")) for i in (1, 2)}
-    df = df.withColumns({**tails, "__discounted": x * F.exp(-r * t)})
-    df = df.withColumns({f"__n{i}": _side(F.col(f"__d{i}"), F.col(f"__t{i}")) for i in (1, 2)})
-    n1, n2, discounted = F.col("__n1"), F.col("__n2"), F.col("__discounted")
-    put = discounted * (F.lit(1.0) - n2) - s * (F.lit(1.0) - n1)
-    value = F.when(call, s * n1 - discounted * n2).otherwise(put)
-    return df.select(*[c for c in columns if c != name], value.alias(name))
+    inputs = {"price": price, "strike": strike, "years": years, "rate": rate, "vol": vol, "is_call": is_call}
+    named = {k: f"`{v}`" for k, v in inputs.items()}
+    kept = [f"`{c}`" for c in df.columns if c != name]
+    for stage in _MODEL:
+        df = df.selectExpr("*", *[f"{e.format(**named)} AS {c}" for c, e in stage.items()])
+    return df.selectExpr(*kept, f"{_VALUE.format(**named)} AS `{name}`")

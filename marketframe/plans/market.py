@@ -68,6 +68,10 @@ BAR_DATA_TYPES = (
 )
 REALTIME_BAR_DATA_TYPES = ("TRADES", "AGGTRADES", "MIDPOINT", "BID", "ASK")
 
+# Tick data types with the names history uses for them, and market data types.
+TICK_DATA_TYPES = {"Last": "Trades", "BidAsk": "BidAsk", "MidPoint": "MidPoint"}
+MARKET_DATA_TYPES = {"REAL_TIME": 1, "FROZEN": 2, "DELAYED": 3}
+
 # Generic tick codes. One code goes by two names.
 GENERIC_TICK_TYPES = {
     "DIVIDENDS": 456,
@@ -242,7 +246,7 @@ def tick_history(
     tick_type: str = "Last",
 ) -> DataFrame:
     """The first ``n`` ticks per key after ``start``, or the last ``n`` up to ``end``."""
-    if tick_type not in ("Last", "Trades", "MidPoint"):
+    if TICK_DATA_TYPES.get(tick_type, tick_type) not in ("Trades", "MidPoint"):
         raise ValueError(f"Unsupported tick data type: {tick_type}")
     if (start is None) == (end is None):
         raise ValueError("Give either start or end")
@@ -302,6 +306,13 @@ def regular_hours_only(
     return dated.join(periods, condition, "left_semi").drop("__day")
 
 
+def for_market_data_type(ticks: DataFrame, hours: DataFrame, market_data_type: str = "FROZEN", **names):
+    """Ticks a request with this market data type returns: ``FROZEN`` means regular hours only."""
+    if market_data_type not in MARKET_DATA_TYPES:
+        raise ValueError(f"Unknown market data type: {market_data_type}")
+    return regular_hours_only(ticks, hours, **names) if market_data_type == "FROZEN" else ticks
+
+
 def news_history(
     news: DataFrame,
     start: datetime,

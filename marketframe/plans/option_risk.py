@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.normalize import mid
 from ..functions.pricing import RATE, SHOCKS, with_option_price
 from ..functions.timefmt import expiry_instant, years_365
-from ..operators.relational import Names, as_list, join, last_by, natural_join, sum_by, update
+from ..operators.relational import Names, as_list, join, last_by, natural_join, sum_by
 
 CONTRACT = (
     "ContractId",
@@ -60,15 +60,13 @@ def scenarios(
     """
     out = natural_join(positions, vols, "ContractId", "Vol", validate)
     out = join(out, underlying, "Symbol", "UPrice=MidPrice")
-    out = update(
-        out,
+    out = out.withColumn("ExpiryTime", expiry_instant(F.col("Expiry"))).withColumns(
         {
-            "ExpiryTime": expiry_instant(F.col("Expiry")),
             "T": years_365(F.lit(asof), F.col("ExpiryTime")),
             "IsCall": F.col("Right").eqNullSafe("C"),
             "IsStock": F.col("SecType").eqNullSafe("STK"),
             "Rate": F.lit(rate),
-        },
+        }
     )
     out = _theoretical(out, "TheoBase", "UPrice")
     out = out.withColumn("Scenario", F.explode(F.array(*[F.lit(float(s)) for s in shocks])))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions import pricing
 from ..operators.ordered import returns
-from ..operators.relational import last_by, natural_join
+from ..operators.relational import last_by, natural_join, sum_by
 from ..plans import beta_hedge as beta
 from ..plans import market_making as mm
 from ..plans import option_risk as risk
@@ -331,6 +331,19 @@ def net_positions(t):
     return risk.net_positions(_held(t), _CONTRACT_COLUMNS)
 
 
+@query(
+    "account_risk",
+    f"""WITH {_option_sql(_HELD)}
+        SELECT Account, Symbol, Scenario, round(sum(Position * Multiplier * (TheoScenario - TheoBase)), 2) AS Risk
+        FROM priced GROUP BY 1, 2, 3""",
+)
+def account_risk(t):
+    keys = ("Account", "Symbol", "Scenario")
+    contract = tuple(c for c in _CONTRACT_COLUMNS if c != "Symbol")
+    out = risk.account_risk(_held(t), *_market(t), ASOF, contract, keys, validate=False)
+    return out.withColumn("Risk", F.round("Risk", 2))
+
+
 @query(
     "scenario_risk",
     f"""WITH {_option_sql(_HELD)}
@@ -338,7 +351,10 @@ def net_positions(t):
         FROM priced GROUP BY 1, 2""",
 )
 def scenario_risk(t):
-    out = risk.account_risk(_held(t), *_market(t), ASOF, _CONTRACT_COLUMNS, validate=False)
+    # Summed per account and contract before the contract's columns are joined.
+    held = sum_by(t.lineitem.selectExpr("l_partkey AS ContractId", "l_returnflag AS Account", "l_quantity AS Position"), ["ContractId", "Account"])
+    held = natural_join(held, _contracts(t), "ContractId")
+    out = risk.scenario_risk(risk.scenarios(held, *_market(t), ASOF, validate=False))
     return out.withColumn("Risk", F.round("Risk", 2))
 
 

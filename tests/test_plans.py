@@ -96,6 +96,9 @@ def test_regular_hours(spark, values):
     periods = ["20240102:0930-20240102:1600", "20240106:CLOSED", "20240107:1800-20240108:1700"]
     hours = spark.createDataFrame([(1, periods, "US/Eastern")], "ContractId int, LiquidHours array<string>, TimeZoneId string")
     assert values(m.regular_hours_only(df, hours), "Timestamp") == [(datetime(2024, 1, 2, 15),), (datetime(2024, 1, 2, 20),)]
+    assert m.for_market_data_type(df, hours).count() == 2 and m.for_market_data_type(df, hours, "REAL_TIME") is df
+    with pytest.raises(ValueError, match="Unknown market data type"):
+        m.for_market_data_type(df, hours, "SOMETIMES")
     overnight = spark.createDataFrame([(1, datetime(2024, 1, 8, 5))], "ContractId int, Timestamp timestamp")
     assert m.regular_hours_only(overnight, hours).count() == 1
 
