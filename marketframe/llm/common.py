@@ -41,6 +41,36 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def starts(sizes: Column) -> Column:
+    """Where each of a row of parts starts, from structs of the ``gap`` before it and its own ``size``.
+
+    Prefix sums in two levels of 64, so that they need no array that grows element by element.
+    """
+    step = 64
+
+    def summed(part: Column) -> Column:
+        return F.aggregate(part, F.lit(0), lambda a, x: a + x["gap"] + x["size"])
+
+    def of(all_sizes: Column) -> Column:
+        def blocks(sums: Column) -> Column:
+            before = F.transform(sums, lambda _, b: F.aggregate(F.slice(sums, F.lit(1), b), F.lit(0), lambda a, x: a + x))
+            return let(
+                before,
+                lambda at: F.transform(
+                    all_sizes,
+                    lambda x, i: F.get(at, F.floor(i / step).cast("int"))
+                    + summed(F.slice(all_sizes, (F.floor(i / step) * step + 1).cast("int"), i % step))
+                    + x["gap"],
+                ),
+            )
+
+        count = F.ceil(F.size(all_sizes) / step).cast("int")
+        sums = F.transform(F.sequence(F.lit(0), count - 1), lambda b: summed(F.slice(all_sizes, b * step + 1, F.lit(step))))
+        return let(sums, blocks)
+
+    return let(sizes, of)
+
+
 def remainder(key: str, n: int) -> Column:
     """crc32 of a key as text, modulo ``n``; NULL for a NULL key."""
     return F.crc32(F.col(key).cast("string").cast("binary")) % n

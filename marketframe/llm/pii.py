@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import let
+from .common import let, starts
 
 # What the result's contract says a span of each kind is.
 #   email  [A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+
@@ -119,36 +119,6 @@ def kinds() -> list[Kind]:
     ]
 
 
-def _starts(sizes: Column) -> Column:
-    """Where each match starts, from structs of the gap before it and its own length.
-
-    Prefix sums in two levels of 64, so that they need no array that grows element by element.
-    """
-    step = 64
-
-    def summed(part: Column) -> Column:
-        return F.aggregate(part, F.lit(0), lambda a, x: a + x["gap"] + x["size"])
-
-    def of(all_sizes: Column) -> Column:
-        def blocks(sums: Column) -> Column:
-            before = F.transform(sums, lambda _, b: F.aggregate(F.slice(sums, F.lit(1), b), F.lit(0), lambda a, x: a + x))
-            return let(
-                before,
-                lambda at: F.transform(
-                    all_sizes,
-                    lambda x, i: F.get(at, F.floor(i / step).cast("int"))
-                    + summed(F.slice(all_sizes, (F.floor(i / step) * step + 1).cast("int"), i % step))
-                    + x["gap"],
-                ),
-            )
-
-        count = F.ceil(F.size(all_sizes) / step).cast("int")
-        sums = F.transform(F.sequence(F.lit(0), count - 1), lambda b: summed(F.slice(all_sizes, b * step + 1, F.lit(step))))
-        return let(sums, blocks)
-
-    return let(sizes, of)
-
-
 SPAN = "array<struct<kind:string,start:int,end:int,score:double>>"
 
 
@@ -163,7 +133,7 @@ def spans_of(kind: Kind, text: Column) -> Column:
                 matches,
                 lambda g, m: F.struct(F.length(g).alias("gap"), F.length(m).alias("size")),
             )
-            every = F.zip_with(matches, _starts(sizes), lambda m, s: F.struct(m.alias("match"), s.alias("start")))
+            every = F.zip_with(matches, starts(sizes), lambda m, s: F.struct(m.alias("match"), s.alias("start")))
             confirmed = F.filter(every, lambda x: kind.valid(x["match"]))
 
             def scored(x: Column) -> Column:
