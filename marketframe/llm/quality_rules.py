@@ -125,7 +125,7 @@ def rules(
     min_words: int = 50,
     max_repeat_percent: int = 50,
     max_symbols_percent: int = 30,
-    max_dup_lines_percent: int = 30,
+    max_dup_lines_percent: int = 50,
     max_capitals_percent: int = 40,
     min_word_chars: int = 2,
     max_word_chars: int = 20,

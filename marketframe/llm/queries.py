@@ -60,7 +60,7 @@ m AS (
 v AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND NOT 100 * n_symbols > 30 * n_words AND NOT 100 * capitals > 40 * letters
-       AND NOT 100 * n_dup_lines > 30 * n_lines AND NOT word_chars < 2 * n_words AND NOT word_chars > 20 * n_words AS kept
+       AND NOT 100 * n_dup_lines > 50 * n_lines AND NOT word_chars < 2 * n_words AND NOT word_chars > 20 * n_words AS kept
 FROM v
 """
 
