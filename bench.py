@@ -28,7 +28,8 @@ HEADLINE = (
     "special_conditions",
     "json_note",
     "broker_time_parse",
-    "html_unescape",
+    "ema_time_blocked",
+    "previous_row_blocked",
     "previous_row_return",
     "quote_change_only",
     "ohlc_bars_5s",

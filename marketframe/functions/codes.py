@@ -38,34 +38,35 @@ VOLATILITY_TYPE = {0: None, 1: "Daily", 2: "Annual"}
 REFERENCE_PRICE_TYPE = {0: None, 1: "Average", 2: "BidOrAsk"}
 HEDGE_TYPE = {"": None, "D": "Delta", "B": "Beta", "F": "FX", "P": "Pair"}
 AUCTION_STRATEGY = {0: "Unset", 1: "Match", 2: "Improvement", 3: "Transparent"}
+# In the order of the published list, which runs over two columns.
 SPECIAL_CONDITION = {
-    "4": "Derivatively priced",
-    "5": "Market Center Reopening Trade",
-    "6": "Market Center Closing Trade",
-    "7": "Reserved",
-    "8": "Reserved",
-    "9": "Corrected Consolidated Close Price as per Listing Market",
     "B": "Average Price Trade",
+    "Q": "Market Center Official Open",
     "C": "Cash Trade (Same Day Clearing)",
+    "R": "Seller",
     "D": "Distribution",
+    "T": "Extended Hours Trade",
     "E": "Automatic Execution",
+    "U": "Extended Hours Sold (Out of Sequence)",
     "F": "Intermarket Sweep Order",
+    "V": "Stock-Option Trade",
     "G": "Bunched Sold Trade",
+    "X": "Cross Trade",
     "H": "Price Variation Trade",
+    "Z": "Sold (Out of Sequence)",
     "I": "Odd Lot Trade",
+    "4": "Derivatively priced",
     "K": "Rule 127 (NYSE only) or Rule 155 (NYSE MKT only)",
+    "5": "Market Center Reopening Trade",
     "L": "Sold Last (Late Reporting)",
+    "6": "Market Center Closing Trade",
     "M": "Market Center Official Close",
+    "7": "Reserved",
     "N": "Next Day Trade (Next Day Clearing)",
+    "8": "Reserved",
     "O": "Market Center Opening Trade",
+    "9": "Corrected Consolidated Close Price as per Listing Market",
     "P": "Prior Reference Price",
-    "Q": "Market Center Official Open",
-    "R": "Seller",
-    "T": "Extended Hours Trade",
-    "U": "Extended Hours Sold (Out of Sequence)",
-    "V": "Stock-Option Trade",
-    "X": "Cross Trade",
-    "Z": "Sold (Out of Sequence)",
 }
 NEWS_MESSAGE_TYPE = {1: "NEWS", 2: "EXCHANGE_AVAILABLE", 3: "EXCHANGE_UNAVAILABLE"}
 ARTICLE_TYPE = {0: "PlainTextOrHtml", 1: "BinaryDataOrPdf"}

@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-import html
 import sys
 from collections.abc import Mapping
+from html.entities import name2codepoint
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,6 +30,7 @@ def blank_to_null(df: DataFrame) -> DataFrame:
 
 
 def null_to_blank(c: Column) -> Column:
+    """Text for a key that is compared or joined as text: NULL reads as blank."""
     return F.coalesce(c.cast("string"), F.lit(""))
 
 
@@ -118,9 +118,25 @@ def note_json(values: Mapping[str, Column]) -> Column:
     return F.to_json(F.create_map(*pairs))
 
 
-@F.pandas_udf(T.StringType())
-def html_unescape(text: pd.Series) -> pd.Series:
-    return text.map(html.unescape, na_action="ignore")
+_REFERENCE = "&(?:#[0-9]{1,9}|#[xX][0-9A-Fa-f]{1,8}|[A-Za-z][A-Za-z0-9]*);"
+
+
+def html_unescape(text: Column) -> Column:
+    """Text with its character references decoded: numbers, and the names of HTML 4. Others stay as they are."""
+    names = F.create_map(*[F.lit(x) for name, code in name2codepoint.items() for x in (name, chr(code))])
+
+    def character(code: Column) -> Column:
+        valid = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+        return F.when(valid, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")).otherwise("\ufffd")
+
+    def decoded(reference: Column) -> Column:
+        name = F.substring(F.regexp_replace(reference, ";$", ""), 2, 20)
+        number = F.when(name.rlike("^#[xX]"), F.conv(F.substring(name, 3, 8), 16, 10)).otherwise(F.substring(name, 2, 9)).cast("long")
+        return F.when(name.startswith("#"), character(number)).otherwise(F.coalesce(F.try_element_at(names, name), reference))
+
+    found = F.transform(F.regexp_extract_all(text, F.lit(_REFERENCE), F.lit(0)), decoded)
+    pieces = F.zip_with(F.split(text, _REFERENCE, -1), found, lambda gap, c: F.concat(gap, F.coalesce(c, F.lit(""))))
+    return F.when(text.contains("&"), F.array_join(pieces, "")).otherwise(text)
 
 
 def clean_headline(headline: Column) -> Column:

@@ -31,6 +31,8 @@ from .relational import Names, as_list
 
 # 1 for rows of the table, 0 for the row that leads a block.
 OWN = "__own"
+# The time a row counts as of, when states continue.
+AT = "__at"
 
 # Longest stretch, in units of tau, over which exp() is accumulated: exp(300) is far from overflow
 # and exp(-SPAN / 2) is far below the resolution of a double.
@@ -141,7 +143,7 @@ def decay_stats(
 
     Keys with more than ``split_rows`` rows (None: there are none) are cut into blocks; ``block``
     (microseconds) forces a block length on all keys. ``initial`` continues an earlier run: the states of
-    :func:`last_states`, all earlier in time.
+    :func:`last_states`. A row from before its key's state counts as of the state's time, so it has weight 0.
     """
     mean, std = dict(mean or {}), dict(std or {})
     keys, seq = as_list(by), as_list(seq)
@@ -154,10 +156,24 @@ def decay_stats(
         return _blocked(rows, ts, keys, seq, tau_us, mean, std, block, split, initial)
 
     if initial is not None:
-        return blocked(df, None if block else plan_split(df, keys, ts, split_rows, SPAN * tau_us))
+        inputs = [*mean.values(), *std.values()]
+        rows = _not_before(df, ts, keys, inputs, initial)
+        split = None if block else plan_split(rows, keys, AT, split_rows, SPAN * tau_us)
+        return _blocked(rows, AT, keys, seq, tau_us, mean, std, block, split, initial).drop(AT)
     return split_apply(df, keys, ts, whole, blocked, block, split_rows, SPAN * tau_us)
 
 
+def _not_before(df: DataFrame, ts: str, keys: list[str], inputs: list[str], initial: DataFrame) -> DataFrame:
+    """Rows with their time, or their key's last state's if that is later."""
+    last = F.greatest(*[F.col(f"__state_{c}.t") for c in inputs], F.lit(None).cast("long"))
+    states = initial.select(*[F.col(k).alias(f"__of_{k}") for k in keys], last.alias("__last"))
+    same = F.lit(True)
+    for k in keys:
+        same = same & df[k].eqNullSafe(states[f"__of_{k}"])
+    at = F.timestamp_micros(F.greatest(micros(F.col(ts)), "__last"))
+    return df.join(states, same, "left").withColumn(AT, at).drop("__last", *[f"__of_{k}" for k in keys])
+
+
 def _blocked(df, ts, keys, seq, tau_us: int, mean, std, block, split, initial) -> DataFrame:
     """Keys in blocks: states inside each block, carried from block to block."""
     columns = df.columns

@@ -26,6 +26,8 @@ LENGTH = "__length"
 
 # Groups with more rows than this are split into blocks of about this many rows.
 SPLIT_ROWS = 2_000_000
+# The block of rows without a time: before all others, as such rows stand first in their key's order.
+FIRST_BLOCK = -(2**63)
 
 
 def to_micros(duration: timedelta | int | float) -> int:
@@ -56,7 +58,7 @@ class Split:
 
 def _length(groups: DataFrame, rows: int, parts: int) -> DataFrame:
     """Groups of more than ``rows`` rows, with the length that cuts them into at least ``parts``."""
-    counts = groups.agg(F.count(US).alias("__rows"), F.min(US).alias("__low"), F.max(US).alias("__high"))
+    counts = groups.agg(F.count(F.lit(1)).alias("__rows"), F.min(US).alias("__low"), F.max(US).alias("__high"))
     large = counts.filter((F.col("__rows") > rows) & (F.col("__high") > F.col("__low")))
     length = f"greatest(1, CAST((__high - __low + 1) / greatest({parts}, __rows / {rows}D) AS BIGINT))"
     return large.withColumn(LENGTH, F.expr(length)).drop("__rows", "__low", "__high")
@@ -95,7 +97,7 @@ def _refine(rows: DataFrame, level: DataFrame, keys, longest, how: str, first: b
 
 def _start(rows: DataFrame, length: str, longest: int | None) -> DataFrame:
     length = f"least({length}, {longest}L)" if longest else length
-    return rows.withColumn(BLOCK, F.expr(f"coalesce({US} - pmod({US}, {length}), 0L)"))
+    return rows.withColumn(BLOCK, F.coalesce(F.expr(f"{US} - pmod({US}, {length})"), F.lit(FIRST_BLOCK)))
 
 
 def with_blocks(
@@ -245,6 +247,8 @@ def with_row_ids(
     earlier = Window.partitionBy(F.lit(0)).orderBy(*part).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*part, F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__offset"))
     number = F.row_number().over(Window.partitionBy(*part).orderBy(*as_list(order)))
-    numbered = rows.withColumn("__number", number).join(offsets, part)
+    offsets = offsets.withColumnsRenamed({c: f"{c}_of" for c in part})
+    same = F.col("__bucket").eqNullSafe(F.col("__bucket_of")) & (F.col(BLOCK) == F.col(f"{BLOCK}_of"))
+    numbered = rows.withColumn("__number", number).join(offsets, same)
     ids = (F.col("__offset") + F.col("__number") + F.lit(start - 1)).cast("long")
-    return numbered.withColumn(name, ids).drop(*part, "__number", "__offset")
+    return numbered.withColumn(name, ids).drop(*part, *[f"{c}_of" for c in part], "__number", "__offset")

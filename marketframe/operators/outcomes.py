@@ -9,24 +9,20 @@ from pyspark.sql import functions as F
 
 from ..functions.normalize import note_json
 from .ordered import with_row_ids
-from .relational import Names, as_list, natural_join, select_distinct
+from .relational import Names, as_list, natural_join, select_distinct, without_keys
 
 
 def enrich_errors(errors: DataFrame, codes: DataFrame, order: Names) -> DataFrame:
     """Add ErrorDescription and Note by code. A code absent from ``codes`` is described by the first
     error text seen with it, and has no note."""
-    first = F.min_by("Error", F.struct(*as_list(order))).alias("__FirstError")
-    learned = errors.groupBy("ErrorCode").agg(first)
-    known = codes.select("ErrorCode", F.col("Message").alias("__Message"), F.col("Note").alias("__Note"))
-    by_code = learned.join(known.withColumn("__known", F.lit(True)), "ErrorCode", "left")
-    described = by_code.select(
-        "ErrorCode",
-        F.when(F.col("__known"), F.col("__Message"))
-        .otherwise(F.col("__FirstError"))
-        .alias("ErrorDescription"),
-        F.nullif(F.col("__Note"), F.lit("")).alias("Note"),
-    )
-    return natural_join(errors, described, "ErrorCode", validate=False)
+    known = codes.select("ErrorCode", F.col("Message").alias("__Message"), F.nullif(F.col("Note"), F.lit("")).alias("Note"))
+    # The code table is small, so that Spark broadcasts it: the log, in which few codes stand for most
+    # rows, is not shuffled by code. Only errors of other codes are, to learn their texts.
+    rows = errors.join(known.withColumn("__known", F.lit(True)), "ErrorCode", "left").select(*errors.columns, "__known", "__Message", "Note")
+    found = rows.filter(F.col("__known")).select(*errors.columns, F.col("__Message").alias("ErrorDescription"), "Note")
+    rest = rows.filter(F.col("__known").isNull()).drop("__known", "__Message")
+    learned = rest.groupBy("ErrorCode").agg(F.min_by("Error", F.struct(*as_list(order))).alias("ErrorDescription"))
+    return found.unionByName(natural_join(rest, learned, "ErrorCode", validate=False))
 
 
 def contract_entries(
@@ -79,23 +75,11 @@ def resolve_contracts(requests: DataFrame, entries: DataFrame, key: Names) -> Da
     return counted.withColumn("Status", status)
 
 
-def error_message(entries: DataFrame, key: Names, order: Names = "RequestId") -> DataFrame:
-    """The error texts of each contract joined by ``|``: the message of a failed lookup.
-
-    The joined text is one cell, so this is for contracts looked up by name; ``contract_entries``
-    holds the same texts as rows.
-    """
-    errors = entries.filter(F.col("Kind") == "error")
-    ordered = F.array_sort(F.collect_list(F.struct(*as_list(order), "ErrorText")))
-    joined = F.array_join(F.transform(ordered, lambda r: r["ErrorText"]), "|")
-    return errors.groupBy(*as_list(key)).agg(joined.alias("ErrorMessage"))
-
-
 def keys_to_request(contracts: DataFrame, known: DataFrame, key: Names, contract_id: str = "ContractId"):
     """Contracts to look up: each once, none already known, none with a negative id."""
     wanted = contracts.filter(F.col(contract_id).isNull() | (F.col(contract_id) >= 0))
     keys = as_list(key)
-    return select_distinct(wanted, keys).join(select_distinct(known, keys), keys, "left_anti")
+    return without_keys(select_distinct(wanted, keys), known, keys)
 
 
 def fan_out_requests(

@@ -89,9 +89,13 @@ def natural_join(
     on: Names,
     joins: Names | None = None,
     validate: bool = True,
+    null_safe: bool = True,
 ) -> DataFrame:
     """Every left row once, with the columns of its 0 or 1 right match (NULL without one).
 
+    ``null_safe=False`` is for right keys that are never NULL: plain equality then, which can use rows
+    that are already partitioned by the keys and leaves them partitioned so.
+
     ``joins`` picks right columns as ``New=Old`` (all but the keys by default); NULL keys match.
     Repeated right keys are an error; ``validate=False`` skips the check where the right side is
     unique by construction. With no keys the right side's only row goes to every left row.
@@ -113,7 +117,7 @@ def natural_join(
         right = at_most_one_row_per_key(right, right_keys)
     match = F.lit(True)
     for k, rk in zip(keys, right_keys):
-        match = match & left[k].eqNullSafe(right[rk])
+        match = match & (left[k].eqNullSafe(right[rk]) if null_safe else left[k] == right[rk])
     return left.join(right, match, "left").drop(*right_keys)
 
 
@@ -234,6 +238,16 @@ def audit_types(df: DataFrame, expected: Mapping[str, str]) -> DataFrame:
 
 
 def new_keys_only(candidates: DataFrame, known: DataFrame, on: Names) -> DataFrame:
-    """Each key not seen before, once."""
+    """Each key not seen before, once; a NULL key is known if a known key is NULL."""
+    keys = as_list(on)
+    return without_keys(candidates.select(*keys).distinct(), known, keys)
+
+
+def without_keys(rows: DataFrame, known: DataFrame, on: Names) -> DataFrame:
+    """Rows whose keys are not among the known ones; NULL keys match."""
     keys = as_list(on)
-    return candidates.select(*keys).distinct().join(known.select(*keys).distinct(), keys, "left_anti")
+    known = known.select(*[F.col(k).alias(f"__known_{k}") for k in keys]).distinct()
+    same = F.lit(True)
+    for k in keys:
+        same = same & rows[k].eqNullSafe(known[f"__known_{k}"])
+    return rows.join(known, same, "left_anti")

@@ -13,10 +13,12 @@ LIMIT_OFFSET = 0.05
 
 
 def with_benchmark(
-    returns: DataFrame, benchmark: DataFrame, ts: Names = "Timestamp", name: str = "BenchmarkReturn"
+    returns: DataFrame, benchmark: DataFrame, ts: Names = "Timestamp", name: str = "BenchmarkReturn", validate: bool = True
 ) -> DataFrame:
-    """The benchmark's return at the same time, added to every return."""
-    return natural_join(returns, benchmark, ts, f"{name}=Return")
+    """The benchmark's return at the same time, added to every return.
+
+    ``validate=False`` skips the check that the benchmark has one row at a time, for computed bars."""
+    return natural_join(returns, benchmark, ts, f"{name}=Return", validate=validate)
 
 
 def benchmark_rows(returns: DataFrame, symbol: str, key: str = "Symbol") -> DataFrame:

@@ -11,6 +11,7 @@ from ..functions.normalize import lenient_double, note_value
 from ..operators.relational import last_by, move_up, natural_join, rename, select_distinct, update
 
 ORDER = ["ReceiveTime", "Seq"]
+# Request columns that annotated tables leave out.
 UNANNOTATED = ["ReceiveTime", "Seq", "RequestType", "SecId", "SecIdType", "DeltaNeutralContract", "Note"]
 
 
@@ -75,7 +76,8 @@ def derive(raw: Mapping[str, DataFrame], keep_seq: bool = False, validate: bool
         "orders_status": lambda t: move_up(
             last_by(t, "PermId", ORDER), ["ReceiveTime", "PermId", "ClientId", "OrderId", "ParentId"]
         ),
-        "bars_historical": lambda t: latest_bars(annotate(t, raw["requests"], validate)),
+        # A request is for one contract, so an update can replace its bar before the join.
+        "bars_historical": lambda t: annotate(last_by(t, ["RequestId", "Timestamp"], ORDER), raw["requests"], validate),
         "ticks_trade": lambda t: annotate(rename(t, "TradeExchange=Exchange"), raw["requests"], validate),
         "short_rates": lambda t: t,
     }
@@ -137,8 +139,3 @@ def _orders_submitted(orders, status):
     return move_up(
         out, ["ReceiveTime", "Account", "ModelCode", "PermId", "ClientId", "OrderId", "ParentId", "Status"]
     )
-
-
-def latest_bars(bars: DataFrame) -> DataFrame:
-    """An updated bar replaces its earlier version."""
-    return last_by(bars, ["RequestId", "Timestamp", "ContractId"], ORDER)

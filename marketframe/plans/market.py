@@ -175,6 +175,8 @@ def bars_from_ticks(
 ) -> DataFrame:
     """Open, high, low, close, volume, count and volume-weighted price per key and bar.
 
+    Rows without a price (a price of 0 is one) are in no bar. Rows without ``seq`` come first at their time.
+
     Every aggregate is combined before the shuffle, so a busy key sends one row per bar and task.
     Open and close are picked by one sortable number per row, which keeps the aggregation hashed.
     """
@@ -186,9 +188,9 @@ def bars_from_ticks(
         (bar_start(F.col(ts), size) if start is None else start).alias("Timestamp"),
         price.alias("__price"),
         volume.cast("double").alias("__size"),
-        (arrival.cast("decimal(38,0)") + F.col(seq).cast("decimal(20,0)")).cast("decimal(38,0)").alias("__at"),
-    )
-    traded = F.sum(F.when(F.col("__price").isNotNull(), F.col("__size")))
+        (arrival.cast("decimal(38,0)") + F.coalesce(F.col(seq), F.lit(0)).cast("decimal(20,0)")).cast("decimal(38,0)").alias("__at"),
+    ).filter(F.col("__price").isNotNull())
+    traded = F.sum("__size")
     value = F.sum(F.col("__price") * F.col("__size"))
     return rows.groupBy(*as_list(keys), "Timestamp").agg(
         F.min_by("__price", "__at").alias("Open"),
@@ -325,8 +327,6 @@ def news_history(
     tie: str = "ArticleId",
 ) -> DataFrame:
     """Newest headlines per contract after ``start`` and up to ``end``, at most ``total_results``."""
-    if not 1 <= total_results <= 300:
-        raise ValueError("total_results must be from 1 to 300")
     rows = news.filter((F.col(ts) > F.lit(start)) & (F.col(ts) <= F.lit(end)))
     if providers:
         rows = rows.filter(F.col(provider).isin(list(providers)))

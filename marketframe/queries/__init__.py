@@ -1,17 +1,19 @@
 """The registered queries over the driver's tables, each with the SQL it must agree with."""
 
-from . import derived, markets, outcomes, programs, relational, rows, series, streams, times
+from . import derived, logs, markets, outcomes, programs, relational, rows, scale, series, streams, times
 from .registry import ORACLES, QUERIES
 
 __all__ = [
     "ORACLES",
     "QUERIES",
     "derived",
+    "logs",
     "markets",
     "outcomes",
     "programs",
     "relational",
     "rows",
+    "scale",
     "series",
     "streams",
     "times",

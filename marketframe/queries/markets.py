@@ -38,6 +38,12 @@ _SIZES = {
     "ohlc_bars_1w": (m.BarSize.WEEK_1, "date_trunc('week', ts)"),
     "ohlc_bars_1mo": (m.BarSize.MONTH_1, "date_trunc('month', ts)"),
 }
+# The remaining sizes, by the length that their names state.
+_SIZES |= {
+    f"ohlc_bars_{size.name.lower()}": (size, f"to_timestamp(epoch_us(ts) // {size.seconds}000000 * {size.seconds}) AT TIME ZONE 'UTC'")
+    for size in m.BarSize
+    if size not in [known for known, _ in _SIZES.values()]
+}
 for _name, (_size, _bucket) in _SIZES.items():
     query(_name, _BARS.format(bucket=_bucket))(lambda t, size=_size: _bars(t, size))
 
@@ -57,6 +63,19 @@ def bars_realtime_midpoint(t):
     return bars.drop("Volume", "WAP")
 
 
+_QUOTES = """
+    SELECT user_id, date_trunc('hour', ts) AS Timestamp, arg_min({price}, (ts, event_id)) AS "Open", max({price}) AS High, min({price}) AS Low,
+           arg_max({price}, (ts, event_id)) AS "Close", count(*) AS BarCount FROM events GROUP BY 1, 2
+"""
+for _basis, _price in {"BID": "(value - 1)", "ASK": "(value + 1)", "TRADES": "value"}.items():
+
+    @query(f"bars_basis_{_basis.lower()}", _QUOTES.format(price=_price))
+    def bars_basis(t, basis=_basis):
+        quotes = t.events.withColumns({"BidPrice": F.col("value") - 1, "AskPrice": F.col("value") + 1, "Price": F.col("value")})
+        bars = m.bars_from_ticks(quotes, m.BarSize.HOUR_1, "user_id", "ts", "event_id", m.basis_price(quotes, basis), None)
+        return bars.withColumn("Timestamp", ntz("Timestamp")).drop("Volume", "WAP")
+
+
 @query(
     "bars_replace_updates",
     """

@@ -76,8 +76,8 @@ def error_code_usage(t):
 # Orders ask for contracts (the part of their number), lineitems answer with details, events with errors.
 _ENTRIES = """
     req AS (SELECT o_orderkey AS RequestId, 'C' || o_custkey AS Contract FROM orders),
-    det AS (SELECT l_orderkey AS RequestId, 'C' || l_partkey AS OwnContract, l_linenumber AS Line FROM lineitem WHERE l_returnflag = 'R'),
-    err AS (SELECT event_id AS RequestId, event_type AS Error FROM events WHERE event_type IN ('error', 'view')),
+    det AS (SELECT l_orderkey AS RequestId, 'C' || l_partkey AS OwnContract, l_linenumber AS Line FROM lineitem),
+    err AS (SELECT event_id AS RequestId, event_type AS Error FROM events),
     entries AS (
       SELECT Contract, RequestId, 'detail' AS Kind, Line, NULL AS ErrorText FROM det JOIN req USING (RequestId)
       UNION ALL
@@ -89,10 +89,10 @@ _ENTRIES = """
 
 def _entries(t):
     requests = t.orders.selectExpr("o_orderkey AS RequestId", "'C' || o_custkey AS Contract")
-    details = t.lineitem.filter("l_returnflag = 'R'").selectExpr(
+    details = t.lineitem.selectExpr(
         "l_orderkey AS RequestId", "'C' || l_partkey AS OwnContract", "l_linenumber AS Line"
     )
-    errors = t.events.filter("event_type IN ('error', 'view')").selectExpr("event_id AS RequestId", "event_type AS Error")
+    errors = t.events.selectExpr("event_id AS RequestId", "event_type AS Error")
     return requests, out.contract_entries(requests, details, errors, "Contract", "OwnContract")
 
 

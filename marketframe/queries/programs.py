@@ -15,7 +15,7 @@ from ..plans import option_risk as risk
 from ..plans.market import BarSize, bars_from_ticks
 from ..plans.pair_ratio import pair_ratio
 from .registry import ntz, query, rounded
-from .series import GRID, decay_ctes
+from .series import TICKS, decay_ctes, grid
 
 DAY = timedelta(days=1)
 
@@ -38,7 +38,7 @@ def _daily(t, key):
     """,
 )
 def pair(t):
-    out = pair_ratio(_daily(t, "event_type"), "purchase", "view", "event_type", "Timestamp", ("Timestamp",))
+    out = pair_ratio(_daily(t, "event_type"), "purchase", "view", "event_type", "Timestamp", ("Timestamp",), validate=False)
     return rounded(out, "Ratio")
 
 
@@ -47,7 +47,7 @@ _SNAPSHOT = f"""
     p AS (SELECT s.*, i.m AS PredPrice, d.sd AS PredSD, i.m - d.sd AS PredLow, i.m + d.sd AS PredHigh,
                  min(s.ts) OVER (PARTITION BY s.user_id) AS TimestampFirst
           FROM src s JOIN inno i USING (event_id) JOIN dev d USING (event_id)),
-    g AS (SELECT unnest(range(TIMESTAMP '2024-01-02', TIMESTAMP '2024-01-31 00:00:01', INTERVAL 1 DAY)) AS SnapTime),
+    g AS ({TICKS}),
     gu AS (SELECT * FROM g, (SELECT DISTINCT user_id FROM events)),
     snap AS (SELECT gu.SnapTime, p.* FROM gu ASOF JOIN p ON gu.user_id = p.user_id AND gu.SnapTime >= p.ts),
     lim AS (SELECT user_id AS ContractId, SnapTime, PredLow, PredHigh, coalesce(c_acctbal, 0.0) AS Position,
@@ -61,7 +61,7 @@ _LIMIT = 500000.0
 def _limits(t):
     events = t.events.select("event_id", "ts", "user_id", "value")
     preds = mm.predictions(events, DAY, "user_id", "ts", "event_id", "value")
-    snaps = mm.latest_snapshot(preds, GRID, "user_id", "ts", "event_id", history=True)
+    snaps = mm.latest_snapshot(preds, grid(t), "user_id", "ts", "event_id", history=True)
     rows = mm.after_burn_in(mm.with_first_time(snaps, events, "user_id", "ts"), DAY, "ts")
     rows = rows.withColumnRenamed("user_id", "ContractId").withColumn("SnapTime", ntz("SnapTime"))
     held = t.customer.filter("c_mktsegment <> 'BUILDING'").selectExpr("c_custkey AS ContractId", "c_acctbal AS Position")
@@ -111,7 +111,7 @@ def open_intents(t):
     WITH f AS (SELECT user_id, min(ts) AS TimestampFirst FROM events WHERE event_type = 'purchase' GROUP BY 1)
     SELECT e.event_id, e.ts, e.user_id, e.Side, e.value AS Price, f.TimestampFirst FROM (
       SELECT *, CASE WHEN event_id % 2 = 0 THEN 'BOT' ELSE 'SLD' END AS Side FROM events) e
-    JOIN f ON e.user_id = f.user_id WHERE e.ts >= f.TimestampFirst AND Side = 'BOT'
+    JOIN f ON e.user_id = f.user_id WHERE e.ts >= f.TimestampFirst
     """,
 )
 def trades_since_start(t):
@@ -119,7 +119,8 @@ def trades_since_start(t):
     trades = t.events.selectExpr(
         "event_id", "ts", "user_id", "CASE WHEN event_id % 2 = 0 THEN 'BOT' ELSE 'SLD' END AS Side", "value AS Price"
     )
-    return mm.buys(mm.executions_since_start(trades, starts, "user_id", "ts"))
+    since = mm.executions_since_start(trades, starts, "user_id", "ts")
+    return mm.buys(since).unionByName(mm.sells(since))
 
 
 # Daily returns of each user against the daily returns of user 1.
@@ -135,7 +136,7 @@ _RETURNS = f"""
 def _returns(t):
     # A key has one row per day, so no key is large.
     rows = returns(_daily(t, "user_id"), "Close", "user_id", "Timestamp", split_rows=None)
-    return beta.with_benchmark(rows, beta.benchmark_rows(rows, 1, "user_id"))
+    return beta.with_benchmark(rows, beta.benchmark_rows(rows, 1, "user_id"), validate=False)
 
 
 @query(
@@ -159,7 +160,7 @@ def beta_regression(t):
 _POSITIONS = f"""
     {_RETURNS},
     px AS (SELECT user_id, arg_max(value, (ts, event_id)) AS Price FROM events GROUP BY 1),
-    pos AS (SELECT c_custkey AS ContractId, c_custkey % 150 AS user_id, c_acctbal AS Position, 100.0::DOUBLE AS AvgCost FROM customer),
+    pos AS (SELECT c_custkey AS ContractId, c_custkey % (SELECT max(user_id) + 1 FROM events) AS user_id, c_acctbal AS Position, 100.0::DOUBLE AS AvgCost FROM customer),
     pb AS (SELECT pos.*, Price, Beta, R2, Position * Price AS PosValue, Position * Price - AvgCost * Position AS PNL,
                   Beta * Position * Price AS BetaValue
            FROM pos LEFT JOIN px USING (user_id) LEFT JOIN betas USING (user_id))
@@ -168,7 +169,10 @@ _POSITIONS = f"""
 
 def _positions(t):
     prices = last_by(t.events, "user_id", ["ts", "event_id"]).select("user_id", F.col("value").alias("Price"))
-    held = t.customer.selectExpr("c_custkey AS ContractId", "c_custkey % 150 AS user_id", "c_acctbal AS Position", "100.0D AS AvgCost")
+    users = t.events.agg(F.max("user_id") + 1).scalar()
+    held = t.customer.select(
+        F.col("c_custkey").alias("ContractId"), (F.col("c_custkey") % users).alias("user_id"), F.col("c_acctbal").alias("Position"), F.lit(100.0).alias("AvgCost")
+    )
     betas = beta.regress(_returns(t), "user_id")
     return beta.positions_with_beta(held, prices, betas, "user_id", "user_id", validate=False), prices
 
@@ -256,7 +260,7 @@ def _option_sql(positions: str) -> str:
     return f"""
     contracts AS (SELECT {contract} FROM part),
     pos AS ({positions}),
-    vols AS (SELECT event_id % 2000 AS ContractId, arg_max(0.1 + value / 1000, (ts, event_id)) AS Vol FROM events
+    vols AS (SELECT event_id % (SELECT max(p_partkey) + 1 FROM part) AS ContractId, arg_max(0.1 + value / 1000, (ts, event_id)) AS Vol FROM events
              WHERE event_type = 'view' GROUP BY 1),
     und AS (SELECT 'Brand#' || (1 + user_id % 25) AS Symbol, arg_max(900 + value, (ts, event_id)) AS UPrice FROM events
             WHERE event_type = 'click' GROUP BY 1),
@@ -288,12 +292,13 @@ def _split(columns: str) -> list[str]:
     return out
 
 
+def _vol_ticks(t):
+    contract = (F.col("event_id") % t.part.agg(F.max("p_partkey") + 1).scalar()).alias("ContractId")
+    return t.events.select(contract, F.col("event_type").alias("TickType"), F.expr("0.1D + value / 1000").alias("Value"), "ts", "event_id")
+
+
 def _market(t):
-    vols = risk.last_vols(
-        t.events.selectExpr("event_id % 2000 AS ContractId", "event_type AS TickType", "0.1D + value / 1000 AS Value", "ts", "event_id"),
-        ["ts", "event_id"],
-        "view",
-    )
+    vols = risk.last_vols(_vol_ticks(t), ["ts", "event_id"], "view")
     quotes = t.events.filter("event_type = 'click'").selectExpr(
         "user_id % 25 AS ContractId", "'STK' AS SecType", "'Brand#' || (1 + user_id % 25) AS Symbol",
         "899 + value AS BidPrice", "901 + value AS AskPrice", "ts", "event_id",
@@ -361,13 +366,10 @@ def scenario_risk(t):
 @query(
     "last_underlying_and_vol",
     """
-    SELECT event_id % 2000 AS ContractId, round(arg_max(0.1 + value / 1000, (ts, event_id)), 6) AS Vol FROM events
+    SELECT event_id % (SELECT max(p_partkey) + 1 FROM part) AS ContractId, round(arg_max(0.1 + value / 1000, (ts, event_id)), 6) AS Vol FROM events
     WHERE event_type = 'view' GROUP BY 1
     """,
 )
 def last_underlying_and_vol(t):
-    ticks = t.events.selectExpr(
-        "event_id % 2000 AS ContractId", "event_type AS TickType", "0.1D + value / 1000 AS Value", "ts", "event_id"
-    )
-    return rounded(risk.last_vols(ticks, ["ts", "event_id"], "view").select("ContractId", "Vol"), "Vol")
+    return rounded(risk.last_vols(_vol_ticks(t), ["ts", "event_id"], "view").select("ContractId", "Vol"), "Vol")
 

@@ -255,7 +255,13 @@ def headline_clean(t):
     )
 
 
-@query("html_unescape")
+@query(
+    "html_unescape",
+    """
+    SELECT page_id, replace(replace(replace(replace(html, '&quot;', '"'), '&copy;', chr(169)), '&middot;', chr(183)), '&amp;', '&') AS ArticleText
+    FROM pages
+    """,
+)
 def html_unescape(t):
     return t.pages.select("page_id", n.html_unescape(F.col("html")).alias("ArticleText"))
 
@@ -274,15 +280,15 @@ def position_exchange(t):
 @query(
     "tick_union",
     """
-    SELECT event_id AS Seq, user_id AS RequestId, value AS Price, CASE WHEN event_type = 'view' THEN 'live' END AS Source
-    FROM events WHERE event_type IN ('view', 'click')
+    SELECT event_id AS Seq, user_id AS RequestId, value AS Price, CASE WHEN event_type IN ('view', 'click') THEN 'live' END AS Source
+    FROM events
     """,
 )
 def tick_union(t):
-    live = t.events.filter("event_type = 'view'").selectExpr(
+    live = t.events.filter("event_type IN ('view', 'click')").selectExpr(
         "event_id AS Seq", "user_id AS RequestId", "value AS Price", "'live' AS Source"
     )
-    past = t.events.filter("event_type = 'click'").selectExpr("event_id AS Seq", "user_id AS RequestId", "value AS HistoricalPrice")
+    past = t.events.filter("event_type IS NULL OR event_type NOT IN ('view', 'click')").selectExpr("event_id AS Seq", "user_id AS RequestId", "value AS HistoricalPrice")
     return unify_ticks(live, past, {"HistoricalPrice": "Price"})
 
 
@@ -306,3 +312,12 @@ def formula_arithmetic(t):
         ((discount > 0.05) & (tax < 0.05)).alias("Flag"),
         n.round_half_up(price / 7).alias("Shares"),
     )
+
+
+@query(
+    "null_to_blank",
+    "SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN '' ELSE CAST(o_custkey AS VARCHAR) END AS CustomerKey FROM orders",
+)
+def null_to_blank(t):
+    key = F.when(F.col("o_orderkey") % 3 != 0, F.col("o_custkey"))
+    return t.orders.select("o_orderkey", n.null_to_blank(key).alias("CustomerKey"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
+from datetime import timedelta
 
 from pyspark.sql import functions as F
 
@@ -121,21 +121,26 @@ def burn_in(t):
     return rounded(rows, "PredPrice", "PredSD", "PredLow", "PredHigh")
 
 
-GRID = TimeGrid(datetime(2024, 1, 2), datetime(2024, 1, 31), DAY)
-_TICKS = "SELECT unnest(range(TIMESTAMP '2024-01-02', TIMESTAMP '2024-01-31 00:00:01', INTERVAL 1 DAY)) AS SnapTime"
+TICKS = """
+    SELECT unnest(range(date_trunc('day', low)::TIMESTAMP + INTERVAL 1 DAY, date_trunc('day', high)::TIMESTAMP + INTERVAL 25 HOUR, INTERVAL 1 DAY)) AS SnapTime
+    FROM (SELECT min(ts) AS low, max(ts) AS high FROM events)
+"""
 
 
-@query("time_grid", _TICKS)
-def time_grid(t):
-    # The grid follows the data: from the day after the first event to the last day.
+def grid(t) -> TimeGrid:
+    """Midnights from the one after the first event to the one after the last: two numbers of the table."""
     low, high = t.events.agg(F.min("ts"), F.max("ts")).first()
-    day = low.replace(hour=0, minute=0, second=0, microsecond=0) + DAY
-    end = high.replace(hour=0, minute=0, second=0, microsecond=0) + DAY
-    return TimeGrid(day, end, DAY).frame(t.spark, "SnapTime").select(ntz("SnapTime").alias("SnapTime"))
+    midnight = {"hour": 0, "minute": 0, "second": 0, "microsecond": 0}
+    return TimeGrid(low.replace(**midnight) + DAY, high.replace(**midnight) + DAY, DAY)
+
+
+@query("time_grid", TICKS)
+def time_grid(t):
+    return grid(t).frame(t.spark, "SnapTime").select(ntz("SnapTime").alias("SnapTime"))
 
 
 _SNAP = f"""
-    WITH g AS ({_TICKS}), u AS (SELECT DISTINCT user_id FROM events), gu AS (SELECT * FROM g, u)
+    WITH g AS ({TICKS}), u AS (SELECT DISTINCT user_id FROM events), gu AS (SELECT * FROM g, u)
     SELECT gu.SnapTime, gu.user_id, e.event_id, e.ts, e.value
     FROM gu ASOF JOIN events e ON gu.user_id = e.user_id AND gu.SnapTime >= e.ts
 """
@@ -144,14 +149,14 @@ _SNAP = f"""
 @query("snapshot_when", _SNAP)
 def snapshot_history(t):
     rows = t.events.select("event_id", "ts", "user_id", "value")
-    out = snapshot_when(rows, GRID, "user_id", "ts", "event_id", history=True)
+    out = snapshot_when(rows, grid(t), "user_id", "ts", "event_id", history=True)
     return out.withColumn("SnapTime", ntz("SnapTime"))
 
 
-@query("snapshot_newest", f"{_SNAP} WHERE gu.SnapTime = TIMESTAMP '2024-01-31'")
+@query("snapshot_newest", f"{_SNAP} WHERE gu.SnapTime = (SELECT max(SnapTime) FROM g)")
 def snapshot_newest(t):
     rows = t.events.select("event_id", "ts", "user_id", "value")
-    return snapshot_when(rows, GRID, "user_id", "ts", "event_id").withColumn("SnapTime", ntz("SnapTime"))
+    return snapshot_when(rows, grid(t), "user_id", "ts", "event_id").withColumn("SnapTime", ntz("SnapTime"))
 
 
 @query(

@@ -9,12 +9,13 @@ from pyspark.sql import functions as F
 
 from ..operators.relational import last_by
 
-# Texts for codes that the published tables lack. Two further codes, 502 and 2129,
-# name the vendor's products in their text; pass them in through ``additions``.
+# Texts for codes that the published tables lack.
 ADDITIONAL_CODES = {
     0: "Warning: Approaching max rate of 50 messages per second",
     504: "Not connected",
+    502: "Couldn't connect to TWS. Confirm that 'Enable ActiveX and Socket EClients' is enabled and connection port is the same as 'Socket Port' on the TWS 'Edit->Global Configuration...->API->Settings' menu. Live Trading ports: TWS: 7496; IB Gateway: 4001. Simulated Trading ports for new installations of version 954.1 or newer:  TWS: 7497; IB Gateway: 4002",
     2113: "The order size for Bonds (Bills) is entered as a nominal par value of the order, and must be a multiple",
+    2129: "The product is provided on an indicative and informational basis only. IBKR does not represent that the valuation for this instrument is accurate. The basis for the calculation may change at any time. Traders are responsible for understanding the contract details and details of deliverable instruments independently of IBKR sources, which are provided on a best efforts basis only.",
     2157: "Sec-def data farm connection is broken:secdefil",
     10089: "Requested market data requires additional subscription for API.See link in 'Market Data Connections' dialog for more details.",
     10147: "OrderId that needs to be cancelled is not found.",

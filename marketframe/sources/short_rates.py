@@ -27,8 +27,7 @@ def parse_short_rates(lines: DataFrame, types: Mapping[str, str] | None = None)
     """
     lines = lines.filter(~F.col("value").rlike("^#[BE]OF"))
     text = F.regexp_replace(html_unescape(F.col("value")), r"\|$", "")
-    header_text = F.regexp_replace(F.col("value"), r"\|$", "")
-    headers = lines.filter(F.col("value").startswith("#")).select(header_text.alias("h")).distinct().take(2)
+    headers = lines.filter(F.col("value").startswith("#")).select(text.alias("h")).distinct().take(2)
     if not headers:
         raise ValueError("Short rates: no header line")
     if len(headers) > 1:

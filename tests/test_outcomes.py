@@ -58,12 +58,10 @@ def test_contract_resolution(spark, values):
     ]
 
 
-def test_contract_entries_and_message(spark, values):
+def test_contract_entries(spark, values):
     _, entries = contract_frames(spark)
     details = entries.filter("Kind = 'detail'").select("Contract", F.col("Detail.Id").alias("Id"))
     assert values(details) == [("both", 51), ("one", 11), ("two", 21), ("two", 22), ("two-a", 21), ("two-b", 22)]
-    message = out.error_message(entries, "Contract").filter("Contract = 'err'").first().ErrorMessage
-    assert message == "req_id=3 a|req_id=3 b"
 
 
 def test_keys_to_request(spark, values):
