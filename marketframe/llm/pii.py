@@ -183,16 +183,16 @@ def with_spans(df: DataFrame, text: str = "text", out: str = "pii", of: list[Kin
 
 
 def redacted(text: Column, spans: Column) -> Column:
-    """The text with every span replaced by its kind in angle brackets; overlapping spans become one, named by the first."""
-    by_start = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
-    none = F.array().cast("array<struct<start:int,end:int,kind:string>>")
+    """The text with every span replaced by its kind in angle brackets; overlapping spans become one, named by the first and longest."""
+    by_start = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), (-s["end"]).alias("back"), s["end"].alias("end"), s["kind"].alias("kind"))))
+    none = F.array().cast("array<struct<start:int,back:int,end:int,kind:string>>")
 
     def joined(merged: Column, s: Column) -> Column:
         last = F.get(merged, F.size(merged) - 1)
         apart = F.concat(merged, F.array(s))
         grown = F.concat(
             F.slice(merged, F.lit(1), F.size(merged) - 1),
-            F.array(F.struct(last["start"].alias("start"), F.greatest(last["end"], s["end"]).alias("end"), last["kind"].alias("kind"))),
+            F.array(F.struct(last["start"].alias("start"), last["back"].alias("back"), F.greatest(last["end"], s["end"]).alias("end"), last["kind"].alias("kind"))),
         )
         return F.when((F.size(merged) > 0) & (last["end"] > s["start"]), grown).otherwise(apart)
 
