@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.normalize import blank_to_null, decimals_to_double
 from ..operators.relational import assert_unique_columns
 from ..schemas import raw_schema
+from .messages import normalize_message
 
 RAW_PREFIX = "raw_"
 
@@ -32,9 +33,10 @@ def read_raw(
     return normalize_rows(reader.options(**options).load(path))
 
 
-def append_raw(df: DataFrame, path: str) -> None:
-    """Append normalised rows to a raw table's folder."""
-    normalize_rows(df).write.mode("append").parquet(path)
+def append_raw(df: DataFrame, path: str, table: str | None = None) -> None:
+    """Append rows to a raw table's folder; with the table's name, messages by its rules."""
+    rows = normalize_message(table, df) if table else normalize_rows(df)
+    rows.write.mode("append").parquet(path)
 
 
 def read_kafka(spark: SparkSession, table: str, servers: str, topic: str, **options) -> DataFrame:
@@ -47,17 +49,17 @@ def read_kafka(spark: SparkSession, table: str, servers: str, topic: str, **opti
         .options(**options)
         .load()
     )
-    return parse_messages(messages, schema)
+    return parse_messages(messages, schema, table)
 
 
-def parse_messages(messages: DataFrame, schema) -> DataFrame:
-    """Rows from messages with ``value`` (JSON), ``timestamp`` and ``offset``."""
+def parse_messages(messages: DataFrame, schema, table: str | None = None) -> DataFrame:
+    """Rows from messages with ``value`` (JSON), ``timestamp`` and ``offset``; by the table's rules, if named."""
     row = F.from_json(F.col("value").cast("string"), schema).alias("row")
     rows = messages.select(row, "timestamp", "offset").select(
         "row.*", F.col("timestamp").alias("__at"), F.col("offset").alias("Seq")
     )
     arrived = rows.withColumn("ReceiveTime", F.coalesce("ReceiveTime", "__at")).drop("__at")
-    return normalize_rows(arrived)
+    return normalize_message(table, arrived) if table else normalize_rows(arrived)
 
 
 def unify_ticks(live: DataFrame, historical: DataFrame, renames: Mapping[str, str] | None = None):

@@ -111,3 +111,39 @@ def test_tick_union(spark, values):
     live = spark.sql("SELECT 1L AS RequestId, 2D AS MidPoint")
     past = spark.sql("SELECT 5L AS RequestId, 3D AS Price")
     assert values(rawlog.unify_ticks(live, past, {"Price": "MidPoint"})) == [(1, 2.0), (5, 3.0)]
+
+
+def test_every_raw_table_takes_messages(spark):
+    """Rules name columns of their tables, and rows in declared types pass through them unchanged."""
+    from marketframe.schemas import raw_schema, raw_tables
+    from marketframe.sources.messages import RULES, normalize_message
+
+    for table in raw_tables():
+        schema = raw_schema(table)
+        assert set(RULES.get(table, {})) <= set(schema.names), table
+        empty = spark.createDataFrame([], schema)
+        assert normalize_message(table, empty).dtypes == empty.dtypes, table
+
+
+def test_message_rules(spark):
+    from marketframe.sources.messages import normalize_message
+
+    def one(table, schema, *values):
+        return tuple(normalize_message(table, spark.createDataFrame([values], schema)).first())
+
+    assert one("errors", "RequestId long, Error string", 2147483647, "") == (None, None)
+    assert one("news_bulletins", "MsgType int, Message string", 2, "x") == ("EXCHANGE_AVAILABLE", "x")
+    assert one("news_articles", "ArticleType int, ArticleText string", 0, "a &amp; b") == ("PlainTextOrHtml", "a & b")
+    assert one("accounts_allocation_profiles", "Type string, Amount decimal(9,2)", "1", None) == ("Percentages", None)
+    assert one("ticks_option_computation", "TickAttrib int, ImpliedVol double", 1, 0.5) == ("Price-based", 0.5)
+    assert one("contracts_matching", "Right string, Multiplier string, DerivativeSecTypes string", "?", "", "OPT,WAR,OPT") == (None, 1.0, ["OPT", "WAR"])
+    assert one("orders_completed", "Origin int, AlgoParams array<string>", 1, ["b", "a", "b"]) == ("Firm", ["a", "b"])
+    zoned = one("orders_exec_details", "Timestamp string, Side string", "20240105 10:00:00", "BOT")
+    assert zoned[1] == "BOT" and zoned[0] is not None
+    assert one("bars_realtime", "Timestamp long, Volume double, Count long", 0, -1.0, 0)[1:] == (None, None)
+    assert one("ticks_mid_point", "Timestamp long, MidPoint double", 0, 1.5)[1] == 1.5
+    assert one("ticks_price", "Price double", 0.0) == (None,)
+    again = normalize_message("orders_submitted", normalize_message("orders_submitted", spark.createDataFrame([(1,)], "Origin int")))
+    assert again.first() == ("Firm",)
+    with pytest.raises(ValueError):
+        normalize_message("nothing", spark.range(1))
