@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from pyspark.sql import Window
 
 from ..functions.timefmt import micros
+from ..session import shared_dir
 from .relational import Names, as_list
 
 US = "__us"
@@ -28,6 +29,8 @@ LENGTH = "__length"
 SPLIT_ROWS = 2_000_000
 # The block of rows without a time: before all others, as such rows stand first in their key's order.
 FIRST_BLOCK = -(2**63)
+# Rows of a split level that is broadcast at most; a larger one is joined by a shuffle.
+BROADCAST_ROWS = 200_000
 
 
 def to_micros(duration: timedelta | int | float) -> int:
@@ -49,11 +52,13 @@ class Split:
 
     The first level holds the hot keys, with a length that cuts each into equal stretches of time;
     every further level holds the stretches that are still too large (bursts), with a finer length
-    of their own. A level has at most (rows of the table) / (rows per block) rows, so it is
-    broadcast. Only rows of one key at the same microsecond stay together whatever their number.
+    of their own. A level has at most (rows of the table) / (rows per block) rows. It is written once
+    and read back wherever it is used, and broadcast if its counted rows are few. Only rows of one
+    key at the same microsecond stay together whatever their number.
     """
 
     levels: tuple[DataFrame, ...]
+    small: tuple[bool, ...]
 
 
 def _length(groups: DataFrame, rows: int, parts: int) -> DataFrame:
@@ -79,20 +84,30 @@ def plan_split(
     keys = as_list(keys)
     cut = df.select(*keys, position(df, ts).alias(US))
     level = _length(cut.groupBy(*keys), rows, 1)
-    levels: list[DataFrame] = []
+    levels, small = [], []
     while not level.isEmpty():
-        cut = _refine(cut, level, keys, longest, "inner", first=not levels)
+        level, n = _stored(level)
+        small.append(n <= BROADCAST_ROWS)
+        cut = _refine(cut, level, small[-1], keys, longest, "inner", first=not levels)
         levels.append(level)
         level = _length(cut.groupBy(*keys, BLOCK), 2 * rows, 1000)
-    return Split(tuple(levels)) if levels else None
+    return Split(tuple(levels), tuple(small)) if levels else None
 
 
-def _refine(rows: DataFrame, level: DataFrame, keys, longest, how: str, first: bool) -> DataFrame:
+def _stored(level: DataFrame) -> tuple[DataFrame, int]:
+    """A level as a table in the shared folder, and its number of rows."""
+    path = shared_dir(level.sparkSession, "split")
+    level.write.parquet(path)
+    stored = level.sparkSession.read.schema(level.schema).parquet(path)
+    return stored, stored.count()
+
+
+def _refine(rows: DataFrame, level: DataFrame, small: bool, keys, longest, how: str, first: bool) -> DataFrame:
     if first:
-        return _start(join_small(rows, level, keys, how), LENGTH, longest)
+        return _start(join_level(rows, level, small, keys, how), LENGTH, longest)
     finer = level.withColumnRenamed(LENGTH, "__finer")
     start = F.expr(f"greatest({BLOCK}, {US} - pmod({US}, __finer))")
-    return join_small(rows, finer, [*keys, BLOCK], how).withColumn(BLOCK, start).drop("__finer")
+    return join_level(rows, finer, small, [*keys, BLOCK], how).withColumn(BLOCK, start).drop("__finer")
 
 
 def _start(rows: DataFrame, length: str, longest: int | None) -> DataFrame:
@@ -118,18 +133,18 @@ def with_blocks(
     if block or split is None:
         fixed = rows.withColumn(LENGTH, F.lit(block).cast("long"))
         return _start(fixed, LENGTH, longest)
-    for i, level in enumerate(split.levels):
-        rows = _refine(rows, level, keys, longest, "left", first=i == 0)
+    for i, (level, small) in enumerate(zip(split.levels, split.small)):
+        rows = _refine(rows, level, small, keys, longest, "left", first=i == 0)
     return rows
 
 
-def join_small(rows: DataFrame, small: DataFrame, keys: Names, how: str) -> DataFrame:
-    """Join with a table of bounded size by broadcast; NULL keys match."""
-    renamed = small.withColumnsRenamed({k: f"__small_{k}" for k in as_list(keys)})
+def join_level(rows: DataFrame, level: DataFrame, small: bool, keys: Names, how: str) -> DataFrame:
+    """Join with a split level, by broadcast if it is small; NULL keys match."""
+    renamed = level.withColumnsRenamed({k: f"__small_{k}" for k in as_list(keys)})
     match = F.lit(True)
     for k in as_list(keys):
         match = match & rows[k].eqNullSafe(renamed[f"__small_{k}"])
-    return rows.join(F.broadcast(renamed), match, how).drop(*[f"__small_{k}" for k in as_list(keys)])
+    return rows.join(F.broadcast(renamed) if small else renamed, match, how).drop(*[f"__small_{k}" for k in as_list(keys)])
 
 
 def with_previous(
@@ -180,9 +195,9 @@ def split_apply(
     split = plan_split(df, keys, ts, split_rows, longest)
     if split is None:
         return whole(df)
-    hot = split.levels[0].select(*keys)
-    rest = whole(join_small(df, hot, keys, "left_anti"))
-    return rest.unionByName(blocked(join_small(df, hot, keys, "left_semi"), split))
+    hot, small = split.levels[0].select(*keys), split.small[0]
+    rest = whole(join_level(df, hot, small, keys, "left_anti"))
+    return rest.unionByName(blocked(join_level(df, hot, small, keys, "left_semi"), split))
 
 
 def _previous_in_blocks(source, inner, kept, keys, ts, seq, block, split) -> DataFrame:

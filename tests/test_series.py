@@ -162,6 +162,39 @@ def test_no_hot_key_needs_one_shuffle(spark, tmp_path):
         assert plan.count("Exchange") == 1 and "Join" not in plan
 
 
+def test_a_hot_key_needs_three_scans(spark, tmp_path):
+    """One for the other keys, one narrow and one wide for the hot one; levels are read from where they were written."""
+    spark.range(1000).selectExpr("if(id % 2 = 0, 0, id) AS k", "timestamp_seconds(id) AS ts", "CAST(id AS DOUBLE) AS x").write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    for out in (ordered.with_previous(df, {"p": "x"}, "k", "ts", split_rows=100), decay.decay_stats(df, "ts", 60, "k", MEAN, STD, split_rows=100)):
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert len([line for line in plan.splitlines() if "FileScan" in line and "split-" not in line]) == 3
+        assert out.count() == 1000
+
+
+def test_rows_without_time_stand_first_on_both_paths(spark):
+    rows = [("k", None, 1), ("k", -315619200, 2), ("k", -157766400, 3), ("k", 315532800, 4)] + [("k", None, 0)] * 0
+    df = spark.createDataFrame(rows, "k string, at long, v int").withColumn("ts", F.timestamp_seconds("at"))
+    for split in (None, 2):
+        out = ordered.with_previous(df, {"p": "v"}, "k", "ts", split_rows=split)
+        assert {r.v: r.p for r in out.collect()} == {1: None, 2: 1, 3: 2, 4: 3}
+
+
+def test_row_ids_keep_rows_without_part(spark):
+    df = spark.createDataFrame([(1, None), (2, 5), (3, None)], "v int, b int")
+    out = ordered.with_row_ids(df, ["b", "v"], F.col("b"), "v")
+    assert {r.v: r.RequestId for r in out.collect()} == {1: 1, 3: 2, 2: 3}
+
+
+def test_late_row_has_weight_zero(spark):
+    at = "timestamp_seconds(at) AS ts"
+    first = spark.createDataFrame([("k", 3600, 10.0)], "k string, at long, x double").selectExpr("k", "x", at)
+    late = spark.createDataFrame([("k", 1800, 11.0)], "k string, at long, x double").selectExpr("k", "x", at)
+    state = decay.last_states(decay.decay_stats(first, "ts", 120, "k", MEAN, STD), "k", "ts", {"x": (list(MEAN)[0], list(STD)[0])})
+    out = decay.decay_stats(late, "ts", 120, "k", MEAN, STD, initial=state).first()
+    assert out[list(MEAN)[0]] == 10.0 and out["ts"].minute == 30
+
+
 def test_returns_and_changes(spark, values):
     series = {"a": [(0, 10.0), (1, 10.0), (2, 0.0), (3, 5.0)], "b": [(0, 1.0)]}
     out = ordered.returns(frame(spark, series), "x", "k", "ts", "seq", split_rows=2)
