@@ -10,6 +10,7 @@ CND_GAMMA = 0.2316419
 CND_COEFFICIENTS = (0.31938153, -0.356563782, 1.781477937, -1.821255978, 1.330274429)
 CND_RSQRT2PI = 0.39894228040143267794
 
+# The rate and the shocks of the scenario grid.
 RATE = 0.04
 SHOCKS = (-0.2, -0.15, -0.1, -0.05, -0.02, -0.01, 0.0, 0.01, 0.02, 0.05, 0.1, 0.15, 0.2)
 

@@ -16,7 +16,7 @@ from ..operators.relational import Names, as_list, last_by, natural_join, top_by
 
 
 class BarSize(Enum):
-    """Bar sizes by the text that names them."""
+    """Bar sizes by the text that names them (fixed values)."""
 
     SEC_1 = "1 sec"
     SEC_5 = "5 secs"

@@ -47,9 +47,11 @@ def first_times(rows: DataFrame, key: str = "Symbol", ts: str = "Timestamp") ->
 
 
 def with_first_time(rows: DataFrame, source: DataFrame | None = None, key="Symbol", ts="Timestamp") -> DataFrame:
-    """Each row with its key's first time, taken from ``source`` if given."""
+    """Each row with its key's first time, taken from ``source`` if given; rows without a key have none.
+
+    Plain equality keeps rows that windows have partitioned by key where they are."""
     first = first_times(rows if source is None else source, key, ts)
-    return natural_join(rows, first, key, "TimestampFirst", validate=False)
+    return natural_join(rows, first, key, "TimestampFirst", validate=False, null_safe=False)
 
 
 def first_rows(rows: DataFrame, key: str = "Symbol", ts: str = "Timestamp", seq: str = "Seq") -> DataFrame:

@@ -58,8 +58,10 @@ def scenarios(
     never leaves its task. ``asof`` is the valuation time. ``validate=False`` skips the check that
     ``vols`` has one row per contract, as :func:`last_vols` gives.
     """
-    out = natural_join(positions, vols, "ContractId", "Vol", validate)
-    out = join(out, underlying, "Symbol", "UPrice=MidPrice")
+    # The symbol's join comes first: sums that follow then need a shuffle of their own after the
+    # contract's, so that no task gets all contracts and shocks of one symbol.
+    out = join(positions, underlying, "Symbol", "UPrice=MidPrice")
+    out = natural_join(out, vols, "ContractId", "Vol", validate)
     out = out.withColumn("ExpiryTime", expiry_instant(F.col("Expiry"))).withColumns(
         {
             "T": years_365(F.lit(asof), F.col("ExpiryTime")),

@@ -16,7 +16,6 @@ def query(name: str, sql: str | None = None):
 
     def register(build):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            spark.conf.set("spark.sql.session.timeZone", "UTC")
             return build(Tables(spark, sf_dir))
 
         QUERIES[name] = run

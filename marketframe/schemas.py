@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+# Names and types of the public tables' columns, in their order.
 # Column blocks shared by several tables.
 CONTRACT = """
     ContractId BIGINT, SecId STRING, SecIdType STRING, SecType STRING, Symbol STRING, LocalSymbol

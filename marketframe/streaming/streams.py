@@ -121,24 +121,42 @@ def decay_stream(
 ):
     """Time-decayed mean and deviation of a stream whose rows arrive in time order per key.
 
-    A micro-batch is computed like a table, continued from the states its predecessor stored, so a
-    busy key is spread over tasks here too. Each batch stores the states of all keys in its own
-    folder and reads only the one before, which makes a repeated batch harmless.
+    A micro-batch is computed like a table, continued from the states that earlier ones stored, so a
+    busy key is spread over tasks here too. Each batch stores the states of its own keys only, in its
+    own folder; every ``COMPACT`` batches the states of all keys are written anew, so that at most
+    that many folders are read. Which folders those are follows from the batch's number, so a
+    repeated batch is harmless.
     """
 
     def batch(rows: DataFrame, batch_id: int) -> None:
         spark = rows.sparkSession
-        before = spark.read.parquet(_folder(states, batch_id - 1)) if batch_id else None
+        before = _states_before(spark, states, batch_id, by)
         stats = decay_stats(rows, ts, tau, by, {mean: column}, {std: column}, seq, block, before)
         stats.write.mode("overwrite").parquet(_folder(path, batch_id))
         done = spark.read.parquet(_folder(path, batch_id))
         after = last_states(done, by, ts, {column: (mean, std)}, seq)
-        after = merge_states(before, after, by) if before is not None else after
         after.write.mode("overwrite").parquet(_folder(states, batch_id))
+        if batch_id and batch_id % COMPACT == 0:
+            whole = _states_before(spark, states, batch_id + 1, by, compacted=batch_id - COMPACT)
+            whole.write.mode("overwrite").parquet(_folder(f"{states}-whole", batch_id))
 
     return start(stream, checkpoint, batch, "append", every)
 
 
+#: Batches between rewrites of all states.
+COMPACT = 16
+
+
+def _states_before(spark: SparkSession, states: str, batch_id: int, by: Names, compacted: int | None = None) -> DataFrame | None:
+    """States after the batches before ``batch_id``: the last rewrite (or ``compacted``) and what changed since."""
+    if not batch_id:
+        return None
+    whole = (batch_id - 1) // COMPACT * COMPACT if compacted is None else compacted
+    first = [spark.read.parquet(_folder(f"{states}-whole", whole))] if whole else [spark.read.parquet(_folder(states, 0))]
+    changed = [_folder(states, i) for i in range(whole + 1, batch_id)]
+    return merge_states(first[0], spark.read.parquet(*changed), by) if changed else first[0]
+
+
 def first_seen(stream: DataFrame, keys: Names, ts: str | None = None, watermark: str | None = None) -> DataFrame:
     """First row per key. With a watermark, keys are remembered only that long."""
     if watermark is None:
@@ -155,10 +173,11 @@ def bars_stream(
     seq: str = "Seq",
     price: str = "Price",
     volume: str | None = "Size",
-    watermark: str | None = None,
+    watermark: str | None = "1 day",
 ) -> DataFrame:
-    """Bars of a fixed length over a stream. With a watermark, append mode emits finished bars and
-    drops their state; update mode keeps the current bar up to date."""
+    """Bars of a fixed length over a stream. Append mode emits bars that the watermark has finished;
+    update mode keeps the current bar up to date. State is dropped behind the watermark, and rows that
+    come later than it are left out; ``watermark=None`` keeps all state for ever."""
     if size.seconds is None:
         raise ValueError(f"No fixed length: {size.value}")
     rows = ticks.withColumn(ts, F.col(ts).cast("timestamp"))
