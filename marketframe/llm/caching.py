@@ -24,3 +24,14 @@ class Recent(dict):
             self.clear()
         self[key] = value
         return value
+
+
+_held: dict = {}
+
+
+def held(name: str, make: Callable):
+    """What ``make`` makes, kept in a worker process from task to task, until another operator asks for its own."""
+    if name not in _held:
+        _held.clear()
+        _held[name] = make()
+    return _held[name]

@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-from functools import cache
-
 import numpy as np
 import xxhash
 
-from .caching import Recent
+from .caching import Recent, held
 
 
 def scrambled(h: np.ndarray) -> np.ndarray:
@@ -17,10 +15,9 @@ def scrambled(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-@cache
 def word_hashes() -> Recent:
     """Hashes of recent words, one table for a worker process."""
-    return Recent(xxhash.xxh3_64_intdigest, 200_000)
+    return held("word hashes", lambda: Recent(xxhash.xxh3_64_intdigest, 150_000))
 
 
 def lower_words(text: str | None) -> list[bytes]:

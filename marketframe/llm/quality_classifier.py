@@ -10,7 +10,6 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from .caching import Recent
+from .caching import Recent, held
 from .common import remainder, shipped
 
 _LETTERS, _DIGITS = re.compile(r"[^\W\d_]+"), re.compile(r"[0-9]+")
@@ -46,10 +45,13 @@ def shape(word: bytes) -> bytes:
     return _LETTERS.sub(lambda m: "A" if len(m[0]) > 1 and m[0].isupper() else "a", text).encode()
 
 
-@cache
 def _hashes() -> tuple[Recent, Recent]:
     """64-bit hashes of recent words and of their shapes, one table each for a worker process."""
-    return Recent(xxhash.xxh3_64_intdigest, 150_000), Recent(lambda w: xxhash.xxh3_64_intdigest(shape(w), seed=1), 150_000)
+
+    def make() -> tuple[Recent, Recent]:
+        return Recent(xxhash.xxh3_64_intdigest, 150_000), Recent(lambda w: xxhash.xxh3_64_intdigest(shape(w), seed=1), 150_000)
+
+    return held("words and shapes", make)
 
 
 def features(text: str | None, bits: int) -> np.ndarray:
