@@ -10,60 +10,103 @@ from its length and its rank among pieces of that length.
 from __future__ import annotations
 
 import os
-import re
 import zlib
 from array import array
 from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .caching import Recent
+from .caching import held
 from .common import shipped, written
 
 #: Pieces of one length that a task ranks at most, about.
 RANK_ROWS = 50_000
-_SPLIT_OFF = re.compile(r"(.*[^\W_])([.,;:!?*%$&#|]+)", re.DOTALL)
+#: Fixed value: the string of the vocabulary's end token, an added token that texts are cut at first of all.
+END_TOKEN = "<|endoftext|>"
+MARKS = ".,;:!?*%$&#|"
 
 
 class Tokens:
-    """Ids of texts by a vocabulary whose splitting drops white space: texts are cut there and recent words kept."""
+    """Ids of texts by a vocabulary whose splitting drops white space: texts are cut there and recent words kept.
 
-    def __init__(self, path: str, keep: int = 150_000):
+    A text's unknown words are encoded in one call, with the end token between them.
+    """
+
+    def __init__(self, path: str, keep: int = 600_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.parts = Recent(self._encode, keep)
-        self.words = Recent(self._word, keep)
-
-    def _encode(self, text: str) -> bytes:
-        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
-
-    def _word(self, word: str) -> bytes:
-        # Letters and numbers never share a split word with the marks behind them.
-        cut = _SPLIT_OFF.fullmatch(word)
-        return self.parts[cut[1]] + self.parts[cut[2]] if cut else self._encode(word)
+        self.keep = keep
+        self.words: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {}
+        self.end = self.tokenizer.token_to_id(END_TOKEN)
+
+    def _encode(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
+
+    def _learn(self, words: set[str]) -> None:
+        """Ids of new words from those of their parts: letters in lower case, and the marks behind them.
+
+        The vocabulary's splitting never joins a letter or number to a mark, and its lower case is taken
+        character by character; both are used only where they hold without doubt.
+        """
+        new, parts, plain = [], self.parts, set()
+        for w in words:
+            found = self.older.get(w)
+            if found is not None:
+                self.words[w] = found
+                continue
+            core = w.rstrip(MARKS)
+            if not core or not core[-1].isalnum():
+                core = w
+            mark = w[len(core) :]
+            if max(core, default="") <= "\xff":
+                core = core.lower()
+            new.append((w, core, mark))
+            plain.update(x for x in (core, mark) if x not in parts)
+        if len(parts) > self.keep:
+            parts.clear()
+            plain = {x for _, core, mark in new for x in (core, mark)}
+        odd = {x for x in plain if "<" in x or not x}
+        for x in odd:
+            parts[x] = self._encode(x).tobytes()
+        plain = list(plain - odd)
+        if plain:
+            ids = self._encode(END_TOKEN.join(plain))
+            ends = np.append(np.flatnonzero(ids == self.end), len(ids)).tolist()
+            data, start = ids.tobytes(), 0
+            for x, e in zip(plain, ends):
+                parts[x] = data[4 * start : 4 * e]
+                start = e + 1
+        for w, core, mark in new:
+            self.words[w] = parts[core] + parts[mark] if mark else parts[core]
 
     def ids(self, text: str) -> bytes:
         """The ids of a whole text as little-endian unsigned 32-bit numbers."""
         words = text.replace("\n", " ").split(" ")
-        if max(map(len, words)) > 64:
-            return b"".join([self.words[w] if len(w) <= 64 else self._encode(w) for w in words])
-        known = self.words
-        return b"".join([known[w] for w in words])
+        if len(text) > 64 and max(map(len, words)) > 64:
+            return b"".join([self.ids(w) if len(w) <= 64 else self._encode(w).tobytes() for w in words])
+        if len(self.words) + len(words) > self.keep:
+            self.older, self.words = self.words, {}
+        found = list(map(self.words.get, words))
+        if None in found:
+            self._learn({w for w, f in zip(words, found) if f is None})
+            known = self.words
+            found = [known[w] if f is None else f for w, f in zip(words, found)]
+        return b"".join(found)
 
 
-@cache
 def tokens_of(path: str) -> Tokens:
     """One tokenizer for a worker process and file, kept from task to task."""
-    return Tokens(path)
+    return held(f"Tokens {path}", lambda: Tokens(path))
 
 
 def pieces(df: DataFrame, path: str, key: str = "doc_id", text: str = "text", capacity: int = 2048) -> DataFrame:
