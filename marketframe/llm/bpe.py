@@ -18,15 +18,15 @@ from __future__ import annotations
 import hashlib
 import json
 import re
-from collections.abc import Iterator
-from functools import cache
+from array import array
+from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .caching import Recent
+from .caching import Recent, held
 from .common import shipped
 
 #: How byte-level vocabularies split text before merges (a fixed value, the one of the vocabulary files' kind).
@@ -59,8 +59,6 @@ class Automaton:
                 self.labels[i] = bytes(alphabet[c] for c in token)
         self.byte_id = {b: vocab[c] for c, b in alphabet.items()}
         self.by_label = {label: i for i, label in self.labels.items() if i not in self.special.values()}
-        #: Ends of labels: the walk back from a byte stops where no token ends so.
-        self.suffixes = {label[k:] for label in self.by_label for k in range(len(label))}
         #: Arcs by label: the state they lead to. State 0 has all arcs there are.
         self.target = dict.fromkeys(self.byte_id.values(), 0)
         #: By state: the state it was copied from, the arc it dropped then and the number of the merge.
@@ -75,6 +73,9 @@ class Automaton:
         for number, merge in enumerate(spec["model"]["merges"]):
             a, b = merge if isinstance(merge, list) else merge.split(" ")
             self._gadget(number, vocab[a], vocab[b], vocab[a + b])
+        #: Ends of labels and what they are the whole label of, if of any: the walk back from a byte stops where no label ends so.
+        self.tails = dict.fromkeys((label[k:] for label in self.by_label for k in range(len(label))), -1)
+        self.tails.update((label, i) for label, i in self.by_label.items() if i in self.target)
 
     def _gadget(self, number: int, a: int, b: int, joined: int) -> None:
         state = self.target[a]
@@ -132,16 +133,15 @@ class Automaton:
             return [whole]
         n = len(word)
         ends: list[tuple[int, int]] = [(-1, 0)] * (n + 1)  # last token of the prefix, where it starts
-        arcs, by_label, target, suffixes = self.arcs, self.by_label, self.target, self.suffixes
+        arcs, tails = self.arcs, self.tails
         for i in range(1, n + 1):
             j = i
             while j:
                 j -= 1
-                part = word[j:i]
-                if part not in suffixes:
+                token = tails.get(word[j:i])
+                if token is None:
                     break
-                token = by_label.get(part)
-                if token is None or token not in target:
+                if token < 0:
                     continue
                 if j == 0:
                     ends[i] = (token, 0)
@@ -161,57 +161,52 @@ class Automaton:
             ids.append(token)
         return ids[::-1]
 
-    def decode(self, ids: list[int]) -> str:
+    def decode(self, ids: Sequence[int]) -> str:
         """The text that the arcs' labels spell; bytes that form no character become U+FFFD."""
-        labels = self.labels
-        return b"".join([labels[i] for i in ids]).decode("utf-8", "replace")
+        return b"".join(map(self.labels.__getitem__, ids)).decode("utf-8", "replace")
 
 
 class Encoder:
-    """Encodes whole texts; keeps what recent chunks and split words became, about ``keep`` of each."""
+    """Encodes whole texts; keeps what recent chunks and split words became, ``keep`` to twice as many of each."""
 
-    def __init__(self, path: str, keep: int = 100_000):
+    def __init__(self, path: str, keep: int = 400_000):
         self.automaton = Automaton(path)
-        self.words = Recent(lambda word: self.automaton.encode_word(word.encode()), keep)
+        self.words = Recent(lambda word: array("I", self.automaton.encode_word(word.encode())), keep)
         self.chunks = Recent(self._chunk, keep)
         special = self.automaton.special
         self.special = re.compile("(" + "|".join(map(re.escape, sorted(special, key=len, reverse=True))) + ")") if special else None
 
-    def _chunk(self, chunk: str) -> tuple[list[int], str]:
-        ids: list[int] = []
+    def _chunk(self, chunk: str) -> tuple[bytes, str]:
+        ids = array("I")
         for word in SPLIT.findall(chunk):
-            ids += self.words[word] if len(word) <= 64 else self.automaton.encode_word(word.encode())
-        return ids, ",".join(map(str, ids))
+            ids += self.words[word] if len(word) <= 64 else array("I", self.automaton.encode_word(word.encode()))
+        return ids.tobytes(), ",".join(map(str, ids))
 
-    def encode(self, text: str) -> tuple[list[int], str]:
+    def encode(self, text: str) -> tuple[array, str]:
         """Ids of a text, as numbers and in decimal joined by commas. Special tokens' strings become their ids."""
-        if self.special is not None and self.special.search(text):
-            ids, parts = [], []
-            for piece in self.special.split(text):
-                if piece:
-                    got = ([i := self.automaton.special[piece]], str(i)) if piece in self.automaton.special else self._plain(piece)
-                    ids += got[0]
-                    parts.append(got[1])
-            return ids, ",".join(parts)
-        return self._plain(text)
-
-    def _plain(self, text: str) -> tuple[list[int], str]:
         if not text:
-            return [], ""
+            return array("I"), ""
+        if self.special is None or not self.special.search(text):
+            found = self._plain(text)
+        else:
+            found = []
+            for piece in filter(None, self.special.split(text)):
+                known = self.automaton.special.get(piece)
+                found += self._plain(piece) if known is None else [(array("I", [known]).tobytes(), str(known))]
+        return array("I", b"".join([f[0] for f in found])), ",".join([f[1] for f in found])
+
+    def _plain(self, text: str) -> list[tuple[bytes, str]]:
         if _OTHER_SPACE.search(text):
-            return self._chunk(text)
-        known, ids, parts = self.chunks, [], []
-        for chunk in _CHUNK.findall(text):
-            got = known[chunk] if len(chunk) <= 64 else self._chunk(chunk)
-            ids += got[0]
-            parts.append(got[1])
-        return ids, ",".join(parts)
+            return [self._chunk(text)]
+        known, chunks = self.chunks, _CHUNK.findall(text)
+        if max(map(len, chunks)) > 64:
+            return [known[c] if len(c) <= 64 else self._chunk(c) for c in chunks]
+        return [known[c] for c in chunks]
 
 
-@cache
 def encoder_of(path: str) -> Encoder:
     """One encoder for a worker process and file, kept from task to task."""
-    return Encoder(path)
+    return held(f"Encoder {path}", lambda: Encoder(path))
 
 
 def encoded(df: DataFrame, path: str, key: str = "doc_id", text: str = "text", with_ids: bool = False) -> DataFrame:
@@ -237,7 +232,7 @@ def encoded(df: DataFrame, path: str, key: str = "doc_id", text: str = "text", w
                 ids_sha.append(sha(line.encode()).hexdigest())
                 text_sha.append(sha(decoded.encode()).hexdigest())
                 if with_ids:
-                    all_ids.append(ids)
+                    all_ids.append(ids.tolist())
                     texts.append(decoded)
             columns = [batch.column(0), pa.array(counts, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string())]
             names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
