@@ -2,20 +2,24 @@
 
 Texts with the same shingle set are one class. A class keeps the k smallest hashes of its set, its
 sketch. Inverted lists of the few smallest values propose pairs: two sets that agree in 85 % share one
-of their 8 smallest values but for 0.15 ** 8 of the cases. The sketch of two sets' union estimates
+of their 8 smallest values but for 0.15 ** 8 of the cases. Each list is cut by set size, as sets of less
+than 85 % of another's size can't be linked to it: a set is in the lists of its own class of sizes and
+the next one. The sketch of two sets' union estimates
 their similarity, and pairs that may agree enough are confirmed on full sets. Confirmed pairs join
 classes to components.
 
-Lists longer than LIST_ROWS are never paired in full. Each of their members meets one hub, the member
-that is in most and longest lists, so a group of near copies costs one pair a member. Members that the
-hub links are done there, unless others lie so near to the hub that both could still be linked (the
-share that sets disagree in is a distance, so who is farther than twice the limit from the hub can't
-be linked to those within it). The rest goes on to finer lists, of two, three and four shared values.
-What is still in a long list then is paired where components differ, over all tasks.
+Members of a list of more than STAR_ROWS first meet one hub, the member that is in most and longest
+lists, so a group of near copies costs one pair a member. Members that the hub links are done there,
+unless others lie so near to the hub that both could still be linked (the share that sets disagree in
+is a distance, so who is farther than twice the limit from the hub can't be linked to those within it).
+The rest is compared inside the join, which gives out only pairs of different components whose sketches
+may agree enough; lists that still have more than LIST_ROWS members go on to finer ones, of two and
+three shared values.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from functools import reduce
 
@@ -28,14 +32,16 @@ from pyspark.sql import functions as F
 from .common import checkpointed, shipped, written
 from .hashing import shingles
 
-#: Values of a sketch; values whose lists propose pairs; members of a list that is paired in full.
-SKETCH, LISTED, LIST_ROWS = 64, 8, 32
+#: Values of a sketch; values whose lists propose pairs; members of lists that are compared at once, and after stars.
+SKETCH, LISTED, STAR_ROWS, LIST_ROWS = 64, 8, 64, 1000
+#: Part of their smallest values that linked sets share at least, but for six standard deviations.
+SHARED = 37 / 64
 #: Lists of up to so many shared values.
-LEVELS = 4
+LEVELS = 3
 #: Keys of rows whose full sets are computed that are broadcast at most; more are joined by a shuffle.
 BROADCAST_ROWS = 500_000
 #: Estimates below which a pair isn't confirmed (six standard deviations under the limit), and is far from its hub.
-MAYBE, NEAR = 0.58, 0.45
+MAYBE, NEAR = 0.6, 0.45
 
 
 def sketches(df: DataFrame, key: str, text: str, words: int = 5, sketch: int = SKETCH) -> DataFrame:
@@ -61,23 +67,36 @@ def _near_sizes(percent: int) -> Column:
     return 100 * F.least("a.n", "b.n") >= percent * F.greatest("a.n", "b.n")
 
 
-def _paired(lists: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b), a < b, of members of the same list whose sizes allow a link."""
+def _size_class(n: str, percent: int) -> Column:
+    """Sizes within ``percent`` of each other are in the same class or in neighbouring ones."""
+    return F.floor(F.log(F.col(n).cast("double")) / -math.log(percent / 100) + 1e-9).cast("int")
+
+
+def _similar(a: str, b: str, sketch: int) -> Column:
+    """Similarity that the sketch of two sets' union shows."""
+    union = F.slice(F.array_sort(F.array_union(a, b)), 1, sketch)
+    return F.size(F.array_intersect(F.array_intersect(a, b), union)) / F.size(union)
+
+
+def _paired(lists: DataFrame, percent: int, sketch: int) -> DataFrame:
+    """Pairs (a, b), a < b, of members of the same list that may be linked and aren't connected yet, with their similarity."""
     a, b = lists.alias("a"), lists.alias("b")
-    # A pair that shares several first-level values is made in the list of the smallest one only.
-    once = F.element_at(F.array_intersect("a.low", "b.low"), 1) == F.col("a.value")
-    on = (F.col("a.list") == F.col("b.list")) & (F.col("a.node") < F.col("b.node")) & _near_sizes(percent) & (F.col("a.value").isNull() | once)
-    return a.join(b, on).select(F.col("a.node").alias("a"), F.col("b.node").alias("b"))
+    shared = F.array_intersect("a.sketch", "b.sketch")
+    # Of the lists of one value, a pair is made in that of its smallest one, and in the larger size's class only.
+    once = (F.element_at(shared, 1) == F.col("a.value")) & (F.col("a.sizes") == F.greatest("a.own", "b.own"))
+    enough = F.size(shared) >= SHARED * F.least(F.size("a.sketch"), F.size("b.sketch"))
+    on = (F.col("a.list") == F.col("b.list")) & (F.col("a.node") < F.col("b.node")) & _near_sizes(percent) & (F.col("a.root") != F.col("b.root"))
+    maybe = F.when(enough & (F.col("a.value").isNull() | once), _similar("a.sketch", "b.sketch", sketch) >= MAYBE).otherwise(False)
+    pairs = a.join(b, on & maybe)
+    return pairs.select(F.col("a.node").alias("a"), F.col("b.node").alias("b"), _similar("a.sketch", "b.sketch", sketch).alias("similar"))
 
 
 def estimated(pairs: DataFrame, classes: DataFrame, sketch: int = SKETCH) -> DataFrame:
-    """Pairs with the similarity that the sketch of their union shows; exact where both sets are inside their sketches."""
+    """Pairs with the similarity that the sketch of their union shows."""
     side = classes.select("node", "sketch")
     both = pairs.join(side.select(F.col("node").alias("a"), F.col("sketch").alias("sa")), "a")
     both = both.join(side.select(F.col("node").alias("b"), F.col("sketch").alias("sb")), "b")
-    union = F.slice(F.array_sort(F.array_union("sa", "sb")), 1, sketch)
-    shared = F.size(F.array_intersect(F.array_intersect("sa", "sb"), union))
-    return both.select(*pairs.columns, (shared / F.size(union)).alias("similar"))
+    return both.select(*pairs.columns, _similar("sa", "sb", sketch).alias("similar"))
 
 
 def confirmed(pairs: DataFrame, classes: DataFrame, df: DataFrame, key: str, text: str, words: int, percent: int) -> DataFrame:
@@ -139,57 +158,68 @@ def _apart(pairs: DataFrame, edges: DataFrame) -> DataFrame:
     return sides.where(F.coalesce("ra", "a") != F.coalesce("rb", "b")).drop("ra", "rb")
 
 
-def links(classes: DataFrame, df: DataFrame, key: str, text: str, words: int = 5, percent: int = 85, sketch: int = SKETCH, listed: int = LISTED, list_rows: int = LIST_ROWS, levels: int = LEVELS) -> DataFrame | None:
+def links(classes: DataFrame, df: DataFrame, key: str, text: str, words: int = 5, percent: int = 85, sketch: int = SKETCH, listed: int = LISTED, star_rows: int = STAR_ROWS, list_rows: int = LIST_ROWS, levels: int = LEVELS) -> DataFrame | None:
     """Enough linked pairs (a, b) of classes to connect all that are linked; None if there are none."""
 
     def confirm(pairs: DataFrame) -> DataFrame:
         return written(confirmed(pairs, classes, df, key, text, words, percent), "links")
 
-    low = F.slice("sketch", 1, listed)
-    posted = classes.select("node", F.col("n_shingles").alias("n"), "sketch", F.posexplode(low).alias("at", "value")).select(
-        "node", "n", "at", F.col("value"), F.slice("sketch", 1, listed).alias("low"), F.col("value").alias("list")
-    )
+    own = _size_class("n_shingles", percent)
+    values = classes.select("node", F.col("n_shingles").alias("n"), own.alias("own"), F.posexplode(F.slice("sketch", 1, listed)).alias("at", "value"))
+    posted = values.withColumn("sizes", F.explode(F.array("own", F.col("own") + 1)))
+    posted = posted.select("node", "n", "at", "value", "own", "sizes", F.xxhash64("value", "sizes").alias("list"))
+    known = classes.select("node", "sketch")
     edges: DataFrame | None = None
     open_pairs: list[DataFrame] = []
+
+    def propose(lists: DataFrame, root: Column, name: str) -> None:
+        open_pairs.append(written(_paired(lists.join(known, "node").withColumn("root", root), percent, sketch).distinct(), name))
+
     for level in range(1, levels + 1):
         sizes = posted.groupBy("list").agg(F.count("*").alias("members")).where("members > 1")
         lists = written(posted.join(sizes, "list"), f"lists{level}")
-        short, long = lists.where(F.col("members") <= list_rows), lists.where(F.col("members") > list_rows)
-        pairs = written(estimated(_paired(short, percent).distinct(), classes, sketch), "pairs").where(F.col("similar") >= MAYBE)
-        open_pairs.append(pairs)
+        propose(lists.where(F.col("members") <= star_rows), F.col("node"), "short")
+        long = lists.where(F.col("members") > star_rows)
         if not long.take(1):
             break
         weight = long.groupBy("node").agg(F.sum("members").alias("weight"))
-        hubs = long.join(weight, "node").groupBy("list").agg(F.max(F.struct("weight", "node", "n")).alias("hub"))
-        stars = long.join(hubs, "list").select("list", "node", F.col("hub.node").alias("hub"))
-        met = stars.where(F.col("node") != F.col("hub")).select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
-        met = written(estimated(met, classes, sketch), "stars")
+        hubs = long.join(weight, "node").groupBy("list").agg(F.max(F.struct("weight", "node")).alias("hub"))
+        rest = long.join(hubs.select("list", F.col("hub.node").alias("hub")), "list").where(F.col("node") != F.col("hub"))
+        rest = rest.withColumns({"a": F.least("node", "hub"), "b": F.greatest("node", "hub")})
+        met = written(estimated(rest.select("a", "b").distinct(), classes, sketch), "stars")
         linked = confirm(met.where(F.col("similar") >= MAYBE))
         edges = linked if edges is None else edges.union(linked)
         how = met.join(linked.withColumn("linked", F.lit(True)), ["a", "b"], "left")
         how = how.select("a", "b", F.coalesce("linked", F.lit(False)).alias("linked"), (F.col("similar") >= NEAR).alias("near"))
-        rest = long.join(hubs, "list").where(F.col("node") != F.col("hub.node"))
-        rest = rest.withColumn("a", F.least("node", F.col("hub.node"))).withColumn("b", F.greatest("node", F.col("hub.node"))).join(how, ["a", "b"])
-        mixed = rest.groupBy("list").agg(F.max(F.col("near") & ~F.col("linked")).alias("mixed"), F.count_if(~F.col("linked")).alias("others"))
+        rest = rest.join(how, ["a", "b"])
+        mixed = rest.groupBy("list").agg(
+            F.max(F.col("near") & ~F.col("linked")).alias("mixed"),
+            F.count_if(~F.col("linked")).alias("others"),
+            F.count("*").alias("left"),
+        )
         rest = rest.join(mixed, "list").where((F.col("others") > 0) & (F.col("mixed") | ~F.col("linked")))
-        rest = rest.select("list", "node", "n", "at").join(classes.select("node", "sketch"), "node")
+        rest = rest.withColumn("left", F.when(F.col("mixed"), F.col("left")).otherwise(F.col("others")))
+        roots = components(edges)
+        rest = rest.select("list", "node", "n", "at", "value", "own", "sizes", "left").join(roots, "node", "left")
+        rest = written(rest, "rest")
+        now = rest if level == levels else rest.where(F.col("left") <= list_rows)
+        propose(now, F.coalesce("root", "node"), "rest")
         if level == levels:
-            # No finer lists: all pairs that no links connect yet.
-            last = rest.select("node", "n", "list", F.lit(None).cast("long").alias("value"), F.lit(None).cast("array<long>").alias("low"))
-            last = written(last.distinct(), "last")
-            if last.take(1):
-                more = _apart(_paired(last, percent).distinct(), edges)
-                open_pairs.append(written(estimated(more, classes, sketch), "pairs").where(F.col("similar") >= MAYBE))
             break
-        finer = F.slice("sketch", F.col("at") + 2, F.lit(listed))
-        posted = rest.select("node", "n", F.col("list").alias("__list"), F.col("at").alias("__at"), F.posexplode(finer).alias("step", "next")).select(
+        finer = rest.where(F.col("left") > list_rows).join(known, "node")
+        finer = finer.select("node", "n", "list", "at", F.posexplode(F.slice("sketch", F.col("at") + 2, F.lit(listed))).alias("step", "next"))
+        none = F.lit(None)
+        posted = finer.select(
             "node",
             "n",
-            (F.col("__at") + 1 + F.col("step")).alias("at"),
-            F.lit(None).cast("long").alias("value"),
-            F.lit(None).cast("array<long>").alias("low"),
-            F.xxhash64("__list", "next").alias("list"),
+            (F.col("at") + 1 + F.col("step")).alias("at"),
+            none.cast("long").alias("value"),
+            none.cast("int").alias("own"),
+            none.cast("int").alias("sizes"),
+            F.xxhash64("list", "next").alias("list"),
         )
+        if not posted.take(1):
+            break
     waiting = reduce(DataFrame.union, open_pairs).groupBy("a", "b").agg(F.max("similar").alias("similar"))
     waiting = written(waiting if edges is None else _apart(waiting, edges), "waiting")
     # A pair whose ends other links connect need not be confirmed: each class's likeliest pairs go first.

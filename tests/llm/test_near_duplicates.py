@@ -59,7 +59,7 @@ def near_copies(seed, base_too):
     return rows
 
 
-@pytest.mark.parametrize("base_too, sizes", [(True, {}), (False, {"list_rows": 4, "levels": 2})])
+@pytest.mark.parametrize("base_too, sizes", [(True, {}), (False, {"star_rows": 4, "list_rows": 8, "levels": 2})])
 def test_long_lists_match_brute_force(spark, base_too, sizes):
     """Near copies with and without the text that they come from, among texts that share a passage with them."""
     rows = near_copies(3, base_too)
