@@ -83,10 +83,11 @@ def _paired(lists: DataFrame, percent: int, sketch: int) -> DataFrame:
     a, b = lists.alias("a"), lists.alias("b")
     shared = F.array_intersect("a.sketch", "b.sketch")
     # Of the lists of one value, a pair is made in that of its smallest one, and in the larger size's class only.
-    once = (F.element_at(shared, 1) == F.col("a.value")) & (F.col("a.sizes") == F.greatest("a.own", "b.own"))
+    here = F.col("a.value").isNull() | (F.col("a.sizes") == F.greatest("a.own", "b.own"))
+    once = F.col("a.value").isNull() | (F.element_at(shared, 1) == F.col("a.value"))
     enough = F.size(shared) >= SHARED * F.least(F.size("a.sketch"), F.size("b.sketch"))
-    on = (F.col("a.list") == F.col("b.list")) & (F.col("a.node") < F.col("b.node")) & _near_sizes(percent) & (F.col("a.root") != F.col("b.root"))
-    maybe = F.when(enough & (F.col("a.value").isNull() | once), _similar("a.sketch", "b.sketch", sketch) >= MAYBE).otherwise(False)
+    on = (F.col("a.list") == F.col("b.list")) & (F.col("a.node") < F.col("b.node")) & _near_sizes(percent) & (F.col("a.root") != F.col("b.root")) & here
+    maybe = F.when(enough & once, _similar("a.sketch", "b.sketch", sketch) >= MAYBE).otherwise(False)
     pairs = a.join(b, on & maybe)
     return pairs.select(F.col("a.node").alias("a"), F.col("b.node").alias("b"), _similar("a.sketch", "b.sketch", sketch).alias("similar"))
 
