@@ -172,7 +172,9 @@ class Encoder:
     def __init__(self, path: str, keep: int = 400_000):
         self.automaton = Automaton(path)
         self.words = Recent(lambda word: array("I", self.automaton.encode_word(word.encode())), keep)
-        self.chunks = Recent(self._chunk, keep)
+        self.chunks = Recent(self._chunk, keep // 8)
+        #: What comes after a blank, by the text without it.
+        self.spaced = Recent(lambda piece: self._chunk(f" {piece}"), keep)
         special = self.automaton.special
         self.special = re.compile("(" + "|".join(map(re.escape, sorted(special, key=len, reverse=True))) + ")") if special else None
 
@@ -198,6 +200,13 @@ class Encoder:
     def _plain(self, text: str) -> list[tuple[bytes, str]]:
         if _OTHER_SPACE.search(text):
             return [self._chunk(text)]
+        if "  " not in text and " \n" not in text and text[0] != " " and text[-1] != " ":
+            # One blank before each piece but the first, and none before other white space.
+            pieces = text.split(" ")
+            first, known = self._chunk(pieces[0]), self.spaced
+            if max(map(len, pieces)) > 64:
+                return [first, *(known[p] if len(p) <= 64 else self._chunk(f" {p}") for p in pieces[1:])]
+            return [first, *map(known.__getitem__, pieces[1:])]
         known, chunks = self.chunks, _CHUNK.findall(text)
         if max(map(len, chunks)) > 64:
             return [known[c] if len(c) <= 64 else self._chunk(c) for c in chunks]
