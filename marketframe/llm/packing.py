@@ -92,15 +92,15 @@ class Tokens:
     def ids(self, text: str) -> bytes:
         """The ids of a whole text as little-endian unsigned 32-bit numbers."""
         words = text.replace("\n", " ").split(" ")
-        if len(text) > 64 and max(map(len, words)) > 64:
-            return b"".join([self.ids(w) if len(w) <= 64 else self._encode(w).tobytes() for w in words])
         if len(self.words) + len(words) > self.keep:
             self.older, self.words = self.words, {}
         found = list(map(self.words.get, words))
         if None in found:
-            self._learn({w for w, f in zip(words, found) if f is None})
+            new = {w for w, f in zip(words, found) if f is None}
+            long = {w: self._encode(w).tobytes() for w in new if len(w) > 64}
+            self._learn(new.difference(long))
             known = self.words
-            found = [known[w] if f is None else f for w, f in zip(words, found)]
+            found = [(known.get(w) or long.get(w, b"")) if f is None else f for w, f in zip(words, found)]
         return b"".join(found)
 
 
