@@ -16,7 +16,7 @@ def test_error_codes(spark):
     dim = {r.ErrorCode: (r.Message, r.Note) for r in codes(spark).collect()}
     assert dim[200] == ("late text", "") and dim[0] == ("from the table", "")
     assert dim[502] == ("no connection", "") and dim[504] == (ADDITIONAL_CODES[504], "")
-    assert len(dim) == len(ADDITIONAL_CODES) + 2
+    assert len(dim) == len(ADDITIONAL_CODES) + 1
 
 
 def test_errors_are_described(spark, values):
