@@ -15,6 +15,8 @@ from marketframe.llm.common import remainder, small_side, table, written
 
 #: Scores from which documents stay.
 LEAST_SCORE = 0.3
+#: Share of their shingles from which documents are near duplicates.
+NEAR_PERCENT = 80
 #: Keys of dropped documents that are broadcast at most.
 BROADCAST_KEYS = 500_000
 
@@ -36,7 +38,7 @@ def keep_one_of_a_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
     Rows without a key can't be told apart and all stay.
     """
-    groups = written(near_duplicates.near_duplicates(docs).select("doc_id", "kept"), "groups")
+    groups = written(near_duplicates.near_duplicates(docs, percent=NEAR_PERCENT).select("doc_id", "kept"), "groups")
     dropped = groups.where(~F.col("kept")).select("doc_id").distinct()
     left = docs.join(small_side(dropped, BROADCAST_KEYS), "doc_id", "left_anti")
     repeated = groups.where(F.col("kept") & F.col("doc_id").isNotNull()).groupBy("doc_id").count().where("count > 1").select("doc_id")

@@ -1,10 +1,10 @@
 """Near duplicates by bottom-k sketches of word shingles.
 
 Texts with the same shingle set are one class. A class keeps the k smallest hashes of its set, its
-sketch. Inverted lists of the few smallest values propose pairs: two sets that agree in 85 % share one
-of their 8 smallest values but for 0.15 ** 8 of the cases. Each list is cut by set size, as sets of less
-than 85 % of another's size can't be linked to it: a set is in the lists of its own class of sizes and
-the next one. The sketch of two sets' union estimates
+sketch. Inverted lists of the few smallest values propose pairs: two sets that agree in ``percent`` (p, as a
+share) share one of their n smallest values but for (1 - p) ** n of the cases, and n follows from p (8 at
+85 %, 10 at 80 %). Each list is cut by set size, as sets of less than p of another's size can't be linked
+to it: a set is in the lists of its own class of sizes and the next one. The sketch of two sets' union estimates
 their similarity, and pairs that may agree enough are confirmed on full sets. Confirmed pairs join
 classes to components.
 
@@ -32,16 +32,34 @@ from pyspark.sql import functions as F
 from .common import checkpointed, shipped, written
 from .hashing import shingles
 
-#: Values of a sketch; values whose lists propose pairs; members of lists that are compared at once, and after stars.
-SKETCH, LISTED, STAR_ROWS, LIST_ROWS = 64, 8, 64, 1000
-#: Part of their smallest values that linked sets share at least, but for six standard deviations.
-SHARED = 37 / 64
+#: Values of a sketch; members of lists that are compared at once, and after stars.
+SKETCH, STAR_ROWS, LIST_ROWS = 64, 64, 1000
+#: Chance that linked sets meet in no list, and standard deviations that estimates may be off.
+MISSED, DEVIATIONS = 3e-7, 6
 #: Lists of up to so many shared values.
 LEVELS = 3
 #: Keys of rows whose full sets are computed that are broadcast at most; more are joined by a shuffle.
 BROADCAST_ROWS = 500_000
-#: Estimates below which a pair isn't confirmed (six standard deviations under the limit), and is far from its hub.
-MAYBE, NEAR = 0.6, 0.45
+
+
+def listed_for(percent: int) -> int:
+    """Smallest values whose lists propose pairs."""
+    return math.ceil(math.log(MISSED) / math.log(1 - percent / 100)) if percent < 100 else 1
+
+
+def _under(share: float, sketch: int) -> float:
+    """The share less the deviations that a sketch of so many values may be off."""
+    return max(0.0, share - DEVIATIONS * math.sqrt(share * (1 - share) / sketch))
+
+
+def least_estimate(percent: int, sketch: int) -> float:
+    """Below it a pair isn't confirmed; linked sets also share that part of their smallest values at least."""
+    return _under(percent / 100, sketch)
+
+
+def near_estimate(percent: int, sketch: int) -> float:
+    """Below it a set is farther from its hub than twice the limit: the shares that sets disagree in add up at most."""
+    return _under(max(0.0, 2 * percent / 100 - 1), sketch)
 
 
 def sketches(df: DataFrame, key: str, text: str, words: int = 5, sketch: int = SKETCH) -> DataFrame:
@@ -85,9 +103,10 @@ def _paired(lists: DataFrame, percent: int, sketch: int) -> DataFrame:
     # Of the lists of one value, a pair is made in that of its smallest one, and in the larger size's class only.
     here = F.col("a.value").isNull() | (F.col("a.sizes") == F.greatest("a.own", "b.own"))
     once = F.col("a.value").isNull() | (F.element_at(shared, 1) == F.col("a.value"))
-    enough = F.size(shared) >= SHARED * F.least(F.size("a.sketch"), F.size("b.sketch"))
+    least = least_estimate(percent, sketch)
+    enough = F.size(shared) >= least * F.least(F.size("a.sketch"), F.size("b.sketch"))
     on = (F.col("a.list") == F.col("b.list")) & (F.col("a.node") < F.col("b.node")) & _near_sizes(percent) & (F.col("a.root") != F.col("b.root")) & here
-    maybe = F.when(enough & once, _similar("a.sketch", "b.sketch", sketch) >= MAYBE).otherwise(False)
+    maybe = F.when(enough & once, _similar("a.sketch", "b.sketch", sketch) >= least).otherwise(False)
     pairs = a.join(b, on & maybe)
     return pairs.select(F.col("a.node").alias("a"), F.col("b.node").alias("b"), _similar("a.sketch", "b.sketch", sketch).alias("similar"))
 
@@ -159,12 +178,14 @@ def _apart(pairs: DataFrame, edges: DataFrame) -> DataFrame:
     return sides.where(F.coalesce("ra", "a") != F.coalesce("rb", "b")).drop("ra", "rb")
 
 
-def links(classes: DataFrame, df: DataFrame, key: str, text: str, words: int = 5, percent: int = 85, sketch: int = SKETCH, listed: int = LISTED, star_rows: int = STAR_ROWS, list_rows: int = LIST_ROWS, levels: int = LEVELS) -> DataFrame | None:
+def links(classes: DataFrame, df: DataFrame, key: str, text: str, words: int = 5, percent: int = 85, sketch: int = SKETCH, listed: int | None = None, star_rows: int = STAR_ROWS, list_rows: int = LIST_ROWS, levels: int = LEVELS) -> DataFrame | None:
     """Enough linked pairs (a, b) of classes to connect all that are linked; None if there are none."""
 
     def confirm(pairs: DataFrame) -> DataFrame:
         return written(confirmed(pairs, classes, df, key, text, words, percent), "links")
 
+    listed = listed or listed_for(percent)
+    least, near = least_estimate(percent, sketch), near_estimate(percent, sketch)
     own = _size_class("n_shingles", percent)
     values = classes.select("node", F.col("n_shingles").alias("n"), own.alias("own"), F.posexplode(F.slice("sketch", 1, listed)).alias("at", "value"))
     posted = values.withColumn("sizes", F.explode(F.array("own", F.col("own") + 1)))
@@ -188,10 +209,10 @@ def links(classes: DataFrame, df: DataFrame, key: str, text: str, words: int = 5
         rest = long.join(hubs.select("list", F.col("hub.node").alias("hub")), "list").where(F.col("node") != F.col("hub"))
         rest = rest.withColumns({"a": F.least("node", "hub"), "b": F.greatest("node", "hub")})
         met = written(estimated(rest.select("a", "b").distinct(), classes, sketch), "stars")
-        linked = confirm(met.where(F.col("similar") >= MAYBE))
+        linked = confirm(met.where(F.col("similar") >= least))
         edges = linked if edges is None else edges.union(linked)
         how = met.join(linked.withColumn("linked", F.lit(True)), ["a", "b"], "left")
-        how = how.select("a", "b", F.coalesce("linked", F.lit(False)).alias("linked"), (F.col("similar") >= NEAR).alias("near"))
+        how = how.select("a", "b", F.coalesce("linked", F.lit(False)).alias("linked"), (F.col("similar") >= near).alias("near"))
         rest = rest.join(how, ["a", "b"])
         mixed = rest.groupBy("list").agg(
             F.max(F.col("near") & ~F.col("linked")).alias("mixed"),

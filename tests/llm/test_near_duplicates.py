@@ -13,7 +13,7 @@ def sets(text):
     return frozenset(tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))) if w else frozenset()
 
 
-def expected(rows):
+def expected(rows, percent=85):
     """Components by comparing every two texts that share a shingle."""
     rows = [r for r in rows if r[0] is not None]
     of = [sets(t) for _, t in rows]
@@ -27,7 +27,7 @@ def expected(rows):
     posted = defaultdict(list)
     for i, s in enumerate(of):
         for j, shared in Counter(j for x in s for j in posted[x]).items():
-            if 100 * shared >= 85 * (len(s) + len(of[j]) - shared):
+            if 100 * shared >= percent * (len(s) + len(of[j]) - shared):
                 root[find(i)] = find(j)
         for x in s:
             posted[x].append(i)
@@ -73,6 +73,32 @@ def test_limit_is_exact(spark):
     assert [r[2] for r in got(spark.createDataFrame(rows, "doc_id long, text string"))] == [1, 1, 3, 3 if 16 * 100 >= 85 * 19 else 4]
 
 
+def test_margins_follow_the_limit():
+    """Six deviations under the limit and under twice its distance; 8 lists at 85 %."""
+    for percent in (70, 80, 85, 95):
+        for found, share in ((N.least_estimate(percent, 64), percent / 100), (N.near_estimate(percent, 64), 2 * percent / 100 - 1)):
+            assert found <= share - 6 * (share * (1 - share) / 64) ** 0.5 + 1e-9
+        assert (1 - percent / 100) ** N.listed_for(percent) <= 3e-7
+    assert N.listed_for(85) == 8 and N.near_estimate(85, 64) < 0.36
+
+
+@pytest.mark.parametrize("sizes", [{}, {"star_rows": 4, "list_rows": 8, "levels": 2}])
+def test_lower_limit_matches_brute_force(spark, sizes):
+    """Copies with up to 5 changed words of 150: pairs on both sides of 80 %, and some from 80 to 85 %."""
+    rng = np.random.default_rng(5)
+    rows = []
+    for g in range(20):
+        base = [f"g{g}w{x}" for x in range(150)]
+        for c in range(6):
+            w = list(base)
+            for p in rng.integers(0, 150, c):
+                w[p] = f"x{rng.integers(0, 10**9)}"
+            rows.append((10 * g + c, " ".join(w)))
+    want = expected(rows, 80)
+    assert want != expected(rows)
+    assert got(spark.createDataFrame(rows, "doc_id long, text string"), percent=80, **sizes) == want
+
+
 def test_rows_without_key(spark):
     rows = [(None, "alone here"), (None, "x y"), (7, "X  y"), (7, "X  y")]
     found = [(r["doc_id"], r["component_id"], r["kept"]) for r in N.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
