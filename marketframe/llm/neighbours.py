@@ -4,7 +4,9 @@ A few rows serve as pivots, and a vector is known by its nearest ones in order.
 blocks; each block has an inverted file per pivot, of the vectors that have the pivot among their
 first. A query reads the files of its own first pivots, ranks what it finds by footrule distance (how
 far places of pivots differ, pivots out of sight counting as the place after the last), and the nearer
-share is ranked anew by true inner product. Copies of a vector in a block count once when shares are
+share is ranked anew by true inner product. Rows and pivots stand for vectors of one common length,
+extended by one coordinate, as then the nearest to a query are those of largest inner product; a query's
+own extension is 0. Copies of a vector in a block count once when shares are
 taken.
 """
 
@@ -31,13 +33,20 @@ def usable(vector: str) -> Column:
     return F.coalesce(v.isNotNull() & ~odd & F.exists(v, lambda x: x != 0), F.lit(False))
 
 
-def _permutations(vectors: np.ndarray, pivots: np.ndarray, places: int) -> np.ndarray:
-    """The nearest pivots of each vector in order, ties to the smaller number."""
+def _permutations(vectors: np.ndarray, pivots: np.ndarray, places: int, limit: float | None = None) -> np.ndarray:
+    """The nearest pivots of each vector in order, ties to the smaller number.
+
+    With ``limit``, the largest squared length of all rows, vectors and pivots count as extended to it.
+    """
     near = np.einsum("ij,kj->ik", vectors, pivots) if len(vectors) < 64 else vectors @ pivots.T
+    if limit is not None:
+        a, b = np.einsum("ij,ij->i", vectors, vectors)[:, None], np.einsum("ij,ij->i", pivots, pivots)
+        # The product of both extensions less the limit, without the loss of digits under a large limit.
+        near += (a * (b / limit) - a - b) / (1 + np.sqrt(np.maximum(1 - a / limit, 0) * np.maximum(1 - b / limit, 0)))
     return np.argsort(-near.round(9), axis=1, kind="stable")[:, :places].astype(np.uint16)
 
 
-def blocks(df: DataFrame, pivots: np.ndarray, places: int, rows: int) -> DataFrame:
+def blocks(df: DataFrame, pivots: np.ndarray, places: int, rows: int, limit: float | None = None) -> DataFrame:
     """(key, vector) rows as blocks: number, keys, vectors (doubles) and permutations."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -51,7 +60,7 @@ def blocks(df: DataFrame, pivots: np.ndarray, places: int, rows: int) -> DataFra
                 pa.array([number], pa.int64()),
                 pa.ListArray.from_arrays([0, len(ids)], ids.take(pa.array(order))),
                 pa.array([vectors.tobytes()], pa.binary()),
-                pa.array([_permutations(vectors, pivots, places).tobytes()], pa.binary()),
+                pa.array([_permutations(vectors, pivots, places, limit).tobytes()], pa.binary()),
             ]
             return pa.RecordBatch.from_arrays(columns, ["block", "keys", "vectors", "places"])
 
@@ -130,14 +139,16 @@ def nearest(df: DataFrame, queries: Column, key: str = "vec_id", vector: str = "
     """
     frame = df.select(F.col(key).cast("long").alias("key"), F.col(vector).alias("vector"), F.coalesce(queries, F.lit(False)).alias("query"))
     frame = frame.where(F.col("key").isNotNull() & usable("vector"))
-    sizes = frame.groupBy(F.size("vector").alias("size")).count().orderBy(F.desc("count"), "size").limit(1).collect()
-    length = sizes[0]["size"] if sizes else 0
+    squares = F.aggregate("vector", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double"))
+    sizes = frame.groupBy(F.size("vector").alias("size")).agg(F.count("*").alias("count"), F.max(squares).alias("limit"))
+    sizes = sizes.orderBy(F.desc("count"), "size").limit(1).collect()
+    length, limit = (sizes[0]["size"], max(sizes[0]["limit"], 1e-300)) if sizes else (0, 1.0)
     frame = frame.where(F.size("vector") == length)
     sample = frame.select(F.xxhash64("key").alias("order"), "key", "vector").orderBy("order", "key").limit(4 * pivots).collect()
     chosen = list(dict.fromkeys(tuple(r["vector"]) for r in sample))[:pivots]
     centres = np.array(chosen, np.float64).reshape(len(chosen), length)
     depth, count = min(places, len(chosen)), len(chosen)
-    index = written(blocks(frame.select("key", "vector"), centres, depth, block_rows), "index")
+    index = written(blocks(frame.select("key", "vector"), centres, depth, block_rows, limit), "index")
     asked = written(blocks(frame.where("query").select("key", "vector"), centres, depth, QUERY_ROWS), "queries")
     # Every block of rows meets every block of queries: whole blocks are what is dealt out.
     groups = max(1, index.count())
