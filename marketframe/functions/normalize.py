@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import json
 import sys
 from collections.abc import Mapping
-from html.entities import name2codepoint
+from html.entities import html5
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -118,21 +119,47 @@ def note_json(values: Mapping[str, Column]) -> Column:
     return F.to_json(F.create_map(*pairs))
 
 
-_REFERENCE = "&(?:#[0-9]{1,9}|#[xX][0-9A-Fa-f]{1,8}|[A-Za-z][A-Za-z0-9]*);"
+_REFERENCE = r"&(?:#[0-9]+;?|#[xX][0-9A-Fa-f]+;?|[^\t\n\f <&#;]{1,32};?)"
+#: Names by their first letter, with their ``;`` and, where HTML 5 allows it, without; those without again.
+_NAMES = {c: {k: v for k, v in html5.items() if k[0] == c} for c in sorted({k[0] for k in html5})}
+_OPEN_NAMES = {c: {k: v for k, v in of.items() if not k.endswith(";")} for c, of in _NAMES.items()}
+_OPEN_LENGTHS = sorted({len(k) for of in _OPEN_NAMES.values() for k in of}, reverse=True)
+#: What the numbers 128 to 159 stand for.
+_WINDOWS_1252 = "\u20ac\x81\u201a\u0192\u201e\u2026\u2020\u2021\u02c6\u2030\u0160\u2039\u0152\x8d\u017d\x8f\x90\u2018\u2019\u201c\u201d\u2022\u2013\u2014\u02dc\u2122\u0161\u203a\u0153\x9d\u017e\u0178"
 
 
 def html_unescape(text: Column) -> Column:
-    """Text with its character references decoded: numbers, and the names of HTML 4. Others stay as they are."""
-    names = F.create_map(*[F.lit(x) for name, code in name2codepoint.items() for x in (name, chr(code))])
+    """Text with its character references decoded as HTML 5 does (and Python's ``html.unescape``).
+
+    Names may lack their ``;`` where HTML 5 allows it, the longest one counts, and unknown ones stay as they
+    are. Numbers of no character become U+FFFD, those of control characters and noncharacters nothing.
+    """
+    names, open_names = (F.from_json(F.lit(json.dumps(m)), "map<string,map<string,string>>") for m in (_NAMES, _OPEN_NAMES))
 
     def character(code: Column) -> Column:
-        valid = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
-        return F.when(valid, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")).otherwise("\ufffd")
+        none = code.between(1, 8) | code.isin(11, 127) | code.between(14, 31) | code.between(0xFDD0, 0xFDEF) | ((code % 0x10000) >= 0xFFFE)
+        return (
+            F.when(code.between(128, 159), F.substring(F.lit(_WINDOWS_1252), (code - 127).cast("int"), F.lit(1)))
+            .when((code == 0) | (code > 0x10FFFF) | code.between(0xD800, 0xDFFF), "\ufffd")
+            .when(none, "")
+            .otherwise(F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
+        )
+
+    def number(name: Column) -> Column:
+        digits = F.regexp_replace(name, "^#[xX]?0*|;$", "")
+        # More than 9 digits are beyond all characters in either base.
+        value = F.when(name.rlike("^#[xX]"), F.conv(F.concat(F.lit("0"), digits), 16, 10)).otherwise(F.concat(F.lit("0"), digits))
+        return F.when(F.length(digits) > 9, F.lit(0x110000).cast("long")).otherwise(value.cast("long"))
 
     def decoded(reference: Column) -> Column:
-        name = F.substring(F.regexp_replace(reference, ";$", ""), 2, 20)
-        number = F.when(name.rlike("^#[xX]"), F.conv(F.substring(name, 3, 8), 16, 10)).otherwise(F.substring(name, 2, 9)).cast("long")
-        return F.when(name.startswith("#"), character(number)).otherwise(F.coalesce(F.try_element_at(names, name), reference))
+        name = F.substring(reference, 2, F.length(reference))
+        first = F.substring(name, 1, 1)
+        starts = [
+            F.when(F.length(name) > n, F.concat(F.try_element_at(F.try_element_at(open_names, first), F.substring(name, 1, n)), F.substring(name, n + 1, F.length(name))))
+            for n in _OPEN_LENGTHS
+        ]
+        named = F.coalesce(F.try_element_at(F.try_element_at(names, first), name), *starts, reference)
+        return F.when(name.startswith("#"), character(number(name))).otherwise(named)
 
     found = F.transform(F.regexp_extract_all(text, F.lit(_REFERENCE), F.lit(0)), decoded)
     pieces = F.zip_with(F.split(text, _REFERENCE, -1), found, lambda gap, c: F.concat(gap, F.coalesce(c, F.lit(""))))

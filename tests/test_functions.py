@@ -1,4 +1,6 @@
 import math
+from html import unescape
+from html.entities import html5
 import random
 from datetime import datetime
 
@@ -76,6 +78,15 @@ def test_html_unescape(spark):
     assert column(spark, ["a &amp; b &lt;c&gt; &eacute;", None, "plain"], n.html_unescape) == ["a & b <c> é", None, "plain"]
 
 
+def test_html_unescape_decodes_all_that_html_5_does(spark):
+    names = "".join(f"&{k} &{k}x&{k[:-1]}=" for k in html5)
+    codes = [*range(0x500), 0xD7FF, 0xD800, 0xDFFF, 0xE000, 0xFDCF, 0xFDD0, 0xFDEF, 0xFFFD, 0xFFFE, 0xFFFF, 0x1F600, 0x1FFFE, 0x10FFFD, 0x10FFFF, 0x110000, 10**9, 10**12]
+    numbers = "".join(f"&#{c};&#{c} &#x{c:x};&#X{c:X}&#000000000000{c};" for c in codes)
+    odd = "&amp&copy<p>&notanentity; &notit; &amp;amp; & &; &# &#; &#x &#x; &apos; &#146; &\u00e9\U0001f600; &AMP;&Amp;&" + "a" * 40 + ";&lt&gt\r\n&amp"
+    texts = [names, numbers, odd, "", None]
+    assert column(spark, texts, n.html_unescape) == [t if t is None else unescape(t) for t in texts]
+
+
 def test_headline(spark):
     assert column(spark, ["BRF{A:1}b}c", "plain", None], n.clean_headline) == ["b}c", "plain", None]
 
