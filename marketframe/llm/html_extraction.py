@@ -5,9 +5,9 @@ Pages become trees of their block elements; what stands in a row under one paren
 tree matching (the largest set of pairs of equal labels that keeps parents and order) and merge into the
 host's wrapper, a tree that counts for each node its pages, its characters, those in links, and whether
 its text ever varied. Nodes that don't vary over pages that differ are template, and so are menus,
-notices and the like by label or by their share of links; of the varying slots, the article, or else
-the one that holds most text, is content. Every page is then aligned with its host's wrapper and the
-blocks of its content slots are the text.
+notices and the like by label or by their share of links. Every page is then aligned with its host's
+wrapper. Of the slots that the page has, the article, or else the varying one that holds most text a page,
+is content, so templates of one host don't decide for each other; the blocks of content slots are the text.
 
 Each task merges the pages it reads, so a host of any size meets as small partial wrappers, which are
 merged 64 at a time until each host has one. No page is shuffled.
@@ -158,11 +158,11 @@ def parse(html: str | None) -> Node:
 class Slot:
     """A node of a page's skeleton or of a wrapper; ``nodes`` are the page's, the counts the wrapper's."""
 
-    __slots__ = ("chars", "children", "drop", "label", "links", "nodes", "pages", "text")
+    __slots__ = ("chars", "children", "label", "links", "nodes", "pages", "text")
 
     def __init__(self, label: str):
         self.label, self.children, self.nodes = label, [], []
-        self.pages, self.chars, self.links, self.text, self.drop = 0, 0, 0, 0, None
+        self.pages, self.chars, self.links, self.text = 0, 0, 0, 0
 
 
 #: A slot's text that varied.
@@ -251,89 +251,110 @@ def never(label: str, inside: bool) -> bool:
     return not BOILERPLATE.isdisjoint(words) and tag not in ("html", "body", "main") and not (tag == "article" and "comment" not in words and "comments" not in words)
 
 
-def weight(slot: Slot) -> int:
-    """Characters outside links of a slot and all below that is not boilerplate by label."""
-    return max(slot.chars - slot.links, 0) + sum(weight(c) for c in slot.children if not never(c.label, False))
-
-
 def links_of(slot: Slot) -> tuple[int, int]:
     below = [links_of(c) for c in slot.children]
     return slot.chars + sum(b[0] for b in below), slot.links + sum(b[1] for b in below)
 
 
-def judge(wrapper: Slot) -> None:
-    """Marks a wrapper's slots: ``drop`` False for content, True for template and boilerplate, None for what only holds others."""
-    pages = wrapper.pages
-    varied = _varies(wrapper)
-
-    def articles(slot: Slot) -> list[Slot]:
-        found = []
-        for c in slot.children:
-            tag, *words = c.label.split(".")
-            if never(c.label, False):
-                continue
-            if tag in ARTICLE or "article" in words or "main" in words:
-                inner = articles(c) if tag == "main" else []
-                found += inner or [c]
-            else:
-                found += articles(c)
-        return found
-
-    def heaviest(slot: Slot) -> Slot:
-        total = weight(slot)
-        for c in slot.children:
-            if not never(c.label, False) and weight(c) >= 0.8 * total > 0:
-                return heaviest(c) if c.children else slot
-        return slot
-
-    def mark(slot: Slot, inside: bool, content: set[int]) -> None:
-        here = inside or id(slot) in content
-        slot.drop = not here or (id(slot) not in content and never(slot.label, here))
-        if here and not slot.drop:
-            chars, links = links_of(slot)
-            fixed = slot.text not in (0, VARIES) and slot.pages >= max(TEMPLATE_PAGES, TEMPLATE_SHARE * pages)
-            tag = slot.label.split(".")[0]
-            slot.drop = (varied and fixed and not _varies(slot)) or (tag in ("ul", "ol", "div", "section") and id(slot) not in content and chars > 0 and links >= LINK_SHARE * chars)
-        for c in slot.children:
-            mark(c, here and not slot.drop, content)
-
-    roots = articles(wrapper) or [heaviest(wrapper)]
-    mark(wrapper, False, {id(r) for r in roots})
+def articles(slot: Slot) -> list[Slot]:
+    """Slots below that are articles by label."""
+    found = []
+    for c in slot.children:
+        tag, *words = c.label.split(".")
+        if never(c.label, False):
+            continue
+        if tag in ARTICLE or "article" in words or "main" in words:
+            inner = articles(c) if tag == "main" else []
+            found += inner or [c]
+        else:
+            found += articles(c)
+    return found
+
+
+class Judged:
+    """A host's wrapper with its article slots (those that hold text on any page) and the marks by content roots."""
+
+    def __init__(self, wrapper: Slot):
+        self.wrapper, self.varied = wrapper, _varies(wrapper)
+        self.articles = frozenset(id(a) for a in articles(wrapper) if links_of(a)[0])
+        self.known: dict[frozenset[int], dict[int, bool]] = {}
+
+    def fixed(self, slot: Slot, pages: float) -> bool:
+        return self.varied and slot.text not in (0, VARIES) and slot.pages >= max(TEMPLATE_PAGES, pages)
+
+    def roots(self, page: Slot, partner: dict[int, Slot]) -> frozenset[int]:
+        """Content roots of a page: the host's article slots if it has one, else the heaviest of its own slots."""
+        if any(id(w) in self.articles for w in partner.values()):
+            return self.articles
+        weights: dict[int, float] = {}
+
+        def weigh(slot: Slot) -> float:
+            """Characters outside links, a page, of a slot and all below that the page has and that is not boilerplate."""
+            w = partner.get(id(slot))
+            own = 0 if w is None or self.fixed(w, 0) else max(w.chars - w.links, 0) / w.pages
+            weights[id(slot)] = own + sum([weigh(c) for c in slot.children if not never(c.label, False)])
+            return weights[id(slot)]
+
+        def heaviest(slot: Slot) -> Slot:
+            for c in slot.children:
+                if id(c) in partner and weights.get(id(c), 0) >= 0.8 * weights[id(slot)] > 0:
+                    return heaviest(c) if c.children else slot
+            return slot
+
+        weigh(page)
+        return frozenset([id(partner[id(heaviest(page))])])
+
+    def marks(self, content: frozenset[int]) -> dict[int, bool]:
+        """Whether each of the wrapper's slots is dropped, as template, as boilerplate or outside the content roots."""
+        if content not in self.known:
+            drop: dict[int, bool] = {}
+
+            def mark(slot: Slot, inside: bool) -> None:
+                here = inside or id(slot) in content
+                drop[id(slot)] = not here or (id(slot) not in content and never(slot.label, here))
+                if here and not drop[id(slot)]:
+                    chars, links = links_of(slot)
+                    fixed = self.fixed(slot, TEMPLATE_SHARE * self.wrapper.pages)
+                    tag = slot.label.split(".")[0]
+                    drop[id(slot)] = (fixed and not _varies(slot)) or (tag in ("ul", "ol", "div", "section") and id(slot) not in content and chars > 0 and links >= LINK_SHARE * chars)
+                for c in slot.children:
+                    mark(c, here and not drop[id(slot)])
+
+            mark(self.wrapper, False)
+            self.known[content] = drop
+        return self.known[content]
 
 
 def _varies(slot: Slot) -> bool:
     return slot.text == VARIES or any(_varies(c) for c in slot.children)
 
 
-def aligned(page: Slot, wrapper: Slot) -> None:
-    """Gives a page's slots the marks of the wrapper's; slots that it lacks follow their labels and what they stand in."""
+def aligned(page: Slot, wrapper: Slot) -> dict[int, Slot]:
+    """The wrapper's slots by those of a page."""
+    partner: dict[int, Slot] = {}
 
-    def inherit(slot: Slot, drop: bool) -> None:
-        slot.drop = drop or never(slot.label, True)
-        for c in slot.children:
-            inherit(c, slot.drop)
-
-    page.drop = wrapper.drop
-    _, pairs = matching(page.children, wrapper.children)
-    partner = dict(pairs)
-    for i, c in enumerate(page.children):
-        if i in partner:
-            aligned(c, wrapper.children[partner[i]])
-        else:
-            inherit(c, bool(page.drop))
+    def align(slot: Slot, other: Slot) -> None:
+        partner[id(slot)] = other
+        for i, j in matching(slot.children, other.children)[1]:
+            align(slot.children[i], other.children[j])
+
+    align(page, wrapper)
+    return partner
 
 
-def blocks(page: Slot, root: Node) -> list[str]:
-    """Texts of the page's kept nodes, in page order."""
+def blocks(page: Slot, root: Node, partner: dict[int, Slot], drop: dict[int, bool]) -> list[str]:
+    """Texts of the page's kept nodes, in page order; slots that the wrapper lacks follow their labels and what they stand in."""
     kept: set[int] = set()
 
-    def mark(slot: Slot) -> None:
-        if not slot.drop:
+    def mark(slot: Slot, above: bool) -> None:
+        w = partner.get(id(slot))
+        dropped = drop[id(w)] if w is not None else above or never(slot.label, True)
+        if not dropped:
             kept.update(map(id, slot.nodes))
         for c in slot.children:
-            mark(c)
+            mark(c, dropped)
 
-    mark(page)
+    mark(page, True)
     out: list[str] = []
 
     def read(node: Node) -> None:
@@ -348,12 +369,12 @@ def blocks(page: Slot, root: Node) -> list[str]:
     return out
 
 
-def extract(html: str | None, wrapper: Slot) -> str:
+def extract(html: str | None, judged: Judged) -> str:
     """The page's main text by its host's judged wrapper."""
     root = parse(html)
     page = skeleton([root])
-    aligned(page, wrapper)
-    return "\n".join(blocks(page, root))
+    partner = aligned(page, judged.wrapper)
+    return "\n".join(blocks(page, root, partner, judged.marks(judged.roots(page, partner))))
 
 
 def wrappers(df: DataFrame, url: str, html: str) -> DataFrame:
@@ -419,7 +440,7 @@ def main_text(df: DataFrame, key: str = "page_id", url: str = "url", html: str =
     joined = source.join(known, "host").select("page_id", "url", "html", "host", "wrapper")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        judged: dict[str, Slot] = {}
+        judged: dict[str, Judged] = {}
         for batch in batches:
             texts = []
             for page, h, wrapper in zip(batch.column(2), batch.column(3), batch.column(4)):
@@ -427,8 +448,7 @@ def main_text(df: DataFrame, key: str = "page_id", url: str = "url", html: str =
                 if name not in judged:
                     if len(judged) >= 1000:
                         judged.clear()
-                    judged[name] = unpacked(json.loads(wrapper.as_py()))
-                    judge(judged[name])
+                    judged[name] = Judged(unpacked(json.loads(wrapper.as_py())))
                 texts.append(extract(page.as_py(), judged[name]))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], ["page_id", "url", "text", "n_chars"]

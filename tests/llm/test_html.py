@@ -38,6 +38,23 @@ def test_pages_without_an_article(spark):
     assert got[2] == ("Body text 2 goes on. " * 9).strip() + "\nMore 2."
 
 
+def test_hosts_with_two_templates(spark):
+    """Each page's own slots decide, however many pages have the other template, with and without articles."""
+    menu = "<div id='top'>Home of all that this site has to offer its readers, day by day</div>"
+    one = "<body>" + menu + "<article><p>Story {0}</p></article></body>"
+    two = "<body>" + menu + "<div class='content'><p>" + "Other layout {0} here. " * 5 + "</p><p>End {0}.</p></div><div class='footer'>Imprint</div></body>"
+    three = "<body>" + menu + "<div class='text'><p>" + "Third layout {0} goes on. " * 20 + "</p></div></body>"
+    pages, want = [], {}
+    story, other, third = "Story {0}", ("Other layout {0} here. " * 5).strip() + "\nEnd {0}.", ("Third layout {0} goes on. " * 20).strip()
+    for host, parts in {"mixed": ((one, story, 30), (two, other, 3)), "few": ((one, story, 1), (two, other, 30)), "plain": ((three, third, 40), (two, other, 2))}.items():
+        for html, text, n in parts:
+            for _ in range(n):
+                i = len(pages)
+                pages.append((i, f"http://{host}.org/{i}", html.format(i)))
+                want[i] = text.format(i)
+    assert run(spark, pages) == want
+
+
 def test_template_inside_the_article(spark):
     """What stands unchanged in nearly all of many differing pages of a host is template; on a host of copies nothing is."""
     page = "<article><h2>Our series</h2><p>Text {0}</p></article>"
