@@ -38,9 +38,12 @@ def keep_one_of_a_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
     Rows without a key can't be told apart and all stay.
     """
-    groups = written(near_duplicates.near_duplicates(docs, percent=NEAR_PERCENT).select("doc_id", "kept"), "groups")
-    dropped = groups.where(~F.col("kept")).select("doc_id").distinct()
-    left = docs.join(small_side(dropped, BROADCAST_KEYS), "doc_id", "left_anti")
+    groups = near_duplicates.grouped(docs, percent=NEAR_PERCENT).select("doc_id", F.col("text_hash").alias("__text_hash"), "kept")
+    groups = written(groups, "groups")
+    # A key may stand in rows of different texts: only those of the dropped text go.
+    dropped = groups.where(~F.col("kept")).select("doc_id", "__text_hash").distinct()
+    hashed = docs.withColumn("__text_hash", near_duplicates.text_hash("text"))
+    left = hashed.join(small_side(dropped, BROADCAST_KEYS), ["doc_id", "__text_hash"], "left_anti").select(docs.columns)
     repeated = groups.where(F.col("kept") & F.col("doc_id").isNotNull()).groupBy("doc_id").count().where("count > 1").select("doc_id")
     if not repeated.take(1):
         return left

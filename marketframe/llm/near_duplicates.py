@@ -62,9 +62,14 @@ def near_estimate(percent: int, sketch: int) -> float:
     return _under(max(0.0, 2 * percent / 100 - 1), sketch)
 
 
+def text_hash(text: str) -> Column:
+    """Tells rows of one key apart by their texts."""
+    return F.xxhash64(F.col(text).cast("string"))
+
+
 def sketches(df: DataFrame, key: str, text: str, words: int = 5, sketch: int = SKETCH) -> DataFrame:
-    """Per row: doc_id, node (128-bit hash of the shingle set; NULL for an empty one), n_shingles and sketch."""
-    source = shipped(df).select(F.col(key).alias("doc_id"), F.col(text).cast("string").alias("__text"))
+    """Per row: doc_id, text_hash, node (128-bit hash of the shingle set; NULL for an empty one), n_shingles and sketch."""
+    source = shipped(df).select(F.col(key).alias("doc_id"), F.col(text).cast("string").alias("__text"), text_hash(text).alias("text_hash"))
     kind = source.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -75,10 +80,10 @@ def sketches(df: DataFrame, key: str, text: str, words: int = 5, sketch: int = S
                 nodes.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
                 sizes.append(len(s))
                 low.append(s[:sketch])
-            columns = [batch.column(0), pa.array(nodes, pa.binary()), pa.array(sizes, pa.int64()), pa.array(low, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "node", "n_shingles", "sketch"])
+            columns = [batch.column(0), batch.column(2), pa.array(nodes, pa.binary()), pa.array(sizes, pa.int64()), pa.array(low, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_hash", "node", "n_shingles", "sketch"])
 
-    return source.mapInArrow(run, f"doc_id {kind}, node binary, n_shingles long, sketch array<long>")
+    return source.mapInArrow(run, f"doc_id {kind}, text_hash long, node binary, n_shingles long, sketch array<long>")
 
 
 def _near_sizes(percent: int) -> Column:
@@ -271,6 +276,11 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", word
     shingles; without such a row with a key its component is NULL and it is kept. Repeated rows are
     copies of each other under one key, all kept or none. Other columns are left out; an empty table gives no rows.
     """
+    return grouped(df, key, text, words, percent, **sizes).drop("text_hash")
+
+
+def grouped(df: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5, percent: int = 85, **sizes: int) -> DataFrame:
+    """``near_duplicates`` with the text_hash of each row."""
     rows = written(sketches(df, key, text, words, sizes.get("sketch", SKETCH)), "sketches")
     classes = rows.where(F.col("node").isNotNull()).groupBy("node")
     classes = written(classes.agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch")), "classes")
@@ -281,6 +291,6 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", word
         least = roots.groupBy("root").agg(F.min("rep").alias("least"))
         named = named.join(roots.join(least, "root").select("node", "least"), "node", "left")
         named = named.select("node", F.coalesce("least", "rep").alias("rep"))
-    out = rows.select("doc_id", "node", "n_shingles").join(named, "node", "left")
+    out = rows.select("doc_id", "text_hash", "node", "n_shingles").join(named, "node", "left")
     component = F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("rep"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+    return out.select("doc_id", "text_hash", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))

@@ -59,6 +59,13 @@ def test_groups_reach_down_to_80_percent(spark):
     assert sorted(r["doc_id"] for r in C.keep_one_of_a_group(spark, docs, D).collect()) == want
 
 
+def test_one_key_in_rows_of_different_texts(spark):
+    """Only the row whose text is a copy goes, not the other one of its key; of equal rows one stays."""
+    a, b = " ".join(f"a{i}" for i in range(30)), " ".join(f"b{i}" for i in range(30))
+    docs = spark.createDataFrame([(1, a, "en"), (5, a, "en"), (5, b, "en"), (5, b, "en")], "doc_id long, text string, lang string")
+    assert sorted((r["doc_id"], r["text"]) for r in C.keep_one_of_a_group(spark, docs, D).collect()) == [(1, a), (5, b)]
+
+
 def test_groups_of_the_tables_at_80_percent(stages):
     _, before, after = stages[2]
     want = [r[0] for r in expected([(r["doc_id"], r["text"]) for r in before], 80) if r[3]]
