@@ -8,7 +8,7 @@ from public_tokenizers import path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat_format, html_extraction, language_model, near_duplicates, neighbours, packing, pii, quality_classifier, quality_rules
+from . import bpe, chat_format, collocations, conversation_repair, html_extraction, language_model, near_duplicates, neighbours, packing, pii, quality_classifier, quality_rules, secrets
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -133,3 +133,60 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_neighbours")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+@query("op11_conversation_repair")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.report(table(spark, sf_dir, "conversations"))
+
+
+@query("op12_secrets")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.report(table(spark, sf_dir, "documents"))
+
+
+OP13_SQL = r"""
+WITH pieces AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w
+  FROM (
+    SELECT coalesce(lang, 'und') AS lang,
+           unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents
+  )
+),
+places AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM pieces),
+f AS (
+  SELECT lang, m, array_to_string(w[i:i + m - 1], ' ') AS phrase, count(*) AS a
+  FROM places, range(1, 5) AS r(m) WHERE i + m - 1 <= len(w) GROUP BY ALL
+),
+n AS (SELECT lang, sum(a)::BIGINT AS n FROM f WHERE m = 1 GROUP BY lang),
+candidates AS (SELECT lang, m, phrase, a, string_split(phrase, ' ') AS w FROM f WHERE m > 1 AND a >= 30),
+cuts AS (
+  SELECT c.lang, c.m, c.phrase, c.a, k, array_to_string(w[1:k], ' ') AS x, array_to_string(w[k + 1:], ' ') AS y
+  FROM candidates AS c, range(1, 4) AS r(k) WHERE k < c.m
+),
+scored AS (
+  SELECT c.lang, c.phrase, c.a, x.a AS l, y.a AS r, ((2000000::HUGEINT * c.a) // (x.a + y.a))::BIGINT AS score
+  FROM cuts AS c JOIN f AS x ON x.lang = c.lang AND x.phrase = c.x JOIN f AS y ON y.lang = c.lang AND y.phrase = c.y
+  QUALIFY row_number() OVER (PARTITION BY c.lang, c.phrase ORDER BY score, k) = 1
+),
+inside AS (
+  SELECT lang, phrase, max(a) AS f
+  FROM (
+    SELECT lang, a, array_to_string(w[i:i + k - 1], ' ') AS phrase
+    FROM candidates, range(2, 4) AS r(k), range(1, 4) AS s(i) WHERE k < m AND i + k - 1 <= m
+  )
+  GROUP BY lang, phrase
+),
+kept AS (
+  SELECT s.* FROM scored AS s LEFT JOIN inside AS i ON i.lang = s.lang AND i.phrase = s.phrase
+  WHERE i.f IS NULL OR 100::HUGEINT * i.f < 80::HUGEINT * s.a
+),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT r.lang, rank, phrase, a, l, r.r, n, score FROM ranked AS r JOIN n ON n.lang = r.lang WHERE rank <= 2000
+"""
+
+
+@query("op13_collocations", OP13_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
