@@ -147,27 +147,34 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP13_SQL = r"""
 WITH pieces AS (
-  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w
+  SELECT row_number() OVER () AS row, lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w
   FROM (
     SELECT coalesce(lang, 'und') AS lang,
            unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
     FROM documents
   )
 ),
-places AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM pieces),
+places AS (SELECT row, lang, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM pieces),
+grams AS (
+  SELECT lang, word AS a, lead(word) OVER p AS b, lead(word, 2) OVER p AS c, lead(word, 3) OVER p AS d
+  FROM places WINDOW p AS (PARTITION BY row ORDER BY i)
+),
 f AS (
-  SELECT lang, m, array_to_string(w[i:i + m - 1], ' ') AS phrase, count(*) AS a
-  FROM places, range(1, 5) AS r(m) WHERE i + m - 1 <= len(w) GROUP BY ALL
+  SELECT lang, 1 AS m, a AS phrase, count(*) AS a FROM grams GROUP BY ALL
+  UNION ALL SELECT lang, 2, concat_ws(' ', a, b), count(*) FROM grams WHERE b IS NOT NULL GROUP BY ALL
+  UNION ALL SELECT lang, 3, concat_ws(' ', a, b, c), count(*) FROM grams WHERE c IS NOT NULL GROUP BY ALL
+  UNION ALL SELECT lang, 4, concat_ws(' ', a, b, c, d), count(*) FROM grams WHERE d IS NOT NULL GROUP BY ALL
 ),
 n AS (SELECT lang, sum(a)::BIGINT AS n FROM f WHERE m = 1 GROUP BY lang),
-candidates AS (SELECT lang, m, phrase, a, string_split(phrase, ' ') AS w FROM f WHERE m > 1 AND a >= 30),
+often AS (SELECT * FROM f WHERE a >= 30),
+candidates AS (SELECT lang, m, phrase, a, string_split(phrase, ' ') AS w FROM often WHERE m > 1),
 cuts AS (
   SELECT c.lang, c.m, c.phrase, c.a, k, array_to_string(w[1:k], ' ') AS x, array_to_string(w[k + 1:], ' ') AS y
   FROM candidates AS c, range(1, 4) AS r(k) WHERE k < c.m
 ),
 scored AS (
   SELECT c.lang, c.phrase, c.a, x.a AS l, y.a AS r, ((2000000::HUGEINT * c.a) // (x.a + y.a))::BIGINT AS score
-  FROM cuts AS c JOIN f AS x ON x.lang = c.lang AND x.phrase = c.x JOIN f AS y ON y.lang = c.lang AND y.phrase = c.y
+  FROM cuts AS c JOIN often AS x ON x.lang = c.lang AND x.phrase = c.x JOIN often AS y ON y.lang = c.lang AND y.phrase = c.y
   QUALIFY row_number() OVER (PARTITION BY c.lang, c.phrase ORDER BY score, k) = 1
 ),
 inside AS (
