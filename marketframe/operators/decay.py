@@ -5,16 +5,17 @@ Per key in (ts, seq) order, with ``a = exp(-dt / tau)`` (Eckner 2014; Mueller 19
     m_1 = x_1    m_n = a * m_(n-1) + (1 - a) * x_n
     v_1 = 0      v_n = a * (v_(n-1) + (1 - a) * (x_n - m_(n-1))**2)
 
-For keys that fit a task both are running sums of decayed terms per key. A hot key's rows are grouped
-by (key, time block). Inside a block the recurrences are run relative to the
-block's first row with plain window sums, which gives both values as polynomials in the state after
-that first row: ``m_n = x_1 + M + c / g`` and ``v_n = D0 - 2 c D1 + c**2 D2 + v_1 / g`` where
-``c = m_1 - x_1`` and ``g = exp((t_n - t_1) / tau)``. One row per (key, block) then carries the
-states from block to block and leads its block as an extra row, so the rows are shuffled once. No
-window spans all rows of a hot key, no exponent exceeds ``SPAN``, and all terms of a sum have the
-weight they have in the result.
-
-NULL inputs leave the state as it is. The deviation of a key's first value is NULL.
+For keys that fit a task both are running sums of decayed terms per key. If there are hot keys, rows
+are grouped by (key, block), where only hot keys have several blocks. Inside a block the recurrences are
+run relative to the block's first row with plain window sums, which gives both values as polynomials in
+the state after that first row: ``m_n = x_1 + M + c / g`` and ``v_n = D0 - 2 c D1 + c**2 D2 + v_1 / g``
+where ``c = m_1 - x_1`` and ``g = exp((t_n - t_1) / tau)``. One row per block of a hot key then carries
+the states from block to block and leads its block as an extra row, so all rows are shuffled once. No
+window spans all rows of a hot key, and all terms of a sum have the weight they have in the result. Sums
+run over stretches of time in which no exponent exceeds ``SPAN``; ``g`` ends at exp(2 ``SPAN``), where
+what it divides no longer shows.
+
+NULL inputs and inputs without a time leave the state as it is. The deviation of a key's first value is NULL.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.timefmt import micros
-from .ordered import BLOCK, LENGTH, SPLIT_ROWS, US, Split, plan_split, split_apply, to_micros, with_blocks
+from .ordered import BLOCK, SPLIT_ROWS, US, Cuts, plan_cuts, to_micros, with_blocks
 from .relational import Names, as_list
 
 # 1 for rows of the table, 0 for the row that leads a block.
@@ -39,6 +40,15 @@ AT = "__at"
 SPAN = 300
 
 # Column expressions are SQL text here: a stage is one list of named formulas.
+# Sum of a key's terms so far, each decayed from its own time to the current row's time. It is
+# accumulated over two grids of stretches shifted by half a stretch; a row uses the grid in which at
+# least half a stretch lies behind it, and what that leaves out has decayed by exp(-SPAN / 2).
+_DECAYED = (
+    "CASE WHEN pmod({t}, {stretch}) >= {half} "
+    "THEN sum({term} * exp(pmod({t}, {stretch}) / {tau})) {grid0} * exp(-pmod({t}, {stretch}) / {tau}) "
+    "ELSE sum({term} * exp(pmod({t} + {half}, {stretch}) / {tau})) {grid1} "
+    "* exp(-pmod({t} + {half}, {stretch}) / {tau}) END"
+)
 _LOCAL = (
     {
         "t": "last(IF({x} IS NULL, NULL, {us}), true) {running}",
@@ -48,34 +58,27 @@ _LOCAL = (
         "tp": "last(IF({x} IS NULL, NULL, {us}), true) {earlier}",
     },
     {
-        "g": "exp(({t} - {t1}) / {tau})",
+        "g": "exp(least(({t} - {t1}) / {tau}, {cap}))",
         # Share of the new value, 1 - exp(-dt / tau); 0 on the block's first row.
         "w": "coalesce(-expm1(({tp} - {t}) / {tau}), 0D)",
         "d": "coalesce({x} - {x1}, 0D)",
     },
-    {"m": "sum({w} * {d} * {g}) {running} / {g}"},
+    {"term": "{w} * {d}"},
+    {"m": f"IF({{t}} IS NULL, NULL, {_DECAYED})"},
 )
 _LOCAL_STD = (
     {
         "gp": "coalesce(lag({g}) {ordered}, 1D)",
         "e": "IF({w} > 0, {d} - coalesce(lag({m}) {ordered}, 0D), 0D)",
     },
+    {"term": "coalesce(exp(({tp} - {t}) / {tau}), 0D) * {w} * {e} * {e}"},
     {
-        "d0": "sum({w} * {e} * {e} * {gp}) {running} / {g}",
+        "d0": f"IF({{t}} IS NULL, NULL, {_DECAYED})",
         "d1": "sum({w} * {e}) {running} / {g}",
         "d2": "sum({w} / {gp}) {running} / {g}",
     },
 )
 
-# Sum of a key's terms so far, each decayed from its own time to the current row's time. It is
-# accumulated over two grids of stretches shifted by half a stretch; a row uses the grid in which at
-# least half a stretch lies behind it, and what that leaves out has decayed by exp(-SPAN / 2).
-_DECAYED = (
-    "CASE WHEN pmod({t}, {stretch}) >= {half} "
-    "THEN sum({term} * exp(pmod({t}, {stretch}) / {tau})) {grid0} * exp(-pmod({t}, {stretch}) / {tau}) "
-    "ELSE sum({term} * exp(pmod({t} + {half}, {stretch}) / {tau})) {grid1} "
-    "* exp(-pmod({t} + {half}, {stretch}) / {tau}) END"
-)
 _KNOWN = "({x1} IS NOT NULL OR {m_in} IS NOT NULL)"
 _CHAIN = (
     {"tb": "last({t}, true) {before}"},
@@ -148,19 +151,14 @@ def decay_stats(
     mean, std = dict(mean or {}), dict(std or {})
     keys, seq = as_list(by), as_list(seq)
     tau_us = to_micros(tau)
-
-    def whole(rows: DataFrame) -> DataFrame:
-        return _whole(rows, ts, keys, seq, tau_us, mean, std)
-
-    def blocked(rows: DataFrame, split: Split | None) -> DataFrame:
-        return _blocked(rows, ts, keys, seq, tau_us, mean, std, block, split, initial)
-
+    rows, at = df, ts
     if initial is not None:
-        inputs = [*mean.values(), *std.values()]
-        rows = _not_before(df, ts, keys, inputs, initial)
-        split = None if block else plan_split(rows, keys, AT, split_rows, SPAN * tau_us)
-        return _blocked(rows, AT, keys, seq, tau_us, mean, std, block, split, initial).drop(AT)
-    return split_apply(df, keys, ts, whole, blocked, block, split_rows, SPAN * tau_us)
+        rows, at = _not_before(df, ts, keys, [*mean.values(), *std.values()], initial), AT
+    cuts = None if block else plan_cuts(rows, keys, at, seq, split_rows)
+    if initial is None and not block and cuts is None:
+        return _whole(df, ts, keys, seq, tau_us, mean, std)
+    out = _blocked(rows, at, keys, seq, tau_us, mean, std, block, cuts, initial)
+    return out.drop(AT) if initial is not None else out
 
 
 def _not_before(df: DataFrame, ts: str, keys: list[str], inputs: list[str], initial: DataFrame) -> DataFrame:
@@ -174,7 +172,7 @@ def _not_before(df: DataFrame, ts: str, keys: list[str], inputs: list[str], init
     return df.join(states, same, "left").withColumn(AT, at).drop("__last", *[f"__of_{k}" for k in keys])
 
 
-def _blocked(df, ts, keys, seq, tau_us: int, mean, std, block, split, initial) -> DataFrame:
+def _blocked(df, ts, keys, seq, tau_us: int, mean, std, block, cuts: Cuts | None, initial) -> DataFrame:
     """Keys in blocks: states inside each block, carried from block to block."""
     columns = df.columns
     inputs = list(dict.fromkeys([*mean.values(), *std.values()]))
@@ -182,14 +180,14 @@ def _blocked(df, ts, keys, seq, tau_us: int, mean, std, block, split, initial) -
     def local(frame: DataFrame) -> DataFrame:
         for i, column in enumerate(inputs):
             stages = _LOCAL + (_LOCAL_STD if column in std.values() else ())
-            frame = _add(frame, stages, _terms(i, column, keys, seq, tau_us))
+            frame = _add(frame, stages, _terms(i, column, keys, seq, tau_us, inside=True))
         return frame
 
-    def cut(frame: DataFrame) -> DataFrame:
-        frame = with_blocks(frame, keys, ts, block, SPAN * tau_us, split).drop(LENGTH)
-        return frame.withColumn(OWN, F.lit(1))
+    def cut(frame: DataFrame, hot_only: bool = False) -> DataFrame:
+        return with_blocks(frame, keys, ts, seq, block, cuts, hot_only).withColumn(OWN, F.lit(1))
 
-    narrow = local(cut(df.select(*dict.fromkeys([*keys, ts, *seq, *inputs]))))
+    # A key of one block and no state hands nothing on.
+    narrow = local(cut(df.select(*dict.fromkeys([*keys, ts, *seq, *inputs])), hot_only=initial is None))
     carry = _carries(narrow, inputs, keys, seq, tau_us, set(std.values()), initial)
     out = local(cut(df).unionByName(carry, allowMissingColumns=True))
     for i, column in enumerate(inputs):
@@ -236,24 +234,29 @@ def _add(frame: DataFrame, stages, terms: Mapping[str, str]) -> DataFrame:
     return frame
 
 
-def _terms(i: int, column: str = "", keys=(), seq=(), tau_us: int = 1, whole: bool = False) -> dict[str, str]:
-    """What the formulas' names stand for: this input's columns, windows and constants."""
+def _terms(i: int, column: str = "", keys=(), seq=(), tau_us: int = 1, whole: bool = False, inside: bool = False) -> dict[str, str]:
+    """What the formulas' names stand for: this input's columns, windows and constants.
+
+    Decayed sums run over a ``whole`` key's rows, over the rows ``inside`` a block, or else over a key's blocks.
+    """
     stretch = SPAN * tau_us
     by = ", ".join(f"`{k}`" for k in keys)
     order = ", ".join([US, *[f"`{c}`" for c in seq]])
-    inside = f"PARTITION BY {by} ORDER BY {order}" if whole else f"PARTITION BY {by}, {BLOCK} ORDER BY {OWN}, {order}"
+    rows = f"PARTITION BY {by} ORDER BY {order}" if whole else f"PARTITION BY {by}, {BLOCK} ORDER BY {OWN}, {order}"
     grid = "OVER (PARTITION BY {by}, __t{i} - pmod(__t{i} + {shift}L, {stretch}L) ORDER BY {block} ROWS UNBOUNDED PRECEDING)"
-    grids = [grid.format(by=by, i=i, shift=s, stretch=stretch, block=order if whole else BLOCK) for s in (0, stretch // 2)]
+    of, along = (f"{by}, {BLOCK}", f"{OWN}, {order}") if inside else (by, order if whole else BLOCK)
+    grids = [grid.format(by=of, i=i, shift=s, stretch=stretch, block=along) for s in (0, stretch // 2)]
     return {
         **{name: f"__{name}{i}" for name in _NAMES},
-        "x": f"CAST(`{column}` AS DOUBLE)",
+        "x": f"IF({US} IS NULL, NULL, CAST(`{column}` AS DOUBLE))",
         "us": US,
         "tau": f"{float(tau_us)!r}D",
         "stretch": f"{stretch}L",
         "half": f"{stretch // 2}L",
-        "ordered": f"OVER ({inside})",
-        "running": f"OVER ({inside} ROWS UNBOUNDED PRECEDING)",
-        "earlier": f"OVER ({inside} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)",
+        "cap": f"{2 * SPAN}D",
+        "ordered": f"OVER ({rows})",
+        "running": f"OVER ({rows} ROWS UNBOUNDED PRECEDING)",
+        "earlier": f"OVER ({rows} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)",
         "before": f"OVER (PARTITION BY {by} ORDER BY {BLOCK} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)",
         "grid0": grids[0],
         "grid1": grids[1],

@@ -1,14 +1,14 @@
 """Row-order operators that do not put one key's rows into one task.
 
 A window over a key alone sends all rows of the key to one task; a hot key then sets the run time of
-the whole job. Here the rows of a hot key are grouped by (key, time block) instead, with blocks
-sized from the key's own row count. What a block needs from the rows before it travels in one small
-row per (key, block). All other keys go through plain windows.
+the whole job. Here rows are shuffled once, by key and block: a key that fits a task is one block, a hot
+key's rows are cut at points that a small sample of its rows gives, as a range partitioning would. What
+a block needs from the rows before it is a prefix over one small row per block, which leads its block.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Mapping
 from dataclasses import dataclass
 from datetime import timedelta
 
@@ -23,14 +23,17 @@ from .relational import Names, as_list
 
 US = "__us"
 BLOCK = "__block"
-LENGTH = "__length"
+CUTS = "__cuts"
+POINT = "__point"
 
-# Groups with more rows than this are split into blocks of about this many rows.
+# Keys with more rows than this, about, are cut into blocks of half as many.
 SPLIT_ROWS = 2_000_000
-# The block of rows without a time: before all others, as such rows stand first in their key's order.
+# Sampled rows for as many: enough that a block's size is right to about a sixth.
+SAMPLES = 64
+# The block of rows without a time, where blocks have a given length: before all others, as such rows stand first.
 FIRST_BLOCK = -(2**63)
-# Rows of a split level that is broadcast at most; a larger one is joined by a shuffle.
-BROADCAST_ROWS = 200_000
+# Cut points that are broadcast at most; more are joined by a shuffle.
+BROADCAST_POINTS = 200_000
 
 
 def to_micros(duration: timedelta | int | float) -> int:
@@ -47,104 +50,84 @@ def position(df: DataFrame, column: str) -> Column:
 
 
 @dataclass(frozen=True)
-class Split:
-    """Block lengths for the groups that are too large for one task.
-
-    The first level holds the hot keys, with a length that cuts each into equal stretches of time;
-    every further level holds the stretches that are still too large (bursts), with a finer length
-    of their own. A level has at most (rows of the table) / (rows per block) rows. It is written once
-    and read back wherever it is used, and broadcast if its counted rows are few. Only rows of one
-    key at the same microsecond stay together whatever their number.
+class Cuts:
+    """Where hot keys are cut: one row per hot key with its points (time, then sequence columns) in order.
+
+    There are about twice as many points as the hot rows have ``split_rows``. The table is written once, so
+    that all uses of it cut alike, and broadcast if its counted points are few. ``steps`` are those of a
+    binary search in the longest row. Only rows that agree in time and sequence stay together whatever
+    their number.
     """
 
-    levels: tuple[DataFrame, ...]
-    small: tuple[bool, ...]
+    points: DataFrame
+    small: bool
+    steps: tuple[int, ...]
 
 
-def _length(groups: DataFrame, rows: int, parts: int) -> DataFrame:
-    """Groups of more than ``rows`` rows, with the length that cuts them into at least ``parts``."""
-    counts = groups.agg(F.count(F.lit(1)).alias("__rows"), F.min(US).alias("__low"), F.max(US).alias("__high"))
-    large = counts.filter((F.col("__rows") > rows) & (F.col("__high") > F.col("__low")))
-    length = f"greatest(1, CAST((__high - __low + 1) / greatest({parts}, __rows / {rows}D) AS BIGINT))"
-    return large.withColumn(LENGTH, F.expr(length)).drop("__rows", "__low", "__high")
+def _point(df: DataFrame, ts: str, seq: list[str]) -> Column:
+    return F.struct(position(df, ts).alias(US), *seq).alias(POINT)
 
 
-def plan_split(
-    df: DataFrame, keys: Names, ts: str, rows: int | None = SPLIT_ROWS, longest: int | None = None
-) -> Split | None:
-    """How to split hot keys, or None when every key fits a task.
+def plan_cuts(df: DataFrame, keys: Names, ts: str, seq: Names | None = None, rows: int | None = SPLIT_ROWS) -> Cuts | None:
+    """Where to cut hot keys, or None when every key fits a task.
 
-    Row counts per key are measured now, in one aggregate that is combined before the shuffle: most
-    tables have no hot key and then need no blocks, no second pass and no joins. Only rows of hot
-    groups are read again for the finer levels; each level is a thousandth of the one before.
-    ``rows=None`` states that no key is hot, and nothing is counted.
+    One narrow read of a sample decides, now. Results don't depend on the sample: it moves the cuts
+    only. ``rows=None`` states that no key is hot, and nothing is read.
     """
     if rows is None:
         return None
     keys = as_list(keys)
-    cut = df.select(*keys, position(df, ts).alias(US))
-    level = _length(cut.groupBy(*keys), rows, 1)
-    levels, small = [], []
-    while not level.isEmpty():
-        level, n = _stored(level)
-        small.append(n <= BROADCAST_ROWS)
-        cut = _refine(cut, level, small[-1], keys, longest, "inner", first=not levels)
-        levels.append(level)
-        level = _length(cut.groupBy(*keys, BLOCK), 2 * rows, 1000)
-    return Split(tuple(levels), tuple(small)) if levels else None
-
-
-def _stored(level: DataFrame) -> tuple[DataFrame, int]:
-    """A level as a table in the shared folder, and its number of rows."""
-    path = shared_dir(level.sparkSession, "split")
-    level.write.parquet(path)
-    stored = level.sparkSession.read.schema(level.schema).parquet(path)
-    return stored, stored.count()
-
-
-def _refine(rows: DataFrame, level: DataFrame, small: bool, keys, longest, how: str, first: bool) -> DataFrame:
-    if first:
-        return _start(join_level(rows, level, small, keys, how), LENGTH, longest)
-    finer = level.withColumnRenamed(LENGTH, "__finer")
-    start = F.expr(f"greatest({BLOCK}, {US} - pmod({US}, __finer))")
-    return join_level(rows, finer, small, [*keys, BLOCK], how).withColumn(BLOCK, start).drop("__finer")
-
-
-def _start(rows: DataFrame, length: str, longest: int | None) -> DataFrame:
-    length = f"least({length}, {longest}L)" if longest else length
-    return rows.withColumn(BLOCK, F.coalesce(F.expr(f"{US} - pmod({US}, {length})"), F.lit(FIRST_BLOCK)))
+    share = min(1.0, SAMPLES / rows)
+    points = df.select(*keys, _point(df, ts, as_list(seq)))
+    sample = points.sample(fraction=share, seed=7) if share < 1 else points
+    own = Window.partitionBy(*keys)
+    ranked = sample.withColumns({"__n": F.row_number().over(own.orderBy(POINT)), "__of": F.count(F.lit(1)).over(own)})
+    step = max(1, round(rows * share / 2))
+    hot = ranked.filter((F.col("__of") > rows * share) & (F.col("__n") % step == 0))
+    points = hot.groupBy(*keys).agg(F.sort_array(F.collect_set(POINT)).alias(CUTS))
+    path = shared_dir(df.sparkSession, "cuts")
+    points.write.parquet(path)
+    points = df.sparkSession.read.schema(points.schema).parquet(path)
+    size = points.agg(F.sum(F.size(CUTS)).alias("all"), F.max(F.size(CUTS)).alias("longest")).first()
+    if not size["all"]:
+        return None
+    steps = tuple(1 << i for i in reversed(range(size["longest"].bit_length())))
+    return Cuts(points, size["all"] <= BROADCAST_POINTS, steps)
 
 
 def with_blocks(
     df: DataFrame,
     keys: Names,
     ts: str,
+    seq: Names | None = None,
     block: int | None = None,
-    longest: int | None = None,
-    split: Split | None = None,
+    cuts: Cuts | None = None,
+    hot_only: bool = False,
 ) -> DataFrame:
-    """Add the time in microseconds and the start of the block it falls in (integer arithmetic).
+    """Add the time in microseconds and the number of the row's block in its key: in order of time and sequence.
 
-    All keys get blocks of ``block`` microseconds if given; otherwise hot keys get blocks as planned
-    in ``split`` and carry a ``LENGTH``. ``longest`` bounds every block. No row is shuffled here.
+    All keys get blocks of ``block`` microseconds if given; otherwise hot keys get the blocks of ``cuts``
+    (``hot_only`` leaves the others out) and all others are block 0. No row is shuffled here.
     """
-    keys = as_list(keys)
     rows = df.withColumn(US, position(df, ts))
-    if block or split is None:
-        fixed = rows.withColumn(LENGTH, F.lit(block).cast("long"))
-        return _start(fixed, LENGTH, longest)
-    for i, (level, small) in enumerate(zip(split.levels, split.small)):
-        rows = _refine(rows, level, small, keys, longest, "left", first=i == 0)
-    return rows
-
-
-def join_level(rows: DataFrame, level: DataFrame, small: bool, keys: Names, how: str) -> DataFrame:
-    """Join with a split level, by broadcast if it is small; NULL keys match."""
-    renamed = level.withColumnsRenamed({k: f"__small_{k}" for k in as_list(keys)})
+    if block:
+        return rows.withColumn(BLOCK, F.coalesce(F.expr(f"{US} - pmod({US}, {block}L)"), F.lit(FIRST_BLOCK)))
+    if cuts is None:
+        return rows.withColumn(BLOCK, F.lit(0).cast("long"))
+    rows = rows.withColumn(POINT, _point(df, ts, as_list(seq)))
+    rows = join_points(rows, cuts, as_list(keys), "inner" if hot_only else "left")
+    steps = ", ".join(map(str, cuts.steps))
+    found = f"aggregate(array({steps}), 0, (at, step) -> IF(get({CUTS}, at + step - 1) <= {POINT}, at + step, at))"
+    return rows.withColumn(BLOCK, F.expr(f"CAST(IF({CUTS} IS NULL, 0, {found}) AS BIGINT)")).drop(POINT, CUTS)
+
+
+def join_points(rows: DataFrame, cuts: Cuts, keys: list[str], how: str) -> DataFrame:
+    """Rows with their key's cut points, by broadcast if these are few; NULL keys match."""
+    renamed = cuts.points.withColumnsRenamed({k: f"__small_{k}" for k in keys})
     match = F.lit(True)
-    for k in as_list(keys):
+    for k in keys:
         match = match & rows[k].eqNullSafe(renamed[f"__small_{k}"])
-    return rows.join(F.broadcast(renamed) if small else renamed, match, how).drop(*[f"__small_{k}" for k in as_list(keys)])
+    return rows.join(F.broadcast(renamed) if cuts.small else renamed, match, how).drop(*[f"__small_{k}" for k in keys])
 
 
 def with_previous(
@@ -158,53 +141,23 @@ def with_previous(
 ) -> DataFrame:
     """Add values of the previous row of the same key, in (ts, seq) order; NULL on the first row.
 
-    For keys that fit a task this is one window. Each block of a hot key is given the last row of
-    the key's previous block as a leading extra row, so its rows are shuffled once, by (key, block).
-    ``block`` forces blocks on all keys. ``split_rows=None`` skips the count of rows per key, for
-    input whose keys are known to be small (bars, for example).
+    For keys that fit a task this is one window. Otherwise each block of a hot key is given the last row of
+    the key's previous block as a leading extra row, so all rows are shuffled once, by (key, block).
+    ``block`` forces blocks on all keys. ``split_rows=None`` skips the sample, for input whose keys are
+    known to be small (bars, for example).
     """
     keys, seq = as_list(keys), as_list(seq)
     kept = [c for c in df.columns if c not in values]
     inner = {out: f"__in_{out}" for out in values}
     given = {inner[out]: F.col(v) if isinstance(v, str) else v for out, v in values.items()}
     source = df.withColumns(given)
-
-    def whole(rows: DataFrame) -> DataFrame:
+    cuts = None if block else plan_cuts(df, keys, ts, seq, split_rows)
+    if not block and cuts is None:
         window = Window.partitionBy(*keys).orderBy(ts, *seq)
-        return rows.select(*kept, *[F.lag(c).over(window).alias(out) for out, c in inner.items()])
-
-    def blocked(rows: DataFrame, split: Split | None) -> DataFrame:
-        return _previous_in_blocks(rows, inner, kept, keys, ts, seq, block, split)
-
-    return split_apply(source, keys, ts, whole, blocked, block, split_rows)
-
-
-def split_apply(
-    df: DataFrame,
-    keys: list[str],
-    ts: str,
-    whole: Callable[[DataFrame], DataFrame],
-    blocked: Callable[[DataFrame, Split | None], DataFrame],
-    block: int | None,
-    split_rows: int | None,
-    longest: int | None = None,
-) -> DataFrame:
-    """Keys that fit a task through ``whole``, hot keys through ``blocked``."""
-    if block:
-        return blocked(df, None)
-    split = plan_split(df, keys, ts, split_rows, longest)
-    if split is None:
-        return whole(df)
-    hot, small = split.levels[0].select(*keys), split.small[0]
-    rest = whole(join_level(df, hot, small, keys, "left_anti"))
-    return rest.unionByName(blocked(join_level(df, hot, small, keys, "left_semi"), split))
-
-
-def _previous_in_blocks(source, inner, kept, keys, ts, seq, block, split) -> DataFrame:
+        return source.select(*kept, *[F.lag(c).over(window).alias(out) for out, c in inner.items()])
     order = [F.col(US), *[F.col(c) for c in seq]]
-    rows = with_blocks(source, keys, ts, block, split=split).drop(LENGTH).withColumn("__own", F.lit(1))
-    cut = source.select(*dict.fromkeys([*keys, ts, *seq]), *inner.values())
-    cut = with_blocks(cut, keys, ts, block, split=split)
+    rows = with_blocks(source, keys, ts, seq, block, cuts).withColumn("__own", F.lit(1))
+    cut = with_blocks(source.select(*dict.fromkeys([*keys, ts, *seq]), *inner.values()), keys, ts, seq, block, cuts, hot_only=True)
     last = F.max_by(F.struct(*inner.values()), F.struct(*order)).alias("__last")
     following = F.lead(BLOCK).over(Window.partitionBy(*keys).orderBy(BLOCK))
     carried = (
@@ -255,8 +208,8 @@ def with_row_ids(
     running count over parts is the only single-task step; it sees one row per part.
     """
     rows = df.withColumn("__bucket", bucket)
-    split = plan_split(rows, "__bucket", spread, split_rows)
-    rows = with_blocks(rows, "__bucket", spread, split=split).drop(US, LENGTH)
+    cuts = plan_cuts(rows, "__bucket", spread, None, split_rows)
+    rows = with_blocks(rows, "__bucket", spread, cuts=cuts).drop(US)
     part = ["__bucket", BLOCK]
     counts = rows.groupBy(*part).agg(F.count(F.lit(1)).alias("__n"))
     earlier = Window.partitionBy(F.lit(0)).orderBy(*part).rowsBetween(Window.unboundedPreceding, -1)

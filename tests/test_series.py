@@ -130,28 +130,32 @@ def test_previous_row(spark, split):
 
 
 def test_hot_key_is_split(spark):
-    df = spark.range(1000).selectExpr("IF(id < 900, 'hot', concat('k', id)) AS k", "timestamp_seconds(id) AS ts")
-    assert ordered.plan_split(df, "k", "ts", 1000) is None
-    split = ordered.plan_split(df, "k", "ts", 100)
-    assert [r.k for r in split.levels[0].collect()] == ["hot"] and len(split.levels) == 1
-    sizes = ordered.with_blocks(df, "k", "ts", split=split).groupBy("k", ordered.BLOCK).count()
-    assert sizes.agg(F.max("count")).first()[0] <= 101 and sizes.filter("k = 'hot'").count() >= 9
-
-
-def test_burst_of_a_hot_key_is_split_again(spark):
-    # Most rows fall into one second of a day.
-    at = "timestamp_micros(IF(id < 900, id * 1000, (id - 900) * 864000000))"
-    df = spark.range(1000).selectExpr("'hot' AS k", "id", f"{at} AS ts", "CAST(id AS DOUBLE) AS x")
-    split = ordered.plan_split(df, "k", "ts", 100)
-    assert len(split.levels) == 3
-    sizes = ordered.with_blocks(df, "k", "ts", split=split).groupBy(ordered.BLOCK).count()
-    assert sizes.agg(F.max("count")).first()[0] <= 201
-    got = ordered.with_previous(df, {"p": "x"}, "k", "ts", "id", split_rows=100)
+    df = spark.range(3000).selectExpr("IF(id < 2700, 'hot', concat('k', id)) AS k", "timestamp_seconds(id) AS ts")
+    assert ordered.plan_cuts(df, "k", "ts", None, 6000) is None
+    cuts = ordered.plan_cuts(df, "k", "ts", None, 300)
+    assert [r.k for r in cuts.points.collect()] == ["hot"] and cuts.small
+    sizes = ordered.with_blocks(df, "k", "ts", cuts=cuts).groupBy("k", ordered.BLOCK).count()
+    assert sizes.agg(F.max("count")).first()[0] <= 300 and sizes.filter("k = 'hot'").count() >= 9
+    hot = ordered.with_blocks(df, "k", "ts", cuts=cuts, hot_only=True)
+    assert hot.count() == 2700 and hot.filter("k <> 'hot'").isEmpty()
+
+
+def test_blocks_follow_the_order(spark):
+    """Bursts, equal times and rows without a time are cut as well, by their sequence."""
+    at = "CASE WHEN id < 900 THEN timestamp_micros(id * 1000) WHEN id < 2000 THEN timestamp_seconds(5) ELSE timestamp_seconds(id) END"
+    df = spark.range(5000).selectExpr("'hot' AS k", "id", f"IF(id % 4 = 0, NULL, {at}) AS ts", "CAST(id AS DOUBLE) AS x").repartition(7)
+    cuts = ordered.plan_cuts(df, "k", "ts", "id", 400)
+    rows = ordered.with_blocks(df, "k", "ts", "id", cuts=cuts)
+    assert rows.groupBy(ordered.BLOCK).count().agg(F.max("count")).first()[0] <= 400
+    blocks = [r[0] for r in rows.orderBy(ordered.US, "id").select(ordered.BLOCK).collect()]
+    assert blocks == sorted(blocks) and blocks[0] == 0 and blocks[-1] >= 20
+    got = ordered.with_previous(df, {"p": "x"}, "k", "ts", "id", split_rows=400)
     plain = ordered.with_previous(df, {"p": "x"}, "k", "ts", "id")
     assert got.exceptAll(plain.select(*got.columns)).isEmpty()
-    split = decay.ema_time(df, "ts", 60, {"m": "x"}, "k", "id", split_rows=100)
-    whole = decay.ema_time(df, "ts", 60, {"w": "x"}, "k", "id").select("id", "w")
-    assert split.join(whole, "id").agg(F.max(F.abs(F.col("m") - F.col("w")))).first()[0] < 1e-8
+    split = decay.decay_stats(df, "ts", 60, "k", {"m": "x"}, {"sd": "x"}, "id", split_rows=400)
+    whole = decay.decay_stats(df, "ts", 60, "k", {"w": "x"}, {"wd": "x"}, "id").select("id", "w", "wd")
+    far = F.greatest(F.abs(F.col("m") - F.col("w")), F.abs(F.col("sd") - F.col("wd")))
+    assert split.join(whole, "id").agg(F.max(far)).first()[0] < 1e-7
 
 
 def test_no_hot_key_needs_one_shuffle(spark, tmp_path):
@@ -162,14 +166,17 @@ def test_no_hot_key_needs_one_shuffle(spark, tmp_path):
         assert plan.count("Exchange") == 1 and "Join" not in plan
 
 
-def test_a_hot_key_needs_three_scans(spark, tmp_path):
-    """One for the other keys, one narrow and one wide for the hot one; levels are read from where they were written."""
-    spark.range(1000).selectExpr("if(id % 2 = 0, 0, id) AS k", "timestamp_seconds(id) AS ts", "CAST(id AS DOUBLE) AS x").write.parquet(str(tmp_path / "t"))
+def test_a_hot_key_needs_two_scans_and_one_full_shuffle(spark, tmp_path):
+    """One scan of all columns and one of those that the blocks' last rows need; the cut points are read from where they were written."""
+    spark.range(2000).selectExpr("if(id % 2 = 0, 0, id) AS k", "timestamp_seconds(id) AS ts", "CAST(id AS DOUBLE) AS x", "id AS wide").write.parquet(str(tmp_path / "t"))
     df = spark.read.parquet(str(tmp_path / "t"))
-    for out in (ordered.with_previous(df, {"p": "x"}, "k", "ts", split_rows=100), decay.decay_stats(df, "ts", 60, "k", MEAN, STD, split_rows=100)):
+    for out in (ordered.with_previous(df, {"p": "x"}, "k", "ts", split_rows=200), decay.decay_stats(df, "ts", 60, "k", MEAN, STD, split_rows=200)):
         plan = out._jdf.queryExecution().executedPlan().toString()
-        assert len([line for line in plan.splitlines() if "FileScan" in line and "split-" not in line]) == 3
-        assert out.count() == 1000
+        scans = [line for line in plan.splitlines() if "FileScan" in line and "cuts-" not in line]
+        assert len(scans) == 2 and sum("wide" in line for line in scans) == 1
+        full = [line for line in plan.splitlines() if "Exchange hashpartitioning(k" in line and "__block" in line]
+        assert len(full) == 2 and "SortMergeJoin" not in plan
+        assert out.count() == 2000
 
 
 def test_rows_without_time_stand_first_on_both_paths(spark):
