@@ -6,23 +6,56 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.normalize import note_json
+from ..functions.timefmt import micros
 from .ordered import with_row_ids
-from .relational import Names, as_list, natural_join, select_distinct, without_keys
+from .relational import Names, as_list, natural_join, select_distinct, small_side, without_keys
 
 
-def enrich_errors(errors: DataFrame, codes: DataFrame, order: Names) -> DataFrame:
-    """Add ErrorDescription and Note by code. A code absent from ``codes`` is described by the first
-    error text seen with it, and has no note."""
+def known_codes(errors: DataFrame, codes: DataFrame) -> DataFrame:
+    """Errors with ``__known``, ``__Message`` and ``Note`` of their code, NULL where ``codes`` lacks it."""
     known = codes.select("ErrorCode", F.col("Message").alias("__Message"), F.nullif(F.col("Note"), F.lit("")).alias("Note"))
     # The code table is small, so that Spark broadcasts it: the log, in which few codes stand for most
-    # rows, is not shuffled by code. Only errors of other codes are, to learn their texts.
-    rows = errors.join(known.withColumn("__known", F.lit(True)), "ErrorCode", "left").select(*errors.columns, "__known", "__Message", "Note")
+    # rows, is not shuffled by code.
+    return errors.join(known.withColumn("__known", F.lit(True)), "ErrorCode", "left").select(*errors.columns, "__known", "__Message", "Note")
+
+
+def first_texts(errors: DataFrame, order: Names) -> DataFrame:
+    """The first error text of each code, as ErrorDescription.
+
+    The first place is found as numbers, which keeps the aggregate hashed and combined before the shuffle;
+    texts are read of rows at that place only.
+    """
+    at = arrival(errors, as_list(order))
+    firsts = errors.groupBy("ErrorCode").agg(F.min(at).alias("__first"))
+    firsts = small_side(firsts.withColumnRenamed("ErrorCode", "__code"))
+    here = errors.join(firsts, F.col("ErrorCode").eqNullSafe(F.col("__code")) & at.eqNullSafe(F.col("__first")))
+    return here.groupBy("ErrorCode").agg(F.min("Error").alias("ErrorDescription"))
+
+
+def arrival(df: DataFrame, order: list[str]) -> Column:
+    """The order columns as one value: a number for a time, a whole number or a time followed by one."""
+    kinds = [df.schema[c].dataType for c in order]
+    timed = isinstance(kinds[0], (T.TimestampType, T.TimestampNTZType))
+    if len(order) == 1:
+        return micros(F.col(order[0])) if timed else F.col(order[0])
+    if len(order) == 2 and timed and isinstance(kinds[1], T.IntegralType):
+        low = F.coalesce(F.col(order[1]), F.lit(0)).cast("decimal(20,0)")
+        return (micros(F.col(order[0])).cast("decimal(38,0)") * F.lit("10000000000000000000").cast("decimal(20,0)") + low).cast("decimal(38,0)")
+    return F.struct(*order)
+
+
+def enrich_errors(errors: DataFrame, codes: DataFrame, order: Names, texts: DataFrame | None = None) -> DataFrame:
+    """Add ErrorDescription and Note by code. A code absent from ``codes`` is described by the first
+    error text seen with it, and has no note. ``texts`` are first texts that are known already
+    (ErrorCode, ErrorDescription): without it they are learned from ``errors``."""
+    rows = known_codes(errors, codes)
     found = rows.filter(F.col("__known")).select(*errors.columns, F.col("__Message").alias("ErrorDescription"), "Note")
     rest = rows.filter(F.col("__known").isNull()).drop("__known", "__Message")
-    learned = rest.groupBy("ErrorCode").agg(F.min_by("Error", F.struct(*as_list(order))).alias("ErrorDescription"))
-    return found.unionByName(natural_join(rest, learned, "ErrorCode", validate=False))
+    learned = first_texts(rest, order) if texts is None else texts
+    return found.unionByName(natural_join(rest, small_side(learned), "ErrorCode", validate=False))
 
 
 def contract_entries(

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window
 
+from ..session import shared_dir
+
 Names = str | Sequence[str]
 
 PARTS = 256
@@ -237,6 +239,14 @@ def audit_types(df: DataFrame, expected: Mapping[str, str]) -> DataFrame:
     return df.agg(*bad).select(F.inline(F.array(*entry)))
 
 
+def small_side(df: DataFrame, rows: int = 200_000) -> DataFrame:
+    """``df`` written once to the shared folder, and marked for broadcasting if its counted rows are few."""
+    path = shared_dir(df.sparkSession, "side")
+    df.write.parquet(path)
+    stored = df.sparkSession.read.schema(df.schema).parquet(path)
+    return F.broadcast(stored) if stored.count() <= rows else stored
+
+
 def new_keys_only(candidates: DataFrame, known: DataFrame, on: Names) -> DataFrame:
     """Each key not seen before, once; a NULL key is known if a known key is NULL."""
     keys = as_list(on)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.normalize import blank_to_null, decimals_to_double
@@ -39,6 +39,36 @@ def append_raw(df: DataFrame, path: str, table: str | None = None) -> None:
     rows.write.mode("append").parquet(path)
 
 
+BAD, REASONS = "__bad", "__reasons"
+
+
+def append_audited(df: DataFrame, path: str, expected: Mapping[str, str]) -> dict[str, int]:
+    """Append rows and audit them in the same pass: the number of values per column that don't fit.
+
+    ``expected`` names columns and their types. Rows whose values all fit are appended with these types;
+    rows with a value that doesn't are moved aside as they came, with the columns at fault in
+    ``__reasons``. Both parts lie under ``path`` and are read by :func:`read_audited`. For micro-batches
+    call it on each batch.
+    """
+    misfits = {c: F.col(c).isNotNull() & F.col(c).try_cast(t).isNull() for c, t in expected.items()}
+    reasons = F.filter(F.array(*[F.when(bad, F.lit(c)) for c, bad in misfits.items()]), lambda r: r.isNotNull())
+    rows = df.withColumn(REASONS, reasons).withColumn(BAD, F.size(REASONS) > 0)
+    audit = Observation()
+    # Values go out as they came, so that both parts fit one table; a good part's values are known to cast.
+    audited = rows.observe(audit, F.count(F.lit(1)).alias("__rows"), *[F.count_if(F.array_contains(REASONS, c)).alias(c) for c in expected])
+    audited.write.mode("append").partitionBy(BAD).parquet(path)
+    found = audit.get
+    return {c: found.get(c, 0) for c in expected}
+
+
+def read_audited(spark: SparkSession, path: str, expected: Mapping[str, str]) -> tuple[DataFrame, DataFrame]:
+    """The rows that fit, with their types, and the rows that don't, as they came with ``__reasons``."""
+    rows = spark.read.parquet(path)
+    bad = F.col(BAD) == "true"
+    good = rows.filter(~bad).drop(BAD, REASONS)
+    return good.withColumns({c: F.col(c).cast(t) for c, t in expected.items()}), rows.filter(bad).drop(BAD)
+
+
 def read_kafka(spark: SparkSession, table: str, servers: str, topic: str, **options) -> DataFrame:
     """A raw table as a stream of JSON messages. The message offset serves as arrival number."""
     schema = raw_schema(table, seq=False)
