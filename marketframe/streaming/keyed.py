@@ -92,7 +92,13 @@ def decayed(stream: DataFrame, ts: str, tau: timedelta | int | float, by: Names,
 
 
 def decayed_stream(stream: DataFrame, ts: str, tau, by: Names, column: str, mean: str, std: str, path: str, checkpoint: str, seq: Names | None = None, time_to_live: timedelta | None = None, every: str | None = None) -> StreamingQuery:
-    """Write :func:`decayed` rows, one folder a batch. The states are in the checkpoint, in RocksDB."""
+    """Write :func:`decayed` rows, one folder a batch. The states are in the checkpoint, in RocksDB.
+
+    States that end by themselves make Spark run batch after batch, so ``time_to_live`` needs a period ``every``:
+    a run over what is there now would never be over.
+    """
+    if time_to_live and not every:
+        raise ValueError("time_to_live needs a period")
     spark = stream.sparkSession
     before = spark.conf.get(PROVIDER, None)
     spark.conf.set(PROVIDER, ROCKSDB)
