@@ -150,15 +150,49 @@ def _illegal(initials: list[str]) -> int:
 REPAIRED = "conv_id {key}, blank long, duplicate long, truncated long, illegal long, cost long, audit string, repaired_sha256 string"
 
 
-def _whole(rows: pd.DataFrame, first: pd.DataFrame) -> pd.DataFrame:
-    """The repair of a conversation that lies in one block."""
-    rows = rows.sort_values("place")
-    initials, faults = _faults(rows, first)
-    found = Lightest(initials, faults)
-    edits = list(found.edits())
-    text = "\n".join(rows_of(edits, list(rows["role"]), list(rows["text"])))
-    values = (rows["conv_id"].iloc[0], *map(faults.count, "bdt"), _illegal(initials), found.cost[0], "".join(e[0] for e in edits), hashlib.sha256(text.encode()).hexdigest())
-    return pd.DataFrame([values], columns=["conv_id", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256"]).astype({"conv_id": rows["conv_id"].dtype})
+def _whole(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Repairs of conversations that lie in one block, whose rows come by conversation and place.
+
+    Before a row that is the first of its text stands a mark, a row of the same place.
+    """
+    open_key, rows, marked = None, [], None
+
+    def repair() -> tuple:
+        roles, texts, faults = (list(c) for c in zip(*rows))
+        initials = [r[:1] for r in roles]
+        found = Lightest(initials, faults)
+        edits = list(found.edits())
+        text = "\n".join(rows_of(edits, roles, texts))
+        return (open_key, *map(faults.count, "bdt"), _illegal(initials), found.cost[0], "".join(e[0] for e in edits), hashlib.sha256(text.encode()).hexdigest())
+
+    def frame(out: list[tuple]) -> pd.DataFrame:
+        return pd.DataFrame(out, columns=["__key", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256"])
+
+    for batch in batches:
+        out = []
+        for key, place, mark, role, text, fault in zip(*(batch[c].tolist() for c in ("__key", "place", "__mark", "role", "text", "fault"))):
+            if mark == 0:
+                marked = place
+                continue
+            if rows and key != open_key:
+                out.append(repair())
+                rows = []
+            open_key = key
+            rows.append((role, text, fault if fault == "b" or place == marked else "d"))
+        yield frame(out)
+    if rows:
+        yield frame([repair()])
+
+
+def _of_whole(rows: DataFrame, first: DataFrame, key: str) -> DataFrame:
+    """Repairs of conversations of one block each: one shuffle, and no frame a conversation."""
+    text_key = F.coalesce(F.concat(F.lit("k"), F.col("conv_id").cast("string")), F.lit("")).alias("__key")
+    marks = first.select(F.col("first_conv").alias("conv_id"), "place").select(text_key, "place", F.lit(0).alias("__mark"))
+    both = rows.select(text_key, "place", F.lit(1).alias("__mark"), "role", "text", "fault").unionByName(marks, allowMissingColumns=True)
+    both = both.repartition("__key").sortWithinPartitions("__key", "place", "__mark")
+    found = both.mapInPandas(_whole, REPAIRED.format(key="string").replace("conv_id", "__key"))
+    conv_id = F.when(F.col("__key") != "", F.expr("substring(__key, 2)")).cast(key).alias("conv_id")
+    return found.select(conv_id, *found.columns[1:])
 
 
 BLOCK = "conv_id {key}, block int, q int, end int, cost long, audit string, blank long, duplicate long, truncated long, illegal long, initials string"
@@ -289,14 +323,12 @@ def repaired(rows: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
     turns = written(turns, "gaps")
     cut = turns.where("__from < __to").select(F.col("conv_id").alias("__conv"), "__to")
     narrow = rows.drop("said")
-    repaired_of = REPAIRED.format(key=key)
     if not cut.take(1):
-        found = narrow.groupBy("conv_id").cogroup(first.groupBy("first_conv")).applyInPandas(_whole, repaired_of)
+        found = _of_whole(narrow, first, key)
     else:
         cut = small_side(cut, BROADCAST_KEYS)
         in_cut, first_in_cut = (F.col(c).eqNullSafe(F.col("__conv")) for c in ("conv_id", "first_conv"))
-        whole, whole_first = narrow.join(cut, in_cut, "left_anti"), first.join(cut, first_in_cut, "left_anti")
-        found = whole.groupBy("conv_id").cogroup(whole_first.groupBy("first_conv")).applyInPandas(_whole, repaired_of)
+        found = _of_whole(narrow.join(cut, in_cut, "left_anti"), first.join(cut, first_in_cut, "left_anti"), key)
         parts = narrow.join(cut, in_cut).withColumn("last", F.col("block") == F.col("__to")).drop("__conv", "__to")
         found = found.unionByName(_of_cut(parts, first.join(cut, first_in_cut, "left_semi"), key))
     gaps = turns.select(F.col("conv_id").alias("__conv"), "gaps")
