@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from ..functions.normalize import note_json
 from ..functions.timefmt import micros
 from .ordered import with_row_ids
-from .relational import Names, as_list, natural_join, select_distinct, small_side, without_keys
+from .relational import Names, as_list, natural_join, select_distinct, small_side, top_by, without_keys
 
 
 def known_codes(errors: DataFrame, codes: DataFrame) -> DataFrame:
@@ -108,6 +108,22 @@ def resolve_contracts(requests: DataFrame, entries: DataFrame, key: Names) -> Da
     return counted.withColumn("Status", status)
 
 
+def joined_errors(entries: DataFrame, key: Names, most: int = 10) -> DataFrame:
+    """One row per contract with errors: the first ``most`` error texts, by request and text, joined by ``|``, and the count of all.
+
+    Texts are limited before the shuffle, so a contract with very many errors is no heavier than another;
+    equal texts of one request count once among the first.
+    """
+    keys = as_list(key)
+    errors = entries.filter(F.col("Kind") == "error")
+    counts = errors.groupBy(*keys).agg(F.count(F.lit(1)).alias("ErrorCount"))
+    texts = errors.select(*keys, "RequestId", "ErrorText").distinct()
+    firsts = top_by(texts, keys, [F.col("RequestId"), F.col("ErrorText")], most)
+    in_order = F.sort_array(F.collect_list(F.struct("RequestId", "ErrorText")))
+    joined = firsts.groupBy(*keys).agg(F.array_join(F.transform(in_order, lambda e: e["ErrorText"]), "|").alias("ErrorText"))
+    return natural_join(counts, joined, keys, validate=False)
+
+
 def keys_to_request(contracts: DataFrame, known: DataFrame, key: Names, contract_id: str = "ContractId"):
     """Contracts to look up: each once, none already known, none with a negative id."""
     wanted = contracts.filter(F.col(contract_id).isNull() | (F.col(contract_id) >= 0))

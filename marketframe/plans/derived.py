@@ -18,7 +18,8 @@ UNANNOTATED = ["ReceiveTime", "Seq", "RequestType", "SecId", "SecIdType", "Delta
 def annotate(rows: DataFrame, requests: DataFrame, validate: bool = True) -> DataFrame:
     """Each row with the request and contract that produced it, identifying columns first."""
     dim = requests.drop(*UNANNOTATED)
-    out = natural_join(rows, dim, "RequestId", validate=validate)
+    # Requests always have a number, so plain equality finds the same rows and uses rows parted by RequestId as they are.
+    out = natural_join(rows, dim, "RequestId", validate=validate, null_safe=False)
     lead = [c for c in ("RequestId", "ReceiveTime", "Timestamp", "TimestampEnd") if c in out.columns]
     return move_up(out, [*lead, *[c for c in dim.columns if c not in lead]])
 
@@ -26,7 +27,7 @@ def annotate(rows: DataFrame, requests: DataFrame, validate: bool = True) -> Dat
 def _noted(rows: DataFrame, requests: DataFrame, names: Mapping[str, str], validate: bool) -> DataFrame:
     """Columns read from the request's note. The note is parsed once per request, before the join."""
     notes = requests.select("RequestId", *[note_value(F.col("Note"), k).alias(c) for c, k in names.items()])
-    return natural_join(rows, notes, "RequestId", validate=validate)
+    return natural_join(rows, notes, "RequestId", validate=validate, null_safe=False)
 
 
 def derive(raw: Mapping[str, DataFrame], keep_seq: bool = False, validate: bool = True) -> dict[str, DataFrame]:

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators.relational import assert_unique_columns
+from ..operators.relational import assert_unique_columns, expect_min_rows
 from ..schemas import raw_schema
 from ..session import shared_dir
 from ..sources import rawlog
-from ..sources.short_rates import read_short_rates
+from ..sources.short_rates import parse_short_rates
 from .registry import query
 
 _TICKS = """
@@ -69,16 +69,11 @@ def short_rate_files(t):
     fixed = [(0, "#BOF|2024.01.01"), (0, "#Supplier|Name|Rate|"), (2, "#EOF|1")]
     frame = F.explode(F.array(*[F.struct(F.lit(p).alias("part"), F.lit(x).alias("line")) for p, x in fixed]))
     whole = lines.unionByName(t.region.select(F.col("r_regionkey").alias("region"), frame.alias("x")))
-    # One file a region, as such files come: named by what they are about.
-    regions = [r[0] for r in t.region.select("r_regionkey").collect()]
-    for region in regions:
-        part = whole.filter(F.col("region") == region).select("x.*").coalesce(1).sortWithinPartitions("part", F.desc("line"))
-        part.select("line").write.text(f"{folder}/r{region}")
-    read = [read_short_rates(t.spark, f"{folder}/r{region}", {"Supplier": "long", "Rate": "double"}).withColumn("Source", F.lit(f"r{region}")) for region in regions]
-    out = read[0]
-    for df in read[1:]:
-        out = out.unionByName(df)
-    return out.select("Source", "Supplier", "Name", "Rate")
+    # One parted write; a region's lines meet in one file, as such files come, named by what they are about.
+    parts = whole.select("region", "x.*").repartition("region").sortWithinPartitions("region", "part", F.desc("line"))
+    parts.select(F.concat(F.lit("r"), "region").alias("file"), "line").write.partitionBy("file").text(folder)
+    lines = t.spark.read.text(folder).select(F.col("file").alias("Source"), "value")
+    return parse_short_rates(lines, {"Supplier": "long", "Rate": "double"}).select("Source", "Supplier", "Name", "Rate")
 
 
 @query("views_by_name", "SELECT r_name, count(*) AS Nations FROM region JOIN nation ON r_regionkey = n_regionkey GROUP BY 1")
@@ -89,7 +84,35 @@ def views_by_name(t):
 
 @query(
     "column_check",
-    "SELECT o_orderkey, o_custkey, o_totalprice FROM orders",
+    """
+    SELECT o_orderkey, o_custkey, o_totalprice, c_name, CASE WHEN c_mktsegment = 'BUILDING' THEN 'Duplicate column names: o_orderkey' END AS Clash
+    FROM orders JOIN customer ON o_custkey = c_custkey
+    """,
 )
 def column_check(t):
-    return assert_unique_columns(t.orders.select("o_orderkey", "o_custkey", "o_totalprice"))
+    """A join whose names clash is refused, by the names that do; without the clash it passes."""
+    joined = t.orders.select("o_orderkey", "o_custkey", "o_totalprice").join(t.customer, F.col("o_custkey") == F.col("c_custkey"))
+    try:
+        assert_unique_columns(joined.withColumn("again", F.col("o_orderkey")).select("*", F.col("again").alias("o_orderkey")))
+        said = "nothing"
+    except ValueError as error:
+        said = str(error)
+    rows = assert_unique_columns(joined)
+    return rows.select("o_orderkey", "o_custkey", "o_totalprice", "c_name", F.when(F.col("c_mktsegment") == "BUILDING", said).alias("Clash"))
+
+
+@query(
+    "row_count_check",
+    """
+    SELECT event_type, count(*) AS Events, CASE WHEN (SELECT count(*) FROM events) < 100000000 THEN 'Table "events" has ' || (SELECT count(*) FROM events) || ' rows (expected 100000000)' END AS Refused
+    FROM events GROUP BY 1
+    """,
+)
+def row_count_check(t):
+    """A table of enough rows passes, one of fewer is refused with their number."""
+    try:
+        expect_min_rows(t.events, "events", 100_000_000)
+        said = None
+    except ValueError as error:
+        said = str(error)
+    return expect_min_rows(t.events, "events").groupBy("event_type").agg(F.count(F.lit(1)).alias("Events")).withColumn("Refused", F.lit(said))

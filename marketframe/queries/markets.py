@@ -144,6 +144,7 @@ def snapshot_latest(t):
 )
 def regular_hours(t):
     low, high = t.events.agg(F.min("ts"), F.max("ts")).first()
+    low, high = low or datetime(1970, 1, 1), high or datetime(1970, 1, 1)
     days = [low.date() + timedelta(days=i) for i in range(-1, (high.date() - low.date()).days + 2)]
     periods = [
         f"{d:%Y%m%d}:CLOSED" if d.weekday() > 4 else f"{d:%Y%m%d}:0930-{d:%Y%m%d}:1600" for d in days

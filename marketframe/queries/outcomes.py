@@ -118,6 +118,22 @@ def resolve_contracts(t):
     return out.resolve_contracts(requests, entries, "Contract")
 
 
+@query(
+    "resolve_errors_joined",
+    f"""
+    WITH {_ENTRIES}, errors AS (SELECT Contract, RequestId, ErrorText FROM entries WHERE Kind = 'error'),
+    firsts AS (
+      SELECT * FROM (SELECT DISTINCT * FROM errors) QUALIFY row_number() OVER (PARTITION BY Contract ORDER BY RequestId, ErrorText) <= 3)
+    SELECT Contract, ErrorCount, ErrorText
+    FROM (SELECT Contract, count(*) AS ErrorCount FROM errors GROUP BY 1)
+    JOIN (SELECT Contract, string_agg(ErrorText, '|' ORDER BY RequestId, ErrorText) AS ErrorText FROM firsts GROUP BY 1) USING (Contract)
+    """,
+)
+def resolve_errors_joined(t):
+    _, entries = _entries(t)
+    return out.joined_errors(entries, "Contract", 3)
+
+
 @query(
     "new_keys_only",
     """

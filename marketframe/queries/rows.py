@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from html.entities import html5
+
 from pyspark.sql import functions as F
 
 from ..functions import codes
@@ -255,13 +257,45 @@ def headline_clean(t):
     )
 
 
-@query(
-    "html_unescape",
+def _unescape_sql() -> str:
+    """The decoding of character references as HTML 5 states it: numbers, whole names, else the longest name that needs no ``;``."""
+
+    def values(names) -> str:
+        def text(v):
+            return "concat(" + ", ".join(f"chr({ord(c)})" for c in v) + ")" if len(v) > 1 else f"chr({ord(v)})"
+
+        return ", ".join(f"('{k}', {text(v)})" for k, v in sorted(names.items()))
+
+    windows = ", ".join(f"({128 + i}, {ord(c)})" for i, c in enumerate(bytes(range(128, 160)).decode("cp1252", "replace")) if c != "\ufffd")
+    hexadecimal = "list_reduce([0::BIGINT] || list_transform(string_split(lower(digits), ''), lambda d: (strpos('0123456789abcdef', d) - 1)::BIGINT), lambda a, d: a * 16 + d)"
+    return f"""
+    WITH names(name, said) AS (VALUES {values(html5)}), windows(code, point) AS (VALUES {windows}),
+    cut AS (
+      SELECT page_id, html, regexp_extract_all(html, '&(#[0-9]+;?|#[xX][0-9A-Fa-f]+;?|[^\\t\\n\\f <&#;]{{1,32}};?)') AS found,
+             regexp_split_to_array(html, '&(#[0-9]+;?|#[xX][0-9A-Fa-f]+;?|[^\\t\\n\\f <&#;]{{1,32}};?)') AS gaps
+      FROM pages
+    ),
+    met AS (SELECT DISTINCT unnest(found) AS r FROM cut),
+    numbers AS (
+      SELECT r, CASE WHEN length(digits) > 9 THEN 1114112 WHEN digits = '' THEN 0 WHEN r ILIKE '&#x%' THEN {hexadecimal} ELSE digits::BIGINT END AS code
+      FROM (SELECT r, regexp_replace(regexp_replace(r, '^&#[xX]?0*', ''), ';$', '') AS digits FROM met WHERE r LIKE '&#%')
+    ),
+    decoded AS (
+      SELECT r, CASE WHEN w.point IS NOT NULL THEN chr(w.point::INT) WHEN n.code = 0 OR n.code > 1114111 OR n.code BETWEEN 55296 AND 57343 THEN chr(65533)
+                     WHEN n.code BETWEEN 1 AND 8 OR n.code IN (11, 127) OR n.code BETWEEN 14 AND 31 OR n.code BETWEEN 64976 AND 65007 OR n.code % 65536 >= 65534 THEN ''
+                     ELSE chr(n.code::INT) END AS said
+      FROM numbers n LEFT JOIN windows w ON w.code = n.code
+      UNION ALL
+      SELECT r, coalesce(arg_max(said || substr(r, length(name) + 2), length(name)), r)
+      FROM met LEFT JOIN names ON starts_with(substr(r, 2), name) AND (name = substr(r, 2) OR name NOT LIKE '%;')
+      WHERE r NOT LIKE '&#%' GROUP BY r
+    ),
+    pieces AS (SELECT page_id, html, unnest(gaps) AS gap, unnest(found || ['']) AS r, generate_subscripts(gaps, 1) AS i FROM cut)
+    SELECT page_id, string_agg(gap || coalesce(said, ''), '' ORDER BY i) AS ArticleText FROM pieces LEFT JOIN decoded USING (r) GROUP BY page_id, html
     """
-    SELECT page_id, replace(replace(replace(replace(html, '&quot;', '"'), '&copy;', chr(169)), '&middot;', chr(183)), '&amp;', '&') AS ArticleText
-    FROM pages
-    """,
-)
+
+
+@query("html_unescape", _unescape_sql())
 def html_unescape(t):
     return t.pages.select("page_id", n.html_unescape(F.col("html")).alias("ArticleText"))
 

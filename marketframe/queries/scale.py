@@ -5,13 +5,12 @@ from __future__ import annotations
 from datetime import timedelta
 
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from ..operators.decay import decay_stats, ema_time, emstd_time, last_states
 from ..operators.ordered import changed_only, with_previous, with_row_ids
 from ..plans.market import BarSize, bars_from_ticks
-from ..session import shared_dir
 from ..streaming import streams as s
+from .batches import run_in_batches
 from .registry import ntz, query, r6, rounded
 from .series import decay_ctes
 
@@ -133,33 +132,17 @@ def ohlc_bars_null_price(t):
     return bars.withColumns({"Timestamp": ntz("Timestamp"), "WAP": r6(F.col("WAP") + 1e-9)})
 
 
-BATCHES = 4
-
-
-def _in_batches(t, name, rows=None):
-    """The events as a stream of several files in time order, one to a micro-batch."""
-    rows = t.events if rows is None else rows
-    folder = shared_dir(t.spark, name)
-    step = F.percent_rank().over(Window.orderBy("day")) * BATCHES
-    days = t.events.select(F.date_trunc("day", "ts").alias("day")).distinct().withColumn("batch", F.least(F.floor(step), F.lit(BATCHES - 1)).cast("int"))
-    dated = rows.withColumn("day", F.date_trunc("day", "ts")).join(F.broadcast(days), "day").drop("day")
-    for i in range(BATCHES):
-        dated.filter(F.col("batch") == i).drop("batch").coalesce(1).write.mode("append").parquet(f"{folder}/in")
-    reader = t.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).option("latestFirst", "false")
-    return reader.parquet(f"{folder}/in"), f"{folder}/out", f"{folder}/checkpoint"
-
-
 @query(
     "stream_ema_batches",
     f"""WITH {decay_ctes(86400)} SELECT i.event_id, i.user_id, round(m, 6) AS PredPrice, round(d.sd, 6) AS PredSD
         FROM inno i JOIN dev d USING (event_id)""",
 )
 def stream_ema_batches(t):
-    stream, path, checkpoint = _in_batches(t, "stream_ema_batches")
-    s.run_to_end(
-        s.decay_stream(stream, "ts", DAY, "user_id", "value", "PredPrice", "PredSD", path, f"{path}-states", checkpoint, "event_id")
-    )
-    return rounded(t.spark.read.parquet(path).select("event_id", "user_id", "PredPrice", "PredSD"), "PredPrice", "PredSD")
+    def run(stream, out, checkpoint):
+        return s.decay_stream(stream, "ts", DAY, "user_id", "value", "PredPrice", "PredSD", out, f"{out}-states", checkpoint, "event_id")
+
+    folder = run_in_batches(t, "stream_ema_batches", run)
+    return rounded(t.spark.read.parquet(f"{folder}/out").select("event_id", "user_id", "PredPrice", "PredSD"), "PredPrice", "PredSD")
 
 
 @query(
@@ -170,10 +153,12 @@ def stream_ema_batches(t):
     """,
 )
 def stream_last_by_batches(t):
-    stream, path, checkpoint = _in_batches(t, "stream_last_by_batches")
-    s.run_to_end(s.upsert_last_rows(stream, "user_id", ["ts", "event_id"], path, checkpoint))
-    s.compact_changes(t.spark, path, f"{path}-compact", "user_id")
-    return s.read_changes(t.spark, f"{path}-compact", "user_id")
+    def run(stream, out, checkpoint):
+        return s.upsert_last_rows(stream, "user_id", ["ts", "event_id"], out, checkpoint)
+
+    out = run_in_batches(t, "stream_last_by_batches", run) + "/out"
+    s.compact_changes(t.spark, out, f"{out}-compact", "user_id")
+    return s.read_changes(t.spark, f"{out}-compact", "user_id")
 
 
 @query(
@@ -185,9 +170,12 @@ def stream_last_by_batches(t):
     """,
 )
 def stream_bars_watermark(t):
-    # Updates replace their bar; state is kept for one day of event time only.
+    """Updates replace their bar. State is kept for one day of event time only: rows that come later than that, of which there are none here, are left out."""
     rows = t.events.withColumn("size", 1 + F.col("event_id") % 9)
-    stream, path, checkpoint = _in_batches(t, "stream_bars_watermark", rows)
-    bars = s.bars_stream(stream, BarSize.MIN_1, "user_id", "ts", "event_id", "value", "size", watermark="1 day")
-    s.run_to_end(s.start(bars, checkpoint, s.write_changes(path), "update"))
-    return s.read_changes(t.spark, path, ["user_id", "Timestamp"]).drop("WAP").withColumn("Timestamp", ntz("Timestamp"))
+
+    def run(stream, out, checkpoint):
+        bars = s.bars_stream(stream, BarSize.MIN_1, "user_id", "ts", "event_id", "value", "size", watermark="1 day")
+        return s.start(bars, checkpoint, s.write_changes(out), "update")
+
+    out = run_in_batches(t, "stream_bars_watermark", run, rows) + "/out"
+    return s.read_changes(t.spark, out, ["user_id", "Timestamp"]).drop("WAP").withColumn("Timestamp", ntz("Timestamp"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import timedelta
+from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
 
@@ -128,8 +128,9 @@ TICKS = """
 
 
 def grid(t) -> TimeGrid:
-    """Midnights from the one after the first event to the one after the last: two numbers of the table."""
+    """Midnights from the one after the first event to the one after the last: two numbers of the table. Without events, one of a day of no event."""
     low, high = t.events.agg(F.min("ts"), F.max("ts")).first()
+    low, high = low or datetime(1970, 1, 1), high or datetime(1970, 1, 1)
     midnight = {"hour": 0, "minute": 0, "second": 0, "microsecond": 0}
     return TimeGrid(low.replace(**midnight) + DAY, high.replace(**midnight) + DAY, DAY)
 

@@ -84,3 +84,11 @@ def test_cancelled_requests_stop(spark, values):
     rows = spark.createDataFrame([(1, 1), (1, 5), (2, 9)], "RequestId long, ReceiveTime int")
     cancels = spark.createDataFrame([(1, 3), (1, 4)], "RequestId long, CancelTime int")
     assert values(out.active_only(rows, cancels)) == [(1, 1), (2, 9)]
+
+
+def test_errors_are_joined_in_order(spark):
+    rows = [("a", 2, "error", "req_id=2 x"), ("a", 1, "error", "req_id=1 z"), ("a", 1, "error", "req_id=1 y"), ("a", 1, "error", "req_id=1 y"), (None, 3, "error", "req_id=3 n"), ("b", 4, "detail", None)]
+    entries = spark.createDataFrame(rows, "Contract string, RequestId long, Kind string, ErrorText string")
+    got = {r.Contract: (r.ErrorCount, r.ErrorText) for r in out.joined_errors(entries, "Contract", 2).collect()}
+    assert got == {"a": (4, "req_id=1 y|req_id=1 z"), None: (1, "req_id=3 n")}
+    assert {r.ErrorText for r in out.joined_errors(entries, "Contract").collect()} == {"req_id=1 y|req_id=1 z|req_id=2 x", "req_id=3 n"}
