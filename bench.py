@@ -28,6 +28,7 @@ HEADLINE = (
     "special_conditions",
     "json_note",
     "broker_time_parse",
+    "html_unescape",
     "ema_time_blocked",
     "previous_row_blocked",
     "previous_row_return",
@@ -49,6 +50,9 @@ HEADLINE = (
     "stream_last_by",
     "stream_ema",
     "stream_bars",
+    "stream_ema_keyed",
+    "bars_rollup_all_sizes",
+    "contract_search_indexed",
 )
 
 

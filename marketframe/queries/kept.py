@@ -11,9 +11,8 @@ from ..plans import bar_states, moments
 from ..plans.market import BarSize
 from ..session import shared_dir
 from ..sources.rawlog import append_audited, read_audited
-from ..streaming import keyed, known_keys, outcomes
+from ..streaming import changes, keyed, known_keys, outcomes
 from ..streaming import streams as s
-from ..streaming.changes import Changes
 from .batches import run_in_batches
 from .markets import _SIZES
 from .registry import ntz, query, r6, rounded
@@ -102,11 +101,10 @@ def stream_new_keys(t):
 )
 def stream_upsert_compacted(t):
     def run(stream, out, checkpoint):
-        latest = s.last_by_stream(stream, "user_id", ["ts", "event_id"])
-        return s.start(latest, checkpoint, Changes(out, "user_id", buckets=4).sink(), "update")
+        return changes.keep_last_rows(stream, "user_id", ["ts", "event_id"], out, checkpoint, buckets=4)
 
     folder = run_in_batches(t, "stream_upsert_compacted", run, n=10)
-    return Changes(f"{folder}/out", "user_id", buckets=4).read(t.spark)
+    return changes.last_rows(f"{folder}/out", "user_id", ["ts", "event_id"], buckets=4).read(t.spark)
 
 
 @query(

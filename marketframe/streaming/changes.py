@@ -16,8 +16,10 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.relational import Names, as_list, last_by
+from .streams import start
 
 FOLDER, BUCKET, VERSION = "__folder", "__bucket", "__version"
 
@@ -114,6 +116,20 @@ class Changes:
         return self._manifest(spark, ids[-1]) if ids else None
 
 
+def last_rows(path: str, keys: Names, order: Names, **of) -> Changes:
+    """The latest row of each key by ``order``, kept under a path; a row that comes late replaces no later one."""
+    return Changes(path, keys, merge=lambda rows: last_by(rows, keys, order), **of)
+
+
+def keep_last_rows(stream: DataFrame, keys: Names, order: Names, path: str, checkpoint: str, every: str | None = None, **of) -> StreamingQuery:
+    """Merge every micro-batch's latest rows into those under ``path``: order status, updating bars, positions.
+
+    No key is held in memory: a batch's rows are cut to one per key before its shuffle, and levels merge.
+    """
+    kept = last_rows(path, keys, order, **of)
+    return start(stream, checkpoint, lambda rows, batch_id: kept.write(last_by(rows, keys, order), batch_id), "append", every)
+
+
 def _file_system(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     at = jvm.org.apache.hadoop.fs.Path(path)

@@ -16,7 +16,7 @@ from marketframe.plans.beta_hedge import regress
 from marketframe.plans.market import BarSize, bars_from_ticks
 from marketframe.streaming import keyed, known_keys, outcomes
 from marketframe.streaming import streams as s
-from marketframe.streaming.changes import BUCKET, Changes
+from marketframe.streaming.changes import BUCKET, Changes, keep_last_rows, last_rows
 
 START = datetime(2024, 1, 1)
 
@@ -90,6 +90,16 @@ def test_a_failed_or_repeated_batch_is_harmless(spark, tmp_path):
         Changes(str(tmp_path / "none"), "k").read(spark)
 
 
+def test_latest_rows_in_levels(spark, tmp_path, paths):
+    """A row that comes late replaces no later one."""
+    batches = [[("a", 5, "x"), ("a", 4, "w")], [("a", 3, "late"), ("b", 1, "y")], [(None, 1, "n")], [("b", 2, "z")], [("b", 1, "old"), (None, 0, "m")]]
+    stream = source(spark, tmp_path, batches, "k string, n long, v string")
+    s.run_to_end(keep_last_rows(stream, "k", "n", paths["out"], paths["checkpoint"]))
+    table = last_rows(paths["out"], "k", "n")
+    assert {r.k: r.v for r in table.read(spark).collect()} == {"a": "x", "b": "z", None: "n"}
+    assert len(table.folders(spark)) == 2
+
+
 def test_first_seen_keys(spark, tmp_path, paths):
     batches = [[("a", 1), ("b", None), ("a", 1)], [("a", 1), ("c", 2), (None, None)], [("b", None), (None, None), ("d", 4)] + [("a", 1)] * 50]
     stream = source(spark, tmp_path, batches, "k string, n long")
