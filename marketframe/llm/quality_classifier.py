@@ -106,7 +106,7 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     """The model for ``label`` (1 or 0; other rows are left out), learned from labelled rows of ``docs``.
 
     ``use`` says which keys may be learned from. Of repeated labels of a key the larger counts, of
-    repeated rows each. Without labelled rows all weights are 0 and every score is one half.
+    repeated rows each, but ``train_rows`` rows at most. Without labelled rows all weights are 0 and every score is one half.
     """
     marked = labels.select(F.col(key).alias("__key"), F.col(label).cast("int").alias("__label"))
     marked = marked.where(F.col("__key").isNotNull() & F.col("__label").isin(0, 1)).groupBy("__key").agg(F.max("__label").alias("__label"))
@@ -128,8 +128,11 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
         yield pa.RecordBatch.from_arrays([pa.array([learn([(p, y) for _, p, y in rows], settings).tobytes()], pa.binary())], ["weights"])
 
     places = rows.select("__text", "__label", "__order").mapInArrow(featurise, "places array<int>, label int, order long")
-    # The bounded sample, as numbers, meets in one task.
-    return np.frombuffer(places.coalesce(1).mapInArrow(fit, "weights binary").collect()[0][0], np.float32)
+    # Rows are read and featurised in all tasks; of repeated keys' rows no more stay either. The bounded
+    # sample, as numbers, then meets in one task.
+    bounded = places.orderBy("order", F.size("places"), F.xxhash64("places"), "label").limit(settings.train_rows)
+    fitted = bounded.repartition(1).mapInArrow(fit, "weights binary").collect()
+    return np.frombuffer(fitted[0][0], np.float32) if fitted else learn([], settings)
 
 
 def with_score(df: DataFrame, weights: np.ndarray, text: str = "text", out: str = "score") -> DataFrame:
