@@ -12,7 +12,7 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 from datetime import timedelta
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window
@@ -86,13 +86,13 @@ def plan_cuts(df: DataFrame, keys: Names, ts: str, seq: Names | None = None, row
     hot = ranked.filter((F.col("__of") > rows * share) & (F.col("__n") % step == 0))
     points = hot.groupBy(*keys).agg(F.sort_array(F.collect_set(POINT)).alias(CUTS))
     path = shared_dir(df.sparkSession, "cuts")
-    points.write.parquet(path)
-    points = df.sparkSession.read.schema(points.schema).parquet(path)
-    size = points.agg(F.sum(F.size(CUTS)).alias("all"), F.max(F.size(CUTS)).alias("longest")).first()
-    if not size["all"]:
+    counted = Observation()
+    points.observe(counted, F.sum(F.size(CUTS)).alias("all"), F.max(F.size(CUTS)).alias("longest")).write.parquet(path)
+    size = counted.get
+    if not size.get("all"):
         return None
     steps = tuple(1 << i for i in reversed(range(size["longest"].bit_length())))
-    return Cuts(points, size["all"] <= BROADCAST_POINTS, steps)
+    return Cuts(df.sparkSession.read.schema(points.schema).parquet(path), size["all"] <= BROADCAST_POINTS, steps)
 
 
 def with_blocks(
