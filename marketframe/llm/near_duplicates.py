@@ -3,18 +3,17 @@
 Texts with the same shingle set are one class. A class keeps the k smallest hashes of its set, its
 sketch. Inverted lists of the few smallest values propose pairs: two sets that agree in ``percent`` (p, as a
 share) share one of their n smallest values but for (1 - p) ** n of the cases, and n follows from p (8 at
-85 %, 10 at 80 %). Each list is cut by set size, as sets of less than p of another's size can't be linked
-to it: a set is in the lists of its own class of sizes and the next one. The sketch of two sets' union estimates
-their similarity, and pairs that may agree enough are confirmed on full sets. Confirmed pairs join
-classes to components.
-
-Members of a list of more than STAR_ROWS first meet one hub, the member that is in most and longest
-lists, so a group of near copies costs one pair a member. Members that the hub links are done there,
-unless others lie so near to the hub that both could still be linked (the share that sets disagree in
-is a distance, so who is farther than twice the limit from the hub can't be linked to those within it).
-The rest is compared inside the join, which gives out only pairs of different components whose sketches
-may agree enough; lists that still have more than LIST_ROWS members go on to finer ones, of two and
-three shared values.
+85 %, 10 at 80 %). The sketch of two sets' union estimates their similarity, and pairs that may agree
+enough are confirmed on full sets. Confirmed pairs join classes to components.
+
+Members of every list first meet one hub, the member that is in most and longest lists, so a group of
+near copies costs one pair a member. Members that the hub links are done there, unless others lie so near
+to the hub that both could still be linked (the share that sets disagree in is a distance, so who is farther
+than twice the limit from the hub can't be linked to those within it). What is left of a list is compared
+in one sorted pass over wider sketches, which are whole sets but for long texts: it gives out a spanning forest of
+the links, never all pairs. Members of lists that still have more than LIST_ROWS go on to a second level, the
+lists of the rarest values of their whole sketches: linked sets share so many values that some are among
+the rarest of both, whatever passages they have in common with others. Its long lists are compared block by block.
 """
 
 from __future__ import annotations
@@ -32,12 +31,14 @@ from pyspark.sql import functions as F
 from .common import checkpointed, shipped, written
 from .hashing import shingles
 
-#: Values of a sketch; members of lists that are compared at once, and after stars.
-SKETCH, STAR_ROWS, LIST_ROWS = 64, 64, 1000
+#: Values of a sketch, and of the wider one of classes that hubs don't settle.
+SKETCH, WIDE = 64, 1024
+#: Members of lists that have no hub, and of lists that are compared at once.
+STAR_ROWS, LIST_ROWS = 1, 1000
 #: Chance that linked sets meet in no list, and standard deviations that estimates may be off.
 MISSED, DEVIATIONS = 3e-7, 6
-#: Lists of up to so many shared values.
-LEVELS = 3
+#: Lists of smallest values, then of rarest ones.
+LEVELS = 2
 #: Keys of rows whose full sets are computed that are broadcast at most; more are joined by a shuffle.
 BROADCAST_ROWS = 500_000
 
@@ -86,36 +87,12 @@ def sketches(df: DataFrame, key: str, text: str, words: int = 5, sketch: int = S
     return source.mapInArrow(run, f"doc_id {kind}, text_hash long, node binary, n_shingles long, sketch array<long>")
 
 
-def _near_sizes(percent: int) -> Column:
-    return 100 * F.least("a.n", "b.n") >= percent * F.greatest("a.n", "b.n")
-
-
-def _size_class(n: str, percent: int) -> Column:
-    """Sizes within ``percent`` of each other are in the same class or in neighbouring ones."""
-    return F.floor(F.log(F.col(n).cast("double")) / -math.log(percent / 100) + 1e-9).cast("int")
-
-
 def _similar(a: str, b: str, sketch: int) -> Column:
     """Similarity that the sketch of two sets' union shows."""
     union = F.slice(F.array_sort(F.array_union(a, b)), 1, sketch)
     return F.size(F.array_intersect(F.array_intersect(a, b), union)) / F.size(union)
 
 
-def _paired(lists: DataFrame, percent: int, sketch: int) -> DataFrame:
-    """Pairs (a, b), a < b, of members of the same list that may be linked and aren't connected yet, with their similarity."""
-    a, b = lists.alias("a"), lists.alias("b")
-    shared = F.array_intersect("a.sketch", "b.sketch")
-    # Of the lists of one value, a pair is made in that of its smallest one, and in the larger size's class only.
-    here = F.col("a.value").isNull() | (F.col("a.sizes") == F.greatest("a.own", "b.own"))
-    once = F.col("a.value").isNull() | (F.element_at(shared, 1) == F.col("a.value"))
-    least = least_estimate(percent, sketch)
-    enough = F.size(shared) >= least * F.least(F.size("a.sketch"), F.size("b.sketch"))
-    on = (F.col("a.list") == F.col("b.list")) & (F.col("a.node") < F.col("b.node")) & _near_sizes(percent) & (F.col("a.root") != F.col("b.root")) & here
-    maybe = F.when(enough & once, _similar("a.sketch", "b.sketch", sketch) >= least).otherwise(False)
-    pairs = a.join(b, on & maybe)
-    return pairs.select(F.col("a.node").alias("a"), F.col("b.node").alias("b"), _similar("a.sketch", "b.sketch", sketch).alias("similar"))
-
-
 def estimated(pairs: DataFrame, classes: DataFrame, sketch: int = SKETCH) -> DataFrame:
     """Pairs with the similarity that the sketch of their union shows."""
     side = classes.select("node", "sketch")
@@ -124,9 +101,23 @@ def estimated(pairs: DataFrame, classes: DataFrame, sketch: int = SKETCH) -> Dat
     return both.select(*pairs.columns, _similar("sa", "sb", sketch).alias("similar"))
 
 
-def confirmed(pairs: DataFrame, classes: DataFrame, df: DataFrame, key: str, text: str, words: int, percent: int) -> DataFrame:
-    """Those of the pairs (a, b) that are linked, on full sets: 100 * intersection >= percent * union."""
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+def rarest(classes: DataFrame, percent: int, sketch: int) -> DataFrame:
+    """Rarest values of the classes' sketches, as (node, n, list): so many that linked sets have one in common.
+
+    Two sketches that share c values share one of the size - c + 1 that come first in any common order.
+    """
+    values = classes.select("node", F.col("n_shingles").alias("n"), F.size("sketch").alias("size"), F.explode("sketch").alias("list"))
+    often = values.groupBy("list").agg(F.count("*").alias("often")).where("often > 1")
+    # A sketch may have fewer values than another one that it is linked to, by the limit's share at most.
+    first = F.col("size") - F.ceil(F.col("size") * (least_estimate(percent, sketch) * percent / 100)) + 1
+    order = Window.partitionBy("node").orderBy("often", "list")
+    # Values of a single class come first in its order and are in no list: only their number counts.
+    met = values.join(often, "list").withColumn("seen", F.count("*").over(Window.partitionBy("node"))).withColumn("rank", F.row_number().over(order))
+    return met.where(F.col("rank") + F.col("size") - F.col("seen") <= first).select("node", "n", "list")
+
+
+def sets_of(nodes: DataFrame, classes: DataFrame, df: DataFrame, key: str, text: str, words: int, most: int | None = None) -> DataFrame:
+    """Shingle sets (their ``most`` smallest hashes) of classes, read from the texts again: node and set."""
     wanted = checkpointed(nodes.join(classes.select("node", "rep"), "node").where(F.col("rep").isNotNull()))
     ids = wanted.select(F.col("rep").alias("__rep")).distinct()
     ids = F.broadcast(ids) if wanted.count() <= BROADCAST_ROWS else ids
@@ -136,15 +127,125 @@ def confirmed(pairs: DataFrame, classes: DataFrame, df: DataFrame, key: str, tex
         for batch in batches:
             sets = [shingles(value.as_py(), words) for value in batch.column(0)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()), pa.array(sets, pa.list_(pa.int64()))], ["node", "set"]
+                [pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()), pa.array([s[:most] for s in sets], pa.list_(pa.int64()))], ["node", "set"]
             )
 
     # A key may stand in several rows: the node tells which sets are meant, and one of equal sets is enough.
-    sets = source.mapInArrow(run, "node binary, set array<long>").groupBy("node").agg(F.first("set").alias("set"))
+    return source.mapInArrow(run, "node binary, set array<long>").groupBy("node").agg(F.first("set").alias("set"))
+
+
+def confirmed(pairs: DataFrame, classes: DataFrame, df: DataFrame, key: str, text: str, words: int, percent: int) -> DataFrame:
+    """The pairs (a, b) on full sets: linked (100 * intersection >= percent * union) and near (within twice that distance)."""
+    sets = sets_of(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct(), classes, df, key, text, words)
     both = pairs.select("a", "b").join(sets.select(F.col("node").alias("a"), F.col("set").alias("sa")), "a")
     both = both.join(sets.select(F.col("node").alias("b"), F.col("set").alias("sb")), "b")
-    shared = F.size(F.array_intersect("sa", "sb")).cast("long")
-    return both.where(100 * shared >= percent * (F.size("sa") + F.size("sb") - shared)).select("a", "b")
+    both = both.select("a", "b", F.size(F.array_intersect("sa", "sb")).cast("long").alias("shared"), (F.size("sa") + F.size("sb")).alias("sizes"))
+    union = F.col("sizes") - F.col("shared")
+    return both.select("a", "b", (100 * F.col("shared") >= percent * union).alias("linked"), (100 * F.col("shared") >= (2 * percent - 100) * union).alias("near"))
+
+
+def _shared(sets: list[np.ndarray]) -> np.ndarray:
+    """How many values every two sets share."""
+    if len(sets) <= 8:
+        out = np.zeros((len(sets), len(sets)))
+        for i, j in zip(*np.triu_indices(len(sets), 1)):
+            out[i, j] = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+        return out
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    _, at, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    common = np.cumsum(count > 1) - 1
+    keep = count[at] > 1
+    owner, at = owner[keep], common[at[keep]]
+    out = np.zeros((len(sets), len(sets)), np.float32)
+    order = np.argsort(at, kind="stable")
+    owner, at = owner[order], at[order]
+    step = 4096
+    for start in range(0, int(at[-1]) + 1 if len(at) else 0, step):
+        low, high = np.searchsorted(at, [start, start + step])
+        has = np.zeros((len(sets), step), np.float32)
+        has[owner[low:high], at[low:high] - start] = 1
+        out += has @ has.T
+    return out
+
+
+def _union_similar(a: np.ndarray, b: np.ndarray, size: int) -> float:
+    """Similarity that the sketch of two sets' union shows."""
+    union = np.union1d(a, b)[:size]
+    return len(np.intersect1d(np.intersect1d(a, b, assume_unique=True), union, assume_unique=True)) / len(union)
+
+
+def forest(nodes: list[bytes], roots: list[bytes], sizes: np.ndarray, sets: list[np.ndarray], percent: int, wide: int) -> Iterator[tuple[bytes, bytes, bool]]:
+    """Pairs of the members of a list that connect all that are linked, each with whether it is needed at first.
+
+    Sets of up to ``wide`` values are whole, so of their links a spanning forest is enough. Pairs with a longer
+    one are estimated: a forest of the likeliest is tried first, the others only where its pairs fail.
+    """
+    shared = _shared(sets)
+    whole = sizes <= wide
+    length = np.minimum(sizes, wide)
+    i, j = np.triu_indices(len(nodes), 1)
+    c, sure = shared[i, j].astype(np.float64), whole[i] & whole[j]
+    near_sizes = 100 * np.minimum(sizes[i], sizes[j]) >= percent * np.maximum(sizes[i], sizes[j])
+    least = least_estimate(percent, wide)
+    enough = np.where(sure, 100 * c >= percent * (sizes[i] + sizes[j] - c), c >= least * np.minimum(length[i], length[j]))
+    found = np.flatnonzero(near_sizes & enough)
+    found = found[np.lexsort((-c[found] / np.maximum(length[i[found]], length[j[found]]), ~sure[found]))]
+    up = {r: r for r in roots}
+
+    def top(r: bytes) -> bytes:
+        while up[r] != r:
+            up[r] = r = up[up[r]]
+        return r
+
+    sure_of = None
+    for x in found:
+        m, n = i[x], j[x]
+        if not sure[x] and sure_of is None:
+            sure_of = {r: top(r) for r in up}
+        if sure_of and sure_of[roots[m]] == sure_of[roots[n]]:
+            continue
+        p, q = top(roots[m]), top(roots[n])
+        if p == q and sure[x]:
+            continue
+        if not sure[x] and _union_similar(sets[m], sets[n], wide) < least:
+            continue
+        up[p] = q
+        yield min(nodes[m], nodes[n]), max(nodes[m], nodes[n]), p != q
+
+
+def compared(lists: DataFrame, sets: DataFrame, percent: int, list_rows: int, wide: int = WIDE) -> DataFrame:
+    """Pairs of members of the same list (list, node, root, n, left) that ``forest`` gives: a, b, first.
+
+    A list of more than ``list_rows`` members is cut into blocks, and every two blocks are compared.
+    """
+    blocks = F.ceil(F.col("left") / list_rows).cast("int")
+    rows = lists.withColumn("block", F.pmod(F.xxhash64("node"), blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    rows = rows.select("list", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "node", "root", "n").join(sets, "node")
+    rows = rows.repartition("list", "i", "j").sortWithinPartitions("list", "i", "j").select("list", "i", "j", "node", "root", "n", "set")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, nodes, roots, sizes, sets = None, [], [], [], []
+
+        def pairs() -> pa.RecordBatch:
+            found = list(forest(nodes, roots, np.array(sizes), sets, percent, wide)) if len(nodes) > 1 else []
+            a, b, first = zip(*found) if found else ((), (), ())
+            return pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary()), pa.array(first, pa.bool_())], ["a", "b", "first"])
+
+        for batch in batches:
+            keys = list(zip(*(batch.column(c).to_pylist() for c in range(5))))
+            n, held = batch.column(5).to_numpy(), batch.column(6)
+            values, ends = held.flatten().to_numpy(), np.cumsum(held.value_lengths().to_numpy())
+            for x, (*group, node, root) in enumerate(keys):
+                if group != now:
+                    yield pairs()
+                    now, nodes, roots, sizes, sets = group, [], [], [], []
+                nodes.append(node)
+                roots.append(root)
+                sizes.append(n[x])
+                sets.append(values[ends[x - 1] if x else 0 : ends[x]].copy())
+        yield pairs()
+
+    return rows.mapInArrow(run, "a binary, b binary, first boolean")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -175,97 +276,84 @@ def components(edges: DataFrame) -> DataFrame:
     return now.select(F.col("a").alias("node"), F.col("b").alias("root")).union(now.select("b", "b").distinct())
 
 
-def _apart(pairs: DataFrame, edges: DataFrame) -> DataFrame:
-    """Pairs whose ends the edges don't connect yet."""
-    of = components(edges)
-    sides = pairs.join(of.select(F.col("node").alias("a"), F.col("root").alias("ra")), "a", "left")
-    sides = sides.join(of.select(F.col("node").alias("b"), F.col("root").alias("rb")), "b", "left")
-    return sides.where(F.coalesce("ra", "a") != F.coalesce("rb", "b")).drop("ra", "rb")
-
-
-def links(classes: DataFrame, df: DataFrame, key: str, text: str, words: int = 5, percent: int = 85, sketch: int = SKETCH, listed: int | None = None, star_rows: int = STAR_ROWS, list_rows: int = LIST_ROWS, levels: int = LEVELS) -> DataFrame | None:
-    """Enough linked pairs (a, b) of classes to connect all that are linked; None if there are none."""
+def links(classes: DataFrame, df: DataFrame, key: str, text: str, words: int = 5, percent: int = 85, sketch: int = SKETCH, listed: int | None = None, star_rows: int = STAR_ROWS, list_rows: int = LIST_ROWS, levels: int = LEVELS, wide: int = WIDE) -> DataFrame | None:
+    """Classes that are linked to others, with the smallest node of their component, as (node, root); None if there are none."""
+    listed = listed or listed_for(percent)
+    near = near_estimate(percent, sketch)
+    posted = classes.select("node", F.col("n_shingles").alias("n"), F.explode(F.slice("sketch", 1, listed)).alias("list"))
+    roots: DataFrame | None = None
+    open_pairs: list[DataFrame] = []
 
     def confirm(pairs: DataFrame) -> DataFrame:
         return written(confirmed(pairs, classes, df, key, text, words, percent), "links")
 
-    listed = listed or listed_for(percent)
-    least, near = least_estimate(percent, sketch), near_estimate(percent, sketch)
-    own = _size_class("n_shingles", percent)
-    values = classes.select("node", F.col("n_shingles").alias("n"), own.alias("own"), F.posexplode(F.slice("sketch", 1, listed)).alias("at", "value"))
-    posted = values.withColumn("sizes", F.explode(F.array("own", F.col("own") + 1)))
-    posted = posted.select("node", "n", "at", "value", "own", "sizes", F.xxhash64("value", "sizes").alias("list"))
-    known = classes.select("node", "sketch")
-    edges: DataFrame | None = None
-    open_pairs: list[DataFrame] = []
+    def connected(pairs: DataFrame) -> DataFrame:
+        """The components so far, joined by more links."""
+        ways = pairs.where("linked").select("a", "b")
+        return components(ways if roots is None else ways.union(roots.select("node", "root")))
+
+    def with_root(rows: DataFrame) -> DataFrame:
+        if roots is None:
+            return rows.withColumn("root", F.col("node"))
+        return rows.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
 
-    def propose(lists: DataFrame, root: Column, name: str) -> None:
-        open_pairs.append(written(_paired(lists.join(known, "node").withColumn("root", root), percent, sketch).distinct(), name))
+    def propose(lists: DataFrame) -> None:
+        sets = sets_of(lists.select("node").distinct(), classes, df, key, text, words, wide)
+        open_pairs.append(written(compared(lists, sets, percent, list_rows, wide), "pairs"))
 
     for level in range(1, levels + 1):
         sizes = posted.groupBy("list").agg(F.count("*").alias("members")).where("members > 1")
         lists = written(posted.join(sizes, "list"), f"lists{level}")
-        propose(lists.where(F.col("members") <= star_rows), F.col("node"), "short")
+        short = lists.where(F.col("members") <= star_rows).withColumn("left", F.col("members"))
+        if star_rows > 1 and short.take(1):
+            propose(short.withColumn("root", F.col("node")))
         long = lists.where(F.col("members") > star_rows)
-        if not long.take(1):
-            break
         weight = long.groupBy("node").agg(F.sum("members").alias("weight"))
         hubs = long.join(weight, "node").groupBy("list").agg(F.max(F.struct("weight", "node")).alias("hub"))
         rest = long.join(hubs.select("list", F.col("hub.node").alias("hub")), "list").where(F.col("node") != F.col("hub"))
-        rest = rest.withColumns({"a": F.least("node", "hub"), "b": F.greatest("node", "hub")})
-        met = written(estimated(rest.select("a", "b").distinct(), classes, sketch), "stars")
-        linked = confirm(met.where(F.col("similar") >= least))
-        edges = linked if edges is None else edges.union(linked)
-        how = met.join(linked.withColumn("linked", F.lit(True)), ["a", "b"], "left")
-        how = how.select("a", "b", F.coalesce("linked", F.lit(False)).alias("linked"), (F.col("similar") >= near).alias("near"))
-        rest = rest.join(how, ["a", "b"])
+        rest = written(rest.withColumns({"a": F.least("node", "hub"), "b": F.greatest("node", "hub")}), "spokes")
+        if not rest.take(1):
+            break
+        met = estimated(rest.select("a", "b").distinct(), classes, sketch)
+        met = confirm(written(met.where(F.col("similar") >= near).select("a", "b"), "stars"))
+        roots = connected(met)
+        rest = with_root(rest.join(met, ["a", "b"], "left").withColumns({"linked": F.coalesce("linked", F.lit(False)), "near": F.coalesce("near", F.lit(False))}))
+        rest = written(rest.select("list", "node", "n", "root", "linked", "near"), "met")
+        other = F.when(~F.col("linked"), F.col("root"))
         mixed = rest.groupBy("list").agg(
             F.max(F.col("near") & ~F.col("linked")).alias("mixed"),
             F.count_if(~F.col("linked")).alias("others"),
             F.count("*").alias("left"),
+            (F.min("root") != F.max("root")).alias("apart"),
+            (F.min(other) != F.max(other)).alias("others_apart"),
         )
-        rest = rest.join(mixed, "list").where((F.col("others") > 0) & (F.col("mixed") | ~F.col("linked")))
+        # A list is settled if what is left of it is connected already.
+        mixed = mixed.where(F.when(F.col("mixed"), F.col("apart")).otherwise(F.coalesce("others_apart", F.lit(False))))
+        rest = rest.join(mixed, "list").where(F.col("mixed") | ~F.col("linked"))
         rest = rest.withColumn("left", F.when(F.col("mixed"), F.col("left")).otherwise(F.col("others")))
-        roots = components(edges)
-        rest = rest.select("list", "node", "n", "at", "value", "own", "sizes", "left").join(roots, "node", "left")
-        rest = written(rest, "rest")
+        rest = written(rest.select("list", "node", "n", "root", "left"), "rest")
         now = rest if level == levels else rest.where(F.col("left") <= list_rows)
-        propose(now, F.coalesce("root", "node"), "rest")
-        if level == levels:
+        if now.take(1):
+            propose(now)
+        finer = rest.where(F.col("left") > list_rows)
+        if level == levels or not finer.take(1):
             break
-        finer = rest.where(F.col("left") > list_rows).join(known, "node")
-        finer = finer.select("node", "n", "list", "at", F.posexplode(F.slice("sketch", F.col("at") + 2, F.lit(listed))).alias("step", "next"))
-        none = F.lit(None)
-        posted = finer.select(
-            "node",
-            "n",
-            (F.col("at") + 1 + F.col("step")).alias("at"),
-            none.cast("long").alias("value"),
-            none.cast("int").alias("own"),
-            none.cast("int").alias("sizes"),
-            F.xxhash64("list", "next").alias("list"),
-        )
-        if not posted.take(1):
-            break
-    waiting = reduce(DataFrame.union, open_pairs).groupBy("a", "b").agg(F.max("similar").alias("similar"))
-    waiting = written(waiting if edges is None else _apart(waiting, edges), "waiting")
-    # A pair whose ends other links connect need not be confirmed: each class's likeliest pairs go first.
-    for most in (1, 3, None):
-        if not waiting.take(1):
-            break
-        now = waiting if most is None else _best(waiting, most)
-        linked = confirm(now)
-        edges = linked if edges is None else edges.union(linked)
-        if most is not None:
-            waiting = written(_apart(waiting.join(now.select("a", "b"), ["a", "b"], "left_anti"), edges), "waiting")
-    return edges
-
-
-def _best(pairs: DataFrame, most: int) -> DataFrame:
-    """The ``most`` pairs of greatest estimate of each class, as its first or its second."""
-    ends = pairs.withColumn("end", F.explode(F.array("a", "b")))
-    order = Window.partitionBy("end").orderBy(F.desc("similar"), "a", "b")
-    return ends.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= most).select("a", "b").distinct()
+        posted = rarest(classes.join(finer.select("node").distinct(), "node", "left_semi"), percent, sketch)
+    if not open_pairs:
+        return roots
+    pairs = reduce(DataFrame.union, open_pairs).groupBy("a", "b").agg(F.max("first").alias("first"))
+    pairs = written(pairs, "waiting")
+    if pairs.where("first").take(1):
+        roots = connected(confirm(pairs.where("first")))
+    later = pairs.where("not first").select("a", "b")
+    if later.take(1):
+        # A pair whose ends other links connect need not be confirmed.
+        sides = later.join(roots.select(F.col("node").alias("a"), F.col("root").alias("ra")), "a", "left")
+        sides = sides.join(roots.select(F.col("node").alias("b"), F.col("root").alias("rb")), "b", "left")
+        later = written(sides.where(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b"), "later")
+        if later.take(1):
+            roots = connected(confirm(later))
+    return roots
 
 
 def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5, percent: int = 85, **sizes: int) -> DataFrame:
@@ -284,10 +372,10 @@ def grouped(df: DataFrame, key: str = "doc_id", text: str = "text", words: int =
     rows = written(sketches(df, key, text, words, sizes.get("sketch", SKETCH)), "sketches")
     classes = rows.where(F.col("node").isNotNull()).groupBy("node")
     classes = written(classes.agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch")), "classes")
-    edges = links(classes, df, key, text, words, percent, **sizes)
+    roots = links(classes, df, key, text, words, percent, **sizes)
     named = classes.select("node", "rep")
-    if edges is not None:
-        roots = components(edges).join(named, "node")
+    if roots is not None:
+        roots = roots.join(named, "node")
         least = roots.groupBy("root").agg(F.min("rep").alias("least"))
         named = named.join(roots.join(least, "root").select("node", "least"), "node", "left")
         named = named.select("node", F.coalesce("least", "rep").alias("rep"))
