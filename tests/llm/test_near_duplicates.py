@@ -66,6 +66,35 @@ def test_long_lists_match_brute_force(spark, base_too, sizes):
     assert got(spark.createDataFrame(rows, "doc_id long, text string"), **sizes) == expected(rows)
 
 
+@pytest.mark.parametrize("sizes", [{"list_rows": 8}, {"list_rows": 2, "levels": 4}, {"list_rows": 30, "levels": 2}])
+def test_shared_passages_match_brute_force(spark, sizes):
+    """Texts of which a tenth, a half or nearly all is a passage of a long list; every fourth one has a near copy."""
+    rng = np.random.default_rng(11)
+    rows = []
+    for i in range(160):
+        own = (270, 150, 25)[i % 3]
+        w = [f"p{i % 3}w{x}" for x in range(300 - own)] + [f"o{x}" for x in rng.integers(0, 10**9, own)]
+        rows.append((i, " ".join(w)))
+        if i % 4 == 0:
+            w[rng.integers(0, 300)] = "z"
+            rows.append((1000 + i, " ".join(w)))
+        if i % 8 == 0:
+            rows.append((2000 + i, " ".join(w[:12])))
+    assert got(spark.createDataFrame(rows, "doc_id long, text string"), **sizes) == expected(rows)
+
+
+def test_values_past_long_lists():
+    """Of r values that each are shared with the limit's chance, more are shared than may be skipped; 2 in 10 million cases aside."""
+    for percent in (80, 85):
+        found = N.allowed(percent, 24)
+        first = N.listed_for(percent)
+        assert found[: first - 1] == [-1] * (first - 1) and found[first - 1] == 0 and found == sorted(found)
+        for r, f in enumerate(found, 1):
+            if f >= 0:
+                assert (np.random.default_rng(r).binomial(r, percent / 100, 300_000) <= f).mean() < 3e-5
+    assert N.allowed(100, 3) == [0, 1, 2]
+
+
 def test_limit_is_exact(spark):
     """Just at and just under 85 %: 17 of 20 shingles, and 16 of 19."""
     a, b = [f"a{i}" for i in range(24)], [f"b{i}" for i in range(24)]
