@@ -11,10 +11,9 @@ near copies costs one pair a member. Members that the hub links are done there,
 to the hub that both could still be linked (the share that sets disagree in is a distance, so who is farther
 than twice the limit from the hub can't be linked to those within it). What is left of a list is compared
 in one sorted pass over wider sketches, which are whole sets but for long texts: it gives out a spanning forest of
-the links, never all pairs. Lists that still have more than LIST_ROWS members are those of passages that many
-texts share. Their members post more of their smallest values instead, as many as it takes for linked sets to
-share one whose list isn't long, level by level. A member that has too few such values stays, and what is left of a
-long list, as of those of the last level, is compared block by block.
+the links, never all pairs. Members of lists that still have more than LIST_ROWS go on to a second level, the
+lists of the rarest of their RANKS smallest values: linked sets share so many of these that some are among
+the rarest of both, whatever passages they have in common with others. Its long lists are compared block by block.
 """
 
 from __future__ import annotations
@@ -38,8 +37,8 @@ SKETCH, WIDE = 64, 1024
 STAR_ROWS, LIST_ROWS = 1, 1000
 #: Chance that linked sets meet in no list, and standard deviations that estimates may be off.
 MISSED, DEVIATIONS = 3e-7, 6
-#: How often members of long lists post other values, the first lists included.
-LEVELS = 3
+#: Lists of smallest values, then of rarest ones, which are chosen from so many.
+LEVELS, RANKS = 2, 32
 #: Keys of rows whose full sets are computed that are broadcast at most; more are joined by a shuffle.
 BROADCAST_ROWS = 500_000
 
@@ -103,10 +102,7 @@ def estimated(pairs: DataFrame, classes: DataFrame, sketch: int = SKETCH) -> Dat
 
 
 def allowed(percent: int, ranks: int) -> list[int]:
-    """By rank r: of the r smallest values of linked sets' union, so many may be in long lists (-1: none will do).
-
-    More of the r are shared, but for MISSED of the cases, so one that is shared is in no long list.
-    """
+    """By number r: of the r smallest values of linked sets' union more are shared than this, but for MISSED of the cases."""
     p = percent / 100
     out = []
     for r in range(1, ranks + 1):
@@ -115,22 +111,21 @@ def allowed(percent: int, ranks: int) -> list[int]:
     return out
 
 
-def further(nodes: DataFrame, classes: DataFrame, long: DataFrame, percent: int, ranks: int) -> DataFrame:
-    """What nodes post instead of values with long lists: node, n, list and stuck.
+def rarest(classes: DataFrame, percent: int, ranks: int = RANKS) -> DataFrame:
+    """Rarest of the classes' ``ranks`` smallest values, as (node, n, list): so many that linked sets have one in common.
 
-    A node goes on along its sketch, past values whose lists are long, until linked sets must have met in
-    one of the others. A node that doesn't get there within ``ranks`` values posts what it has and is stuck.
+    Two sets that share c of these values share one of the size - c + 1 that come first in any common order.
     """
-    values = classes.join(nodes, "node", "left_semi").select("node", F.col("n_shingles").alias("n"), F.posexplode(F.slice("sketch", 1, ranks)).alias("place", "list"))
-    values = values.join(long.select("list", F.lit(True).alias("long")), "list", "left").withColumn("long", F.col("long").isNotNull())
-    own = Window.partitionBy("node")
-    skipped = F.count_if("long").over(own.orderBy("place"))
-    enough = F.get(F.array(*map(F.lit, allowed(percent, ranks))), "place")
-    # Of a set of few values linked ones share the limit's part for certain.
-    whole = (F.col("place") + 1 == F.col("n")) & (100 * skipped < percent * F.col("n"))
-    values = values.withColumn("ends", F.when((skipped <= enough) | whole, F.col("place")))
-    values = values.withColumn("last", F.min("ends").over(own))
-    return values.where(F.col("place") <= F.coalesce("last", F.lit(ranks))).select("node", "n", "list", "long", F.col("last").isNull().alias("stuck"))
+    size = F.least(F.size("sketch"), F.lit(ranks))
+    values = classes.select("node", F.col("n_shingles").alias("n"), size.alias("size"), F.explode(F.slice("sketch", 1, ranks)).alias("list"))
+    often = values.groupBy("list").agg(F.count("*").alias("often")).where("often > 1")
+    # A set may have fewer values than another one that it is linked to, by the limit's share at most.
+    both = F.least("size", F.ceil(F.col("n") * percent / 100)).cast("int")
+    first = F.col("size") - F.get(F.array(*map(F.lit, allowed(percent, ranks))), both - 1)
+    order = Window.partitionBy("node").orderBy("often", "list")
+    # Values of a single class come first in its order and are in no list: only their number counts.
+    met = values.join(often, "list").withColumn("seen", F.count("*").over(Window.partitionBy("node"))).withColumn("rank", F.row_number().over(order))
+    return met.where(F.col("rank") + F.col("size") - F.col("seen") <= first).select("node", "n", "list")
 
 
 def sets_of(nodes: DataFrame, classes: DataFrame, df: DataFrame, key: str, text: str, words: int, most: int | None = None) -> DataFrame:
@@ -299,7 +294,6 @@ def links(classes: DataFrame, df: DataFrame, key: str, text: str, words: int = 5
     near = near_estimate(percent, sketch)
     posted = classes.select("node", F.col("n_shingles").alias("n"), F.explode(F.slice("sketch", 1, listed)).alias("list"))
     roots: DataFrame | None = None
-    long_lists: DataFrame | None = None
     open_pairs: list[DataFrame] = []
 
     def confirm(pairs: DataFrame) -> DataFrame:
@@ -350,20 +344,13 @@ def links(classes: DataFrame, df: DataFrame, key: str, text: str, words: int = 5
         rest = rest.join(mixed, "list").where(F.col("mixed") | ~F.col("linked"))
         rest = rest.withColumn("left", F.when(F.col("mixed"), F.col("left")).otherwise(F.col("others")))
         rest = written(rest.select("list", "node", "n", "root", "left"), "rest")
+        now = rest if level == levels else rest.where(F.col("left") <= list_rows)
+        if now.take(1):
+            propose(now)
         finer = rest.where(F.col("left") > list_rows)
         if level == levels or not finer.take(1):
-            if rest.take(1):
-                propose(rest)
             break
-        longer = finer.select("list").distinct()
-        long_lists = written(longer if long_lists is None else longer.union(long_lists).distinct(), f"long{level}")
-        posted = written(further(finer.select("node").distinct(), classes, long_lists, percent, 2 * listed), f"posted{level + 1}")
-        stuck = finer.drop("left").join(posted.where("stuck").select("node").distinct(), "node", "left_semi")
-        stuck = stuck.join(stuck.groupBy("list").agg(F.count("*").alias("left")), "list")
-        now = rest.where(F.col("left") <= list_rows).unionByName(stuck)
-        if now.take(1):
-            propose(now)
-        posted = posted.where(~F.col("long")).select("node", "n", "list")
+        posted = rarest(classes.join(finer.select("node").distinct(), "node", "left_semi"), percent)
     if not open_pairs:
         return roots
     pairs = reduce(DataFrame.union, open_pairs).groupBy("a", "b").agg(F.max("first").alias("first"))
