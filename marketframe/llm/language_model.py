@@ -2,10 +2,12 @@
 
 States are the words that training texts hold, and the empty history. A text is read once from left to
 right; behind word u the automaton is in state u. If the pair (u, v) was seen, state u has an arc v of
-weight p(v) * ((1 - w) * x + w), where x is how many times likelier v is behind u than anywhere, rounded
-down to a quarter power of two. If not, the failure arc of weight w leads to the empty history, whose
-arcs weigh p(v) = (c(v) + 1) / (N + V + 1); unknown words share the last part. w depends on how often u
-was seen, by powers of two, and maximises the likelihood of the training tokens, each left out in turn.
+weight p(v) * ((1 - w) * x + w), where x is how many times likelier v is behind u than anywhere. If not,
+the failure arc of weight w leads to the empty history, whose arcs weigh p(v) = (c(v) + 1) / (N + V + 1);
+unknown words share the last part. What leaves a state that was seen thus weighs 1 in sum. w depends on how
+often u was seen, by powers of two, and maximises the likelihood of the training tokens, each left out in
+turn and counted by classes of x, a class by its mean. ``exact=False`` rounds x down to its class, a quarter
+power of two.
 
 The model grows with the corpus, so no task holds it whole. Texts are read once into blocks of word
 numbers. Every block asks for the counts of its own words and pairs: sorted hashes go to reducers by
@@ -213,11 +215,12 @@ def ratios() -> np.ndarray:
     return x
 
 
-def walks(whole: DataFrame, answered: DataFrame, n: int, v: int) -> DataFrame:
+def walks(whole: DataFrame, answered: DataFrame, n: int, v: int, exact: bool = False) -> DataFrame:
     """Per text what its walk through the automaton meets; a row without sizes per block has what a text less would meet.
 
-    ``arcs`` are classes of (state count, x), ``times`` how often each was met; tokens behind an unknown
-    word, whose failure arc weighs 1, are in neither.
+    ``states`` (classes of their counts) and ``x`` are those of a text's tokens, in order; tokens behind an
+    unknown word, whose failure arc weighs 1, are in neither. What a text less would meet is summed up by
+    class of (state count, x): ``arcs``, ``times`` each was met and ``sums`` of x.
     """
     kind = whole.schema["ids"].dataType.elementType.simpleString()
     norm = n + v + 1
@@ -232,20 +235,27 @@ def walks(whole: DataFrame, answered: DataFrame, n: int, v: int) -> DataFrame:
         together[b.pair_order] = pairs
         p = (count + 1) / norm
         state, p_second = count[b.first], p[b.second]
-        arc = np.where(state > 0, _class(state) * RATIOS + _ratio(together, state, p_second), -1)
+
+        def arc(pair: np.ndarray, state: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            kind = _ratio(pair, state, p_second)
+            x = np.maximum(pair, 0) / (np.maximum(state, 1) * p_second) if exact else ratios()[kind]
+            return np.where(state > 0, _class(state) * RATIOS + kind, -1), x
+
+        arcs, x = arc(together, state)
         # Training tokens, each left out: their pair and state count one less.
-        less = np.where(state > 1, _class(state - 1) * RATIOS + _ratio(together - 1, state - 1, p_second), -1)
-        left_out = np.bincount(less[less >= 0], weights=b.pair_counts[less >= 0], minlength=CLASSES * RATIOS).astype(np.int64)
-        met = arc[np.searchsorted(b.pairs, b.codes)]
-        text = np.repeat(np.arange(len(b.sizes)), b.sizes)
-        seen = met >= 0
-        both, times = np.unique(text[seen] * (CLASSES * RATIOS) + met[seen], return_counts=True)
-        cuts = np.searchsorted(both, np.arange(len(b.sizes) + 1) * (CLASSES * RATIOS))
+        less, x_less = arc(together - 1, state - 1)
+        learnt = (less >= 0) & (b.pair_counts > 0)
+        left_out = np.bincount(less[learnt], weights=b.pair_counts[learnt], minlength=CLASSES * RATIOS).astype(np.int64)
+        x_sums = np.bincount(less[learnt], weights=b.pair_counts[learnt] * x_less[learnt], minlength=CLASSES * RATIOS)
+        met = np.searchsorted(b.pairs, b.codes)
+        seen = arcs[met] >= 0
+        met = met[seen]
+        ends = np.append(0, np.cumsum(np.add.reduceat(seen.astype(np.int64), b.starts)))
+        tokens = pa.array(np.append(ends, ends[-1]), pa.int32())
         logs = np.add.reduceat(np.log10(count[b.tokens] + 1.0), b.starts)
         known = np.add.reduceat((count[b.tokens] > 0).astype(np.int64), b.starts)
-        offsets = pa.array(np.append(cuts, cuts[-1] + np.count_nonzero(left_out)), pa.int32())
-        codes = np.append(both % (CLASSES * RATIOS), np.flatnonzero(left_out))
-        times = np.append(times, left_out[left_out > 0])
+        cells = np.flatnonzero(left_out)
+        offsets = pa.array([0] * (len(b.sizes) + 1) + [len(cells)], pa.int32())
         none = pa.nulls(1, pa.int64())
         return pa.table(
             {
@@ -254,24 +264,28 @@ def walks(whole: DataFrame, answered: DataFrame, n: int, v: int) -> DataFrame:
                 "n_tokens": pa.concat_arrays([pa.array(b.sizes), none]),
                 "n_known": pa.concat_arrays([pa.array(known), none]),
                 "logs": pa.array([*logs.tolist(), None], pa.float64()),
-                "arcs": pa.ListArray.from_arrays(offsets, pa.array(codes, pa.int32())),
-                "times": pa.ListArray.from_arrays(offsets, pa.array(times, pa.int64())),
+                "states": pa.ListArray.from_arrays(tokens, pa.array((arcs // RATIOS)[met], pa.int8())),
+                "x": pa.ListArray.from_arrays(tokens, pa.array(x[met])),
+                "arcs": pa.ListArray.from_arrays(offsets, pa.array(cells, pa.int32())),
+                "times": pa.ListArray.from_arrays(offsets, pa.array(left_out[cells])),
+                "sums": pa.ListArray.from_arrays(offsets, pa.array(x_sums[cells], pa.float64())),
             }
         )
 
-    schema = f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, logs double, arcs array<int>, times array<long>"
+    schema = f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, logs double, states array<tinyint>, x array<double>, arcs array<int>, times array<long>, sums array<double>"
     return whole.groupBy("block").cogroup(answered.groupBy("block")).applyInArrow(walk, schema)
 
 
-def failure_weights(met: np.ndarray) -> np.ndarray:
+def failure_weights(met: np.ndarray, means: np.ndarray | None = None) -> np.ndarray:
     """By class of state count, the weight w that is likeliest for tokens left out (``met``: how many by class of x).
 
-    The likelihood is concave in w; its slope's zero is found by halving. Classes without tokens take the next one's.
+    ``means`` are the x of the classes, those rounded down by default. The likelihood is concave in w; its slope's
+    zero is found by halving. Classes without tokens take the next one's.
     """
-    x = ratios()
+    means = np.broadcast_to(ratios(), met.shape) if means is None else means
     out = np.full(CLASSES, 0.5)
     for c in reversed(range(CLASSES)):
-        times = met[c]
+        times, x = met[c], means[c]
         if not times.sum():
             out[c] = out[c + 1] if c + 1 < CLASSES else 0.5
             continue
@@ -283,13 +297,14 @@ def failure_weights(met: np.ndarray) -> np.ndarray:
     return out
 
 
-def scored(df: DataFrame, key: str = "doc_id", text: str = "text", held_out: Column | None = None, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
+def scored(df: DataFrame, key: str = "doc_id", text: str = "text", held_out: Column | None = None, block_tokens: int = BLOCK_TOKENS, exact: bool = False) -> DataFrame:
     """Per row: doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score (log10 probabilities).
 
     The model learns from rows for which ``held_out`` is not true (none held out by default). A NULL or
     empty text is the end token alone. A NULL key stays NULL, repeated rows count as often as they
     stand there and score alike, and other columns are left out. Without rows to learn from every
-    token is unknown; an empty table gives no rows.
+    token is unknown; an empty table gives no rows. With ``exact`` arcs weigh what they should; without,
+    their x is rounded down to a quarter power of two, so scores fall short by up to 0.075 a token.
     """
     spark = df.sparkSession
     whole = written(blocks(df, key, text, held_out if held_out is not None else F.lit(False), block_tokens), "blocks")
@@ -297,29 +312,28 @@ def scored(df: DataFrame, key: str = "doc_id", text: str = "text", held_out: Col
     # One group of questions to a partition, as far as hashing deals them out: a block's worth of counts each.
     answered = written(answers(questions(whole, ranges)), "answers")
     n, v = (int(x or 0) for x in answered.agg(F.sum("n_tokens"), F.sum("n_words")).first())
-    met = written(walks(whole, answered.drop("n_tokens", "n_words"), n, v), "walks")
-    left_out = np.zeros(CLASSES * RATIOS)
-    pairs = F.explode(F.arrays_zip("arcs", "times")).alias("x")
-    for r in met.where(F.col("n_tokens").isNull()).select(pairs).groupBy("x.arcs").agg(F.sum("x.times").alias("n")).collect():
-        left_out[r["arcs"]] = r["n"]
-    w = failure_weights(left_out.reshape(CLASSES, RATIOS))[:, None]
-    weights = np.log10((1 - w) * ratios()[None, :] + w).ravel()
+    met = written(walks(whole, answered.drop("n_tokens", "n_words"), n, v, exact), "walks")
+    left_out, sums = np.zeros((2, CLASSES * RATIOS))
+    cells = F.explode(F.arrays_zip("arcs", "times", "sums")).alias("c")
+    for r in met.where(F.col("n_tokens").isNull()).select(cells).groupBy("c.arcs").agg(F.sum("c.times").alias("n"), F.sum("c.sums").alias("x")).collect():
+        left_out[r["arcs"]], sums[r["arcs"]] = r["n"], r["x"]
+    w = failure_weights(left_out.reshape(CLASSES, RATIOS), (sums / np.maximum(left_out, 1)).reshape(CLASSES, RATIOS))
     norm = math.log10(n + v + 1)
 
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             size, logs = batch.column(2).to_numpy(), batch.column(4).to_numpy()
-            arcs, times = batch.column(5), batch.column(6)
-            sums = np.append(0.0, np.cumsum(weights[arcs.flatten().to_numpy()] * times.flatten().to_numpy()))
-            ends = np.cumsum(np.diff(arcs.offsets.to_numpy()))
-            begins = np.append(0, ends[:-1])
+            states, x = batch.column(5), batch.column(6)
+            text = np.repeat(np.arange(len(size)), states.value_lengths().to_numpy())
+            fails = w[states.flatten().to_numpy()]
+            sums = np.bincount(text, weights=np.log10((1 - fails) * x.flatten().to_numpy() + fails), minlength=len(size))
             base = logs - size * norm
-            columns = [*(batch.column(i) for i in range(4)), pa.array(np.full(len(size), n)), pa.array(base), pa.array(base + sums[ends] - sums[begins])]
+            columns = [*(batch.column(i) for i in range(4)), pa.array(np.full(len(size), n)), pa.array(base), pa.array(base + sums)]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
     kind = met.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return met.where(F.col("n_tokens").isNotNull()).mapInArrow(weigh, schema)
+    return met.where(F.col("n_tokens").isNotNull()).drop("arcs", "times", "sums").mapInArrow(weigh, schema)
 
 
 def held_out_rows(key: str = "doc_id", n: int = 7, left: int = 2) -> Column:

@@ -27,7 +27,7 @@ def query(name: str, sql: str | None = None):
 
 @query("op1_language_model")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return language_model.scored(table(spark, sf_dir, "documents"), held_out=language_model.held_out_rows())
+    return language_model.scored(table(spark, sf_dir, "documents"), held_out=language_model.held_out_rows(), exact=True)
 
 
 OP2_SQL = r"""

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from marketframe.llm import language_model as L
+from marketframe.llm.queries import QUERIES
 
 from .conftest import clashing
 
@@ -64,6 +65,33 @@ def test_walks_match_brute_force(scores, rows):
     assert all(abs(g[1] - v[1]) < 1e-3 * max(1, abs(v[1])) for g, v in zip(got, sorted(want)))
 
 
+def test_query_scores_by_exact_arcs(spark):
+    """op1 weighs arcs by x itself: a plain automaton agrees, and what leaves a state sums to 1."""
+    path = "/root/testdata/sf0.001"
+    texts = [(r["doc_id"], tokens(r["text"])) for r in spark.read.parquet(f"{path}/documents.parquet").collect()]
+    count = Counter(t for i, x in texts if not held(i) for t in x)
+    pairs = Counter((a, b) for i, x in texts if not held(i) for a, b in zip([b"", *x], x))
+    norm = sum(count.values()) + len(count) + 1
+    met, sums = np.zeros((2, L.CLASSES, L.RATIOS))
+    for (a, b), c in pairs.items():
+        if count[a] > 1:
+            x = (c - 1) * norm / ((count[a] - 1) * (count[b] + 1))
+            at = int(math.log2(count[a] - 1)), min(max(math.floor(4 * math.log2(x)) - L.LOWEST + 1, 1), L.RATIOS - 1) if x else 0
+            met[at] += c
+            sums[at] += c * x
+    w = L.failure_weights(met, sums / np.maximum(met, 1))
+
+    def arc(a, b):
+        p = (count[b] + 1) / norm
+        return p * ((1 - w[int(math.log2(count[a]))]) * pairs[a, b] / (count[a] * p) + w[int(math.log2(count[a]))]) if count[a] else p
+
+    want = {i: sum(math.log10(arc(a, b)) for a, b in zip([b"", *t], t)) for i, t in texts}
+    got = {r["doc_id"]: r["score"] for r in QUERIES["op1_language_model"](spark, path).collect()}
+    assert got.keys() == want.keys() and all(abs(got[i] - want[i]) < 1e-9 * abs(want[i]) for i in want)
+    for a in sorted(count)[::500]:
+        assert abs(sum(arc(a, b) for b in count) + 1 / norm * w[int(math.log2(count[a]))] - 1) < 1e-9
+
+
 def test_weights_behind_a_state_sum_to_at_most_one():
     rng = np.random.default_rng(2)
     count = rng.integers(1, 50, 30)
