@@ -40,7 +40,8 @@ LOG_SIZE = {chr(65 + i): math.log(len(chars)) for i, chars in enumerate(CLASSES)
 class Settings:
     """``sample``: distinct values of a kind that are learned from at most, those of smallest hash.
 
-    ``least_chars`` and ``most_chars`` bound the candidates (longer runs are data, not credentials);
+    ``least_chars`` is the length from which runs are scored, however long they are; ``most_chars`` bounds the
+    values of the sample, so that a model's size doesn't follow the texts.
     ``alpha`` is the merging test's error, ``least_visits`` the visits from which it is applied.
     ``threshold``: how much likelier (natural logarithm) a candidate is to be a credential.
     """
@@ -77,7 +78,7 @@ def candidates(text: str, base: list, settings: Settings) -> Iterator[tuple[int,
         while i < len(base) and base[i][0] < end:
             reach = max(reach, base[i][2])
             i += 1
-        if reach <= start and settings.least_chars <= len(run) <= settings.most_chars:
+        if reach <= start and len(run) >= settings.least_chars:
             yield start, end, run
 
 
@@ -243,7 +244,7 @@ def labelled(df: DataFrame, text: str = "text", settings: Settings = Settings())
                 if text:
                     base = base_spans(text)
                     out.update((BASE[place][0], value) for _, place, _, value in base if len(value) <= settings.most_chars)
-                    out.update((OTHER, run) for _, _, run in candidates(text, base, settings))
+                    out.update((OTHER, run) for _, _, run in candidates(text, base, settings) if len(run) <= settings.most_chars)
             yield pd.DataFrame(sorted(out), columns=["kind", "value"], dtype=object)
 
     texts = shipped(df).select(F.col(text).cast("string").alias("text"))

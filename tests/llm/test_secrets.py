@@ -91,6 +91,23 @@ def test_held_out_formats(spark):
     assert sum(found[2000 + i]["n_learned"] for i in range(len(plain + words))) == 0
 
 
+def test_runs_of_any_length_are_scored(spark):
+    """Repeated keys that make runs of more than ``most_chars`` characters are found like short ones; long rules aren't."""
+    rng = random.Random(3)
+    known, n = keys(rng, 300), (4, 60, 2000)
+    known = ["".join(known[i : i + 1 + i % 4]) for i in range(300)]
+    long = ["".join(keys(rng, x)) for x in n]
+    assert [len(x) > S.Settings().most_chars for x in long] == [False, True, True]
+    df = spark.createDataFrame(
+        [(i, f"token={k}") for i, k in enumerate(known)] + [(1000 + i, f"see {x} and") for i, x in enumerate(long)] + [(2000, "=" * 5000), (2001, "lookatthis" * 300)]
+        + [(3000 + i, "".join(rng.choices("etaoinshrdlu", k=20))) for i in range(200)],
+        "doc_id long, text string",
+    )
+    found = {r["doc_id"]: r["spans"] for r in S.report(df).collect()}
+    assert [found[1000 + i] for i in range(3)] == [f"learned:4:{4 + len(x)}" for x in long]
+    assert found[2000] == found[2001] == ""
+
+
 def test_sample_is_bounded_and_repeatable(spark):
     rng = random.Random(4)
     df = spark.createDataFrame([(i, f"secret={k}") for i, k in enumerate(keys(rng, 400))], "doc_id long, text string")
