@@ -5,7 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import zipfile
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -28,6 +29,19 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def batch_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Jobs inside hand Python functions batches of at most so many rows; the session's setting then is as before."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    # No limit is 0 or less.
+    spark.conf.set(name, str(min(int(before), rows) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """A reliable checkpoint in the folder that ``spark.checkpoint.dir`` names, or one of our own if it is unset."""
     context = df.sparkSession.sparkContext

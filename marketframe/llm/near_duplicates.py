@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import checkpointed, shipped, written
+from .common import batch_rows, checkpointed, shipped, written
 from .hashing import shingles
 
 #: Values of a sketch, and of the wider one of classes that hubs don't settle.
@@ -41,6 +41,8 @@ MISSED, DEVIATIONS = 3e-7, 6
 LEVELS, RANKS = 2, 32
 #: Keys of rows whose full sets are computed that are broadcast at most; more are joined by a shuffle.
 BROADCAST_ROWS = 500_000
+#: Rows of a batch whose sets a Python task holds at once, and pairs of a list that it tests at once.
+BATCH_ROWS, SLICE_PAIRS = 1000, 100_000
 
 
 def listed_for(percent: int) -> int:
@@ -80,7 +82,7 @@ def sketches(df: DataFrame, key: str, text: str, words: int = 5, sketch: int = S
                 s = shingles(value.as_py(), words)
                 nodes.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
                 sizes.append(len(s))
-                low.append(s[:sketch])
+                low.append(s[:sketch].copy())
             columns = [batch.column(0), batch.column(2), pa.array(nodes, pa.binary()), pa.array(sizes, pa.int64()), pa.array(low, pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_hash", "node", "n_shingles", "sketch"])
 
@@ -171,7 +173,7 @@ def _shared(sets: list[np.ndarray]) -> np.ndarray:
     out = np.zeros((len(sets), len(sets)), np.float32)
     order = np.argsort(at, kind="stable")
     owner, at = owner[order], at[order]
-    step = 4096
+    step = 1024
     for start in range(0, int(at[-1]) + 1 if len(at) else 0, step):
         low, high = np.searchsorted(at, [start, start + step])
         has = np.zeros((len(sets), step), np.float32)
@@ -195,13 +197,23 @@ def forest(nodes: list[bytes], roots: list[bytes], sizes: np.ndarray, sets: list
     shared = _shared(sets)
     whole = sizes <= wide
     length = np.minimum(sizes, wide)
-    i, j = np.triu_indices(len(nodes), 1)
-    c, sure = shared[i, j].astype(np.float64), whole[i] & whole[j]
-    near_sizes = 100 * np.minimum(sizes[i], sizes[j]) >= percent * np.maximum(sizes[i], sizes[j])
     least = least_estimate(percent, wide)
-    enough = np.where(sure, 100 * c >= percent * (sizes[i] + sizes[j] - c), c >= least * np.minimum(length[i], length[j]))
-    found = np.flatnonzero(near_sizes & enough)
-    found = found[np.lexsort((-c[found] / np.maximum(length[i[found]], length[j[found]]), ~sure[found]))]
+
+    def near(rows: slice) -> tuple[np.ndarray, ...]:
+        """Pairs of some rows with all later ones that may be linked: both, how alike, and whether that is sure."""
+        i, j = np.nonzero(np.triu(shared[rows] >= (least > 0), rows.start + 1))
+        i += rows.start
+        c, sure = shared[i, j].astype(np.float64), whole[i] & whole[j]
+        near_sizes = 100 * np.minimum(sizes[i], sizes[j]) >= percent * np.maximum(sizes[i], sizes[j])
+        enough = np.where(sure, 100 * c >= percent * (sizes[i] + sizes[j] - c), c >= least * np.minimum(length[i], length[j]))
+        found = np.flatnonzero(near_sizes & enough)
+        i, j = i[found], j[found]
+        return i.astype(np.int32), j.astype(np.int32), c[found] / np.maximum(length[i], length[j]), sure[found]
+
+    step = max(1, SLICE_PAIRS // len(nodes))
+    i, j, alike, sure = map(np.concatenate, zip(*(near(slice(at, at + step)) for at in range(0, len(nodes), step))))
+    del shared
+    found = np.lexsort((-alike, ~sure))
     up = {r: r for r in roots}
 
     def top(r: bytes) -> bytes:
@@ -381,6 +393,11 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", word
 
 def grouped(df: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5, percent: int = 85, **sizes: int) -> DataFrame:
     """``near_duplicates`` with the text_hash of each row."""
+    with batch_rows(df.sparkSession, BATCH_ROWS):
+        return _grouped(df, key, text, words, percent, **sizes)
+
+
+def _grouped(df: DataFrame, key: str, text: str, words: int, percent: int, **sizes: int) -> DataFrame:
     rows = written(sketches(df, key, text, words, sizes.get("sketch", SKETCH)), "sketches")
     classes = rows.where(F.col("node").isNotNull()).groupBy("node")
     classes = written(classes.agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch")), "classes")

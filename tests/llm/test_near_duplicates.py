@@ -1,3 +1,4 @@
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -95,6 +96,26 @@ def test_shared_values_of_linked_sets():
     assert N.allowed(100, 3) == [0, 1, 2]
 
 
+def test_lists_are_compared_in_little_memory():
+    """Beside the counts of shared values a task holds a slice of a list's pairs, not all of them."""
+    rng = np.random.default_rng(4)
+    base = rng.integers(0, 2**62, 200)
+    sets = [np.unique(np.concatenate([base[: 150 + k % 50], rng.integers(0, 2**62, 130 if k % 3 else 20)])) for k in range(1500)]
+    nodes = [k.to_bytes(2) for k in range(1500)]
+    tracemalloc.start()
+    found = list(N.forest(nodes, nodes, np.array([len(x) for x in sets]), sets, 80, 1024))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(found) > 100 and peak < 24 * 1500**2
+
+
+def test_python_steps_get_small_batches(spark, documents, monkeypatch):
+    name, seen, links = "spark.sql.execution.arrow.maxRecordsPerBatch", [], N.links
+    monkeypatch.setattr(N, "links", lambda *a, **k: seen.append(spark.conf.get(name)) or links(*a, **k))
+    before = spark.conf.get(name)
+    assert N.near_duplicates(documents).count() and seen == [str(N.BATCH_ROWS)] and spark.conf.get(name) == before
+
+
 def test_limit_is_exact(spark):
     """Just at and just under 85 %: 17 of 20 shingles, and 16 of 19."""
     a, b = [f"a{i}" for i in range(24)], [f"b{i}" for i in range(24)]
