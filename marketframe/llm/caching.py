@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable
 
+import pyarrow as pa
+
 
 class Recent(dict):
     """Computes missing values; keeps the latest ``keep`` to twice as many.
@@ -26,12 +29,23 @@ class Recent(dict):
         return value
 
 
+def returned() -> None:
+    """Gives memory that this process has freed back to the machine, where the allocators can: workers live on from task to task."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError, TypeError):
+        pass  # not the GNU library
+
+
 _held: dict = {}
 
 
 def held(name: str, make: Callable):
     """What ``make`` makes, kept in a worker process from task to task, until another operator asks for its own."""
     if name not in _held:
-        _held.clear()
+        if _held:
+            _held.clear()
+            returned()
         _held[name] = make()
     return _held[name]

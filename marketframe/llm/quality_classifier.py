@@ -8,7 +8,7 @@ whatever the data's size; scoring is a sparse dot product per text.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -18,12 +18,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from .caching import Recent, held
-from .common import remainder, shipped
+from .caching import Recent, held, returned
+from .common import batch_rows, remainder, shipped
 
 _LETTERS, _DIGITS = re.compile(r"[^\W\d_]+"), re.compile(r"[0-9]+")
 #: Labelled rows to learn from at most; those with the smallest hashes of their keys are taken.
 TRAIN_ROWS = 12_000
+#: Rows of a batch that training hands a Python task at once.
+BATCH_ROWS = 1000
 
 
 @dataclass(frozen=True)
@@ -74,8 +76,19 @@ def _scale(n: int) -> float:
     return 1.0 / np.sqrt(max(n, 1))
 
 
+def counted(places: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
+    """Distinct places, how often each of them occurs, in as few bytes as that takes, and how many there are in all."""
+    i, times = np.unique(places, return_counts=True)
+    return i.astype(np.int32), times.astype(np.min_scalar_type(times.max(initial=0))), len(places)
+
+
 def learn(rows: list[tuple[np.ndarray, int]], s: Settings) -> np.ndarray:
-    """Weights (the last one is the constant's) after one update a row, in order, ``s.passes`` times.
+    """The weights that ``fitted`` learns from places as ``features`` gives them."""
+    return fitted([(counted(places), label) for places, label in rows], s)
+
+
+def fitted(rows: list[tuple[tuple[np.ndarray, np.ndarray, int], int]], s: Settings) -> np.ndarray:
+    """Weights (the last one is the constant's) after one update a row of counted places, in order, ``s.passes`` times.
 
     Per coordinate the leader is regularised by l1 and l2, and its step shrinks with the squares of the
     gradients so far.
@@ -87,12 +100,9 @@ def learn(rows: list[tuple[np.ndarray, int]], s: Settings) -> np.ndarray:
         shrunk = np.sign(z[i]) * np.maximum(np.abs(z[i]) - s.l1, 0)
         return -shrunk / ((s.beta + np.sqrt(n[i])) / s.alpha + s.l2)
 
-    ready = []
-    for places, label in rows:
-        i, times = np.unique(places, return_counts=True)
-        ready.append((np.append(i, size - 1), np.append(times * _scale(len(places)), 1.0), label))
     for _ in range(s.passes):
-        for i, x, label in ready:
+        for (places, times, count), label in rows:
+            i, x = np.append(places, size - 1), np.append(times * _scale(count), 1.0)
             w = leader(i)
             p = 1 / (1 + np.exp(-np.clip(w @ x, -35, 35)))
             g = (p - label) * x
@@ -102,6 +112,18 @@ def learn(rows: list[tuple[np.ndarray, int]], s: Settings) -> np.ndarray:
     return leader(np.arange(size)).astype(np.float32)
 
 
+def learned(batches: Iterable[pa.RecordBatch], s: Settings) -> np.ndarray:
+    """The weights from batches of places, label and order, whichever way the rows come."""
+    rows = []
+    for b in batches:
+        for p, y, o in zip(b.column(0), b.column(1).to_pylist(), b.column(2).to_pylist()):
+            row = counted(p.values.to_numpy())
+            # Rows of one key and length stand in a fixed order too; those that agree in this learn alike.
+            rows.append((o, row[2], xxhash.xxh3_128_digest(row[0].tobytes() + row[1].tobytes()), (row, y)))
+    rows.sort(key=lambda r: r[:3])
+    return fitted([r[3] for r in rows], s)
+
+
 def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality", use: Column | None = None, settings: Settings = Settings()) -> np.ndarray:
     """The model for ``label`` (1 or 0; other rows are left out), learned from labelled rows of ``docs``.
 
@@ -123,16 +145,17 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.int32())), batch.column(1), batch.column(2)], ["places", "label", "order"])
 
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = [(o, np.array(p.values.to_numpy(), np.int64), y) for b in batches for p, y, o in zip(b.column(0), b.column(1).to_pylist(), b.column(2).to_pylist())]
-        rows.sort(key=lambda r: (r[0], len(r[1]), r[1].tobytes()))
-        yield pa.RecordBatch.from_arrays([pa.array([learn([(p, y) for _, p, y in rows], settings).tobytes()], pa.binary())], ["weights"])
+        weights = learned(batches, settings).tobytes()
+        returned()
+        yield pa.RecordBatch.from_arrays([pa.array([weights], pa.binary())], ["weights"])
 
     places = rows.select("__text", "__label", "__order").mapInArrow(featurise, "places array<int>, label int, order long")
     # Rows are read and featurised in all tasks; of repeated keys' rows no more stay either. The bounded
     # sample, as numbers, then meets in one task.
     bounded = places.orderBy("order", F.size("places"), F.xxhash64("places"), "label").limit(settings.train_rows)
-    fitted = bounded.repartition(1).mapInArrow(fit, "weights binary").collect()
-    return np.frombuffer(fitted[0][0], np.float32) if fitted else learn([], settings)
+    with batch_rows(docs.sparkSession, BATCH_ROWS):
+        found = bounded.repartition(1).mapInArrow(fit, "weights binary").collect()
+    return np.frombuffer(found[0][0], np.float32) if found else learn([], settings)
 
 
 def with_score(df: DataFrame, weights: np.ndarray, text: str = "text", out: str = "score") -> DataFrame:

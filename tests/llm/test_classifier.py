@@ -1,9 +1,12 @@
+import tracemalloc
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from marketframe.llm import caching
 from marketframe.llm import quality_classifier as Q
 
 from .conftest import clashing
@@ -74,3 +77,37 @@ def test_driver_tables(spark):
 def test_empty_tables(empty, spark):
     labels = spark.createDataFrame([], "doc_id long, quality int")
     assert Q.report(empty, labels).count() == 0
+
+
+def test_training_holds_counts_instead_of_places():
+    """The task that learns holds less than the places it is given, and what it learns is as from the places."""
+    rng, s = np.random.default_rng(3), Q.Settings(bits=11, passes=1)
+    rows = [(o, rng.integers(0, 1500, 2000).astype(np.int32), int(o % 2)) for o in rng.permutation(1500).tolist()]
+
+    def batches():
+        for at in range(0, len(rows), 100):
+            orders, places, labels = zip(*rows[at : at + 100])
+            yield pa.RecordBatch.from_arrays([pa.array(places, pa.list_(pa.int32())), pa.array(labels, pa.int32()), pa.array(orders, pa.int64())], ["places", "label", "order"])
+
+    tracemalloc.start()
+    got = Q.learned(batches(), s)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert np.array_equal(got, Q.learn([(p, y) for _, p, y in sorted(rows, key=lambda r: r[0])], s))
+    assert peak < 1.5 * sum(p.nbytes for _, p, _ in rows)
+
+
+def test_memory_goes_back_when_another_operator_starts(monkeypatch):
+    calls = []
+    monkeypatch.setattr(caching, "returned", lambda: calls.append(dict(caching._held)))
+    monkeypatch.setattr(caching, "_held", {})
+    assert [caching.held(x, lambda x=x: x) for x in "aab"] == ["a", "a", "b"]
+    assert calls == [{}]
+
+
+def test_training_gets_small_batches(labelled, spark, monkeypatch):
+    """The task that learns, and those that featurise, are handed few rows at once; afterwards the setting is as before."""
+    name, seen = "spark.sql.execution.arrow.maxRecordsPerBatch", []
+    before, inside = spark.conf.get(name), Q.batch_rows
+    monkeypatch.setattr(Q, "batch_rows", lambda session, rows: seen.append(rows) or inside(session, rows))
+    assert np.any(Q.train(*labelled)) and seen == [Q.BATCH_ROWS] and spark.conf.get(name) == before
