@@ -10,9 +10,11 @@ from its length and its rank among pieces of that length.
 from __future__ import annotations
 
 import os
+import re
+import unicodedata
 import zlib
 from array import array
-from collections.abc import Iterator, Mapping
+from collections.abc import Iterable, Iterator, Mapping
 from dataclasses import dataclass
 
 import numpy as np
@@ -28,17 +30,22 @@ RANK_ROWS = 50_000
 #: Fixed value: the string of the vocabulary's end token, an added token that texts are cut at first of all.
 END_TOKEN = "<|endoftext|>"
 MARKS = ".,;:!?*%$&#|"
+#: Words of Latin letters with marks behind them, one a line: the word, its letters and its marks.
+PLAIN = re.compile(r"^(([A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff]{1,64})([.,;:!?*%$&#|]{0,8}))$", re.M)
+#: Recent words that a process keeps, once to twice as many, and words of texts that are looked up at once.
+KEPT_WORDS, GROUP_WORDS = 600_000, 20_000
 
 
 class Tokens:
     """Ids of texts by a vocabulary whose splitting drops white space: texts are cut there and recent words kept.
 
-    A text's unknown words are encoded in one call, with the end token between them.
+    Unknown words of some texts are encoded in one call: those of Latin letters with marks behind them between
+    spaces, and cut apart behind the ids that end a word; others with the end token between them.
     """
 
-    def __init__(self, path: str, keep: int = 600_000):
+    def __init__(self, path: str, keep: int = KEPT_WORDS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
@@ -48,60 +55,94 @@ class Tokens:
         self.older: dict[str, bytes] = {}
         self.parts: dict[str, bytes] = {}
         self.end = self.tokenizer.token_to_id(END_TOKEN)
+        suffix = self.tokenizer.model.end_of_word_suffix
+        # The same merges, for text in lower case that has only letters and spaces: the file's other steps leave that as it is.
+        self.letters = Tokenizer.from_str(self.tokenizer.to_str()) if suffix else None
+        if self.letters:
+            self.letters.normalizer = normalizers.Sequence([])
+            self.letters.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.Split(" ", "removed"), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+            names = self.tokenizer.get_vocab()
+            self.last = np.zeros(max(names.values()) + 1, bool)
+            self.last[[i for name, i in names.items() if name.endswith(suffix)]] = True
 
     def _encode(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
 
+    def _cut(self, parts: list[str], ids: np.ndarray, ends: np.ndarray, skipped: int) -> None:
+        """Ids of parts, each up to its end; so many ids there belong to none."""
+        data, start = ids.tobytes(), 0
+        for x, e in zip(parts, ends.tolist()):
+            self.parts[x] = data[4 * start : 4 * e]
+            start = e + skipped
+
     def _learn(self, words: set[str]) -> None:
         """Ids of new words from those of their parts: letters in lower case, and the marks behind them.
 
         The vocabulary's splitting never joins a letter or number to a mark, and its lower case is taken
         character by character; both are used only where they hold without doubt.
         """
-        new, parts, plain = [], self.parts, set()
-        for w in words:
-            found = self.older.get(w)
-            if found is not None:
-                self.words[w] = found
-                continue
+        parts = self.parts
+        left = words.difference(self.older)
+        old = words.difference(left)
+        self.words.update(zip(old, map(self.older.__getitem__, old)))
+        if len(parts) > self.keep:
+            parts.clear()
+        new = [(w, core.lower(), mark) for w, core, mark in PLAIN.findall("\n".join(left))] if self.letters else []
+        cores = list({core for _, core, _ in new}.difference(parts))
+        if cores:
+            ids = np.array(self.letters.encode_batch_fast([" ".join(cores)], add_special_tokens=False)[0].ids, "<u4")
+            self._cut(cores, ids, np.flatnonzero(self.last[ids]) + 1, 0)
+        plain = {mark for _, _, mark in new}
+        for w in left.difference([w for w, _, _ in new]):
             core = w.rstrip(MARKS)
-            if not core or not core[-1].isalnum():
+            # Some letters end in a combining sign once the vocabulary has taken them apart; it joins the marks.
+            if not core or not unicodedata.normalize("NFC", core[-1]).lower()[-1].isalnum():
                 core = w
-            mark = w[len(core) :]
             if max(core, default="") <= "\xff":
-                core = core.lower()
-            new.append((w, core, mark))
-            plain.update(x for x in (core, mark) if x not in parts)
-        if len(parts) > self.keep:
-            parts.clear()
-            plain = {x for _, core, mark in new for x in (core, mark)}
+                new.append((w, core.lower(), w[len(core) :]))
+            else:
+                new.append((w, core, w[len(core) :]))
+            plain.update(new[-1][1:])
+        plain = plain.difference(parts)
         odd = {x for x in plain if "<" in x or not x}
         for x in odd:
             parts[x] = self._encode(x).tobytes()
         plain = list(plain - odd)
         if plain:
             ids = self._encode(END_TOKEN.join(plain))
-            ends = np.append(np.flatnonzero(ids == self.end), len(ids)).tolist()
-            data, start = ids.tobytes(), 0
-            for x, e in zip(plain, ends):
-                parts[x] = data[4 * start : 4 * e]
-                start = e + 1
+            self._cut(plain, ids, np.append(np.flatnonzero(ids == self.end), len(ids)), 1)
         for w, core, mark in new:
             self.words[w] = parts[core] + parts[mark] if mark else parts[core]
 
+    def _found(self, group: list[list[str]]) -> Iterator[bytes]:
+        """The ids of some texts' words, text by text."""
+        words = set().union(*group)
+        new = words.difference(self.words)
+        if len(self.words) + len(new) > self.keep:
+            self.older, self.words, new = self.words, {}, words
+        long = {w: self._encode(w).tobytes() for w in new if len(w) > 64}
+        self._learn(new.difference(long))
+        known = self.words
+        for found in group:
+            if long:
+                yield b"".join([known[w] if w in known else long[w] for w in found])
+            else:
+                yield b"".join(map(known.__getitem__, found))
+
+    def ids_of(self, texts: Iterable[str]) -> Iterator[bytes]:
+        """The ids of whole texts, each as little-endian unsigned 32-bit numbers."""
+        group, size = [], 0
+        for text in texts:
+            group.append(text.replace("\n", " ").split(" "))
+            size += len(group[-1])
+            if size >= GROUP_WORDS:
+                yield from self._found(group)
+                group, size = [], 0
+        yield from self._found(group)
+
     def ids(self, text: str) -> bytes:
-        """The ids of a whole text as little-endian unsigned 32-bit numbers."""
-        words = text.replace("\n", " ").split(" ")
-        if len(self.words) + len(words) > self.keep:
-            self.older, self.words = self.words, {}
-        found = list(map(self.words.get, words))
-        if None in found:
-            new = {w for w, f in zip(words, found) if f is None}
-            long = {w: self._encode(w).tobytes() for w in new if len(w) > 64}
-            self._learn(new.difference(long))
-            known = self.words
-            found = [(known.get(w) or long.get(w, b"")) if f is None else f for w, f in zip(words, found)]
-        return b"".join(found)
+        """The ids of one whole text."""
+        return next(self.ids_of([text]))
 
 
 def tokens_of(path: str) -> Tokens:
@@ -124,8 +165,8 @@ def pieces(df: DataFrame, path: str, key: str = "doc_id", text: str = "text", ca
         tokens = tokens_of(path)
         for batch in batches:
             row, piece, start, length, crc = [], array("i"), array("q"), array("q"), array("q")
-            for r, value in enumerate(batch.column(1)):
-                data = tokens.ids(value.as_py() or "") + end
+            for r, data in enumerate(tokens.ids_of(value.as_py() or "" for value in batch.column(1))):
+                data += end
                 for p, at in enumerate(range(0, len(data), step)):
                     part = data[at : at + step]
                     row.append(r)

@@ -85,5 +85,28 @@ def test_random_texts_as_the_library(reference):
         assert tokens.ids(text) == np.array(reference(text)[:-1], "<u4").tobytes()
 
 
+@pytest.mark.parametrize("letters", [True, False])
+def test_words_of_each_letter_as_the_library(reference, letters):
+    """All characters up to U+024F, and some that fall apart, in words with marks; also without the short way for Latin letters."""
+    tokens = packing.Tokens(FILE, keep=500)
+    if not letters:
+        tokens.letters = None
+    texts = [f"{c} x{c} {c}Y x{c}y. {c}{c},,! {c}1 a.{c} don't{c}s {c}</w> A{c}{'|' * 12} {'Zz' * 31}{c} {'é' * 70}{c}" for c in [*map(chr, range(0x250)), *"\u0958\ufb1d\uac01"]]
+    for text, got in zip(texts, tokens.ids_of(texts), strict=True):
+        assert got == np.array(reference(text)[:-1], "<u4").tobytes()
+
+
+def test_latin_words_are_encoded_without_end_tokens(reference, monkeypatch):
+    """New words of Latin letters cost a space each: only their marks go the long way, and only once."""
+    rng, given = random.Random(8), []
+    words = ["".join(rng.choice("abcdéßTHE") for _ in range(9)) + rng.choice(["", ".", "***"]) for _ in range(3000)]
+    texts = [" ".join(words[at : at + 100]) for at in range(0, 3000, 100)]
+    tokens = packing.Tokens(FILE)
+    encode = tokens._encode
+    monkeypatch.setattr(tokens, "_encode", lambda text: given.append(len(text)) or encode(text))
+    assert [tokens.ids(t) for t in texts] == [np.array(reference(t)[:-1], "<u4").tobytes() for t in texts]
+    assert sum(given) < 100
+
+
 def test_empty_table(empty):
     assert packing.packed(empty, FILE).count() == 0
