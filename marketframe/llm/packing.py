@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .caching import held
-from .common import shipped, written
+from .common import batch_rows, shipped, written
 
 #: Pieces of one length that a task ranks at most, about.
 RANK_ROWS = 50_000
@@ -32,8 +32,10 @@ END_TOKEN = "<|endoftext|>"
 MARKS = ".,;:!?*%$&#|"
 #: Words of Latin letters with marks behind them, one a line: the word, its letters and its marks.
 PLAIN = re.compile(r"^(([A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff]{1,64})([.,;:!?*%$&#|]{0,8}))$", re.M)
-#: Recent words that a process keeps, once to twice as many, and words of texts that are looked up at once.
-KEPT_WORDS, GROUP_WORDS = 600_000, 20_000
+#: Recent words that a process keeps, once to twice as many, and twice as many parts; words of texts that are looked up at once.
+KEPT_WORDS, GROUP_WORDS = 200_000, 20_000
+#: Rows of a batch that a Python task is handed at once.
+BATCH_ROWS = 1000
 
 
 class Tokens:
@@ -85,9 +87,9 @@ class Tokens:
         left = words.difference(self.older)
         old = words.difference(left)
         self.words.update(zip(old, map(self.older.__getitem__, old)))
-        if len(parts) > self.keep:
+        if len(parts) > 2 * self.keep:
             parts.clear()
-        new = [(w, core.lower(), mark) for w, core, mark in PLAIN.findall("\n".join(left))] if self.letters else []
+        new = [(w, w if (low := core.lower()) == w else low, mark) for w, core, mark in PLAIN.findall("\n".join(left))] if self.letters else []
         cores = list({core for _, core, _ in new}.difference(parts))
         if cores:
             ids = np.array(self.letters.encode_batch_fast([" ".join(cores)], add_special_tokens=False)[0].ids, "<u4")
@@ -273,7 +275,8 @@ def packed(df: DataFrame, path: str, key: str = "doc_id", text: str = "text", ca
 
     Repeated rows are packed each. An empty table gives no rows.
     """
-    whole = written(pieces(df, path, key, text, capacity), "pieces")
+    with batch_rows(df.sparkSession, BATCH_ROWS):
+        whole = written(pieces(df, path, key, text, capacity), "pieces")
     places, counts = ranked(whole)
     keys, rows = _places(plan(counts, capacity))
     kind = whole.schema["doc_id"].dataType.simpleString()

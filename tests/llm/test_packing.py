@@ -108,5 +108,17 @@ def test_latin_words_are_encoded_without_end_tokens(reference, monkeypatch):
     assert sum(given) < 100
 
 
+def test_few_words_and_rows_are_held(spark, documents, monkeypatch):
+    """A process keeps up to 400,000 words and as many parts, and gets 1,000 rows at once; afterwards the session is as before."""
+    tokens = packing.Tokens(FILE)
+    for at in range(0, 900_000, 50_000):
+        tokens.ids(" ".join(f"w{i:x}." for i in range(at, at + 50_000)))
+    assert len(tokens.words) + len(tokens.older) <= 400_000 and len(tokens.parts) <= 450_000 + 1
+    name, seen, write = "spark.sql.execution.arrow.maxRecordsPerBatch", [], packing.written
+    monkeypatch.setattr(packing, "written", lambda *a: seen.append(spark.conf.get(name)) or write(*a))
+    before = spark.conf.get(name)
+    assert packing.packed(documents, FILE).count() and seen == ["1000"] and spark.conf.get(name) == before
+
+
 def test_empty_table(empty):
     assert packing.packed(empty, FILE).count() == 0
