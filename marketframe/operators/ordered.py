@@ -30,6 +30,8 @@ POINT = "__point"
 SPLIT_ROWS = 2_000_000
 # Sampled rows for as many: enough that a block's size is right to about a sixth.
 SAMPLES = 64
+# Keys with more rows than so many times the split are cut into larger blocks first, and these again.
+FAN = 256
 # The block of rows without a time, where blocks have a given length: before all others, as such rows stand first.
 FIRST_BLOCK = -(2**63)
 # Cut points that are broadcast at most; more are joined by a shuffle.
@@ -57,42 +59,68 @@ class Cuts:
     that all uses of it cut alike, and broadcast if its counted points are few. ``steps`` are those of a
     binary search in the longest row. Only rows that agree in time and sequence stay together whatever
     their number.
+
+    A row is joined with a few hundred points only, whatever the key's size: if ``coarser`` cuts come first, there is
+    one row for each of their blocks that is cut again, and one without a block for each key that they leave whole.
     """
 
     points: DataFrame
     small: bool
     steps: tuple[int, ...]
+    coarser: Cuts | None = None
 
 
 def _point(df: DataFrame, ts: str, seq: list[str]) -> Column:
-    return F.struct(position(df, ts).alias(US), *seq).alias(POINT)
+    at = position(df, ts)
+    return (F.struct(at.alias(US), *seq) if seq else at).alias(POINT)
+
+
+def _sample(points: DataFrame, rows: int) -> tuple[DataFrame, float]:
+    share = min(1.0, SAMPLES / rows)
+    return points.sample(fraction=share, seed=7) if share < 1 else points, share
 
 
 def plan_cuts(df: DataFrame, keys: Names, ts: str, seq: Names | None = None, rows: int | None = SPLIT_ROWS) -> Cuts | None:
     """Where to cut hot keys, or None when every key fits a task.
 
-    One narrow read of a sample decides, now. Results don't depend on the sample: it moves the cuts
-    only. ``rows=None`` states that no key is hot, and nothing is read.
+    One narrow read of a sample decides, now; each level of cuts takes one more. Results don't depend on the
+    samples: they move the cuts only. ``rows=None`` states that no key is hot, and nothing is read.
     """
     if rows is None:
         return None
     keys = as_list(keys)
-    share = min(1.0, SAMPLES / rows)
     points = df.select(*keys, _point(df, ts, as_list(seq)))
-    sample = points.sample(fraction=share, seed=7) if share < 1 else points
+    sample, share = _sample(points, rows)
+    most = sample.groupBy(*keys).agg(F.count(F.lit(1)).alias("__of")).agg(F.max("__of")).first()[0] or 0
+    if most <= rows * share:
+        return None
+    widths = [rows]
+    while most > widths[-1] * FAN * share:
+        widths.append(widths[-1] * FAN)
+    cuts = None
+    for width in reversed(widths):
+        cuts = _finer(points, keys, width, cuts)
+    return cuts
+
+
+def _finer(points: DataFrame, keys: list[str], rows: int, coarser: Cuts | None) -> Cuts | None:
+    """Cuts of what has more rows than ``rows``: of keys, or of their blocks by ``coarser``."""
+    sample, share = _sample(points, rows)
+    if coarser:
+        sample, keys = _numbered(sample, keys, coarser), [*keys, BLOCK]
     own = Window.partitionBy(*keys)
     ranked = sample.withColumns({"__n": F.row_number().over(own.orderBy(POINT)), "__of": F.count(F.lit(1)).over(own)})
     step = max(1, round(rows * share / 2))
     hot = ranked.filter((F.col("__of") > rows * share) & (F.col("__n") % step == 0))
     points = hot.groupBy(*keys).agg(F.sort_array(F.collect_set(POINT)).alias(CUTS))
-    path = shared_dir(df.sparkSession, "cuts")
+    path = shared_dir(sample.sparkSession, "cuts")
     counted = Observation()
     points.observe(counted, F.sum(F.size(CUTS)).alias("all"), F.max(F.size(CUTS)).alias("longest")).write.parquet(path)
     size = counted.get
     if not size.get("all"):
-        return None
+        return coarser
     steps = tuple(1 << i for i in reversed(range(size["longest"].bit_length())))
-    return Cuts(df.sparkSession.read.schema(points.schema).parquet(path), size["all"] <= BROADCAST_POINTS, steps)
+    return Cuts(sample.sparkSession.read.schema(points.schema).parquet(path), size["all"] <= BROADCAST_POINTS, steps, coarser)
 
 
 def with_blocks(
@@ -114,11 +142,21 @@ def with_blocks(
         return rows.withColumn(BLOCK, F.coalesce(F.expr(f"{US} - pmod({US}, {block}L)"), F.lit(FIRST_BLOCK)))
     if cuts is None:
         return rows.withColumn(BLOCK, F.lit(0).cast("long"))
-    rows = rows.withColumn(POINT, _point(df, ts, as_list(seq)))
-    rows = join_points(rows, cuts, as_list(keys), "inner" if hot_only else "left")
+    rows = _numbered(rows.withColumn(POINT, _point(df, ts, as_list(seq))), as_list(keys), cuts, hot_only).drop(POINT)
+    return rows.withColumn(BLOCK, F.coalesce(BLOCK, F.lit(0).cast("long")))
+
+
+def _numbered(rows: DataFrame, keys: list[str], cuts: Cuts, hot_only: bool = False) -> DataFrame:
+    """Rows, by their point, with the number of their block; NULL for keys that are not cut."""
+    if cuts.coarser is None:
+        rows = join_points(rows, cuts, keys, "inner" if hot_only else "left")
+    else:
+        rows = join_points(_numbered(rows, keys, cuts.coarser), cuts, [*keys, BLOCK], "left")
     steps = ", ".join(map(str, cuts.steps))
     found = f"aggregate(array({steps}), 0, (at, step) -> IF(get({CUTS}, at + step - 1) <= {POINT}, at + step, at))"
-    return rows.withColumn(BLOCK, F.expr(f"CAST(IF({CUTS} IS NULL, 0, {found}) AS BIGINT)")).drop(POINT, CUTS)
+    first = f"{BLOCK} * {2 * cuts.steps[0]}L" if cuts.coarser else "CAST(NULL AS BIGINT)"
+    rows = rows.withColumn(BLOCK, F.expr(f"IF({CUTS} IS NULL, {first}, coalesce({first}, 0L) + {found})")).drop(CUTS)
+    return rows.filter(F.col(BLOCK).isNotNull()) if hot_only and cuts.coarser else rows
 
 
 def join_points(rows: DataFrame, cuts: Cuts, keys: list[str], how: str) -> DataFrame:
@@ -204,8 +242,9 @@ def with_row_ids(
 
     ``bucket`` is a coarse, order-preserving value of the first order column; ``spread`` is the
     column (a time or whole number) that leads the order inside a bucket, along which large buckets
-    are split. Rows are numbered inside their part and shifted by the count of all earlier rows. The
-    running count over parts is the only single-task step; it sees one row per part.
+    are split. Rows are numbered inside their part, which is led by a row with the count of all earlier
+    rows, so all rows are shuffled once. The running count over parts is the only single-task step; it
+    sees one row per part.
     """
     rows = df.withColumn("__bucket", bucket)
     cuts = plan_cuts(rows, "__bucket", spread, None, split_rows)
@@ -213,10 +252,9 @@ def with_row_ids(
     part = ["__bucket", BLOCK]
     counts = rows.groupBy(*part).agg(F.count(F.lit(1)).alias("__n"))
     earlier = Window.partitionBy(F.lit(0)).orderBy(*part).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*part, F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__offset"))
-    number = F.row_number().over(Window.partitionBy(*part).orderBy(*as_list(order)))
-    offsets = offsets.withColumnsRenamed({c: f"{c}_of" for c in part})
-    same = F.col("__bucket").eqNullSafe(F.col("__bucket_of")) & (F.col(BLOCK) == F.col(f"{BLOCK}_of"))
-    numbered = rows.withColumn("__number", number).join(offsets, same)
-    ids = (F.col("__offset") + F.col("__number") + F.lit(start - 1)).cast("long")
-    return numbered.withColumn(name, ids).drop(*part, *[f"{c}_of" for c in part], "__number", "__offset")
+    leading = counts.select(*part, F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__n"), F.lit(0).alias("__own"))
+    rows = rows.withColumns({"__n": F.lit(1).cast("long"), "__own": F.lit(1)}).unionByName(leading, allowMissingColumns=True)
+    order = Window.partitionBy(*part).orderBy("__own", *as_list(order)).rowsBetween(Window.unboundedPreceding, 0)
+    ids = (F.sum("__n").over(order) + F.lit(start - 1)).cast("long")
+    numbered = rows.withColumn("__id", ids).filter("__own = 1").withColumn(name, F.col("__id"))
+    return numbered.drop(*part, "__n", "__own", "__id")

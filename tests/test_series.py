@@ -158,6 +158,30 @@ def test_blocks_follow_the_order(spark):
     assert split.join(whole, "id").agg(F.max(far)).first()[0] < 1e-7
 
 
+def test_a_row_meets_few_cut_points_whatever_the_size_of_its_key(spark):
+    """Thousands of blocks of a key: in levels, for keys of any size and without a key."""
+    kind = "CASE WHEN id % 5 > 0 THEN 'hot' WHEN id % 2 = 0 THEN 'cold' WHEN id % 3 = 0 THEN concat('k', id) END"
+    df = spark.range(20000).selectExpr(f"{kind} AS k", "id", "IF(id % 1000 = 7, NULL, timestamp_seconds(id)) AS ts", "CAST(id % 11 AS DOUBLE) AS x")
+    for seq in (None, "id"):
+        cuts = level = ordered.plan_cuts(df, "k", "ts", seq, 8)
+        while level:
+            assert level.points.agg(F.max(F.size(ordered.CUTS))).first()[0] <= 512
+            level = level.coarser
+        rows = ordered.with_blocks(df, "k", "ts", seq, cuts=cuts)
+        assert rows.filter("ts IS NOT NULL").groupBy("k", ordered.BLOCK).count().agg(F.max("count")).first()[0] <= 8
+        blocks = [r[0] for r in rows.filter("k = 'hot'").orderBy(ordered.US, "id").select(ordered.BLOCK).collect()]
+        assert blocks == sorted(blocks) and len(set(blocks)) > 512
+        hot = ordered.with_blocks(df, "k", "ts", seq, cuts=cuts, hot_only=True)
+        assert sorted(r.k or "" for r in hot.select("k").distinct().collect()) == ["", "cold", "hot"]
+        assert hot.exceptAll(rows).isEmpty() and hot.count() == rows.filter("k IS NULL OR k NOT LIKE 'k%'").count()
+    split = ordered.with_previous(df, {"p": "x"}, "k", "ts", "id", split_rows=8)
+    assert split.exceptAll(ordered.with_previous(df, {"p": "x"}, "k", "ts", "id").select(*split.columns)).isEmpty()
+    split = decay.decay_stats(df, "ts", 60, "k", {"m": "x"}, {"sd": "x"}, "id", split_rows=8)
+    whole = decay.decay_stats(df, "ts", 60, "k", {"w": "x"}, {"wd": "x"}, "id").select("id", "w", "wd")
+    far = F.greatest(F.abs(F.col("m") - F.col("w")), F.abs(F.col("sd") - F.col("wd")))
+    assert split.join(whole, "id").agg(F.max(far)).first()[0] < 1e-7
+
+
 def test_no_hot_key_needs_one_shuffle(spark, tmp_path):
     spark.range(100).selectExpr("id % 7 AS k", "timestamp_seconds(id) AS ts", "CAST(id AS DOUBLE) AS x").write.parquet(str(tmp_path / "t"))
     df = spark.read.parquet(str(tmp_path / "t"))
@@ -223,6 +247,20 @@ def test_row_ids(spark):
         assert sorted((r.v, r.RequestId) for r in out.collect()) == [(i, i + 5) for i in range(100)]
 
 
+def test_row_ids_of_a_large_part_in_one_shuffle(spark, tmp_path):
+    """Thousands of parts, with equal times, rows without one and repeated rows; joined with nothing but cut points."""
+    rows = spark.range(20000).selectExpr("(id * 37) % 9999 AS v", "id % 9 AS w").withColumn("t", F.expr("IF(v % 500 = 3, NULL, v - v % 3)"))
+    rows.write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    out = ordered.with_row_ids(df, ["t", "v", "w"], F.when(F.col("t") < 9000, 1).when(F.col("t").isNotNull(), 2), "t", split_rows=8)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and sum("hashpartitioning(__bucket" in line and "__of" not in line for line in plan.splitlines()) == 2
+    assert all("__small_" in line for line in plan.splitlines() if "HashJoin [" in line)
+    got = [tuple(r) for r in out.orderBy("RequestId").select("t", "v", "w", "RequestId").collect()]
+    first = lambda r: (r[0] is not None, r[0] or 0, r[1], r[2])
+    assert [r[3] for r in got] == list(range(1, 20001)) and [r[:3] for r in got] == sorted((r[:3] for r in got), key=first)
+
+
 GRID = snapshot.TimeGrid(START, START + timedelta(seconds=30), timedelta(seconds=10))
 
 
