@@ -25,6 +25,7 @@ US = "__us"
 BLOCK = "__block"
 CUTS = "__cuts"
 POINT = "__point"
+FOUND = "__found"
 
 # Keys with more rows than this, about, are cut into blocks of half as many.
 SPLIT_ROWS = 2_000_000
@@ -152,10 +153,17 @@ def _numbered(rows: DataFrame, keys: list[str], cuts: Cuts, hot_only: bool = Fal
         rows = join_points(rows, cuts, keys, "inner" if hot_only else "left")
     else:
         rows = join_points(_numbered(rows, keys, cuts.coarser), cuts, [*keys, BLOCK], "left")
-    steps = ", ".join(map(str, cuts.steps))
-    found = f"aggregate(array({steps}), 0, (at, step) -> IF(get({CUTS}, at + step - 1) <= {POINT}, at + step, at))"
+    if isinstance(rows.schema[POINT].dataType, T.LongType):
+        # Each step is a column of its own, so that the stage is compiled as a whole and copies no row's points.
+        rows, found = rows.withColumn(FOUND, F.lit(0)), FOUND
+        for step in cuts.steps:
+            rows = rows.withColumn(FOUND, F.expr(f"{FOUND} + IF(get({CUTS}, {FOUND} + {step - 1}) <= {POINT}, {step}, 0)"))
+    else:
+        # Points of several columns take more code than the compiler allows a stage.
+        steps = ", ".join(map(str, cuts.steps))
+        found = f"aggregate(array({steps}), 0, (at, step) -> IF(get({CUTS}, at + step - 1) <= {POINT}, at + step, at))"
     first = f"{BLOCK} * {2 * cuts.steps[0]}L" if cuts.coarser else "CAST(NULL AS BIGINT)"
-    rows = rows.withColumn(BLOCK, F.expr(f"IF({CUTS} IS NULL, {first}, coalesce({first}, 0L) + {found})")).drop(CUTS)
+    rows = rows.withColumn(BLOCK, F.expr(f"IF({CUTS} IS NULL, {first}, coalesce({first}, 0L) + {found})")).drop(CUTS, FOUND)
     return rows.filter(F.col(BLOCK).isNotNull()) if hot_only and cuts.coarser else rows
 
 
